@@ -1,7 +1,7 @@
 """User-agent text to browser and operating-system columns.
 
-The rules cover the browser and system families listed below; any other text gives nulls.  They are plain
-column expressions, so a scan computes them without a shuffle and without Python.
+The rules cover the browser and system families listed below; any other text gives nulls.  They are native
+expressions, so a scan computes the columns without a shuffle and without Python.
 """
 
 from __future__ import annotations
@@ -11,125 +11,117 @@ from pyspark.sql import functions as F
 
 from ..schemas import UA_COLUMNS
 
-# Browser families, tried in this order; the first whose marks are all in the text wins.
-# family: (marks, version pattern, type, manufacturer, rendering engine)
-BROWSERS = {
-    "BOT": (["bot"], r"(?i)bot[/ ](\d+(?:\.\d+)*)", "ROBOT", "OTHER", "OTHER"),
-    "SPIDER": (["spider"], r"(?i)spider[/ ](\d+(?:\.\d+)*)", "ROBOT", "OTHER", "OTHER"),
-    "EDGE": (["Edge/"], r"Edge/(\d+(?:\.\d+)*)", "WEB_BROWSER", "MICROSOFT", "EDGE_HTML"),
-    "EDGE_CHROMIUM": (["Edg/"], r"Edg/(\d+(?:\.\d+)*)", "WEB_BROWSER", "MICROSOFT", "BLINK"),
-    "OPERA_CHROMIUM": (["OPR/"], r"OPR/(\d+(?:\.\d+)*)", "WEB_BROWSER", "OPERA", "BLINK"),
-    "OPERA": (["Opera"], r"(?:Version/|Opera[/ ])(\d+(?:\.\d+)*)", "WEB_BROWSER", "OPERA", "PRESTO"),
-    "IE": (["MSIE "], r"MSIE (\d+(?:\.\d+)*)", "WEB_BROWSER", "MICROSOFT", "TRIDENT"),
-    "IE_MODERN": (["Trident/", "rv:"], r"rv:(\d+(?:\.\d+)*)", "WEB_BROWSER", "MICROSOFT", "TRIDENT"),
-    "FIREFOX": (["Firefox/"], r"Firefox/(\d+(?:\.\d+)*)", "WEB_BROWSER", "MOZILLA", "GECKO"),
-    "CHROME_IOS": (["CriOS/"], r"CriOS/(\d+(?:\.\d+)*)", "MOBILE_BROWSER", "GOOGLE", "WEBKIT"),
-    "CHROME": (["Chrome/"], r"Chrome/(\d+(?:\.\d+)*)", "WEB_BROWSER", "GOOGLE", "WEBKIT"),
-    "ANDROID_WEBKIT": (["Android", "Version/", "Safari"], r"Version/(\d+(?:\.\d+)*)", "MOBILE_BROWSER", "GOOGLE", "WEBKIT"),
-    "MOBILE_SAFARI": (["Mobile/", "Safari"], r"Version/(\d+(?:\.\d+)*)", "MOBILE_BROWSER", "APPLE", "WEBKIT"),
-    "SAFARI": (["Version/", "Safari"], r"Version/(\d+(?:\.\d+)*)", "WEB_BROWSER", "APPLE", "WEBKIT"),
-}
-
-# Families that count as one group, and families whose name carries the major version.
-BROWSER_GROUPS = {
-    "SPIDER": "BOT",
-    "EDGE_CHROMIUM": "EDGE",
-    "OPERA_CHROMIUM": "OPERA",
-    "IE_MODERN": "IE",
-    "CHROME_IOS": "CHROME",
-    "MOBILE_SAFARI": "SAFARI",
-}
-VERSIONED_NAMES = ["EDGE", "EDGE_CHROMIUM", "OPERA_CHROMIUM", "OPERA", "IE", "IE_MODERN", "FIREFOX", "CHROME_IOS", "CHROME", "SAFARI"]
-
-# Operating systems, tried in this order.
-# system: (marks, name, device, group, manufacturer)
-SYSTEMS = {
-    "WINDOWS_PHONE": (["Windows Phone"], "Windows Phone", "MOBILE", "WINDOWS", "MICROSOFT"),
-    "WINDOWS_10": (["Windows NT 10.0"], "Windows 10", "COMPUTER", "WINDOWS", "MICROSOFT"),
-    "WINDOWS_81": (["Windows NT 6.3"], "Windows 8.1", "COMPUTER", "WINDOWS", "MICROSOFT"),
-    "WINDOWS_8": (["Windows NT 6.2"], "Windows 8", "COMPUTER", "WINDOWS", "MICROSOFT"),
-    "WINDOWS_7": (["Windows NT 6.1"], "Windows 7", "COMPUTER", "WINDOWS", "MICROSOFT"),
-    "WINDOWS_VISTA": (["Windows NT 6.0"], "Windows Vista", "COMPUTER", "WINDOWS", "MICROSOFT"),
-    "WINDOWS_2003": (["Windows NT 5.2"], "Windows Server 2003", "COMPUTER", "WINDOWS", "MICROSOFT"),
-    "WINDOWS_XP": (["Windows NT 5.1"], "Windows XP", "COMPUTER", "WINDOWS", "MICROSOFT"),
-    "WINDOWS_2000": (["Windows NT 5.0"], "Windows 2000", "COMPUTER", "WINDOWS", "MICROSOFT"),
-    "WINDOWS": (["Windows"], "Windows", "COMPUTER", "WINDOWS", "MICROSOFT"),
-    "ANDROID2": (["Android 2"], "Android 2.x", "MOBILE", "ANDROID", "GOOGLE"),
-    "ANDROID3": (["Android 3"], "Android 3.x", "TABLET", "ANDROID", "GOOGLE"),
-    "ANDROID4": (["Android 4", "Mobile"], "Android 4.x", "MOBILE", "ANDROID", "GOOGLE"),
-    "ANDROID4_TABLET": (["Android 4"], "Android 4.x Tablet", "TABLET", "ANDROID", "GOOGLE"),
-    "ANDROID": (["Android"], "Android", "MOBILE", "ANDROID", "GOOGLE"),
-    "IPHONE": (["iPhone"], "iOS (iPhone)", "MOBILE", "IOS", "APPLE"),
-    "IPAD": (["iPad"], "iOS (iPad)", "TABLET", "IOS", "APPLE"),
-    "MAC_OS_X": (["Mac OS X"], "Mac OS X", "COMPUTER", "MAC_OS_X", "APPLE"),
-    "LINUX": (["Linux"], "Linux", "COMPUTER", "LINUX", "OTHER"),
-}
-
-
-def _first_match(text: Column, rules: dict[str, list[str]]) -> Column:
-    """Name of the first rule whose marks all occur in the text (any case for one-word lower-case marks)."""
-    folded = F.lower(text)
-    chain = None
-    for name, marks in rules.items():
-        found = None
-        for mark in marks:
-            hit = (folded if mark.islower() and mark.isalpha() else text).contains(mark)
-            found = hit if found is None else found & hit
-        chain = F.when(found, name) if chain is None else chain.when(found, name)
+# Browser rules, tried in this order; the first whose marks all occur in the text wins.
+# (name, marks, text before the version, group, name carries the major version, type, manufacturer, rendering engine)
+BROWSERS = [
+    ("BOT", ["bot"], "bot/", "BOT", False, "ROBOT", "OTHER", "OTHER"),
+    ("BOT", ["Bot"], "Bot/", "BOT", False, "ROBOT", "OTHER", "OTHER"),
+    ("SPIDER", ["spider"], "spider/", "BOT", False, "ROBOT", "OTHER", "OTHER"),
+    ("SPIDER", ["Spider"], "Spider/", "BOT", False, "ROBOT", "OTHER", "OTHER"),
+    ("EDGE", ["Edge/"], "Edge/", "EDGE", True, "WEB_BROWSER", "MICROSOFT", "EDGE_HTML"),
+    ("EDGE", ["Edg/"], "Edg/", "EDGE", True, "WEB_BROWSER", "MICROSOFT", "BLINK"),
+    ("OPERA", ["OPR/"], "OPR/", "OPERA", True, "WEB_BROWSER", "OPERA", "BLINK"),
+    ("OPERA", ["Opera", "Version/"], "Version/", "OPERA", True, "WEB_BROWSER", "OPERA", "PRESTO"),
+    ("OPERA", ["Opera/"], "Opera/", "OPERA", True, "WEB_BROWSER", "OPERA", "PRESTO"),
+    ("OPERA", ["Opera "], "Opera ", "OPERA", True, "WEB_BROWSER", "OPERA", "PRESTO"),
+    ("IE", ["MSIE "], "MSIE ", "IE", True, "WEB_BROWSER", "MICROSOFT", "TRIDENT"),
+    ("IE", ["Trident/", "rv:"], "rv:", "IE", True, "WEB_BROWSER", "MICROSOFT", "TRIDENT"),
+    ("FIREFOX", ["Firefox/"], "Firefox/", "FIREFOX", True, "WEB_BROWSER", "MOZILLA", "GECKO"),
+    ("CHROME_IOS", ["CriOS/"], "CriOS/", "CHROME", True, "MOBILE_BROWSER", "GOOGLE", "WEBKIT"),
+    ("CHROME", ["Chrome/"], "Chrome/", "CHROME", True, "WEB_BROWSER", "GOOGLE", "WEBKIT"),
+    ("ANDROID_WEBKIT", ["Android", "Version/", "Safari"], "Version/", "ANDROID_WEBKIT", False, "MOBILE_BROWSER", "GOOGLE", "WEBKIT"),
+    ("MOBILE_SAFARI", ["Mobile/", "Safari"], "Version/", "SAFARI", False, "MOBILE_BROWSER", "APPLE", "WEBKIT"),
+    ("SAFARI", ["Version/", "Safari"], "Version/", "SAFARI", True, "WEB_BROWSER", "APPLE", "WEBKIT"),
+]
+
+# Operating-system rules, tried in this order.
+# (name, marks, readable name, device, group, manufacturer)
+SYSTEMS = [
+    ("WINDOWS_PHONE", ["Windows Phone"], "Windows Phone", "MOBILE", "WINDOWS", "MICROSOFT"),
+    ("WINDOWS_10", ["Windows NT 10.0"], "Windows 10", "COMPUTER", "WINDOWS", "MICROSOFT"),
+    ("WINDOWS_81", ["Windows NT 6.3"], "Windows 8.1", "COMPUTER", "WINDOWS", "MICROSOFT"),
+    ("WINDOWS_8", ["Windows NT 6.2"], "Windows 8", "COMPUTER", "WINDOWS", "MICROSOFT"),
+    ("WINDOWS_7", ["Windows NT 6.1"], "Windows 7", "COMPUTER", "WINDOWS", "MICROSOFT"),
+    ("WINDOWS_VISTA", ["Windows NT 6.0"], "Windows Vista", "COMPUTER", "WINDOWS", "MICROSOFT"),
+    ("WINDOWS_2003", ["Windows NT 5.2"], "Windows Server 2003", "COMPUTER", "WINDOWS", "MICROSOFT"),
+    ("WINDOWS_XP", ["Windows NT 5.1"], "Windows XP", "COMPUTER", "WINDOWS", "MICROSOFT"),
+    ("WINDOWS_2000", ["Windows NT 5.0"], "Windows 2000", "COMPUTER", "WINDOWS", "MICROSOFT"),
+    ("WINDOWS", ["Windows"], "Windows", "COMPUTER", "WINDOWS", "MICROSOFT"),
+    ("ANDROID2", ["Android 2"], "Android 2.x", "MOBILE", "ANDROID", "GOOGLE"),
+    ("ANDROID3", ["Android 3"], "Android 3.x", "TABLET", "ANDROID", "GOOGLE"),
+    ("ANDROID4", ["Android 4", "Mobile"], "Android 4.x", "MOBILE", "ANDROID", "GOOGLE"),
+    ("ANDROID4_TABLET", ["Android 4"], "Android 4.x Tablet", "TABLET", "ANDROID", "GOOGLE"),
+    ("ANDROID", ["Android"], "Android", "MOBILE", "ANDROID", "GOOGLE"),
+    ("IPHONE", ["iPhone"], "iOS (iPhone)", "MOBILE", "IOS", "APPLE"),
+    ("IPAD", ["iPad"], "iOS (iPad)", "TABLET", "IOS", "APPLE"),
+    ("MAC_OS_X", ["Mac OS X"], "Mac OS X", "COMPUTER", "MAC_OS_X", "APPLE"),
+    ("LINUX", ["Linux"], "Linux", "COMPUTER", "LINUX", "OTHER"),
+]
+
+VERSION = r"^\d+(?:\.\d+)*"
+
+
+def _all_in(text: Column, marks: list[str]) -> Column:
+    found = text.contains(marks[0])
+    for mark in marks[1:]:
+        found = found & text.contains(mark)
+    return found
+
+
+def _first_rule(text: Column, rules: list[tuple]) -> Column:
+    """Number (from 0) of the first rule whose marks all occur in the text; null if there is none."""
+    chain = F.when(_all_in(text, rules[0][1]), F.lit(0))
+    for number, rule in enumerate(rules[1:], start=1):
+        chain = chain.when(_all_in(text, rule[1]), F.lit(number))
     return chain
 
 
-def _lookup(key: Column, values: dict[str, object]) -> Column:
-    """Value of a fixed table; null for other keys."""
-    cells = [F.lit(cell) for pair in values.items() for cell in pair]
-    return F.element_at(F.create_map(*cells), key)
+def _field(rules: list[tuple], position: int, number: Column) -> Column:
+    """One field of the numbered rule, from a constant array."""
+    return F.get(F.array(*[F.lit(rule[position]) for rule in rules]), number)
 
 
 def _with_parts(df: DataFrame, source: str) -> DataFrame:
-    """Append family, system and version text, each worked out once in its own projection."""
-    text, family = F.col(source), F.col("_family")
-    families = df.select(
-        "*",
-        _first_match(text, {name: rule[0] for name, rule in BROWSERS.items()}).alias("_family"),
-        _first_match(text, {name: rule[0] for name, rule in SYSTEMS.items()}).alias("_system"),
-    )
-    version = None
-    for name, rule in BROWSERS.items():
-        part = F.regexp_extract(text, rule[1], 1)
-        version = F.when(family == name, part) if version is None else version.when(family == name, part)
-    return families.select("*", F.nullif(version, F.lit("")).alias("_version"))
+    """Append the matching rules and the version text, each worked out once, in projections of their own.
+
+    Spark keeps the projections apart because each reads the one below more than once; together they would
+    make a method too long for the JVM to compile.
+    """
+    text, browser = F.col(source), F.col("_browser")
+    matched = df.select("*", _first_rule(text, BROWSERS).alias("_browser"))
+    rest = F.split_part(text, _field(BROWSERS, 2, browser), F.lit(2))
+    version = F.when(browser.isNotNull(), F.nullif(F.regexp_extract(rest, VERSION, 0), F.lit("")))
+    return matched.select("*", version.alias("_version"), _first_rule(text, SYSTEMS).alias("_system"))
 
 
 def _ua_columns() -> dict[str, Column]:
     """Every user-agent column, from the parts."""
-    family, system = F.col("_family"), F.col("_system")
-    numbers = F.split("_version", r"\.")
-    major, minor = F.get(numbers, F.lit(0)), F.get(numbers, F.lit(1))
-    family_code = _lookup(family, {name: code for code, name in enumerate(BROWSERS, start=1)})
-    system_code = _lookup(system, {name: code for code, name in enumerate(SYSTEMS, start=1)})
-    group_of = {name: BROWSER_GROUPS.get(name, name) for name in BROWSERS}
-    named_with_major = family.isin(VERSIONED_NAMES) & major.isNotNull()
+    browser, system, version = F.col("_browser"), F.col("_system"), F.col("_version")
+    major, minor, third = (F.split_part(version, F.lit("."), F.lit(part)) for part in (1, 2, 3))
+    # A stable number of the (browser rule, major version, system rule) triple.
+    number = (
+        (F.coalesce(browser, F.lit(-1)) + 1) * 10_000_000
+        + F.pmod(F.coalesce(major.try_cast("int"), F.lit(0)), F.lit(100_000)) * 100
+        + F.coalesce(system, F.lit(-1))
+        + 1
+    )
+    versioned = F.when(_field(BROWSERS, 4, browser), F.coalesce(major, F.lit(""))).otherwise(F.lit(""))
     return {
-        "ua_browser": F.when(named_with_major, F.concat(_lookup(family, group_of), major)).otherwise(family),
-        "ua_browser_type": _lookup(family, {name: rule[2] for name, rule in BROWSERS.items()}),
-        "ua_browser_group": _lookup(family, group_of),
-        "ua_browser_manufacturer": _lookup(family, {name: rule[3] for name, rule in BROWSERS.items()}),
-        "ua_browser_rendering_engine": _lookup(family, {name: rule[4] for name, rule in BROWSERS.items()}),
-        "ua_browser_version": F.col("_version").try_cast("double"),
+        "ua_browser": F.concat(_field(BROWSERS, 0, browser), versioned),
+        "ua_browser_type": _field(BROWSERS, 5, browser),
+        "ua_browser_group": _field(BROWSERS, 3, browser),
+        "ua_browser_manufacturer": _field(BROWSERS, 6, browser),
+        "ua_browser_rendering_engine": _field(BROWSERS, 7, browser),
+        # Only 'N' and 'N.N' are tried: a failing conversion of each row would cost more than all the rest.
+        "ua_browser_version": F.when(third == "", version.try_cast("double")),
         "ua_browser_version_minor": minor.try_cast("int"),
         "ua_browser_version_major": major.try_cast("int"),
-        # A stable number of the (family, major version, system) triple.
-        "ua_id": F.when(
-            family.isNotNull() | system.isNotNull(),
-            F.coalesce(family_code, F.lit(0)) * 10_000_000
-            + F.pmod(F.coalesce(major.try_cast("int"), F.lit(0)), F.lit(100_000)) * 100
-            + F.coalesce(system_code, F.lit(0)),
-        ),
-        "ua_os": system,
-        "ua_os_name": _lookup(system, {name: rule[1] for name, rule in SYSTEMS.items()}),
-        "ua_os_device": _lookup(system, {name: rule[2] for name, rule in SYSTEMS.items()}),
-        "ua_os_group": _lookup(system, {name: rule[3] for name, rule in SYSTEMS.items()}),
-        "ua_os_manufacturer": _lookup(system, {name: rule[4] for name, rule in SYSTEMS.items()}),
+        "ua_id": F.when(browser.isNotNull() | system.isNotNull(), number),
+        "ua_os": _field(SYSTEMS, 0, system),
+        "ua_os_name": _field(SYSTEMS, 2, system),
+        "ua_os_device": _field(SYSTEMS, 3, system),
+        "ua_os_group": _field(SYSTEMS, 4, system),
+        "ua_os_manufacturer": _field(SYSTEMS, 5, system),
     }
 
 

@@ -10,6 +10,7 @@ from ..schemas import FEATURE_COLUMNS, FEATURE_OF_LOG_TYPE
 from .joins import keyed_join
 
 USER, TIME, TYPE, KEYWORD = "ipinyou_id", "timestamp", "log_type_name", "keyword_name"
+HIST_TYPE, HIST_KEYWORD = "hist_log_type_name", "hist_keyword_name"
 
 
 def _spread(history: DataFrame) -> list[str]:
@@ -22,47 +23,43 @@ def reduce_history(history: DataFrame, batch: DataFrame) -> DataFrame:
     return keyed_join(history, batch.select(USER).distinct(), USER, _spread(history), "left_semi")
 
 
-def _timed(rows: DataFrame) -> DataFrame:
-    """Rows with a valid event time.  Texts of 17 digits compare like the times they stand for."""
-    return rows.where(event_time(F.col(TIME)).isNotNull())
-
-
 def user_cutoffs(batch: DataFrame) -> DataFrame:
     """Latest event time of each user in the batch: all a batch contributes to its users' features."""
-    return _timed(batch).groupBy(USER).agg(F.max(TIME).alias("cutoff"))
+    cutoffs = batch.groupBy(USER).agg(F.max(event_time(F.col(TIME))).alias("cutoff"))
+    return cutoffs.where(F.col("cutoff").isNotNull())
 
 
 def history_until_cutoff(history: DataFrame, batch: DataFrame) -> DataFrame:
-    """History rows at or before their user's latest event in the batch.
+    """History rows at or before their user's latest event in the batch; rows without a valid time are left out.
 
     The batch is reduced to one row per user first, so that the result is at most as long as the history:
     pairing every batch row with every earlier row gives the same features from many times the rows.
     """
-    rows = keyed_join(_timed(history), user_cutoffs(batch), USER, _spread(history))
-    return rows.where(F.col("cutoff") >= F.col(TIME)).select(
+    rows = keyed_join(history, user_cutoffs(batch), USER, _spread(history))
+    return rows.where(F.col("cutoff") >= event_time(F.col(TIME))).select(
         USER,
         F.col(TIME).alias("hist_timestamp"),
-        F.col(KEYWORD).alias("hist_keyword_name"),
-        F.col(TYPE).alias("hist_log_type_name"),
+        F.col(KEYWORD).alias(HIST_KEYWORD),
+        F.col(TYPE).alias(HIST_TYPE),
     )
 
 
-def _feature_inputs(log_type: Column, keyword: Column) -> dict[str, Column]:
-    """Keyword for the feature's own log type, '0' for any other."""
-    return {
-        feature: F.when(log_type == name, keyword).otherwise(F.lit("0"))
+def _largest_keywords() -> list[Column]:
+    """Per feature: the largest keyword of its log type, where rows of other types count as '0'."""
+    return [
+        F.max(F.when(F.col(HIST_TYPE) == name, F.col(HIST_KEYWORD)).otherwise(F.lit("0"))).alias(feature)
         for name, feature in FEATURE_OF_LOG_TYPE.items()
-    }
+    ]
 
 
 def keyword_pivot(rows: DataFrame) -> DataFrame:
     """Largest keyword per user and log type, one column per type.
 
-    Null: no such row has a keyword; '0': the user has rows, none of this type.  Maxima are taken before the
-    shuffle, so a user with very many rows sends one row per task.
+    Null: no such row has a keyword; '0': the user has rows, none of this type.  The rows are first reduced to
+    distinct keywords per user and type, inside each task before the shuffle: that needs no sort, and a user
+    with very many rows arrives as a few.
     """
-    inputs = _feature_inputs(F.col("hist_log_type_name"), F.col("hist_keyword_name"))
-    return rows.groupBy(USER).agg(*[F.max(value).alias(feature) for feature, value in inputs.items()])
+    return rows.select(USER, HIST_TYPE, HIST_KEYWORD).distinct().groupBy(USER).agg(*_largest_keywords())
 
 
 def user_features(history: DataFrame, batch: DataFrame) -> DataFrame:
@@ -75,30 +72,44 @@ def attach_features(batch: DataFrame, features: DataFrame, spread: list[str]) ->
     return keyed_join(batch, features, USER, spread, "left")
 
 
-def keyword_asof(events: DataFrame, slice_digits: int = 10) -> DataFrame:
+def with_no_features(rows: DataFrame) -> DataFrame:
+    """The same rows with empty features, as stored for users without history."""
+    return rows.withColumns({feature: F.lit(None).cast("string") for feature in FEATURE_COLUMNS})
+
+
+def keyword_asof(events: DataFrame, slice_unit: str = "HOUR") -> DataFrame:
     """Features of every event as of its own time: history up to and including that time.
 
-    A running maximum over all of a user's rows would put the user into one task.  Here a user's time line is
-    cut into slices by the first digits of the event time (10 digits: hours).  Rows are first reduced to one
-    per user and time, so a slice holds at most as many rows as it has clock ticks, and what a slice needs
-    from before is one row per earlier slice.
+    A running maximum over all of a user's rows would put the user into one task.  The features can change
+    only where a user meets a keyword for the first time in a log type, so the rows are reduced to those first
+    times (before the shuffle).  A user's time line is cut into slices; a slice holds its changes, of which
+    there are no more than keywords or clock ticks, and the features before it.  Events look up their slice.
     """
-    cut = F.substring(TIME, 1, slice_digits).alias("_slice")
-    inputs = _feature_inputs(F.col(TYPE), F.col(KEYWORD))
-    points = _timed(events).groupBy(USER, cut, TIME).agg(*[F.max(v).alias(f) for f, v in inputs.items()])
-
-    earlier = Window.partitionBy(USER).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    slices = points.groupBy(USER, "_slice").agg(*[F.max(f).alias(f) for f in FEATURE_COLUMNS])
-    carried = slices.select(USER, "_slice", *[F.max(f).over(earlier).alias(f"_before_{f}") for f in FEATURE_COLUMNS])
+    time, cut = F.col("_time"), lambda column: F.date_trunc(slice_unit, column)
+    timed = events.withColumn("_time", event_time(F.col(TIME))).withColumn("_slice", cut(time))
+    firsts = (
+        timed.where(time.isNotNull())
+        .groupBy(USER, F.col(TYPE).alias(HIST_TYPE), F.col(KEYWORD).alias(HIST_KEYWORD))
+        .agg(F.min("_time").alias("_time"))
+    )
+    changes = firsts.groupBy(USER, cut(time).alias("_slice"), "_time").agg(*_largest_keywords())
 
-    within = Window.partitionBy(USER, "_slice").orderBy(TIME).rowsBetween(Window.unboundedPreceding, 0)
-    running = points.select(USER, "_slice", TIME, *[F.max(f).over(within).alias(f) for f in FEATURE_COLUMNS])
-    asof = running.join(carried, [USER, "_slice"]).select(
-        USER, TIME, *[F.greatest(f, f"_before_{f}").alias(f) for f in FEATURE_COLUMNS]
+    within = Window.partitionBy(USER, "_slice").orderBy("_time").rowsBetween(Window.unboundedPreceding, 0)
+    running = changes.select(USER, "_slice", "_time", *[F.max(f).over(within).alias(f) for f in FEATURE_COLUMNS])
+    steps = running.groupBy(USER, "_slice").agg(
+        F.sort_array(F.collect_list(F.struct("_time", *FEATURE_COLUMNS))).alias("_steps")
     )
-    return events.join(asof, [USER, TIME], "left")
 
+    # Slices with events but no change take part, so that every event finds the features before its slice.
+    visited = timed.where(time.isNotNull()).select(USER, "_slice").distinct()
+    earlier = Window.partitionBy(USER).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    last = F.element_at("_steps", -1)
+    slices = visited.join(steps, [USER, "_slice"], "left").select(
+        USER, "_slice", "_steps", *[F.max(last[f]).over(earlier).alias(f"_before_{f}") for f in FEATURE_COLUMNS]
+    )
 
-def with_no_features(rows: DataFrame) -> DataFrame:
-    """The same rows with empty features, as stored for users without history."""
-    return rows.withColumns({feature: F.lit(None).cast("string") for feature in FEATURE_COLUMNS})
+    found = timed.join(slices, [USER, "_slice"], "left")
+    passed = found.withColumn("_step", F.try_element_at(F.filter("_steps", lambda s: s["_time"] <= time), F.lit(-1)))
+    return passed.select(
+        *events.columns, *[F.greatest(F.col("_step")[f], F.col(f"_before_{f}")).alias(f) for f in FEATURE_COLUMNS]
+    )

@@ -91,9 +91,12 @@ def with_city(rows: DataFrame, customer: DataFrame) -> DataFrame:
     return rows.join(places, "user_id", "left").withColumn("city_id", city).drop("_nation")
 
 
-def bid_log(spark: SparkSession, sf_dir: str, layout: list[str] = STREAM_LAYOUT) -> DataFrame:
-    """The whole events table as typed log rows in a layout."""
-    rows = with_city(log_columns(table(spark, sf_dir, "events")), table(spark, sf_dir, "customer"))
+def bid_log(
+    spark: SparkSession, sf_dir: str, layout: list[str] = STREAM_LAYOUT, events: DataFrame | None = None
+) -> DataFrame:
+    """The whole events table (or a given part) as typed log rows in a layout."""
+    events = table(spark, sf_dir, "events") if events is None else events
+    rows = with_city(log_columns(events), table(spark, sf_dir, "customer"))
     if layout == BATCH_LAYOUT:
         rows = rows.withColumn("predict", F.when(F.col("event_id") % 2 == 0, "TRUE").otherwise("FALSE"))
     return rows.select(*layout)
@@ -142,29 +145,36 @@ def keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyword_dictionary(pages, tags)
 
 
-def history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All events as history rows; the raw tag text is the keyword."""
-    rows = log_columns(table(spark, sf_dir, "events"))
-    named = {entry[0]: entry[1] for entry in LOG_TYPES.values()}
-    cells = [F.lit(x) for pair in named.items() for x in pair]
-    return rows.select(
+def as_history(events: DataFrame) -> DataFrame:
+    """Events as history rows; the raw tag text is the keyword."""
+    named = [F.lit(x) for entry in LOG_TYPES.values() for x in entry]
+    return log_columns(events).select(
         "bid_id",
         "ipinyou_id",
         "timestamp",
-        F.element_at(F.create_map(*cells), F.col("log_type_id")).alias("log_type_name"),
+        F.element_at(F.create_map(*named), F.col("log_type_id")).alias("log_type_name"),
         F.col("user_tags").alias("keyword_name"),
     )
 
 
 def recent_start(spark: SparkSession, sf_dir: str) -> Column:
-    """First instant of the last RECENT_DAYS days of the events table, as a scalar subquery."""
+    """First instant of the last RECENT_DAYS days of the events table, as a scalar subquery.
+
+    Compared with the ts column it becomes a row-group filter of the scan when the query runs.
+    """
     latest = table(spark, sf_dir, "events").agg(F.max("ts").alias("ts"))
-    return latest.select(event_time_text(F.col("ts") - F.expr(f"INTERVAL {RECENT_DAYS} DAYS"))).scalar()
+    start = F.date_trunc("MILLISECOND", F.col("ts") - F.expr(f"INTERVAL {RECENT_DAYS} DAYS"))
+    return latest.select(start.cast("timestamp_ntz")).scalar()
+
+
+def recent_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of the last RECENT_DAYS days: the new batch of the history queries."""
+    return table(spark, sf_dir, "events").where(F.col("ts") >= recent_start(spark, sf_dir))
 
 
-def recent(rows: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the last RECENT_DAYS days: the new batch of the history queries."""
-    return rows.where(F.col("timestamp") >= recent_start(spark, sf_dir))
+def older_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events before the last RECENT_DAYS days."""
+    return table(spark, sf_dir, "events").where(F.col("ts") < recent_start(spark, sf_dir))
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -198,9 +208,10 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as raw-layout lines; some lines are cut after 20 fields, some have a 25th."""
     rows = bid_log(spark, sf_dir, RAW_LAYOUT)
     event = F.col("bid_id").cast("bigint")
-    line = (
-        F.when(event % 17 == 0, as_lines(rows, RAW_LAYOUT[:20]))
-        .when(event % 19 == 0, F.concat(as_lines(rows, RAW_LAYOUT), F.lit("\textra")))
-        .otherwise(as_lines(rows, RAW_LAYOUT))
+    parts = rows.select(
+        event.alias("event"),
+        as_lines(rows, RAW_LAYOUT[:20]).alias("start"),
+        as_lines(rows, RAW_LAYOUT[20:]).alias("end"),
+        F.when(event % 19 == 0, "extra").alias("extra"),
     )
-    return rows.select(line.alias("value"))
+    return parts.select(F.when(F.col("event") % 17 == 0, F.col("start")).otherwise(F.concat_ws("\t", "start", "end", "extra")).alias("value"))

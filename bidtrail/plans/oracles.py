@@ -123,7 +123,7 @@ _UA = {
     "ua_browser_version": [None, 4.0, 8.0, None],
     "ua_browser_version_minor": [0, 0, 0, 0],
     "ua_browser_version_major": [21, 4, 8, 21],
-    "ua_id": [110002105, 120000413, 70000808, 110002108],
+    "ua_id": [150002105, 160000413, 110000808, 150002108],
     "ua_os": ["WINDOWS_7", "ANDROID4", "WINDOWS_XP", "WINDOWS_XP"],
     "ua_os_name": ["Windows 7", "Android 4.x", "Windows XP", "Windows XP"],
     "ua_os_device": ["COMPUTER", "MOBILE", "COMPUTER", "COMPUTER"],

@@ -310,8 +310,7 @@ def ua_enrich_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _history(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    rows = view.history(spark, sf_dir)
-    return rows, view.recent(rows, spark, sf_dir)
+    return view.as_history(view.table(spark, sf_dir, "events")), view.as_history(view.recent_events(spark, sf_dir))
 
 
 def history_semi_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -391,8 +390,8 @@ def serving_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 UPSERT_KEY = ["ipinyou_id", "log_date"]
 
 
-def _daily_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _log(spark, sf_dir).select(
+def _daily_rows(events: DataFrame) -> DataFrame:
+    return view.log_columns(events).select(
         "ipinyou_id", F.substring("timestamp", 1, 8).alias("log_date"), "timestamp",
         F.col("bid_id").cast("bigint").alias("arrival"), "user_tags",
     )
@@ -401,9 +400,9 @@ def _daily_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def serving_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All rows, then the last days again with a mark, that batch twice; one row per user and day stays."""
     path = scratch_path(spark, "upsert")
-    rows = _daily_rows(spark, sf_dir)
-    newer = view.recent(rows, spark, sf_dir).withColumn("user_tags", F.concat(F.lit("new:"), F.coalesce("user_tags", F.lit("none"))))
-    serving.append_batch(rows, path, 0)
+    marked = F.concat(F.lit("new:"), F.coalesce("user_tags", F.lit("none")))
+    newer = _daily_rows(view.recent_events(spark, sf_dir)).withColumn("user_tags", marked)
+    serving.append_batch(_daily_rows(view.table(spark, sf_dir, "events")), path, 0)
     for _ in range(2):
         serving.append_batch(newer, path, 1)
     return serving.current_rows(spark, path, ["arrival"], UPSERT_KEY)
@@ -412,7 +411,7 @@ def serving_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 def serving_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows left after deleting the users in debt."""
     table, kept = scratch_path(spark, "delete-from"), scratch_path(spark, "delete-kept")
-    serving.overwrite_table(_daily_rows(spark, sf_dir), table)
+    serving.overwrite_table(_daily_rows(view.table(spark, sf_dir, "events")), table)
     ids = view.table(spark, sf_dir, "customer").where("c_acctbal < 0").select(F.col("c_custkey").cast("string").alias("ipinyou_id"))
     serving.overwrite_table(serving.delete_ids(spark.read.parquet(table), ids, "ipinyou_id"), kept)
     return spark.read.parquet(kept)
@@ -445,12 +444,11 @@ def json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Models
 
 
-def lead_rows(spark: SparkSession, sf_dir: str, recent: bool = True) -> DataFrame:
-    """Enriched log rows with the features of the time before the last days, and the label."""
-    log = view.bid_log(spark, sf_dir)
-    batch = view.recent(log, spark, sf_dir)
+def lead_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Enriched log rows of the last days with the features of the time before, and the label."""
+    batch = view.bid_log(spark, sf_dir, events=view.recent_events(spark, sf_dir))
+    past = view.as_history(view.older_events(spark, sf_dir))
     rows = enrich_log(batch, view.dictionaries(spark, sf_dir))
-    past = view.history(spark, sf_dir).where(F.col("timestamp") < view.recent_start(spark, sf_dir))
     featured = hist.attach_features(rows, hist.user_features(past, batch), ["bid_id"])
     return featured.withColumn("label", (F.col("log_type_name") == "site-lead").cast("double"))
 
@@ -504,11 +502,8 @@ def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = view.dictionaries(spark, sf_dir)
     rows = lead_rows(spark, sf_dir)
     model = scoring.train_lead_model(rows)
-    events = view.table(spark, sf_dir, "events")
-    past = jobs.parsed_rows(view.log_messages(spark, sf_dir, events), known)
-    older = past.where(F.col("timestamp") < view.recent_start(spark, sf_dir))
-    stored = scoring.score_leads(model, hist.with_no_features(older))
-    serving.append_batch(stored, table, serving.BASE)
+    older = jobs.parsed_rows(view.log_messages(spark, sf_dir, view.older_events(spark, sf_dir)), known)
+    serving.append_batch(scoring.score_leads(model, hist.with_no_features(older)), table, serving.BASE)
     messages = view.log_messages(spark, sf_dir, _stream_table(spark, sf_dir, "events"))
     jobs.score_stream(spark, messages, known, model, table, documents, f"{table}-checkpoint", once=True).awaitTermination()
     return serving.serving_report(serving.current_rows(spark, table, ["partition", "offset"]))

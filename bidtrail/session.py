@@ -10,12 +10,14 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Run-time SQL settings every job relies on.  AQE splits hot shuffle partitions of a join (also where
-# that needs one more exchange) and merges tiny ones; sizes and partition counts stay the cluster's.
+# that needs one more exchange) and merges tiny ones; sizes and partition counts stay the cluster's.  The JVM
+# never compiles methods over 8000 bytes, so wide projections must not be fused beyond that.
 SQL_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",
 }
 
