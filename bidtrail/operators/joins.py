@@ -55,4 +55,4 @@ def keyed_join(big: DataFrame, small: DataFrame, key: str, spread: list[str], ho
     """Join a large frame to one that is usually small: broadcast it if it measures small, else split hot keys."""
     if fits_broadcast(small):
         return big.join(F.broadcast(small), key, how)
-    return salted_join(big, small, key, spread, how)
+    return salted_join(big, small, key, spread, how, HOT_SHARE)
