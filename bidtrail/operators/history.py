@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import event_time
 from ..schemas import FEATURE_COLUMNS, FEATURE_OF_LOG_TYPE
-from .joins import keyed_join
+from ..session import stored
+from .joins import Hold, keyed_join
 
 USER, TIME, TYPE, KEYWORD = "ipinyou_id", "timestamp", "log_type_name", "keyword_name"
 HIST_TYPE, HIST_KEYWORD = "hist_log_type_name", "hist_keyword_name"
@@ -18,9 +19,9 @@ def _spread(history: DataFrame) -> list[str]:
     return [c for c in ("bid_id", TIME, TYPE, KEYWORD) if c in history.columns]
 
 
-def reduce_history(history: DataFrame, batch: DataFrame) -> DataFrame:
+def reduce_history(history: DataFrame, batch: DataFrame, hold: Hold = stored) -> DataFrame:
     """History rows of the users that occur in the batch."""
-    return keyed_join(history, batch.select(USER).distinct(), USER, _spread(history), "left_semi")
+    return keyed_join(history, batch.select(USER).distinct(), USER, _spread(history), "left_semi", hold)
 
 
 def user_cutoffs(batch: DataFrame) -> DataFrame:
@@ -29,14 +30,19 @@ def user_cutoffs(batch: DataFrame) -> DataFrame:
     return cutoffs.where(F.col("cutoff").isNotNull())
 
 
-def history_until_cutoff(history: DataFrame, batch: DataFrame) -> DataFrame:
+def rows_until_cutoff(history: DataFrame, batch: DataFrame, hold: Hold = stored) -> DataFrame:
     """History rows at or before their user's latest event in the batch; rows without a valid time are left out.
 
     The batch is reduced to one row per user first, so that the result is at most as long as the history:
     pairing every batch row with every earlier row gives the same features from many times the rows.
     """
-    rows = keyed_join(history, user_cutoffs(batch), USER, _spread(history))
-    return rows.where(F.col("cutoff") >= event_time(F.col(TIME))).select(
+    rows = keyed_join(history, user_cutoffs(batch), USER, _spread(history), "inner", hold)
+    return rows.where(F.col("cutoff") >= event_time(F.col(TIME))).drop("cutoff")
+
+
+def as_past(rows: DataFrame) -> DataFrame:
+    """History columns under the names the feature query reads."""
+    return rows.select(
         USER,
         F.col(TIME).alias("hist_timestamp"),
         F.col(KEYWORD).alias(HIST_KEYWORD),
@@ -44,6 +50,11 @@ def history_until_cutoff(history: DataFrame, batch: DataFrame) -> DataFrame:
     )
 
 
+def history_until_cutoff(history: DataFrame, batch: DataFrame, hold: Hold = stored) -> DataFrame:
+    """The history of the batch's users, one row per history row that counts."""
+    return as_past(rows_until_cutoff(history, batch, hold))
+
+
 def _largest_keywords() -> list[Column]:
     """Per feature: the largest keyword of its log type, where rows of other types count as '0'."""
     return [
@@ -62,14 +73,14 @@ def keyword_pivot(rows: DataFrame) -> DataFrame:
     return rows.select(USER, HIST_TYPE, HIST_KEYWORD).distinct().groupBy(USER).agg(*_largest_keywords())
 
 
-def user_features(history: DataFrame, batch: DataFrame) -> DataFrame:
+def user_features(history: DataFrame, batch: DataFrame, hold: Hold = stored) -> DataFrame:
     """Features of every batch user that has history, one row per user."""
-    return keyword_pivot(history_until_cutoff(history, batch))
+    return keyword_pivot(history_until_cutoff(history, batch, hold))
 
 
-def attach_features(batch: DataFrame, features: DataFrame, spread: list[str]) -> DataFrame:
+def attach_features(batch: DataFrame, features: DataFrame, spread: list[str], hold: Hold = stored) -> DataFrame:
     """Batch rows with their user's features; nulls for users without history."""
-    return keyed_join(batch, features, USER, spread, "left")
+    return keyed_join(batch, features, USER, spread, "left", hold)
 
 
 def with_no_features(rows: DataFrame) -> DataFrame:

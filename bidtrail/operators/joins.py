@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stored
+
+Hold = Callable[[DataFrame], DataFrame]
+
 # A side is sent to every executor only below both bounds (measured, not estimated).
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -51,8 +57,15 @@ def salted_join(
     return spread_big.join(repeated, [key, "_part"], how).drop("_part")
 
 
-def keyed_join(big: DataFrame, small: DataFrame, key: str, spread: list[str], how: str = "inner") -> DataFrame:
-    """Join a large frame to one that is usually small: broadcast it if it measures small, else split hot keys."""
-    if fits_broadcast(small):
-        return big.join(F.broadcast(small), key, how)
-    return salted_join(big, small, key, spread, how, HOT_SHARE)
+def keyed_join(
+    big: DataFrame, small: DataFrame, key: str, spread: list[str], how: str = "inner", hold: Hold = stored
+) -> DataFrame:
+    """Join a large frame to one that is usually small: broadcast it if it measures small, else split hot keys.
+
+    `hold` keeps the small side (by default as a table in the shared folder), so that measuring and joining it
+    compute it once.
+    """
+    held = hold(small)
+    if fits_broadcast(held):
+        return big.join(F.broadcast(held), key, how)
+    return salted_join(big, held, key, spread, how, HOT_SHARE)

@@ -24,7 +24,9 @@ def parse_lines(lines: DataFrame, schema: T.StructType, column: str = "value", s
     its column's type, keeps what could be read and states the reason.
     """
     kept = [c for c in lines.columns if c != column]
-    parts = lines.select(*kept, F.split(column, separator).alias("_parts"))
+    # Exploding a single array keeps its rows, and keeps Spark from pushing a filter on the result below the
+    # split, which would split the line again for every column the filter looks at.
+    parts = lines.select(*kept, F.explode(F.array(F.split(column, separator))).alias("_parts"))
     texts = {f.name: F.get("_parts", F.lit(i)) for i, f in enumerate(schema.fields)}
     typed = parts.select(
         *kept,
@@ -38,7 +40,7 @@ def parse_lines(lines: DataFrame, schema: T.StructType, column: str = "value", s
     ]
     bad = F.concat_ws(",", *failed) if failed else F.lit("")
     reason = (
-        F.when(F.size("_parts") < len(schema.fields), "too few fields")
+        F.when(F.col("_parts").isNull() | (F.size("_parts") < len(schema.fields)), "too few fields")
         .when(bad != "", F.concat(F.lit("bad value: "), bad))
     )
     return typed.select(*kept, *schema.names, reason.alias(REJECT))

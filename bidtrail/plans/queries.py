@@ -446,10 +446,10 @@ def json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lead_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Enriched log rows of the last days with the features of the time before, and the label."""
-    batch = view.bid_log(spark, sf_dir, events=view.recent_events(spark, sf_dir))
+    recent = view.recent_events(spark, sf_dir)
     past = view.as_history(view.older_events(spark, sf_dir))
-    rows = enrich_log(batch, view.dictionaries(spark, sf_dir))
-    featured = hist.attach_features(rows, hist.user_features(past, batch), ["bid_id"])
+    rows = enrich_log(view.bid_log(spark, sf_dir, events=recent), view.dictionaries(spark, sf_dir))
+    featured = hist.attach_features(rows, hist.user_features(past, view.as_history(recent)), ["bid_id"])
     return featured.withColumn("label", (F.col("log_type_name") == "site-lead").cast("double"))
 
 

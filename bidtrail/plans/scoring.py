@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import split_text
+from ..session import stored
 
 # Inputs of the lead model.  site_lead_kw is left out: it is the answer of an earlier visit.
 LEAD_TEXTS = (
@@ -37,8 +38,11 @@ def lead_pipeline(epochs: int = EPOCHS, hidden: int = 16) -> Pipeline:
 
 
 def train_lead_model(rows: DataFrame, path: str | None = None, epochs: int = EPOCHS) -> PipelineModel:
-    """Fit on rows with a 0/1 column `label`; save the model if a path is given."""
-    needed = rows.select("label", *LEAD_TEXTS, *LEAD_NUMBERS)
+    """Fit on rows with a 0/1 column `label`; save the model if a path is given.
+
+    Training passes over its rows several times, so they are stored first.
+    """
+    needed = stored(rows.select("label", *LEAD_TEXTS, *LEAD_NUMBERS))
     model = lead_pipeline(epochs).fit(needed)
     if path:
         model.write().overwrite().save(path)

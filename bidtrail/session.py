@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Run-time SQL settings every job relies on.  AQE splits hot shuffle partitions of a join (also where
 # that needs one more exchange) and merges tiny ones; sizes and partition counts stay the cluster's.  The JVM
@@ -63,3 +63,13 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared root."""
     return f"{shared_root(spark)}/bidtrail/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The frame written once as a table in the shared folder and read back.
+
+    What was costly to compute is computed once, its size becomes known, and a lost executor costs a re-read.
+    """
+    path = scratch_path(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.dictionaries import Dictionaries
-from ..operators.history import attach_features, reduce_history, user_features
+from ..operators.history import as_past, attach_features, keyword_pivot, rows_until_cutoff
 from ..operators.parsing import accepted, drop_empty, parse_lines
 from ..operators.serving import BATCH, append_batch, landing_rows, latest_per_key, stored_rows, write_documents
 from ..operators.text import word_count
@@ -93,21 +93,25 @@ def score_stream(
     """
 
     def work(batch: DataFrame, batch_id: int) -> None:
-        rows = parsed_rows(batch, dictionaries).persist()
+        held: list[DataFrame] = []
+
+        def hold(df: DataFrame) -> DataFrame:
+            held.append(df.persist())
+            return held[-1]
+
         try:
+            rows = hold(parsed_rows(batch, dictionaries))
             if rows.isEmpty():
                 return
-            # Only rows of the batch's users are put in order; replaced rows are not history.
-            stored = reduce_history(stored_rows(spark, table, before_batch=batch_id), rows)
-            history = latest_per_key(stored, SERVING_KEY, [BATCH, "partition", "offset"])
-            featured = attach_features(rows, user_features(history, rows), ["bid_id"])
-            scored = score_leads(model, featured).persist()
-            try:
-                write_documents(scored.drop("partition", "offset"), f"{documents}/batch_id={batch_id}")
-                append_batch(scored, table, batch_id)
-            finally:
-                scored.unpersist()
+            # Rows replaced by a later one are not history.
+            earlier = rows_until_cutoff(stored_rows(spark, table, before_batch=batch_id), rows, hold)
+            past = latest_per_key(earlier, SERVING_KEY, [BATCH, "partition", "offset"])
+            featured = attach_features(rows, keyword_pivot(as_past(past)), ["bid_id"], hold)
+            scored = hold(score_leads(model, featured))
+            write_documents(scored.drop("partition", "offset"), f"{documents}/{BATCH}={batch_id}")
+            append_batch(scored, table, batch_id)
         finally:
-            rows.unpersist()
+            for df in held:
+                df.unpersist()
 
     return per_batch(messages, work, checkpoint, **trigger)
