@@ -8,6 +8,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Texts that can be a number.  A failing try_cast builds an exception, which costs more than all other work on
+# a row, so texts that cannot succeed are not tried.
+_WHOLE_NUMBER = r"^\s*[+-]?\d+\s*$"
+_NUMBER_START = r"^\s*[+-]?[\d.NnIi]"
 _FULL_TIMESTAMP = r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}(\.\d{1,9})?$"
 
 
@@ -40,7 +44,7 @@ def keyword_or_tags(keyword_name: Column, user_tags: Column) -> Column:
 
 def tag_key(user_tags: Column) -> Column:
     """Tag text as a keyword id; null for lists and other text, so such rows match no keyword."""
-    return user_tags.try_cast("bigint")
+    return cast_text(user_tags, T.LongType())
 
 
 def event_time(text: Column) -> Column:
@@ -56,8 +60,11 @@ def event_time(text: Column) -> Column:
 
 def event_time_text(time: Column) -> Column:
     """Inverse of event_time: a zone-less timestamp as 17 digits, cut to milliseconds."""
-    digits = F.regexp_replace(time.cast("timestamp_ntz").cast("string"), "[^0-9]", "")
-    return F.substring(F.rpad(digits, 17, "0"), 1, 17)
+    time = time.cast("timestamp_ntz")
+    day = F.year(time) * 10_000 + F.month(time) * 100 + F.dayofmonth(time)
+    millis = F.pmod(F.unix_millis(time.cast("timestamp")), F.lit(1000))
+    clock = F.hour(time) * 10_000_000 + F.minute(time) * 100_000 + F.second(time) * 1000 + millis
+    return (day.cast("bigint") * 1_000_000_000 + clock).cast("string")
 
 
 def event_millis(time: Column) -> Column:
@@ -79,7 +86,8 @@ def cast_text(text: Column, to: T.DataType) -> Column:
     if isinstance(to, T.ArrayType):
         parts = split_text(text, ",")
         return parts if isinstance(to.elementType, T.StringType) else F.transform(parts, lambda p: cast_text(p, to.elementType))
-    return text.try_cast(to)
+    likely = _NUMBER_START if isinstance(to, T.FractionalType) else _WHOLE_NUMBER
+    return F.when(text.rlike(likely), text.try_cast(to))
 
 
 def date_in_name(name: Column, pattern: str = r"(\d{8})") -> Column:

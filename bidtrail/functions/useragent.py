@@ -98,6 +98,7 @@ def _ua_columns() -> dict[str, Column]:
     """Every user-agent column, from the parts."""
     browser, system, version = F.col("_browser"), F.col("_system"), F.col("_version")
     major, minor, third = (F.split_part(version, F.lit("."), F.lit(part)) for part in (1, 2, 3))
+    minor = F.nullif(minor, F.lit(""))
     # A stable number of the (browser rule, major version, system rule) triple.
     number = (
         (F.coalesce(browser, F.lit(-1)) + 1) * 10_000_000

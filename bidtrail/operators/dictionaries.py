@@ -48,9 +48,13 @@ def join_city(log: DataFrame, city: DataFrame) -> DataFrame:
     return log.join(city, "city_id", "inner")
 
 
-def city_with_state(city: DataFrame, state: DataFrame) -> DataFrame:
-    """City and its state as one dictionary, so that the log is joined once instead of twice."""
-    return city.join(state, "state_id", "left")
+def join_state(log: DataFrame, state: DataFrame) -> DataFrame:
+    """State of the city, after join_city.
+
+    City and state are not joined to each other first: Spark estimates a join as the product of its sides, and
+    would take the result for too large to broadcast.
+    """
+    return log.join(state, "state_id", "left")
 
 
 def join_keyword(log: DataFrame, keyword: DataFrame) -> DataFrame:

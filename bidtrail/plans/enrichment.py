@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.scalars import ad_slot_size, geo_point, user_tags_array
+from ..functions.scalars import ad_slot_size, cast_text, geo_point, user_tags_array
 from ..functions.useragent import add_user_agent_columns
 from ..operators import dictionaries as dim
 from ..operators.dictionaries import Dictionaries
@@ -29,8 +30,7 @@ def enrich_log(
     """
     if skip_null_users:
         log = log.where(F.col("ipinyou_id") != "null")
-    geo = dim.city_with_state(dictionaries.city, dictionaries.state)
-    joined = dim.join_city(log, geo)
+    joined = dim.join_state(dim.join_city(log, dictionaries.city), dictionaries.state)
     joined = dim.join_exchange(joined, dictionaries.ad_exchange)
     joined = dim.join_log_type(joined, dictionaries.log_type)
     joined = dim.join_keyword(joined, dictionaries.keyword)
@@ -51,13 +51,13 @@ def enrich_index_document(log: DataFrame, dictionaries: Dictionaries) -> DataFra
     ids = {"ad_exchange_id": "_exchange", "log_type_id": "_type", "city_id": "_city"}
     facts = log.select(
         *[c for c in log.columns if c not in ids and c != "region"],
-        *[F.col(c).try_cast("int").alias(alias) for c, alias in ids.items()],
+        *[cast_text(F.col(c), T.IntegerType()).alias(alias) for c, alias in ids.items()],
         user_tags_array(F.col("user_tags")).alias("user_tags_array"),
     )
-    geo = dim.city_with_state(dictionaries.city, dictionaries.state)
-    exchange, kind = dictionaries.ad_exchange, dictionaries.log_type
+    city, exchange, kind = dictionaries.city, dictionaries.ad_exchange, dictionaries.log_type
+    placed = facts.join(city, facts["_city"] == city["city_id"], "inner")
     joined = (
-        facts.join(geo, facts["_city"] == geo["city_id"], "inner")
+        dim.join_state(placed, dictionaries.state)
         .join(exchange, F.col("_exchange") == exchange["ad_exchange_id"], "left")
         .join(kind, F.col("_type") == kind["log_type_id"], "left")
         .withColumn("coordinates", geo_point(F.col("latitude"), F.col("longitude")))

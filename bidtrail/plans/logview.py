@@ -132,7 +132,9 @@ def dictionaries(spark: SparkSession, sf_dir: str) -> Dictionaries:
         F.col("s_name").alias("ad_exchange_name"),
         F.concat(F.lit("nation "), F.col("s_nationkey").cast("string")).alias("ad_exchange_desc"),
     )
-    log_type = spark.createDataFrame(list(LOG_TYPES.values()), "log_type_id int, log_type_name string")
+    # As VALUES, not from Python objects: Spark knows the size of the former and broadcasts it.
+    values = ", ".join(f"({number}, '{name}')" for number, name in LOG_TYPES.values())
+    log_type = spark.sql(f"SELECT * FROM VALUES {values} AS t(log_type_id, log_type_name)")
     return Dictionaries(exchange, log_type, city, state, keywords(spark, sf_dir))
 
 

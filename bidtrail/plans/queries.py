@@ -225,7 +225,7 @@ def join_city_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def join_snowflake(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = view.dictionaries(spark, sf_dir)
-    joined = dim.join_city(view.bid_log(spark, sf_dir), dim.city_with_state(known.city, known.state))
+    joined = dim.join_state(dim.join_city(view.bid_log(spark, sf_dir), known.city), known.state)
     return joined.select("bid_id", "city_name", "state_id", "state_name", "state_population", "state_gsp")
 
 
