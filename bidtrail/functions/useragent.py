@@ -6,7 +6,7 @@ expressions, so a scan computes the columns without a shuffle and without Python
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import UA_COLUMNS
@@ -61,24 +61,22 @@ SYSTEMS = [
 VERSION = r"^\d+(?:\.\d+)*"
 
 
-def _all_in(text: Column, marks: list[str]) -> Column:
-    found = text.contains(marks[0])
-    for mark in marks[1:]:
-        found = found & text.contains(mark)
-    return found
+# The expressions are SQL texts: built from the tables in one piece, they reach Spark in a few calls.
 
 
-def _first_rule(text: Column, rules: list[tuple]) -> Column:
+def _first_rule(text: str, rules: list[tuple]) -> str:
     """Number (from 0) of the first rule whose marks all occur in the text; null if there is none."""
-    chain = F.when(_all_in(text, rules[0][1]), F.lit(0))
-    for number, rule in enumerate(rules[1:], start=1):
-        chain = chain.when(_all_in(text, rule[1]), F.lit(number))
-    return chain
+    cases = [
+        "WHEN " + " AND ".join(f"contains({text}, '{mark}')" for mark in rule[1]) + f" THEN {number}"
+        for number, rule in enumerate(rules)
+    ]
+    return f"CASE {' '.join(cases)} END"
 
 
-def _field(rules: list[tuple], position: int, number: Column) -> Column:
+def _field(rules: list[tuple], position: int, number: str) -> str:
     """One field of the numbered rule, from a constant array."""
-    return F.get(F.array(*[F.lit(rule[position]) for rule in rules]), number)
+    cells = [str(v).lower() if isinstance(v, bool) else f"'{v}'" for v in (rule[position] for rule in rules)]
+    return f"get(array({', '.join(cells)}), {number})"
 
 
 def _with_parts(df: DataFrame, source: str) -> DataFrame:
@@ -87,42 +85,36 @@ def _with_parts(df: DataFrame, source: str) -> DataFrame:
     Spark keeps the projections apart because each reads the one below more than once; together they would
     make a method too long for the JVM to compile.
     """
-    text, browser = F.col(source), F.col("_browser")
-    matched = df.select("*", _first_rule(text, BROWSERS).alias("_browser"))
-    rest = F.split_part(text, _field(BROWSERS, 2, browser), F.lit(2))
-    version = F.when(browser.isNotNull(), F.nullif(F.regexp_extract(rest, VERSION, 0), F.lit("")))
-    return matched.select("*", version.alias("_version"), _first_rule(text, SYSTEMS).alias("_system"))
+    text = f"`{source}`"
+    matched = df.selectExpr("*", f"{_first_rule(text, BROWSERS)} AS _browser")
+    rest = f"split_part({text}, {_field(BROWSERS, 2, '_browser')}, 2)"
+    version = f"CASE WHEN _browser IS NOT NULL THEN nullif(regexp_extract({rest}, r'{VERSION}', 0), '') END"
+    return matched.selectExpr("*", f"{version} AS _version", f"{_first_rule(text, SYSTEMS)} AS _system")
 
 
-def _ua_columns() -> dict[str, Column]:
+def _ua_columns() -> dict[str, str]:
     """Every user-agent column, from the parts."""
-    browser, system, version = F.col("_browser"), F.col("_system"), F.col("_version")
-    major, minor, third = (F.split_part(version, F.lit("."), F.lit(part)) for part in (1, 2, 3))
-    minor = F.nullif(minor, F.lit(""))
-    # A stable number of the (browser rule, major version, system rule) triple.
-    number = (
-        (F.coalesce(browser, F.lit(-1)) + 1) * 10_000_000
-        + F.pmod(F.coalesce(major.try_cast("int"), F.lit(0)), F.lit(100_000)) * 100
-        + F.coalesce(system, F.lit(-1))
-        + 1
-    )
-    versioned = F.when(_field(BROWSERS, 4, browser), F.coalesce(major, F.lit(""))).otherwise(F.lit(""))
+    major, minor, third = (f"split_part(_version, '.', {part})" for part in (1, 2, 3))
+    browser = [_field(BROWSERS, position, "_browser") for position in range(8)]
+    system = [_field(SYSTEMS, position, "_system") for position in range(6) if position != 1]
     return {
-        "ua_browser": F.concat(_field(BROWSERS, 0, browser), versioned),
-        "ua_browser_type": _field(BROWSERS, 5, browser),
-        "ua_browser_group": _field(BROWSERS, 3, browser),
-        "ua_browser_manufacturer": _field(BROWSERS, 6, browser),
-        "ua_browser_rendering_engine": _field(BROWSERS, 7, browser),
+        "ua_browser": f"concat({browser[0]}, CASE WHEN {browser[4]} THEN coalesce({major}, '') ELSE '' END)",
+        "ua_browser_type": browser[5],
+        "ua_browser_group": browser[3],
+        "ua_browser_manufacturer": browser[6],
+        "ua_browser_rendering_engine": browser[7],
         # Only 'N' and 'N.N' are tried: a failing conversion of each row would cost more than all the rest.
-        "ua_browser_version": F.when(third == "", version.try_cast("double")),
-        "ua_browser_version_minor": minor.try_cast("int"),
-        "ua_browser_version_major": major.try_cast("int"),
-        "ua_id": F.when(browser.isNotNull() | system.isNotNull(), number),
-        "ua_os": _field(SYSTEMS, 0, system),
-        "ua_os_name": _field(SYSTEMS, 2, system),
-        "ua_os_device": _field(SYSTEMS, 3, system),
-        "ua_os_group": _field(SYSTEMS, 4, system),
-        "ua_os_manufacturer": _field(SYSTEMS, 5, system),
+        "ua_browser_version": f"CASE WHEN {third} = '' THEN try_cast(_version AS double) END",
+        "ua_browser_version_minor": f"try_cast(nullif({minor}, '') AS int)",
+        "ua_browser_version_major": f"try_cast({major} AS int)",
+        # A stable number of the (browser rule, major version, system rule) triple.
+        "ua_id": f"""CASE WHEN _browser IS NOT NULL OR _system IS NOT NULL THEN (coalesce(_browser, -1) + 1) * 10000000
+            + pmod(coalesce(try_cast({major} AS int), 0), 100000) * 100 + coalesce(_system, -1) + 1 END""",
+        "ua_os": system[0],
+        "ua_os_name": system[1],
+        "ua_os_device": system[2],
+        "ua_os_group": system[3],
+        "ua_os_manufacturer": system[4],
     }
 
 
@@ -133,7 +125,8 @@ def add_user_agent_columns(df: DataFrame, source: str = "user_agent", with_type:
     """
     columns = _ua_columns()
     wanted = [*UA_COLUMNS, "ua_browser_type"] if with_type else UA_COLUMNS
-    return _with_parts(df, source).select(*df.columns, *[columns[name].alias(name) for name in wanted])
+    kept = [f"`{name}`" for name in df.columns]
+    return _with_parts(df, source).selectExpr(*kept, *[f"{columns[name]} AS {name}" for name in wanted])
 
 
 def add_user_agent_columns_by_distinct(df: DataFrame, source: str = "user_agent") -> DataFrame:
@@ -151,9 +144,9 @@ def add_four_agent_columns(df: DataFrame, source: str) -> DataFrame:
     columns = _ua_columns()
     texts = {
         "browser": columns["ua_browser"],
-        "browserVersion": F.col("_version"),
-        "id": columns["ua_id"].cast("string"),
+        "browserVersion": "_version",
+        "id": f"cast({columns['ua_id']} AS string)",
         "operatingSystem": columns["ua_os"],
     }
-    parts = _with_parts(df, source)
-    return parts.select(*df.columns, *[F.coalesce(c, F.lit("null")).alias(n) for n, c in texts.items()])
+    kept = [f"`{name}`" for name in df.columns]
+    return _with_parts(df, source).selectExpr(*kept, *[f"coalesce({c}, 'null') AS {n}" for n, c in texts.items()])

@@ -34,54 +34,61 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _by_event_type(position: int) -> Column:
-    cells = [F.lit(x) for name, entry in LOG_TYPES.items() for x in (name, entry[position])]
-    return F.element_at(F.create_map(*cells), F.col("event_type"))
+def spread(df: DataFrame) -> DataFrame:
+    """A scan that yields fewer pieces than there are cores (one small or unsplittable file), spread over all of them.
+
+    A table of many files is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
+def _by_event_type(position: int) -> str:
+    cases = " ".join(f"WHEN '{name}' THEN {entry[position]!r}" for name, entry in LOG_TYPES.items())
+    return f"CASE event_type {cases} END"
 
 
 def log_columns(events: DataFrame) -> DataFrame:
     """Events as log rows without a city; works on a table or a stream."""
-    event, user = F.col("event_id"), F.col("user_id")
-    k = F.get_json_object("props", "$.k").cast("int")
-    agent = None
-    for i, text in enumerate(USER_AGENTS):
-        hit = event % len(USER_AGENTS) == i
-        agent = F.when(hit, text) if agent is None else agent.when(hit, text)
-    based = events.withColumns({"_k": k, "_kt": k.cast("string")})
-    k, kt = F.col("_k"), F.col("_kt")
-    tags = (
-        F.when(event % 10 == 7, F.lit(None))
-        .when(event % 4 == 0, kt)
-        .when(event % 4 == 1, F.concat(F.lit("0"), kt))
-        .when(event % 4 == 2, F.concat(kt, F.lit(","), (k + 1).cast("string")))
-        .otherwise(F.concat(F.lit("9"), F.lpad(kt, 14, "0")))
+    agents = " ".join(f"WHEN {i} THEN '{text}'" for i, text in enumerate(USER_AGENTS))
+    based = events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    return based.withColumn("kt", F.col("k").cast("string")).select(
+        "event_id",
+        "user_id",
+        F.col("event_id").cast("string").alias("bid_id"),
+        event_time_text(F.col("ts")).alias("timestamp"),
+        *map(
+            F.expr,
+            [
+                "cast(user_id AS string) AS ipinyou_id",
+                f"CASE event_id % 4 {agents} END AS user_agent",
+                "concat('10.0.', user_id % 256, '.', kt) AS ip",
+                "cast(user_id % 35 AS int) AS region",
+                "cast(CASE WHEN event_id % 5 = 0 THEN -1 - k ELSE k END AS int) AS ad_exchange_id",
+                "concat('site', k % 10, '.example') AS domain",
+                "concat('http://site', k % 10, '.example/', kt) AS url",
+                "CASE WHEN event_id % 2 = 1 THEN concat('anon', kt) END AS anonymous_url_id",
+                "concat('slot', k % 7) AS ad_slot_id",
+                "CASE WHEN event_id % 11 <> 0 THEN 100 + (k % 5) * 50 END AS ad_slot_width",
+                "CASE WHEN event_id % 13 <> 0 THEN 50 + (k % 3) * 25 END AS ad_slot_height",
+                "cast(event_id % 3 AS int) AS ad_slot_visibility",
+                "cast(event_id % 2 AS int) AS ad_slot_format",
+                "cast(k * 10 AS bigint) AS ad_slot_floor_price",
+                "concat('cr', kt) AS creative_id",
+                "cast(value AS float) AS bidding_price",
+                "cast(1000 + user_id % 50 AS bigint) AS advertiser_id",
+                """CASE WHEN event_id % 10 = 7 THEN NULL
+                    WHEN event_id % 4 = 0 THEN kt
+                    WHEN event_id % 4 = 1 THEN concat('0', kt)
+                    WHEN event_id % 4 = 2 THEN concat(kt, ',', k + 1)
+                    ELSE concat('9', lpad(kt, 14, '0')) END AS user_tags""",
+                f"{_by_event_type(0)} AS log_type_id",
+                f"{_by_event_type(1)} AS log_type_name",
+                "cast(CASE WHEN event_id % 6 <> 0 THEN value / 2 END AS float) AS paying_price",
+                "CASE WHEN event_id % 3 = 0 THEN concat('http://key.example/', kt) END AS key_page_url",
+            ],
+        ),
     )
-    columns = {
-        "bid_id": event.cast("string"),
-        "timestamp": event_time_text(F.col("ts")),
-        "ipinyou_id": user.cast("string"),
-        "user_agent": agent,
-        "ip": F.concat(F.lit("10.0."), (user % 256).cast("string"), F.lit("."), kt),
-        "region": (user % 35).cast("int"),
-        "ad_exchange_id": F.when(event % 5 == 0, -1 - k).otherwise(k).cast("int"),
-        "domain": F.concat(F.lit("site"), (k % 10).cast("string"), F.lit(".example")),
-        "url": F.concat(F.lit("http://site"), (k % 10).cast("string"), F.lit(".example/"), kt),
-        "anonymous_url_id": F.when(event % 2 == 1, F.concat(F.lit("anon"), kt)),
-        "ad_slot_id": F.concat(F.lit("slot"), (k % 7).cast("string")),
-        "ad_slot_width": F.when(event % 11 != 0, 100 + (k % 5) * 50).cast("int"),
-        "ad_slot_height": F.when(event % 13 != 0, 50 + (k % 3) * 25).cast("int"),
-        "ad_slot_visibility": (event % 3).cast("int"),
-        "ad_slot_format": (event % 2).cast("int"),
-        "ad_slot_floor_price": (k * 10).cast("bigint"),
-        "creative_id": F.concat(F.lit("cr"), kt),
-        "bidding_price": F.col("value").cast("float"),
-        "advertiser_id": (1000 + user % 50).cast("bigint"),
-        "user_tags": tags,
-        "log_type_id": _by_event_type(0),
-        "paying_price": F.when(event % 6 != 0, F.col("value") / 2).cast("float"),
-        "key_page_url": F.when(event % 3 == 0, F.concat(F.lit("http://key.example/"), kt)),
-    }
-    return based.select("event_id", "user_id", *[c.alias(n) for n, c in columns.items()])
 
 
 def with_city(rows: DataFrame, customer: DataFrame) -> DataFrame:
@@ -95,7 +102,7 @@ def bid_log(
     spark: SparkSession, sf_dir: str, layout: list[str] = STREAM_LAYOUT, events: DataFrame | None = None
 ) -> DataFrame:
     """The whole events table (or a given part) as typed log rows in a layout."""
-    events = table(spark, sf_dir, "events") if events is None else events
+    events = spread(table(spark, sf_dir, "events")) if events is None else events
     rows = with_city(log_columns(events), table(spark, sf_dir, "customer"))
     if layout == BATCH_LAYOUT:
         rows = rows.withColumn("predict", F.when(F.col("event_id") % 2 == 0, "TRUE").otherwise("FALSE"))
@@ -149,13 +156,8 @@ def keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def as_history(events: DataFrame) -> DataFrame:
     """Events as history rows; the raw tag text is the keyword."""
-    named = [F.lit(x) for entry in LOG_TYPES.values() for x in entry]
     return log_columns(events).select(
-        "bid_id",
-        "ipinyou_id",
-        "timestamp",
-        F.element_at(F.create_map(*named), F.col("log_type_id")).alias("log_type_name"),
-        F.col("user_tags").alias("keyword_name"),
+        "bid_id", "ipinyou_id", "timestamp", "log_type_name", F.col("user_tags").alias("keyword_name")
     )
 
 
@@ -171,12 +173,12 @@ def recent_start(spark: SparkSession, sf_dir: str) -> Column:
 
 def recent_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events of the last RECENT_DAYS days: the new batch of the history queries."""
-    return table(spark, sf_dir, "events").where(F.col("ts") >= recent_start(spark, sf_dir))
+    return spread(table(spark, sf_dir, "events")).where(F.col("ts") >= recent_start(spark, sf_dir))
 
 
 def older_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events before the last RECENT_DAYS days."""
-    return table(spark, sf_dir, "events").where(F.col("ts") < recent_start(spark, sf_dir))
+    return spread(table(spark, sf_dir, "events")).where(F.col("ts") < recent_start(spark, sf_dir))
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -209,12 +209,13 @@ def cell_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return view.log_columns(view.table(spark, sf_dir, "events"))
+    return view.log_columns(view.spread(view.table(spark, sf_dir, "events")))
 
 
 def join_dim_left(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = view.dictionaries(spark, sf_dir)
-    joined = dim.join_log_type(dim.join_exchange(_log(spark, sf_dir), known.ad_exchange), known.log_type)
+    log = _log(spark, sf_dir).select("bid_id", "ad_exchange_id", "log_type_id")
+    joined = dim.join_log_type(dim.join_exchange(log, known.ad_exchange), known.log_type)
     return joined.select("bid_id", "ad_exchange_id", "ad_exchange_name", "ad_exchange_desc", "log_type_name")
 
 
@@ -310,7 +311,8 @@ def ua_enrich_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _history(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return view.as_history(view.table(spark, sf_dir, "events")), view.as_history(view.recent_events(spark, sf_dir))
+    events = view.spread(view.table(spark, sf_dir, "events"))
+    return view.as_history(events), view.as_history(view.recent_events(spark, sf_dir))
 
 
 def history_semi_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -332,7 +334,7 @@ def attach_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def user_keyword_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, _ = _history(spark, sf_dir)
+    rows = view.as_history(view.spread(view.table(spark, sf_dir, "events")))
     return hist.keyword_asof(rows).select("bid_id", "ipinyou_id", "timestamp", *FEATURE_COLUMNS)
 
 
@@ -340,7 +342,7 @@ def user_keyword_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return text.word_count(view.table(spark, sf_dir, "documents"), "text")
+    return text.word_count(view.spread(view.table(spark, sf_dir, "documents")), "text")
 
 
 def row_count(spark: SparkSession, sf_dir: str) -> DataFrame:

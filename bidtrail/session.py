@@ -39,6 +39,8 @@ def local_session(app: str, cores: int | str = "*", memory: str = "8g", shuffle_
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
+        # PySpark would record a stack trace for every column expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.streaming.metricsEnabled", "false")
     )
     for key, value in SQL_SETTINGS.items():
