@@ -198,9 +198,11 @@ def offset_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cell_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = view.table(spark, sf_dir, "events")
-    timed = view.as_event_messages(events).join(
-        events.select(F.col("event_id").alias("offset"), fn.event_millis(F.col("ts")).alias("millis")), "offset"
+    timed = view.table(spark, sf_dir, "events").select(
+        F.col("props").alias("value"),
+        (F.col("user_id") % view.PARTITIONS).alias("partition"),
+        F.col("event_id").alias("offset"),
+        fn.event_millis(F.col("ts")).alias("millis"),
     )
     return msg.cell_layout(timed, "millis", "flume_data", "col1", prefix="ts")
 
