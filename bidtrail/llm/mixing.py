@@ -17,13 +17,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import stored
 from .common import slices, tuned, utf8, word_starts
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
-BLOCK_WORDS = 128
+BLOCK_WORDS = 64
 CELLS = 4096
 STRETCH = 1 << 16
 PHI = 0.6180339887498949
@@ -33,7 +34,7 @@ CHUNK_BYTES = 1 << 20
 
 def with_sizes(docs: DataFrame) -> DataFrame:
     """All columns and size: the number of words of the text, null: 0."""
-    schema = docs.schema.add("size", "bigint")
+    schema = T.StructType([*docs.schema.fields, T.StructField("size", T.LongType())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", CHUNK_BYTES):

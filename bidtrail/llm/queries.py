@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import repeats, shards, simhash, url_rules
+from . import mixing, packing, quality, repeats, repetition, shards, simhash, syncmers, templates, url_rules
 from .common import table
 
 
@@ -13,6 +14,38 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents"), with_text=False).drop("kept_text")
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op3_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and the repetition verdict on every document."""
+    return repetition.judge(table(spark, sf_dir, "documents"))
+
+
+def op4_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return templates.extract(table(spark, sf_dir, "pages"))
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 2048 ids."""
+    json_path, ranks_path = map(public_tokenizers.path, ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken"))
+    return packing.pack(table(spark, sf_dir, "documents"), str(json_path), str(ranks_path))
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of the sources takes of every document."""
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op7_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text."""
+    return syncmers.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprints and the components of their links."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -28,4 +61,9 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {q.__name__: q for q in (op1_suffix_dedup, op8_simhash, op9_url_rules, op10_shards)}
+QUERIES = {
+    q.__name__: q
+    for q in (
+        op1_suffix_dedup, op2_quality, op3_repetition, op4_templates, op5_packing, op6_mixing, op7_syncmers, op8_simhash, op9_url_rules, op10_shards,
+    )
+}

@@ -51,7 +51,7 @@ def test_against_every_window(spark, monkeypatch, hot, block):
     monkeypatch.setattr(repeats, "BLOCK_BYTES", block)
     rows = some_rows(hot + block)
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
-    got = repeats.remove_repeats(docs, hot_blocks=hot).drop("kept_text").collect()
+    got = repeats.remove_repeats(docs, hot_contents=hot).drop("kept_text").collect()
     assert sorted(map(tuple, got), key=str) == brute(rows)
 
 
