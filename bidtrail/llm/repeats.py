@@ -6,15 +6,15 @@ strings inside a window is the same for equal windows, hence equal windows meet
 mostly share that smallest hash and travel together as one segment.
 
 1. Documents are packed into blocks and stored once.
-2. Each block sends the hashes of its segments (4 bytes each, repeats inside the block once); a bucket answers which of
-   them occur in two documents.  Everything else is unique and never moves again.
-3. Each block sends the bytes of the remaining segments, equal ones once with their smallest document id.  A bucket
-   finds the first document of each distinct segment, sorts the suffixes of the segments that are not alike by prefix
-   doubling, and takes from the longest-previous-factor array which windows occur in an earlier document.
+2. Each block sends two hashes of its segments, of the smallest gram and of the content, equal ones once with their
+   smallest document id.  A bucket answers which blocks hold a segment that an earlier document has whole, and which
+   segments share their smallest gram with another segment of another document.  All else never moves again.
+3. The first holder of such a segment sends its bytes.  A bucket sorts the suffixes of its segments by prefix doubling
+   and takes from the longest-previous-factor array which windows occur in an earlier document.
 4. Each block marks its bytes with the answers.
 
-A hash that very many blocks hold would make a large bucket: its windows are dealt out by their own whole content, and
-a bucket gets at most one entry of a block for each of them.
+A hash with very many different segments would make a large bucket in step 3: their windows are dealt out one by one
+by their own whole content instead.  In step 2 a block sends one entry for a segment however many documents hold it.
 """
 
 from __future__ import annotations
@@ -36,7 +36,8 @@ GRAM = 16
 SPAN = WINDOW - GRAM + 1
 BLOCK_BYTES = 1 << 20
 LONGEST_RUN = 256
-HOT_BLOCKS = 2_000
+HOT_CONTENTS = 2_000
+BUCKETS_PER_PARTITION = 4  # so that a group is a fraction of what a shuffle partition is sized for
 LAST_ID = np.iinfo(np.int64).max
 U = np.uint64
 MIX = (U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F), U(0xD6E8FEB86659FD93))
@@ -101,7 +102,8 @@ class Segments:
             part = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
             first, last = np.repeat(first, pieces) + part * LONGEST_RUN, np.repeat(last, pieces)
             last = np.minimum(last, first + LONGEST_RUN - 1)
-        self.first, self.last, self.keys = first, last, least[first]
+        # The smallest of many hashes is small, so it is mixed again to deal buckets out evenly.
+        self.first, self.last, self.keys = first, last, mixed(least[first] * MIX[0])
         self.doc = np.searchsorted(self.ends, first, "right")
 
     def contents(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -112,26 +114,6 @@ class Segments:
         value = (sums[last + SPAN] - sums[first]) * powers(BASE_INVERSE, n + 1)[first]
         return mixed(value + (last - first).astype(U) * MIX[0])
 
-    def unique_keys(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Sorted distinct keys, the key number of each segment, and whether a key occurs in two documents here."""
-        keys, number = np.unique(self.keys, return_inverse=True)
-        low, high = np.full(len(keys), LAST_ID), np.full(len(keys), -1)
-        np.minimum.at(low, number, self.doc)
-        np.maximum.at(high, number, self.doc)
-        return keys, number, low < high
-
-    def windows_of(self, chosen: np.ndarray) -> "Segments":
-        """The same segments with the chosen ones cut into single windows, keyed by their own content."""
-        out = object.__new__(Segments)
-        out.data, out.ends, out.hashes = self.data, self.ends, self.hashes
-        count = self.last[chosen] - self.first[chosen] + 1
-        at = np.repeat(self.first[chosen], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        keep = ~chosen
-        out.first, out.last = np.concatenate([self.first[keep], at]), np.concatenate([self.last[keep], at])
-        out.doc = np.concatenate([self.doc[keep], np.repeat(self.doc[chosen], count)])
-        out.keys = np.concatenate([self.keys[keep], mixed(self.contents(at, at) + MIX[1])])
-        return out
-
 
 def bucket_edges(keys: np.ndarray, buckets: int) -> np.ndarray:
     """Where each bucket's range begins in sorted keys."""
@@ -202,103 +184,142 @@ def opened(block: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return data, lengths, np.array([LAST_ID if i is None else i for i in block["ids"]], np.int64)
 
 
-# Step 2: which keys occur in two documents ------------------------------------------------------------------------
+# Step 2: the first document of every segment, and which segments need a closer look ------------------------------
 
-KEYS = "block bigint, bucket int, n int, keys binary, many binary"
+KEYS = "block bigint, bucket int, n int, keys binary, contents binary, docs binary, which binary"
 ANSWERS = "block bigint, kind int, bucket int, n int, flags binary, more binary"
+EARLIER, CLOSER, HOT = 0, 1, 2
+
+
+class Entries:
+    """Distinct segments of a block in order of key and content, each with its smallest document id.
+
+    number: entry of each segment; start, length: where its bytes stand.
+    """
+
+    def __init__(self, segments: Segments, ids: np.ndarray):
+        content = segments.contents(segments.first, segments.last)
+        order = np.lexsort((content, segments.keys))
+        key, content = segments.keys[order], content[order]
+        new = changes(key, content)
+        self.number = np.empty(len(order), np.int64)
+        self.number[order] = np.cumsum(new) - 1
+        at = np.flatnonzero(new)
+        self.key, self.content = key[at], content[at]
+        self.doc = np.minimum.reduceat(ids[segments.doc[order]], at) if len(at) else np.zeros(0, np.int64)
+        self.start = segments.first[order[at]]
+        self.length = segments.last[order[at]] - self.start + WINDOW
+
+
+def changes(*columns: np.ndarray) -> np.ndarray:
+    """True at the first of each run of equal rows."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = False
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return new
+
+
+def arrow_table(rows: list[tuple], schema: str) -> pa.Table:
+    kinds = {"bigint": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    fields = [f.split() for f in schema.split(", ")]
+    columns = list(zip(*rows)) if rows else [[]] * len(fields)
+    return pa.Table.from_arrays([pa.array(c, kinds[kind]) for c, (_, kind) in zip(columns, fields)], names=[name for name, _ in fields])
+
+
+def parts(edges: np.ndarray) -> list[tuple[int, int, int]]:
+    """(bucket, begin, end) of the buckets that are not empty."""
+    return [(int(b), int(edges[b]), int(edges[b + 1])) for b in np.flatnonzero(np.diff(edges))]
 
 
 def send_keys(buckets: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in batch.to_pylist():
-                data, lengths, _ = opened(block)
-                keys, _, many = Segments(data, lengths).unique_keys()
-                edges = bucket_edges(keys, buckets)
-                rows = [
-                    (block["block"], b, int(y - x), (keys[x:y] & U(0xFFFFFFFF)).astype(np.uint32).tobytes(), bits(many[x:y]))
-                    for b, (x, y) in enumerate(zip(edges, edges[1:]))
-                    if y > x
-                ]
-                if rows:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, t) for c, t in zip(zip(*rows), [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()])],
-                        names=["block", "bucket", "n", "keys", "many"],
-                    )
+                data, lengths, ids = opened(block)
+                entries = Entries(Segments(data, lengths), ids)
+                rows = []
+                for b, x, y in parts(bucket_edges(entries.key, buckets)):
+                    docs, which = np.unique(entries.doc[x:y], return_inverse=True)
+                    packed = pa.compress(which.astype(np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes(), "zstd", asbytes=True)
+                    low = (entries.key[x:y] & U(0xFFFFFFFF)).astype(np.uint32)
+                    rows.append((block["block"], b, y - x, low.tobytes(), entries.content[x:y].tobytes(), docs.tobytes(), packed))
+                yield from arrow_table(rows, KEYS).to_batches()
 
     return send
 
 
-def answer_rows(rows: list[tuple]) -> pa.Table:
-    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
-    columns = list(zip(*rows)) if rows else [[]] * 6
-    names = ["block", "kind", "bucket", "n", "flags", "more"]
-    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
-
-
-def find_repeated(hot_blocks: int):
+def find_repeated(hot_contents: int):
     def find(table: pa.Table) -> pa.Table:
-        counts = table.column("n").to_numpy()
-        keys = np.concatenate([np.frombuffer(x, np.uint32) for x in table.column("keys").to_pylist()])
-        many = np.concatenate([flags_of(x, n) for x, n in zip(table.column("many").to_pylist(), counts)])
-        _, number, blocks = np.unique(keys, return_inverse=True, return_counts=True)
-        repeated = blocks >= 2
-        repeated[number[many]] = True
-        hot = (blocks >= hot_blocks)[number]
-        repeated = repeated[number]
-        rows, stop = [], np.cumsum(counts)
-        for block, bucket, n, e in zip(table.column("block").to_pylist(), table.column("bucket").to_pylist(), counts, stop):
-            own = repeated[e - n : e]
+        rows = table.to_pylist()
+        docs = []
+        for r in rows:
+            which = np.frombuffer(pa.decompress(r["which"], 4 * r["n"], "zstd", asbytes=True), np.uint8).reshape(4, -1).T.copy().view(np.uint32).ravel()
+            docs.append(np.frombuffer(r["docs"], np.int64)[which])
+        key = np.concatenate([np.frombuffer(r["keys"], np.uint32) for r in rows])
+        content = np.concatenate([np.frombuffer(r["contents"], U) for r in rows])
+        doc = np.concatenate(docs)
+        order = np.lexsort((doc, content, key))
+        key, content, doc = key[order], content[order], doc[order]
+        new = changes(key, content)
+        at = np.flatnonzero(new)
+        first = doc[at]
+        group = np.flatnonzero(changes(key[at]))
+        sizes = np.diff(np.append(group, len(at)))
+        alike = np.minimum.reduceat(first, group) == np.maximum.reduceat(first, group)
+        # Only the first document that holds a content looks closer, and only where its key has other contents of other documents.
+        closer = np.repeat(~alike, sizes)
+        hot = closer & np.repeat(sizes >= hot_contents, sizes)
+        number = np.cumsum(new) - 1
+        flags = np.zeros((3, len(key)), bool)
+        flags[EARLIER, order] = first[number] < doc
+        holds = first[number] == doc
+        flags[CLOSER, order] = holds & closer[number]
+        flags[HOT, order] = holds & hot[number]
+        out, stop = [], 0
+        for r in rows:
+            own = flags[:, stop : stop + r["n"]]
+            stop += r["n"]
             if own.any():
-                rows.append((block, 1, bucket, int(n), bits(own), bits(hot[e - n : e]) if hot[e - n : e].any() else None))
-        return answer_rows(rows)
+                out.append((r["block"], 1, r["bucket"], r["n"], bits(own), None))
+        return arrow_table(out, ANSWERS)
 
     return find
 
 
-# Step 3: first documents of segments and windows -------------------------------------------------------------------
+def flags_of_entries(entries: Entries, answers: list[dict], buckets: int) -> np.ndarray:
+    edges = bucket_edges(entries.key, buckets)
+    flags = np.zeros((3, len(entries.key)), bool)
+    for a in answers:
+        if a["kind"] == 1:
+            x = edges[a["bucket"]]
+            flags[:, x : x + a["n"]] = flags_of(a["flags"], 3 * a["n"]).reshape(3, -1)
+    return flags
 
-ENTRIES = "block bigint, bucket int, n int, head binary, data binary, size bigint"
-HEAD = np.dtype([("key", "<u8"), ("content", "<u8"), ("doc", "<i8"), ("length", "<u2")])
 
+# Step 3: windows that an earlier document has ----------------------------------------------------------------------
 
-def repeated_segments(segments: Segments, answers: list[dict], buckets: int) -> Segments:
-    """The segments of a block whose keys occur in two documents, hot ones cut into windows."""
-    keys, number, _ = segments.unique_keys()
-    edges = bucket_edges(keys, buckets)
-    repeated, hot = np.zeros(len(keys), bool), np.zeros(len(keys), bool)
-    for a in answers:
-        x = edges[a["bucket"]]
-        repeated[x : x + a["n"]] = flags_of(a["flags"], a["n"])
-        if a["more"] is not None:
-            hot[x : x + a["n"]] = flags_of(a["more"], a["n"])
-    keep = repeated[number]
-    kept = object.__new__(Segments)
-    kept.data, kept.ends, kept.hashes = segments.data, segments.ends, segments.hashes
-    kept.first, kept.last, kept.doc, kept.keys = (x[keep] for x in (segments.first, segments.last, segments.doc, segments.keys))
-    chosen = hot[number][keep]
-    return kept.windows_of(chosen) if chosen.any() else kept
+ENTRIES = "block bigint, bucket int, n int, docs binary, lengths binary, data binary"
 
 
-class Entries:
-    """Distinct segments of a block in order of key and content, each with its smallest document id."""
+class Looks:
+    """What a block sends for a closer look, in order of bucket: segments, and windows of hot segments one by one.
 
-    def __init__(self, segments: Segments, ids: np.ndarray):
-        content = segments.contents(segments.first, segments.last)
-        order = np.lexsort((content, segments.keys))
-        key, content = segments.keys[order], content[order]
-        new = np.ones(len(order), bool)
-        new[1:] = (key[1:] != key[:-1]) | (content[1:] != content[:-1])
-        self.number = np.empty(len(order), np.int64)
-        self.number[order] = np.cumsum(new) - 1
-        at = np.flatnonzero(new)
-        self.head = np.zeros(len(at), HEAD)
-        self.head["key"], self.head["content"] = key[at], content[at]
-        self.some = order[at]
-        self.head["length"] = segments.last[self.some] - segments.first[self.some] + WINDOW
-        if len(at):
-            self.head["doc"] = np.minimum.reduceat(ids[segments.doc[order]], at)
-        self.start = segments.first[self.some]
+    entry, offset: the entry each stands for and the first window in it.
+    """
+
+    def __init__(self, segments: Segments, entries: Entries, flags: np.ndarray, buckets: int):
+        plain, hot = np.flatnonzero(flags[CLOSER] & ~flags[HOT]), np.flatnonzero(flags[HOT])
+        windows = entries.length[hot] - WINDOW + 1
+        at = ranges(entries.start[hot], windows)
+        self.entry = np.concatenate([plain, np.repeat(hot, windows)])
+        self.offset = np.concatenate([np.zeros(len(plain), np.int64), at - np.repeat(entries.start[hot], windows)])
+        self.start = np.concatenate([entries.start[plain], at])
+        self.length = np.concatenate([entries.length[plain], np.full(len(at), WINDOW)])
+        key = np.concatenate([entries.key[plain], mixed(segments.contents(at, at) + MIX[1])])
+        order = np.lexsort((self.start, key))
+        self.entry, self.offset, self.start, self.length = (x[order] for x in (self.entry, self.offset, self.start, self.length))
+        self.edges = bucket_edges(key[order], buckets)
 
 
 def ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -307,23 +328,21 @@ def ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
     return np.repeat(start - (np.cumsum(length) - length), length) + np.arange(length.sum())
 
 
-def send_entries(buckets: int):
+def send_looks(buckets: int):
     def send(key: tuple, blocks: pa.Table, answers: pa.Table) -> pa.Table:
         rows = []
         for block in blocks.to_pylist():
             if not answers.num_rows:
                 break
             data, lengths, ids = opened(block)
-            segments = repeated_segments(Segments(data, lengths), answers.to_pylist(), buckets)
+            segments = Segments(data, lengths)
             entries = Entries(segments, ids)
-            edges = bucket_edges(entries.head["key"], buckets)
-            for b, (x, y) in enumerate(zip(edges, edges[1:])):
-                if y > x:
-                    part = data[ranges(entries.start[x:y], entries.head["length"][x:y])].tobytes()
-                    rows.append((block["block"], b, int(y - x), entries.head[x:y].tobytes(), pa.compress(part, "zstd", asbytes=True), len(part)))
-        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int64()]
-        columns = list(zip(*rows)) if rows else [[]] * 6
-        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["block", "bucket", "n", "head", "data", "size"])
+            looks = Looks(segments, entries, flags_of_entries(entries, answers.to_pylist(), buckets), buckets)
+            for b, x, y in parts(looks.edges):
+                part = data[ranges(looks.start[x:y], looks.length[x:y])].tobytes()
+                docs, sizes = entries.doc[looks.entry[x:y]], looks.length[x:y].astype(np.uint16)
+                rows.append((block["block"], b, y - x, pa.compress(docs.tobytes(), "zstd", asbytes=True), sizes.tobytes(), pa.compress(part, "zstd", asbytes=True)))
+        return arrow_table(rows, ENTRIES)
 
     return send
 
@@ -357,54 +376,29 @@ def previous_factors(order: np.ndarray, rank: np.ndarray, doc: np.ndarray) -> np
     return out
 
 
-def find_first(table: pa.Table) -> pa.Table:
-    """Of one bucket: for each entry whether an earlier document has the segment, and its repeated windows."""
-    heads = [np.frombuffer(x, HEAD) for x in table.column("head").to_pylist()]
-    head = np.concatenate(heads)
-    data = np.frombuffer(b"".join(pa.decompress(x, n, "zstd", asbytes=True) for x, n in zip(table.column("data").to_pylist(), table.column("size").to_pylist())), np.uint8)
-    order = np.lexsort((head["content"], head["key"]))
-    key, content = head["key"][order], head["content"][order]
-    new = np.ones(len(order), bool)
-    new[1:] = (key[1:] != key[:-1]) | (content[1:] != content[:-1])
-    at = np.flatnonzero(new)
-    first_doc = np.minimum.reduceat(head["doc"][order], at)
-    number = np.empty(len(order), np.int64)
-    number[order] = np.cumsum(new) - 1
-    same_key = np.zeros(len(at), bool)
-    next_same = key[at][1:] == key[at][:-1]
-    same_key[1:] |= next_same
-    same_key[:-1] |= next_same
-
-    # Suffixes of the distinct segments that share their key with another one.
-    length = head["length"].astype(np.int64)
-    begin = np.cumsum(length) - length
-    some = order[at][same_key]
-    spans: dict[int, list[tuple[int, int]]] = {}
-    if len(some):
-        numbers = np.flatnonzero(same_key)
-        text = data[ranges(begin[some], length[some])]
-        starts = np.cumsum(length[some]) - length[some]
-        windows = length[some] - WINDOW + 1
-        place = ranges(starts, windows)
-        owner = np.repeat(np.arange(len(some)), windows)
-        covered = previous_factors(*suffix_order(text, place), first_doc[numbers][owner])
-        edge = np.ones(len(place), bool)
-        edge[1:] = owner[1:] != owner[:-1]
-        begins = np.flatnonzero(covered & (edge | ~np.concatenate([[False], covered[:-1]])))
-        end_edge = np.append(edge[1:], True)
-        stops = np.flatnonzero(covered & (end_edge | ~np.append(covered[1:], False)))
-        offset = place - starts[owner]
-        for x, y in zip(begins, stops):
-            spans.setdefault(int(numbers[owner[x]]), []).append((int(offset[x]), int(offset[y])))
-
-    rows, stop = [], 0
-    earlier = first_doc[number] < head["doc"]
-    for block, bucket, n in zip(table.column("block").to_pylist(), table.column("bucket").to_pylist(), table.column("n").to_pylist()):
-        own = slice(stop, stop + n)
-        stop += n
-        found = [(i, x, y) for i in np.flatnonzero(~earlier[own]) for x, y in spans.get(int(number[own][i]), ())]
-        rows.append((block, 2, bucket, int(n), bits(earlier[own]), np.array(found, np.int32).tobytes() if found else None))
-    return answer_rows(rows)
+def find_earlier(table: pa.Table) -> pa.Table:
+    """Of one bucket: the windows of each segment that a smaller document has, as (number, first, last window)."""
+    rows = table.to_pylist()
+    length = np.concatenate([np.frombuffer(r["lengths"], np.uint16) for r in rows]).astype(np.int64)
+    doc = np.concatenate([np.frombuffer(pa.decompress(r["docs"], 8 * r["n"], "zstd", asbytes=True), np.int64) for r in rows])
+    sizes = np.add.reduceat(length, np.cumsum([0] + [r["n"] for r in rows[:-1]]))
+    text = np.frombuffer(b"".join(pa.decompress(r["data"], int(n), "zstd", asbytes=True) for r, n in zip(rows, sizes)), np.uint8)
+    windows = length - WINDOW + 1
+    owner = np.repeat(np.arange(len(length)), windows)
+    offset = ranges(np.zeros(len(length), np.int64), windows)
+    place = (np.cumsum(length) - length)[owner] + offset
+    covered = previous_factors(*suffix_order(text, place), doc[owner])
+    edge = changes(owner)
+    begins = np.flatnonzero(covered & (edge | ~np.append(False, covered[:-1])))
+    stops = np.flatnonzero(covered & (np.append(edge[1:], True) | ~np.append(covered[1:], False)))
+    found = np.stack([owner[begins], offset[begins], offset[stops]], axis=1)
+    ends = np.cumsum([r["n"] for r in rows])
+    cut = np.searchsorted(found[:, 0], np.append(0, ends))
+    out = []
+    for r, end, x, y in zip(rows, ends, cut, cut[1:]):
+        if y > x:
+            out.append((r["block"], 2, r["bucket"], r["n"], None, (found[x:y] - [end - r["n"], 0, 0]).astype(np.int32).tobytes()))
+    return arrow_table(out, ANSWERS)
 
 
 # Step 4: mark ----------------------------------------------------------------------------------------------------
@@ -413,33 +407,29 @@ def find_first(table: pa.Table) -> pa.Table:
 def covered_bytes(block: dict, answers: list[dict], buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bytes and lengths of a block's documents and which bytes go."""
     data, lengths, ids = opened(block)
-    step1 = [a for a in answers if a["kind"] == 1]
     marks = np.zeros(len(data) + 1, np.int32)
-    if step1:
-        segments = repeated_segments(Segments(data, lengths), step1, buckets)
+    segments = Segments(data, lengths)
+    if len(segments.keys):
         entries = Entries(segments, ids)
-        edges = bucket_edges(entries.head["key"], buckets)
-        earlier, spans = np.zeros(len(entries.head), bool), []
-        for a in answers:
-            if a["kind"] == 2:
-                x = edges[a["bucket"]]
-                earlier[x : x + a["n"]] = flags_of(a["flags"], a["n"])
-                if a["more"] is not None:
-                    found = np.frombuffer(a["more"], np.int32).reshape(-1, 3).astype(np.int64)
-                    spans.append(found + [[x, 0, 0]])
+        flags = flags_of_entries(entries, answers, buckets)
         number, doc = entries.number, ids[segments.doc]
-        whole = earlier[number] | (doc > entries.head["doc"][number])
+        whole = flags[EARLIER][number] | (doc > entries.doc[number])
         np.add.at(marks, segments.first[whole], 1)
         np.add.at(marks, segments.last[whole] + WINDOW, -1)
-        if spans:
-            spans = np.concatenate(spans)
-            spans = spans[np.argsort(spans[:, 0], kind="stable")]
+        step3 = [a for a in answers if a["kind"] == 2]
+        if step3:
+            looks = Looks(segments, entries, flags, buckets)
+            spans = [np.frombuffer(a["more"], np.int32).reshape(-1, 3).astype(np.int64) + [looks.edges[a["bucket"]], 0, 0] for a in step3]
+            which, first, last = np.concatenate(spans).T
+            entry, first, last = looks.entry[which], first + looks.offset[which], last + looks.offset[which]
+            order = np.argsort(entry, kind="stable")
+            entry, first, last = entry[order], first[order], last[order]
             held = np.flatnonzero(~whole)
-            low, high = (np.searchsorted(spans[:, 0], number[held], side) for side in ("left", "right"))
+            low, high = (np.searchsorted(entry, number[held], side) for side in ("left", "right"))
             which = ranges(low, high - low)
             base = np.repeat(segments.first[held], high - low)
-            np.add.at(marks, base + spans[which, 1], 1)
-            np.add.at(marks, base + spans[which, 2] + WINDOW, -1)
+            np.add.at(marks, base + first[which], 1)
+            np.add.at(marks, base + last[which] + WINDOW, -1)
     return data, lengths, np.cumsum(marks)[:-1] > 0
 
 
@@ -464,7 +454,7 @@ def finish(buckets: int, with_text: bool, schema: pa.Schema):
     return mark
 
 
-def remove_repeats(docs: DataFrame, carry: list[str] = (), with_text: bool = True, hot_blocks: int = HOT_BLOCKS) -> DataFrame:
+def remove_repeats(docs: DataFrame, carry: list[str] = (), with_text: bool = True, hot_contents: int = HOT_CONTENTS) -> DataFrame:
     """Documents (doc_id, text) without the passages that an earlier document has.
 
     Returns doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept_text and the columns in `carry`.  kept_text leaves
@@ -473,15 +463,13 @@ def remove_repeats(docs: DataFrame, carry: list[str] = (), with_text: bool = Tru
     under WINDOW bytes stay whole; an empty table gives an empty one.  Other columns are ignored.
     """
     spark = tuned(docs.sparkSession)
-    buckets = buckets_of(spark)
+    buckets = BUCKETS_PER_PARTITION * buckets_of(spark)
     blocks = pack_blocks(docs, list(carry))
     bare = blocks.select("block", "ids", "lengths", "data")
     sent = bare.mapInArrow(send_keys(buckets), KEYS)
-    repeated = stored(sent.groupBy("bucket").applyInArrow(find_repeated(hot_blocks), ANSWERS))
-    by_block = bare.groupBy("block")
-    entries = by_block.cogroup(repeated.groupBy("block")).applyInArrow(send_entries(buckets), ENTRIES)
-    first = entries.groupBy("bucket").applyInArrow(find_first, ANSWERS)
-    answers = stored(repeated.unionByName(first))
+    first = stored(sent.groupBy("bucket").applyInArrow(find_repeated(hot_contents), ANSWERS))
+    looks = bare.groupBy("block").cogroup(first.groupBy("block")).applyInArrow(send_looks(buckets), ENTRIES)
+    answers = stored(first.unionByName(looks.groupBy("bucket").applyInArrow(find_earlier, ANSWERS)))
     rest = blocks.schema["rest"].dataType.elementType
     schema = T.StructType(
         [T.StructField("doc_id", T.LongType())]
