@@ -66,11 +66,12 @@ def _largest_keywords() -> list[Column]:
 def keyword_pivot(rows: DataFrame) -> DataFrame:
     """Largest keyword per user and log type, one column per type.
 
-    Null: no such row has a keyword; '0': the user has rows, none of this type.  The rows are first reduced to
-    distinct keywords per user and type, inside each task before the shuffle: that needs no sort, and a user
-    with very many rows arrives as a few.
+    Null: no such row has a keyword; '0': the user has rows, none of this type.  The rows are first counted per
+    user, type and keyword, by hashing in each task before the shuffle, so only distinct keywords are sorted.  (A plain
+    distinct would not do: Spark removes it below a maximum, and then sorts every row.)
     """
-    return rows.select(USER, HIST_TYPE, HIST_KEYWORD).distinct().groupBy(USER).agg(*_largest_keywords())
+    counted = rows.groupBy(USER, HIST_TYPE, HIST_KEYWORD).agg(F.count("*").alias("_n")).where("_n > 0")
+    return counted.groupBy(USER).agg(*_largest_keywords())
 
 
 def user_features(history: DataFrame, batch: DataFrame, hold: Hold = stored) -> DataFrame:
@@ -88,39 +89,23 @@ def with_no_features(rows: DataFrame) -> DataFrame:
     return rows.withColumns({feature: F.lit(None).cast("string") for feature in FEATURE_COLUMNS})
 
 
-def keyword_asof(events: DataFrame, slice_unit: str = "HOUR") -> DataFrame:
+def keyword_asof(events: DataFrame, slice_unit: str = "MINUTE") -> DataFrame:
     """Features of every event as of its own time: history up to and including that time.
 
-    A running maximum over all of a user's rows would put the user into one task.  The features can change
-    only where a user meets a keyword for the first time in a log type, so the rows are reduced to those first
-    times (before the shuffle).  A user's time line is cut into slices; a slice holds its changes, of which
-    there are no more than keywords or clock ticks, and the features before it.  Events look up their slice.
+    A running maximum over all of a user's rows would put the user into one task.  So a user's time line is cut into
+    slices: a running maximum inside each slice, and before it the maximum over the user's earlier slices, of which
+    there is one row each.  No task holds more than the events of one user and slice.  Rows without a valid time
+    count for nothing and get no features.
     """
-    time, cut = F.col("_time"), lambda column: F.date_trunc(slice_unit, column)
-    timed = events.withColumn("_time", event_time(F.col(TIME))).withColumn("_slice", cut(time))
-    firsts = (
-        timed.where(time.isNotNull())
-        .groupBy(USER, F.col(TYPE).alias(HIST_TYPE), F.col(KEYWORD).alias(HIST_KEYWORD))
-        .agg(F.min("_time").alias("_time"))
-    )
-    changes = firsts.groupBy(USER, cut(time).alias("_slice"), "_time").agg(*_largest_keywords())
-
-    within = Window.partitionBy(USER, "_slice").orderBy("_time").rowsBetween(Window.unboundedPreceding, 0)
-    running = changes.select(USER, "_slice", "_time", *[F.max(f).over(within).alias(f) for f in FEATURE_COLUMNS])
-    steps = running.groupBy(USER, "_slice").agg(
-        F.sort_array(F.collect_list(F.struct("_time", *FEATURE_COLUMNS))).alias("_steps")
-    )
-
-    # Slices with events but no change take part, so that every event finds the features before its slice.
-    visited = timed.where(time.isNotNull()).select(USER, "_slice").distinct()
+    time = event_time(F.col(TIME))
+    own = {f: F.when(F.col(TYPE) == name, F.col(KEYWORD)).otherwise(F.lit("0")) for name, f in FEATURE_OF_LOG_TYPE.items()}
+    timed = events.withColumn("_time", time).withColumn("_slice", F.date_trunc(slice_unit, "_time"))
+    timed = timed.withColumns({f"_own_{f}": F.when(F.col("_time").isNotNull(), value) for f, value in own.items()})
+    within = Window.partitionBy(USER, "_slice").orderBy("_time").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    running = timed.withColumns({f"_now_{f}": F.max(f"_own_{f}").over(within) for f in FEATURE_COLUMNS})
+
+    slices = timed.where("_time IS NOT NULL").groupBy(USER, "_slice").agg(*[F.max(f"_own_{f}").alias(f"_all_{f}") for f in FEATURE_COLUMNS])
     earlier = Window.partitionBy(USER).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    last = F.element_at("_steps", -1)
-    slices = visited.join(steps, [USER, "_slice"], "left").select(
-        USER, "_slice", "_steps", *[F.max(last[f]).over(earlier).alias(f"_before_{f}") for f in FEATURE_COLUMNS]
-    )
-
-    found = timed.join(slices, [USER, "_slice"], "left")
-    passed = found.withColumn("_step", F.try_element_at(F.filter("_steps", lambda s: s["_time"] <= time), F.lit(-1)))
-    return passed.select(
-        *events.columns, *[F.greatest(F.col("_step")[f], F.col(f"_before_{f}")).alias(f) for f in FEATURE_COLUMNS]
-    )
+    before = slices.select(USER, "_slice", *[F.max(f"_all_{f}").over(earlier).alias(f"_before_{f}") for f in FEATURE_COLUMNS])
+    found = running.join(before, [USER, "_slice"], "left")
+    return found.select(*events.columns, *[F.greatest(f"_now_{f}", f"_before_{f}").alias(f) for f in FEATURE_COLUMNS])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,21 +20,18 @@ def drop_empty(lines: DataFrame, column: str = "value") -> DataFrame:
 def parse_lines(lines: DataFrame, schema: T.StructType, column: str = "value", separator: str = "\\t") -> DataFrame:
     """One typed row per line, plus reject_reason (null for a good line).
 
-    Fields after the last declared one are ignored.  A line with too few fields, or with a text that is not of
-    its column's type, keeps what could be read and states the reason.
+    Fields after the last declared one are ignored.  An empty field is a null of every type but text.  A line with
+    too few fields, or with a text that is not of its column's type, keeps what could be read and states the reason.
     """
     kept = [c for c in lines.columns if c != column]
-    # Exploding a single array keeps its rows, and keeps Spark from pushing a filter on the result below the
-    # split, which would split the line again for every column the filter looks at.
+    # Exploding a single array keeps its rows, and keeps Spark from pushing a filter on the result below it: the line
+    # is split once, and every field is converted once, whatever looks at the outcome.
     parts = lines.select(*kept, F.explode(F.array(F.split(column, separator))).alias("_parts"))
     texts = {f.name: F.get("_parts", F.lit(i)) for i, f in enumerate(schema.fields)}
-    typed = parts.select(
-        *kept,
-        *[cast_text(texts[f.name], f.dataType).alias(f.name) for f in schema.fields],
-        "_parts",
-    )
+    typed = F.struct(*[cast_text(texts[f.name], f.dataType).alias(f.name) for f in schema.fields])
+    rows = parts.select(*kept, "_parts", F.explode(F.array(typed)).alias("_row"))
     failed = [
-        F.when(texts[f.name].isNotNull() & _unread(f), F.lit(f.name))
+        F.when((texts[f.name] != "") & _unread(F.col("_row")[f.name], f.dataType), F.lit(f.name))
         for f in schema.fields
         if not isinstance(f.dataType, (T.StringType, T.BooleanType, T.BinaryType))
     ]
@@ -43,13 +40,13 @@ def parse_lines(lines: DataFrame, schema: T.StructType, column: str = "value", s
         F.when(F.col("_parts").isNull() | (F.size("_parts") < len(schema.fields)), "too few fields")
         .when(bad != "", F.concat(F.lit("bad value: "), bad))
     )
-    return typed.select(*kept, *schema.names, reason.alias(REJECT))
+    judged = rows.select(*kept, "_row", F.explode(F.array(F.struct(reason.alias(REJECT)))).alias("_why"))
+    return judged.select(*kept, *[F.col("_row")[n].alias(n) for n in schema.names], F.col("_why")[REJECT].alias(REJECT))
 
 
-def _unread(field: T.StructField):
-    """Whether a converted column lost its text."""
-    value = F.col(field.name)
-    if isinstance(field.dataType, T.ArrayType) and not isinstance(field.dataType.elementType, T.StringType):
+def _unread(value: Column, kind: T.DataType) -> Column:
+    """Whether a converted value lost its text."""
+    if isinstance(kind, T.ArrayType) and not isinstance(kind.elementType, T.StringType):
         return F.exists(value, lambda x: x.isNull())
     return value.isNull()
 

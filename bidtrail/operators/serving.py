@@ -2,13 +2,16 @@
 
 The table is an append log: each batch is one folder batch_id=N, and of several rows with one key the last
 to arrive counts.  Writing a batch never touches older data, writing it again replaces only its own folder,
-and a reader keeps one row per key.  `compact` folds the batches into one.
+and a reader keeps the last of each key.  A table may also be laid out by user: inside a batch, one folder per
+bucket of users, so that what a batch needs of its users' past is read from their buckets alone.  `compact` folds
+the batches into one.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.scalars import event_time
 from ..schemas import (
@@ -22,17 +25,20 @@ from ..schemas import (
 )
 
 BATCH = "batch_id"
+BUCKET = "user_bucket"
+USER = "ipinyou_id"
+USER_BUCKETS = 64
 # Batch of an empty or compacted table; streaming batches start at 0.
 BASE = -1
 
 
 def latest_per_key(df: DataFrame, keys: list[str], arrival: list[str]) -> DataFrame:
-    """The last row of each key by the arrival columns, which must order a key's rows fully.
+    """The last row of each key by the arrival columns; rows that arrived at one and the same place all stay.
 
-    Spark keeps only one row per key and task before the shuffle, so a key with very many copies stays cheap.
+    Spark keeps only the first rank per key and task before the shuffle, so a key with very many copies stays cheap.
     """
     newest = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in arrival])
-    return df.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").drop("_rank")
+    return df.withColumn("_rank", F.rank().over(newest)).where("_rank = 1").drop("_rank")
 
 
 def overwrite_table(df: DataFrame, path: str) -> None:
@@ -40,33 +46,63 @@ def overwrite_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def append_batch(df: DataFrame, path: str, batch_id: int) -> None:
+def user_bucket(user: str = USER) -> Column:
+    """Bucket of a user, for a table laid out by user."""
+    return F.pmod(F.xxhash64(user), F.lit(USER_BUCKETS)).cast("int")
+
+
+def append_batch(df: DataFrame, path: str, batch_id: int, by_user: bool = False) -> None:
     """Add a batch; the same batch written again replaces itself."""
-    df.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+    if by_user:
+        df = df.withColumn(BUCKET, user_bucket()).hint("rebalance", BUCKET)
+    writer = df.write.mode("overwrite")
+    (writer.partitionBy(BUCKET) if by_user else writer).parquet(f"{path}/{BATCH}={batch_id}")
+
 
+def create_table(like: DataFrame, path: str, by_user: bool = False) -> None:
+    """An empty table with the columns of a frame.  All batches of a table have one layout."""
+    folder = f"{path}/{BATCH}={BASE}" + (f"/{BUCKET}={BASE}" if by_user else "")
+    empty_like(like).write.mode("overwrite").parquet(folder)
 
-def create_table(like: DataFrame, path: str) -> None:
-    """An empty table with the columns of a frame."""
-    append_batch(empty_like(like), path, BASE)
+
+def stored_rows(spark: SparkSession, path: str, before_batch: int | None = None, schema: T.StructType | None = None, buckets: list[int] | None = None) -> DataFrame:
+    """All stored rows with their batch, of every batch or of those before one, in all buckets or in some.
+
+    Other folders are not read.  With a schema (of a table laid out by user, without batch and bucket) no file is
+    opened to find it out.
+    """
+    reader = spark.read.option("basePath", path)
+    if schema is not None:
+        reader = reader.schema(T.StructType([*schema.fields, T.StructField(BATCH, T.IntegerType()), T.StructField(BUCKET, T.IntegerType())]))
+    rows = reader.parquet(path)
+    if before_batch is not None:
+        rows = rows.where(F.col(BATCH) < before_batch)
+    if BUCKET in rows.columns:
+        rows = (rows if buckets is None else rows.where(F.col(BUCKET).isin(buckets))).drop(BUCKET)
+    return rows
 
 
-def stored_rows(spark: SparkSession, path: str, before_batch: int | None = None) -> DataFrame:
-    """All stored rows with their batch, of every batch or of those before one (other folders are not read)."""
-    rows = spark.read.option("basePath", path).parquet(path)
-    return rows if before_batch is None else rows.where(F.col(BATCH) < before_batch)
+def batches(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the batches that a table holds."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(folder, f"{BATCH}=*")) or []
+    return sorted(int(f.getPath().getName().split("=")[1]) for f in found)
 
 
 def current_rows(spark: SparkSession, path: str, order: list[str], keys: list[str] = SERVING_KEY) -> DataFrame:
-    """One row per key: the last batch wins, inside a batch the last by `order`."""
+    """The last row of each key: the last batch wins, inside a batch the last by `order`."""
     return latest_per_key(stored_rows(spark, path), keys, [BATCH, *order]).drop(BATCH)
 
 
-def compact(spark: SparkSession, path: str, new_path: str, order: list[str], keys: list[str] = SERVING_KEY) -> None:
-    """Write the current rows as the base of a new table, clustered by key so that key lookups skip row groups.
+def compact(spark: SparkSession, path: str, new_path: str, order: list[str], keys: list[str] = SERVING_KEY, by_user: bool = False) -> None:
+    """Write the current rows as the base of a new table.
 
-    The rows are split by ranges of the whole key, so one busy user spans several files.
+    Laid out by user, each bucket is rewritten into few files of its own; otherwise the rows are split by ranges of the
+    whole key, so that key lookups skip row groups and one busy user spans several files.
     """
-    append_batch(current_rows(spark, path, order, keys).repartitionByRange(*keys), new_path, BASE)
+    rows = current_rows(spark, path, order, keys)
+    append_batch(rows if by_user else rows.repartitionByRange(*keys), new_path, BASE, by_user)
 
 
 def delete_ids(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:

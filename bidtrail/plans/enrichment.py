@@ -10,9 +10,11 @@ from ..functions.scalars import ad_slot_size, cast_text, geo_point, user_tags_ar
 from ..functions.useragent import add_user_agent_columns
 from ..operators import dictionaries as dim
 from ..operators.dictionaries import Dictionaries
+from ..operators.parsing import accepted, rejected
 from ..operators.serving import overwrite_table
 from ..schemas import SERVED_BID_COLUMNS, SERVED_DICTIONARY_COLUMNS
-from ..sources.files import read_log_folder
+from ..session import stored
+from ..sources.files import read_log_lines
 
 
 def enrich_log(
@@ -66,7 +68,13 @@ def enrich_index_document(log: DataFrame, dictionaries: Dictionaries) -> DataFra
     return add_user_agent_columns(joined)
 
 
-def enrich_log_folder(spark: SparkSession, log_folder: str, dictionaries: Dictionaries, table: str) -> None:
-    """Batch job: every log file below a folder, enriched and written as one table."""
-    log = read_log_folder(spark, log_folder)
-    overwrite_table(enrich_log(log, dictionaries, extra=["predict", "log_date"]), table)
+def enrich_log_folder(
+    spark: SparkSession, log_folder: str, dictionaries: Dictionaries, table: str, rejects: str, day_folders: bool = False
+) -> None:
+    """Batch job: every log file below a folder, enriched and written as one table; bad lines to another.
+
+    The lines are parsed once and stored between.
+    """
+    parsed = stored(read_log_lines(spark, log_folder, day_folders=day_folders))
+    overwrite_table(enrich_log(accepted(parsed), dictionaries, extra=["predict", "log_date"]), table)
+    overwrite_table(rejected(parsed), rejects)

@@ -34,15 +34,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A scan that yields fewer pieces than there are cores (one small or unsplittable file), spread over all of them.
-
-    A table of many files is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def _by_event_type(position: int) -> str:
     cases = " ".join(f"WHEN '{name}' THEN {entry[position]!r}" for name, entry in LOG_TYPES.items())
     return f"CASE event_type {cases} END"
@@ -102,7 +93,7 @@ def bid_log(
     spark: SparkSession, sf_dir: str, layout: list[str] = STREAM_LAYOUT, events: DataFrame | None = None
 ) -> DataFrame:
     """The whole events table (or a given part) as typed log rows in a layout."""
-    events = spread(table(spark, sf_dir, "events")) if events is None else events
+    events = table(spark, sf_dir, "events") if events is None else events
     rows = with_city(log_columns(events), table(spark, sf_dir, "customer"))
     if layout == BATCH_LAYOUT:
         rows = rows.withColumn("predict", F.when(F.col("event_id") % 2 == 0, "TRUE").otherwise("FALSE"))
@@ -173,12 +164,12 @@ def recent_start(spark: SparkSession, sf_dir: str) -> Column:
 
 def recent_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events of the last RECENT_DAYS days: the new batch of the history queries."""
-    return spread(table(spark, sf_dir, "events")).where(F.col("ts") >= recent_start(spark, sf_dir))
+    return table(spark, sf_dir, "events").where(F.col("ts") >= recent_start(spark, sf_dir))
 
 
 def older_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events before the last RECENT_DAYS days."""
-    return spread(table(spark, sf_dir, "events")).where(F.col("ts") < recent_start(spark, sf_dir))
+    return table(spark, sf_dir, "events").where(F.col("ts") < recent_start(spark, sf_dir))
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -208,9 +199,9 @@ def log_messages(spark: SparkSession, sf_dir: str, events: DataFrame) -> DataFra
     )
 
 
-def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_lines(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
     """Events as raw-layout lines; some lines are cut after 20 fields, some have a 25th."""
-    rows = bid_log(spark, sf_dir, RAW_LAYOUT)
+    rows = bid_log(spark, sf_dir, RAW_LAYOUT, events)
     event = F.col("bid_id").cast("bigint")
     parts = rows.select(
         event.alias("event"),
@@ -219,3 +210,12 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(event % 19 == 0, "extra").alias("extra"),
     )
     return parts.select(F.when(F.col("event") % 17 == 0, F.col("start")).otherwise(F.concat_ws("\t", "start", "end", "extra")).alias("value"))
+
+
+def damaged_messages(messages: DataFrame) -> DataFrame:
+    """Log messages of which some are cut after 20 fields and some hold a width that is no number."""
+    fields = F.split("value", "\t")
+    cut = F.array_join(F.slice(fields, 1, 20), "\t")
+    wide = F.array_join(F.concat(F.slice(fields, 1, 12), F.array(F.lit("wide")), F.slice(fields, 14, 10)), "\t")
+    bad = F.when(F.col("offset") % 17 == 0, cut).when(F.col("offset") % 23 == 0, wide)
+    return messages.withColumn("value", F.coalesce(bad, "value"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from .logview import LOG_TYPES, RECENT_DAYS, USER_AGENTS
 from ..operators.text import ENGLISH_STOP_WORDS
-from ..schemas import FEATURE_OF_LOG_TYPE, RAW_LAYOUT, SERVED_BID_COLUMNS
+from ..schemas import FEATURE_OF_LOG_TYPE, RAW_LAYOUT, SERVED_BID_COLUMNS, SERVED_DICTIONARY_COLUMNS, UA_COLUMNS
 
 _AGENT = "CASE event_id % 4 " + " ".join(f"WHEN {i} THEN '{text}'" for i, text in enumerate(USER_AGENTS)) + " END"
 _TYPE_ID = "CASE event_type " + " ".join(f"WHEN '{e}' THEN {i}" for e, (i, _) in LOG_TYPES.items()) + " END"
@@ -160,7 +160,6 @@ _SIZE = "coalesce(CAST(ad_slot_width AS VARCHAR) || 'x' || CAST(ad_slot_height A
 
 # A raw line as text fields, and what is wrong with it.
 _CUT = "event_id % 17 = 0"
-_NUMERIC_NULLS = ["ad_slot_width", "ad_slot_height", "paying_price"]
 
 
 def _raw_field(name: str, as_text: bool) -> str:
@@ -173,9 +172,7 @@ def _raw_field(name: str, as_text: bool) -> str:
     return f'CASE WHEN {_CUT} THEN NULL ELSE {value} END AS "{name}"' if late else f'{value} AS "{name}"'
 
 
-_BAD = "concat_ws(',', " + ", ".join(f"CASE WHEN {n} IS NULL THEN '{n}' END" for n in _NUMERIC_NULLS) + ")"
-_REASON = f"CASE WHEN {_CUT} THEN 'too few fields' WHEN {_BAD} <> '' THEN 'bad value: ' || {_BAD} END AS reject_reason"
-_TEXT_REASON = f"CASE WHEN {_CUT} THEN 'too few fields' END AS reject_reason"
+_REASON = f"CASE WHEN {_CUT} THEN 'too few fields' END AS reject_reason"
 
 _LINE = "concat_ws(chr(9), bid_id, \"timestamp\", ipinyou_id, user_agent, ip, domain, url)"
 _MILLIS = "CAST(floor(epoch_us(ts) / 1000) AS BIGINT)"
@@ -187,7 +184,19 @@ SELECT b.bid_id, b.ipinyou_id, b."timestamp", {_FEATURE_LIST},
   CASE WHEN CAST(bid_id AS BIGINT) % 4 >= 2 THEN 'TRUE' ELSE 'FALSE' END AS predict,
   CASE WHEN CAST(bid_id AS BIGINT) % 4 <> 3 THEN (CAST(bid_id AS BIGINT) % 4) / 4.0 END AS true_prob,
   CASE WHEN CAST(bid_id AS BIGINT) % 4 <> 3 THEN 1 - (CAST(bid_id AS BIGINT) % 4) / 4.0 END AS false_prob
-FROM batch b LEFT JOIN features f ON b.ipinyou_id = f.ipinyou_id"""
+FROM hist b LEFT JOIN everything f ON b.ipinyou_id = f.ipinyou_id"""
+_EVERYTHING = f"""
+everything AS (SELECT ipinyou_id, {", ".join(f"max({e}) AS {f}" for f, e in _FEATURE_INPUT.items())} FROM hist GROUP BY ipinyou_id)"""
+
+
+def _text(name: str) -> str:
+    """A served column as text; fractions as the numbers that their texts mean."""
+    if name == "coordinates":
+        return "coordinates0, coordinates1"
+    if name in _FLOATS or name == "ua_browser_version":
+        return f'CAST("{name}" AS DOUBLE) AS "{name}"' if name == "ua_browser_version" else f'CAST(CAST(CAST("{name}" AS FLOAT) AS VARCHAR) AS DOUBLE) AS "{name}"'
+    return f'CAST("{name}" AS VARCHAR) AS "{name}"'
+
 
 ORACLES: dict[str, str] = {
     "scan_typed_tsv": "SELECT event_id, user_id, event_type, value, props FROM events",
@@ -201,7 +210,7 @@ ORACLES: dict[str, str] = {
         FROM placed""",
     "publish_lines": f"WITH {_LOG} SELECT {_LINE} AS value FROM log",
     "parse_log_line": f"{_WITH} SELECT {', '.join(_raw_field(n, False) for n in RAW_LAYOUT)}, {_REASON} FROM placed",
-    "parse_log_line_strings": f"{_WITH} SELECT {', '.join(_raw_field(n, True) for n in RAW_LAYOUT)}, {_TEXT_REASON} FROM placed",
+    "parse_log_line_strings": f"{_WITH} SELECT {', '.join(_raw_field(n, True) for n in RAW_LAYOUT)}, {_REASON} FROM placed",
     "typed_casts": """WITH ev AS (SELECT *, regexp_extract(props, '[0-9]+') AS k FROM events)
         SELECT event_id,
           CASE WHEN event_id % 3 <> 0 THEN CAST(k AS INTEGER) END AS as_int,
@@ -228,10 +237,10 @@ ORACLES: dict[str, str] = {
         min(event_id) AS from_offset, max(event_id) + 1 AS until_offset FROM events GROUP BY user_id % 4""",
     "cell_layout": f"""SELECT 'ts' || CAST({_MILLIS} AS VARCHAR) || '-' || CAST(user_id % 4 AS VARCHAR) || '-' ||
         CAST(event_id AS VARCHAR) AS row_key, 'flume_data' AS col_family, 'col1' AS col_qual, props AS value FROM events""",
-    "serving_read": f"""{_FEATURED}, served AS ({_SERVED}), ranked AS (
+    "serving_read": f"""{_HISTORY},{_EVERYTHING}, served AS ({_SERVED}), ranked AS (
         SELECT *, row_number() OVER (PARTITION BY ipinyou_id, "timestamp" ORDER BY bid_id DESC) AS rn FROM served)
         SELECT ipinyou_id, "timestamp", {_FEATURE_LIST}, false_prob, true_prob, predict FROM ranked WHERE rn = 1""",
-    "serving_schema": f"""{_FEATURED}, served AS ({_SERVED})
+    "serving_schema": f"""{_HISTORY},{_EVERYTHING}, served AS ({_SERVED})
         SELECT served.bid_id, {_MILLIS} AS event_millis, served.predict, coalesce(false_prob, 0.0) AS false_prob,
         coalesce(true_prob, 0.0) AS true_prob FROM served JOIN log ON served.bid_id = log.bid_id""",
     "serving_overwrite": f"""{_WITH} SELECT {_out(SERVED_BID_COLUMNS, "p.")}, {_DICTIONARY_OUT},
@@ -307,6 +316,48 @@ ORACLES: dict[str, str] = {
         CASE event_id % 4 WHEN 1 THEN '4.0' WHEN 2 THEN '8.0' ELSE '21.0.1180.89' END AS _c6,
         CAST({_ua_case("ua_id")} AS VARCHAR) AS _c7, {_ua_case("ua_os")} AS _c8 FROM log""",
     "stream_enrich": f"""{_WITH} SELECT {_out(SERVED_BID_COLUMNS, "p.", {"anonymous_url_id": "coalesce(p.anonymous_url_id, '')"})},
-        {_DICTIONARY_OUT}, coalesce(w.keyword_name, p.user_tags, '') AS keyword_name, {_SIZE}, {_UA_SERVED} {_DICTIONARY_JOIN}
-        WHERE ad_slot_width IS NOT NULL AND ad_slot_height IS NOT NULL AND paying_price IS NOT NULL""",
+        {_DICTIONARY_OUT}, coalesce(w.keyword_name, p.user_tags, '') AS keyword_name, {_SIZE}, {_UA_SERVED} {_DICTIONARY_JOIN}""",
+    "stream_rejects": f"""{_WITH} SELECT bid_id, ipinyou_id, "timestamp",
+        CASE WHEN event_id % 17 = 0 THEN ad_slot_width END AS ad_slot_width, ad_slot_height,
+        CASE WHEN event_id % 17 = 0 THEN 'too few fields' ELSE 'bad value: ad_slot_width' END AS reject_reason
+        FROM log WHERE event_id % 17 = 0 OR event_id % 23 = 0""",
+    "keyword_stream_docs": f"""{_WITH} SELECT p.bid_id, p.ipinyou_id, coalesce(w.keyword_name, p.user_tags, '') AS keyword_name,
+        c.city_name, s.state_name, p.log_type_name, p.ad_slot_width IS NOT NULL AS has_width {_DICTIONARY_JOIN}""",
+    "log_folder_job": f"""{_WITH} SELECT {_out(SERVED_BID_COLUMNS, "p.", {"anonymous_url_id": "coalesce(p.anonymous_url_id, '')"})},
+        {_DICTIONARY_OUT}, coalesce(w.keyword_name, p.user_tags, '') AS keyword_name, p.predict,
+        substr(p."timestamp", 1, 8) AS log_date, {_UA_SERVED} {_DICTIONARY_JOIN}""",
+    "serving_text_row": f"""{_WITH}, served AS (SELECT {_out(SERVED_BID_COLUMNS, "p.")}, {_DICTIONARY_OUT},
+        coalesce(w.keyword_name, p.user_tags) AS keyword_name, {_UA_SERVED}, p.predict {_DICTIONARY_JOIN})
+        SELECT {", ".join(_text(n) for n in [*SERVED_BID_COLUMNS, *SERVED_DICTIONARY_COLUMNS, *UA_COLUMNS])},
+        predict, CAST(NULL AS VARCHAR) AS false_prob, CAST(NULL AS VARCHAR) AS true_prob,
+        {", ".join(f"CAST(NULL AS VARCHAR) AS {f}" for f in FEATURE_OF_LOG_TYPE.values())} FROM served""",
+    "train_lead_model": f"""{_WITH},{_RECENT} SELECT count(*) AS n,
+        CAST(count(*) FILTER (p.log_type_name = 'site-lead') AS BIGINT) AS leads, TRUE AS loss_fell
+        {_DICTIONARY_JOIN} WHERE p."timestamp" >= (SELECT start FROM since_text)""",
+    "score_leads": f"""{_WITH} SELECT p.bid_id, p.ipinyou_id, p."timestamp",
+        CASE WHEN p.log_type_name = 'site-lead' THEN 1 ELSE 0 END AS label, TRUE AS adds_up, TRUE AS larger_wins {_DICTIONARY_JOIN}""",
+    "mispredictions": f"""{_WITH}, rows AS (SELECT CASE WHEN p.log_type_name = 'site-lead' THEN 'TRUE' ELSE 'FALSE' END AS actual
+        {_DICTIONARY_JOIN}) SELECT actual, count(*) AS n, TRUE AS errors_add_up FROM rows GROUP BY actual""",
+    "train_boosted_trees": """SELECT CAST(label AS INTEGER) AS actual, count(*) AS n, TRUE AS errors_add_up,
+        TRUE AS beats_one_class FROM embeddings GROUP BY label""",
+    "train_from_file": "SELECT CAST(label AS INTEGER) AS actual, count(*) AS n, TRUE AS errors_add_up FROM embeddings GROUP BY label",
+    "classify_titles": """SELECT conv_id, turn, '"' || text AS quoted, TRUE AS adds_up, TRUE AS larger_wins
+        FROM conversations WHERE text <> ''""",
+    "stream_score": f"""{_WITH}, since AS (SELECT max(ts) - INTERVAL {RECENT_DAYS} DAYS AS ts FROM events),
+        since_text AS (SELECT {_STAMP} AS start FROM since),
+        served AS (SELECT p.event_id, p.ipinyou_id, p."timestamp", p.log_type_name,
+          coalesce(w.keyword_name, p.user_tags, '') AS keyword_name,
+          CASE WHEN p."timestamp" < (SELECT start FROM since_text) THEN -1 ELSE p.event_id % 3 END AS b {_DICTIONARY_JOIN}),
+        {",".join(f"""
+        cut{b} AS (SELECT ipinyou_id, max("timestamp") AS cutoff FROM served WHERE b = {b} GROUP BY ipinyou_id),
+        past{b} AS (SELECT *, rank() OVER (PARTITION BY ipinyou_id, "timestamp" ORDER BY b DESC, event_id DESC) AS r FROM served WHERE b < {b}),
+        known{b} AS (SELECT h.ipinyou_id, {", ".join(f"max({e}) AS {f}" for f, e in _FEATURE_INPUT.items())}
+          FROM past{b} h JOIN cut{b} c ON h.ipinyou_id = c.ipinyou_id AND h."timestamp" <= c.cutoff WHERE r = 1 GROUP BY h.ipinyou_id)"""
+        for b in range(3))},
+        scored AS (
+          SELECT event_id, ipinyou_id, "timestamp", b, {", ".join(f"CAST(NULL AS VARCHAR) AS {f}" for f in _FEATURE_INPUT)} FROM served WHERE b = -1
+          {" ".join(f'UNION ALL SELECT event_id, s.ipinyou_id, "timestamp", b, {_FEATURE_LIST} FROM served s LEFT JOIN known{b} k ON s.ipinyou_id = k.ipinyou_id WHERE b = {b}' for b in range(3))}),
+        final AS (SELECT *, rank() OVER (PARTITION BY ipinyou_id, "timestamp" ORDER BY b DESC, event_id DESC) AS r FROM scored)
+        SELECT ipinyou_id, "timestamp", {_FEATURE_LIST}, TRUE AS adds_up, TRUE AS larger_wins FROM final WHERE r = 1""",
 }
+ORACLES["stream_index_doc"] = ORACLES["enrich_index_doc"]

@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,14 +18,14 @@ from ..operators import dictionaries as dim
 from ..operators import history as hist
 from ..operators import messages as msg
 from ..operators import parsing, serving, text
-from ..schemas import BATCH_LAYOUT, BATCH_SCHEMA, FEATURE_COLUMNS, RAW_LAYOUT, RAW_SCHEMA
-from ..session import scratch_path
+from ..schemas import BATCH_LAYOUT, BATCH_SCHEMA, FEATURE_COLUMNS, MESSAGE_SCHEMA, RAW_LAYOUT, RAW_SCHEMA
+from ..session import scratch_path, stored
 from ..sources import files
 from ..sources.messages import file_stream
 from ..streaming import jobs
 from . import logview as view
 from . import scoring
-from .enrichment import enrich_index_document, enrich_log
+from .enrichment import enrich_index_document, enrich_log, enrich_log_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 EVENT_DDL = "event_id bigint, user_id bigint, event_type string, value double, props string"
@@ -185,8 +185,42 @@ def stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "stream-enrich")
     messages = view.log_messages(spark, sf_dir, _stream_table(spark, sf_dir, "events"))
     known = view.dictionaries(spark, sf_dir)
-    query = jobs.enrich_stream(messages, known, out, f"{out}-checkpoint", once=True)
-    return comparable(_finished(query, spark, out))
+    query = jobs.enrich_stream(messages, known, out, f"{out}-rejects", f"{out}-checkpoint", once=True)
+    return comparable(_finished(query, spark, out).drop("batch_id"))
+
+
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the enriching stream keeps aside of lines of which some are damaged."""
+    out = scratch_path(spark, "stream-rejects")
+    messages = view.damaged_messages(view.log_messages(spark, sf_dir, _stream_table(spark, sf_dir, "events")))
+    query = jobs.enrich_stream(messages, view.dictionaries(spark, sf_dir), out, f"{out}-rejects", f"{out}-checkpoint", once=True)
+    return _finished(query, spark, f"{out}-rejects").select("bid_id", "ipinyou_id", "timestamp", "ad_slot_width", "ad_slot_height", "reject_reason")
+
+
+def stream_index_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = scratch_path(spark, "stream-index")
+    lines = view.raw_lines(spark, sf_dir, _stream_table(spark, sf_dir, "events"))
+    query = jobs.index_stream(lines, view.dictionaries(spark, sf_dir), out, f"{out}-rejects", f"{out}-checkpoint", once=True)
+    return comparable(_finished(query, spark, out).drop("batch_id"))
+
+
+def keyword_stream_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields of the JSON documents that the keyword stream writes."""
+    out = scratch_path(spark, "keyword-docs")
+    messages = view.log_messages(spark, sf_dir, _stream_table(spark, sf_dir, "events"))
+    jobs.keyword_documents(messages, view.dictionaries(spark, sf_dir), out, f"{out}-rejects", f"{out}-checkpoint", once=True).awaitTermination()
+    docs = spark.read.text(out).withColumnRenamed("value", "doc")
+    fields = ("bid_id", "ipinyou_id", "keyword_name", "city_name", "state_name", "log_type_name")
+    return docs.select(*[F.get_json_object("doc", f"$.{f}").alias(f) for f in fields], F.col("doc").contains('"ad_slot_width"').alias("has_width"))
+
+
+def log_folder_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log files in day folders, enriched and written as one table."""
+    path, table = scratch_path(spark, "log-files"), scratch_path(spark, "log-table")
+    log = view.bid_log(spark, sf_dir, BATCH_LAYOUT).withColumn("log_date", F.substring("timestamp", 1, 8))
+    serving.write_tsv(log.hint("rebalance", "log_date"), path, partition_by="log_date")
+    enrich_log_folder(spark, path, view.dictionaries(spark, sf_dir), table, f"{table}-rejects", day_folders=True)
+    return comparable(spark.read.parquet(table))
 
 
 def bounded_offset_read(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -211,7 +245,7 @@ def cell_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return view.log_columns(view.spread(view.table(spark, sf_dir, "events")))
+    return view.log_columns(view.table(spark, sf_dir, "events"))
 
 
 def join_dim_left(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -313,7 +347,7 @@ def ua_enrich_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _history(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    events = view.spread(view.table(spark, sf_dir, "events"))
+    events = view.table(spark, sf_dir, "events")
     return view.as_history(events), view.as_history(view.recent_events(spark, sf_dir))
 
 
@@ -336,7 +370,7 @@ def attach_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def user_keyword_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = view.as_history(view.spread(view.table(spark, sf_dir, "events")))
+    rows = view.as_history(view.table(spark, sf_dir, "events"))
     return hist.keyword_asof(rows).select("bid_id", "ipinyou_id", "timestamp", *FEATURE_COLUMNS)
 
 
@@ -344,7 +378,7 @@ def user_keyword_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return text.word_count(view.spread(view.table(spark, sf_dir, "documents")), "text")
+    return text.word_count(view.table(spark, sf_dir, "documents"), "text")
 
 
 def row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -365,9 +399,9 @@ def serving_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _served(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of the last days as the serving table holds them, with made-up probabilities."""
-    rows, batch = _history(spark, sf_dir)
-    featured = hist.attach_features(batch, hist.user_features(rows, batch), ["bid_id"])
+    """All rows as the serving table holds them, with made-up probabilities."""
+    rows = view.as_history(view.table(spark, sf_dir, "events"))
+    featured = hist.attach_features(rows, hist.user_features(rows, rows), ["bid_id"])
     sure = F.col("bid_id").cast("bigint") % 4
     return featured.withColumns(
         {
@@ -391,6 +425,16 @@ def serving_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def serving_text_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The key-value form of enriched rows: all columns as text."""
+    rows = hist.with_no_features(_enriched(spark, sf_dir, extra=["predict"]))
+    none = F.lit(None).cast("double")
+    texts = serving.serving_text_row(rows.withColumns({"false_prob": none, "true_prob": none}))
+    # Texts of fractions are compared as numbers; engines write small and large ones differently.
+    fractions = {f.name for f in rows.schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))} | {"coordinates0", "coordinates1"}
+    return texts.select(*[F.col(c).cast("double").alias(c) if c in fractions else c for c in texts.columns])
+
+
 UPSERT_KEY = ["ipinyou_id", "log_date"]
 
 
@@ -428,8 +472,8 @@ def daily_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "bid_id", fn.date_in_name(name).alias("log_date"), fn.index_for_name(name, "log_%s/bid").alias("index_name")
     )
     serving.write_daily(routed, path)
-    stored = spark.read.schema("bid_id string, index_name string, log_date string").parquet(path)
-    return stored.select("bid_id", "index_name", "log_date")
+    rows = spark.read.schema("bid_id string, index_name string, log_date string").parquet(path)
+    return rows.select("bid_id", "index_name", "log_date")
 
 
 def json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -448,42 +492,80 @@ def json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Models
 
 
-def lead_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Enriched log rows of the last days with the features of the time before, and the label."""
-    recent = view.recent_events(spark, sf_dir)
-    past = view.as_history(view.older_events(spark, sf_dir))
-    rows = enrich_log(view.bid_log(spark, sf_dir, events=recent), view.dictionaries(spark, sf_dir))
-    featured = hist.attach_features(rows, hist.user_features(past, view.as_history(recent)), ["bid_id"])
+def _leads(spark: SparkSession, sf_dir: str, events: DataFrame, past: DataFrame) -> DataFrame:
+    """Enriched log rows with their users' features from a past, and the label."""
+    rows = enrich_log(view.bid_log(spark, sf_dir, events=events), view.dictionaries(spark, sf_dir))
+    featured = hist.attach_features(rows, hist.user_features(view.as_history(past), view.as_history(events)), ["bid_id"])
     return featured.withColumn("label", (F.col("log_type_name") == "site-lead").cast("double"))
 
 
-def train_lead_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Loss after each training step."""
-    model = scoring.train_lead_model(lead_rows(spark, sf_dir), scratch_path(spark, "lead-model"))
-    losses = model.stages[-1].summary().objectiveHistory
-    return spark.createDataFrame([(i, float(x)) for i, x in enumerate(losses)], "step int, loss double")
+def lead_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the model is fitted on: rows of the last RECENT_DAYS days, with the features of the time before."""
+    return _leads(spark, sf_dir, view.recent_events(spark, sf_dir), view.older_events(spark, sf_dir))
 
 
-def score_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _scored_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows scored by a model that was fitted, saved and loaded."""
     path = scratch_path(spark, "lead-model")
+    scoring.train_lead_model(lead_rows(spark, sf_dir), path)
+    events = view.table(spark, sf_dir, "events")
+    return scoring.score_leads(scoring.PipelineModel.load(path), _leads(spark, sf_dir, events, events))
+
+
+def _sure() -> list[Column]:
+    """Whether the two probabilities add up, and the prediction is the larger one's."""
+    larger = F.when(F.col("true_prob") > F.col("false_prob"), "TRUE").otherwise("FALSE")
+    return [(F.abs(F.col("false_prob") + F.col("true_prob") - 1) < 1e-9).alias("adds_up"), (F.col("predict") == larger).alias("larger_wins")]
+
+
+def train_lead_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and leads that the model was fitted on, and whether the loss fell from step to step."""
     rows = lead_rows(spark, sf_dir)
-    scoring.train_lead_model(rows, path)
-    scored = scoring.score_leads(scoring.PipelineModel.load(path), rows)
-    return scored.select("bid_id", "ipinyou_id", "timestamp", "label", "predict", "false_prob", "true_prob")
+    losses = scoring.train_lead_model(rows, scratch_path(spark, "lead-model")).stages[-1].summary().objectiveHistory
+    fell = all(b <= a for a, b in zip(losses, losses[1:])) and losses[-1] < losses[0]
+    return rows.agg(F.count("*").alias("n"), F.sum("label").cast("bigint").alias("leads"), F.lit(bool(fell)).alias("loss_fell"))
+
+
+def score_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = _scored_leads(spark, sf_dir)
+    return scored.select("bid_id", "ipinyou_id", "timestamp", F.col("label").cast("int").alias("label"), *_sure())
 
 
 def mispredictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = score_leads(spark, sf_dir).withColumn("actual", F.when(F.col("label") == 1, "TRUE").otherwise("FALSE"))
-    return scoring.mispredictions(scored, "actual", "predict")
+    """Rows of each class, and whether its wrong predictions are what its right ones leave."""
+    scored = stored(_scored_leads(spark, sf_dir).select(F.when(F.col("label") == 1, "TRUE").otherwise("FALSE").alias("actual"), "predict"))
+    return _errors_add_up(scored, "actual", "predict").select("actual", "n", "errors_add_up")
+
+
+def _errors_add_up(scored: DataFrame, actual: str, predicted: str) -> DataFrame:
+    wrong = scoring.mispredictions(scored, actual, predicted).groupBy("actual").agg(F.sum("n").alias("wrong"))
+    classes = scored.groupBy(F.col(actual).alias("class")).agg(F.count("*").alias("n"), F.count_if(F.col(actual) == F.col(predicted)).alias("right"))
+    joined = classes.join(wrong, F.col("class") == F.col("actual"), "left").drop("actual").withColumnRenamed("class", "actual")
+    return joined.withColumn("errors_add_up", F.col("right") + F.coalesce("wrong", F.lit(0)) == F.col("n"))
 
 
 def train_boosted_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mispredictions of the trees on their training table."""
+    """Rows of each class of the training table, whether errors add up, and whether the trees beat one class for all."""
     rows = view.table(spark, sf_dir, "embeddings").select(
         "vec_id", F.col("label").cast("double").alias("label"), array_to_vector(F.col("embedding").cast("array<double>")).alias("features")
     )
-    scored = scoring.train_boosted_trees(rows).transform(rows)
-    return scoring.mispredictions(scored, "label", "prediction")
+    scored = stored(scoring.train_boosted_trees(rows).transform(rows).select("label", "prediction"))
+    counted = _errors_add_up(scored, "label", "prediction")
+    everything = Window.partitionBy(F.lit(0))  # a row per class
+    better = F.sum("right").over(everything) > F.max("n").over(everything)
+    return counted.select(F.col("actual").cast("int").alias("actual"), "n", "errors_add_up", better.alias("beats_one_class"))
+
+
+def train_from_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trees trained from a labelled file with a header line; the same checks."""
+    path = scratch_path(spark, "labelled")
+    table = view.table(spark, sf_dir, "embeddings")
+    table.select("label", *[F.col("embedding")[i].cast("double").alias(f"x{i}") for i in range(8)]).write.option("header", "true").csv(path)
+    rows = files.read_labelled_csv(spark, path)
+    vector = array_to_vector(F.array(*[F.col(c) for c in rows.columns if c != "label"]))
+    rows = rows.select(F.col("label").cast("double").alias("label"), vector.alias("features"))
+    scored = stored(scoring.train_boosted_trees(rows).transform(rows).select("label", "prediction"))
+    return _errors_add_up(scored, "label", "prediction").select(F.col("actual").cast("int").alias("actual"), "n", "errors_add_up")
 
 
 def _titles(conversations: DataFrame) -> DataFrame:
@@ -494,23 +576,37 @@ def _titles(conversations: DataFrame) -> DataFrame:
 def classify_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "titles")
     titles = _titles(view.table(spark, sf_dir, "conversations"))
-    model = scoring.title_pipeline(titles).fit(titles)
+    model = scoring.title_pipeline().fit(titles)
     scored = scoring.classify_titles(model, parsing.drop_empty(_titles(_stream_table(spark, sf_dir, "conversations")), "title"))
     rows = _finished(jobs.to_files(scored, out, f"{out}-checkpoint", once=True), spark, out)
-    return rows.select("conv_id", "turn", "predicted", fn.prediction_text(F.col("title"), F.col("probabilities")).alias("line"))
+    total = F.aggregate("probabilities", F.lit(0.0), lambda a, p: a + p)
+    line = fn.prediction_text(F.col("title"), F.col("probabilities"))
+    return rows.select(
+        "conv_id",
+        "turn",
+        F.substring_index(line, '" = [', 1).alias("quoted"),
+        (F.abs(total - 1) < 1e-9).alias("adds_up"),
+        (F.get("probabilities", F.col("predicted")) == F.array_max("probabilities")).alias("larger_wins"),
+    )
+
+
+STREAM_PARTS = 3
 
 
 def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stream of all events scored against a table that holds what came before it."""
-    table, documents = scratch_path(spark, "scored"), scratch_path(spark, "scored-documents")
+    """The last days in three micro-batches, scored against a table that holds what came before them."""
+    table, source = scratch_path(spark, "scored"), scratch_path(spark, "scored-source")
     known = view.dictionaries(spark, sf_dir)
-    rows = lead_rows(spark, sf_dir)
-    model = scoring.train_lead_model(rows)
-    older = jobs.parsed_rows(view.log_messages(spark, sf_dir, view.older_events(spark, sf_dir)), known)
-    serving.append_batch(scoring.score_leads(model, hist.with_no_features(older)), table, serving.BASE)
-    messages = view.log_messages(spark, sf_dir, _stream_table(spark, sf_dir, "events"))
-    jobs.score_stream(spark, messages, known, model, table, documents, f"{table}-checkpoint", once=True).awaitTermination()
-    return serving.serving_report(serving.current_rows(spark, table, ["partition", "offset"]))
+    model = scoring.train_lead_model(lead_rows(spark, sf_dir))
+    older = jobs.served_rows(jobs.parsed_rows(view.log_messages(spark, sf_dir, view.older_events(spark, sf_dir))), known)
+    serving.append_batch(scoring.score_leads(model, hist.with_no_features(older)), table, serving.BASE, by_user=True)
+    recent = view.log_messages(spark, sf_dir, view.recent_events(spark, sf_dir))
+    for part in range(STREAM_PARTS):  # each run finds the files of one part and works them off as one batch
+        recent.where(F.col("offset") % STREAM_PARTS == part).write.mode("append").parquet(source)
+        messages = file_stream(spark, source, MESSAGE_SCHEMA)
+        jobs.score_stream(spark, messages, known, model, table, f"{table}-docs", f"{table}-rejects", f"{table}-checkpoint", once=True).awaitTermination()
+    current = serving.current_rows(spark, table, ["partition", "offset"])
+    return current.select("ipinyou_id", "timestamp", *FEATURE_COLUMNS, *_sure())
 
 
 QUERIES: dict[str, Query] = {
@@ -526,7 +622,8 @@ QUERIES: dict[str, Query] = {
         history_range_join, history_semi_join, user_keyword_pivot, user_keyword_asof, attach_features,
         word_count, row_count, stream_word_count,
         geo_point, ad_slot_size, user_tags_array, event_time, ua_enrich, ua_enrich_tsv,
-        stream_enrich, stream_score, train_lead_model, score_leads, mispredictions, train_boosted_trees,
+        stream_enrich, stream_rejects, stream_index_doc, keyword_stream_docs, log_folder_job, serving_text_row,
+        train_from_file, stream_score, train_lead_model, score_leads, mispredictions, train_boosted_trees,
         classify_titles,
     )
 }

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier, OneVsRest
-from pyspark.ml.feature import FeatureHasher, StandardScaler, StopWordsRemover, Tokenizer, Word2Vec
+from pyspark.ml.feature import FeatureHasher, HashingTF, StandardScaler, StopWordsRemover, Tokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import split_text
 from ..session import stored
 
 # Inputs of the lead model.  site_lead_kw is left out: it is the answer of an earlier visit.
@@ -22,8 +21,7 @@ HASHED_FEATURES = 64
 # Training length of the models.
 EPOCHS = 5
 TREES = 5
-# The word model keeps at most this many words, whatever the number of titles.
-MAX_VOCABULARY = 100_000
+TITLE_FEATURES = 4096
 
 
 def lead_pipeline(epochs: int = EPOCHS, hidden: int = 16) -> Pipeline:
@@ -75,22 +73,19 @@ def mispredictions(scored: DataFrame, actual: str, predicted: str) -> DataFrame:
     )
 
 
-def title_pipeline(titles: DataFrame, size: int = 32, max_vocabulary: int = MAX_VOCABULARY) -> Pipeline:
-    """Word vectors and a classifier for columns title and label.
+def title_pipeline(size: int = TITLE_FEATURES) -> Pipeline:
+    """Hashed word counts and a classifier for columns title and label.
 
-    A word must make up at least 1/max_vocabulary of all words, so no more than that many can be kept and the
-    word model that Spark sends to the executors has a fixed bound.
+    Hashing needs no vocabulary: no word is left out however rare, and the model's size does not follow the data.
     """
-    words = titles.select(F.size(split_text(F.col("title"), " ")).alias("n")).agg(F.sum("n").alias("n")).first()["n"] or 0
-    stages = [
-        Tokenizer(inputCol="title", outputCol="words"),
-        StopWordsRemover(inputCol="words", outputCol="content"),
-        Word2Vec(
-            inputCol="content", outputCol="features", vectorSize=size, seed=7, minCount=max(1, -(-words // max_vocabulary)),
-        ),
-        LogisticRegression(maxIter=20),
-    ]
-    return Pipeline(stages=stages)
+    return Pipeline(
+        stages=[
+            Tokenizer(inputCol="title", outputCol="words"),
+            StopWordsRemover(inputCol="words", outputCol="content"),
+            HashingTF(inputCol="content", outputCol="features", numFeatures=size),
+            LogisticRegression(maxIter=20),
+        ]
+    )
 
 
 def classify_titles(model: PipelineModel, titles: DataFrame) -> DataFrame:

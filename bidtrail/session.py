@@ -51,11 +51,20 @@ def local_session(app: str, cores: int | str = "*", memory: str = "8g", shuffle_
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a temporary one only where that is unset."""
+    """A folder that all executors see: spark.checkpoint.dir, else the context's checkpoint folder, else the warehouse.
+
+    A temporary folder of the driver is used only where the master is local and neither of the first two is set.
+    """
     global _local_scratch
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured:
+        folder = spark.sparkContext._jsc.sc().getCheckpointDir()
+        configured = folder.get() if folder.isDefined() else None
     if configured:
         return configured.rstrip("/")
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        return spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
     if _local_scratch is None:
         _local_scratch = tempfile.mkdtemp(prefix="bidtrail-")
         atexit.register(shutil.rmtree, _local_scratch, ignore_errors=True)

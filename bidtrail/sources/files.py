@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions.scalars import date_in_name
 from ..operators.dictionaries import Dictionaries, keyword_dictionary
+from ..operators.parsing import drop_empty, parse_lines
 
 
 def read_tsv(spark: SparkSession, path: str, schema: T.StructType | str, header: bool = False) -> DataFrame:
@@ -44,11 +45,21 @@ def read_log_folder(
         .option("recursiveFileLookup", "true")
         .csv(path)
     )
+    return rows.select("*", _file_date(day_folders).alias("log_date"))
+
+
+def _file_date(day_folders: bool) -> Column:
     if day_folders:
-        date = date_in_name(F.col("_metadata.file_path"), r"log_date=(\d{8})")
-    else:
-        date = date_in_name(F.col("_metadata.file_name"))
-    return rows.select("*", date.alias("log_date"))
+        return date_in_name(F.col("_metadata.file_path"), r"log_date=(\d{8})")
+    return date_in_name(F.col("_metadata.file_name"))
+
+
+def read_log_lines(
+    spark: SparkSession, path: str, schema: T.StructType = schemas.BATCH_SCHEMA, day_folders: bool = False
+) -> DataFrame:
+    """The same files line by line: typed rows with log_date, and reject_reason where a line is not as declared."""
+    lines = spark.read.option("recursiveFileLookup", "true").text(path)
+    return parse_lines(drop_empty(lines.select("value", _file_date(day_folders).alias("log_date"))), schema)
 
 
 def read_dictionaries(spark: SparkSession, folder: str, header: bool = True) -> Dictionaries:

@@ -11,16 +11,27 @@ from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.dictionaries import Dictionaries
 from ..operators.history import as_past, attach_features, keyword_pivot, rows_until_cutoff
-from ..operators.parsing import accepted, drop_empty, parse_lines
-from ..operators.serving import BATCH, append_batch, landing_rows, latest_per_key, stored_rows, write_documents
+from ..operators.parsing import accepted, drop_empty, parse_lines, parse_lines_as_strings, rejected
+from ..operators.serving import (
+    BATCH,
+    BUCKET,
+    append_batch,
+    batches,
+    landing_rows,
+    latest_per_key,
+    stored_rows,
+    user_bucket,
+    write_documents,
+)
 from ..operators.text import word_count
-from ..plans.enrichment import enrich_log
+from ..plans.enrichment import enrich_index_document, enrich_log
 from ..plans.scoring import score_leads
-from ..schemas import SERVING_KEY, STREAM_SCHEMA
+from ..schemas import RAW_SCHEMA, SERVING_KEY, STREAM_SCHEMA
 
 # Micro-batch interval of the workflow jobs.
 INTERVAL = "10 seconds"
@@ -52,12 +63,64 @@ def land_raw(messages: DataFrame, path: str, checkpoint: str, **trigger) -> Stre
     return to_files(landing_rows(messages), path, checkpoint, **trigger)
 
 
+def parse_stream(
+    messages: DataFrame,
+    schema: T.StructType,
+    work: Callable[[DataFrame], DataFrame],
+    path: str,
+    rejects: str,
+    checkpoint: str,
+    as_text: bool = False,
+    **trigger,
+) -> StreamingQuery:
+    """Parse each micro-batch once; good lines go through `work` to a table, all others with their reason to another.
+
+    Both tables have one folder per batch, so a repeated batch replaces itself in both.
+    """
+    parse = parse_lines_as_strings if as_text else parse_lines
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        parsed = parse(drop_empty(batch.select("value")), schema).persist()
+        try:
+            append_batch(work(accepted(parsed)), path, batch_id)
+            append_batch(rejected(parsed), rejects, batch_id)
+        finally:
+            parsed.unpersist()
+
+    return per_batch(messages, each, checkpoint, **trigger)
+
+
 def enrich_stream(
-    messages: DataFrame, dictionaries: Dictionaries, path: str, checkpoint: str, slot_size: bool = True, **trigger
+    messages: DataFrame, dictionaries: Dictionaries, path: str, rejects: str, checkpoint: str, slot_size: bool = True, **trigger
 ) -> StreamingQuery:
     """Parse and enrich log lines; dictionaries are joined as static tables."""
-    log = accepted(parse_lines(drop_empty(messages.select("value")), STREAM_SCHEMA))
-    return to_files(enrich_log(log, dictionaries, slot_size=slot_size), path, checkpoint, **trigger)
+    work = lambda log: enrich_log(log, dictionaries, slot_size=slot_size)
+    return parse_stream(messages, STREAM_SCHEMA, work, path, rejects, checkpoint, **trigger)
+
+
+def index_stream(messages: DataFrame, dictionaries: Dictionaries, path: str, rejects: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """Raw log lines as index documents; the dictionaries stay loaded between batches."""
+    work = lambda log: enrich_index_document(log, dictionaries)
+    return parse_stream(messages, RAW_SCHEMA, work, path, rejects, checkpoint, as_text=True, **trigger)
+
+
+def keyword_documents(
+    messages: DataFrame, dictionaries: Dictionaries, path: str, rejects: str, checkpoint: str, **trigger
+) -> StreamingQuery:
+    """Log lines enriched with their keywords as JSON documents; a batch without rows writes none."""
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        parsed = parse_lines(drop_empty(batch.select("value")), STREAM_SCHEMA).persist()
+        rows = enrich_log(accepted(parsed), dictionaries, user_agent=False).persist()
+        try:
+            append_batch(rejected(parsed), rejects, batch_id)
+            if not rows.isEmpty():
+                write_documents(rows, f"{path}/{BATCH}={batch_id}")
+        finally:
+            rows.unpersist()
+            parsed.unpersist()
+
+    return per_batch(messages, each, checkpoint, **trigger)
 
 
 def count_words(messages: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
@@ -69,10 +132,14 @@ def count_words(messages: DataFrame, path: str, checkpoint: str, **trigger) -> S
     return per_batch(messages, work, checkpoint, **trigger)
 
 
-def parsed_rows(messages: DataFrame, dictionaries: Dictionaries) -> DataFrame:
-    """Good log lines of a batch, enriched, with the message position that orders them."""
-    log = parse_lines(drop_empty(messages.select("value", "partition", "offset")), STREAM_SCHEMA)
-    return enrich_log(accepted(log), dictionaries, extra=["partition", "offset"])
+def parsed_rows(messages: DataFrame) -> DataFrame:
+    """Log lines of a batch with the message position that orders them, bad ones with their reason."""
+    return parse_lines(drop_empty(messages.select("value", "partition", "offset")), STREAM_SCHEMA)
+
+
+def served_rows(parsed: DataFrame, dictionaries: Dictionaries) -> DataFrame:
+    """The good ones, enriched."""
+    return enrich_log(accepted(parsed), dictionaries, extra=["partition", "offset"])
 
 
 def score_stream(
@@ -82,36 +149,56 @@ def score_stream(
     model: PipelineModel,
     table: str,
     documents: str,
+    rejects: str,
     checkpoint: str,
+    first_batch: int = 0,
     **trigger,
 ) -> StreamingQuery:
     """Lead scoring with the serving table as memory between batches.
 
     A batch is parsed and enriched, gets its users' features from the table as it stood before the batch, is
-    scored, and is written as documents and as the table's next batch.  The table must exist (it may be
-    empty).  A repeated batch ignores what its first run wrote.
+    scored, and is written as documents and as the table's next batch, laid out by user; its rejects go to a table
+    of their own.  The table must exist (it may be empty).  A repeated batch ignores what its first run wrote.
+
+    Batches are numbered from first_batch on.  A new checkpoint counts from the start again, so it must be given a
+    first_batch beyond the batches that the table holds; otherwise it would replace them, and the job refuses.
     """
+    held_already = [b for b in batches(spark, table) if b >= first_batch]
+    if held_already and not has_offsets(spark, checkpoint):
+        raise ValueError(f"{table} already holds batch {held_already[-1]} of another checkpoint; start with first_batch={held_already[-1] + 1}")
+    stored_fields = spark.read.option("basePath", table).parquet(table).schema.fields
+    columns = T.StructType([f for f in stored_fields if f.name not in (BATCH, BUCKET)])
 
-    def work(batch: DataFrame, batch_id: int) -> None:
+    def work(batch: DataFrame, number: int) -> None:
         held: list[DataFrame] = []
+        batch_id = first_batch + number
 
         def hold(df: DataFrame) -> DataFrame:
             held.append(df.persist())
             return held[-1]
 
         try:
-            rows = hold(parsed_rows(batch, dictionaries))
-            if rows.isEmpty():
+            parsed = hold(parsed_rows(batch))
+            append_batch(rejected(parsed), rejects, batch_id)
+            rows = hold(served_rows(parsed, dictionaries))
+            buckets = [r[0] for r in rows.select(user_bucket()).distinct().collect()]  # at most USER_BUCKETS
+            if not buckets:
                 return
             # Rows replaced by a later one are not history.
-            earlier = rows_until_cutoff(stored_rows(spark, table, before_batch=batch_id), rows, hold)
-            past = latest_per_key(earlier, SERVING_KEY, [BATCH, "partition", "offset"])
+            stored = stored_rows(spark, table, batch_id, columns, buckets)
+            past = latest_per_key(rows_until_cutoff(stored, rows, hold), SERVING_KEY, [BATCH, "partition", "offset"])
             featured = attach_features(rows, keyword_pivot(as_past(past)), ["bid_id"], hold)
             scored = hold(score_leads(model, featured))
             write_documents(scored.drop("partition", "offset"), f"{documents}/{BATCH}={batch_id}")
-            append_batch(scored, table, batch_id)
+            append_batch(scored, table, batch_id, by_user=True)
         finally:
             for df in held:
                 df.unpersist()
 
     return per_batch(messages, work, checkpoint, **trigger)
+
+
+def has_offsets(spark: SparkSession, checkpoint: str) -> bool:
+    """Has a query with this checkpoint begun a batch?"""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(checkpoint, "offsets")
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)

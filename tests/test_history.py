@@ -58,7 +58,7 @@ def test_large_side_path_is_equal(spark, rows, seed, monkeypatch):
     frames = [spark.createDataFrame(x, DDL) for x in (random_events(seed), random_events(seed + 50, 60))]
     expected = rows(hist.user_features(*frames)), rows(hist.reduce_history(*frames))
     monkeypatch.setattr(joins, "fits_broadcast", lambda df: False)
-    monkeypatch.setattr(joins, "HOT_SHARE", 5)
+    monkeypatch.setattr(joins, "PART_ROWS", 5)
     assert (rows(hist.user_features(*frames)), rows(hist.reduce_history(*frames).select(*frames[0].columns))) == (expected[0], rows(frames[0].join(frames[1], "ipinyou_id", "left_semi").select(*frames[0].columns)))
     assert len(expected[1]) > 0
 
@@ -97,3 +97,20 @@ def test_rows_of_a_user_share_the_later_features(spark):
     assert {r[1] for r in one(spark, history, batch)} == {"late"}
     asof = hist.keyword_asof(spark.createDataFrame(history + batch, DDL)).where(F.col("bid_id") == "b1").first()
     assert asof["bid_click_kw"] == "0"  # only the event itself is that old
+
+
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_asof_collects_no_lists(spark):
+    plan = plan_of(hist.keyword_asof(spark.createDataFrame(random_events(1), DDL)))
+    assert "collect_list" not in plan and "CartesianProduct" not in plan
+
+
+def test_pivot_counts_before_it_sorts(spark):
+    """No sort stands between the history rows and the first shuffle."""
+    frames = [spark.createDataFrame(x, DDL) for x in (random_events(1), random_events(2, 40))]
+    steps = [line for line in plan_of(hist.user_features(*frames)).splitlines() if "Sort" in line or "Exchange hashpartitioning" in line or "partial_count" in line]
+    first_count = max(i for i, line in enumerate(steps) if "partial_count" in line)
+    assert all("Sort [" not in line for line in steps[first_count:])

@@ -40,7 +40,7 @@ def test_boosted_trees_take_three_classes(spark):
 
 def test_titles(spark):
     titles = spark.createDataFrame([("line cook wanted", 0.0), ("java developer job", 1.0)] * 20, "title string, label double")
-    model = scoring.title_pipeline(titles, size=4).fit(titles)
+    model = scoring.title_pipeline(size=64).fit(titles)
     odd = spark.createDataFrame([("the of and",), ("cook",)], "title string")
     scored = scoring.classify_titles(model, odd).collect()
     assert len(scored) == 2 and all(abs(sum(r["probabilities"]) - 1) < 1e-9 for r in scored)

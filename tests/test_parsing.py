@@ -49,3 +49,16 @@ def test_strings(spark):
 def test_other_columns_stay(spark):
     df = spark.createDataFrame([(7, "\t".join(line()))], "offset long, value string")
     assert parsing.parse_lines(df, STREAM_SCHEMA).first()["offset"] == 7
+
+
+def test_empty_numbers_are_nulls_not_bad(spark):
+    parsed = parse(spark, line(ad_slot_width="", paying_price="", timestamp=""))
+    row = parsed.first()
+    assert row["reject_reason"] is None and row["ad_slot_width"] is None and row["paying_price"] is None and row["timestamp"] == ""
+
+
+def test_every_field_is_converted_once(spark):
+    parsed = parsing.accepted(parse(spark, line()))
+    plan = parsed._jdf.queryExecution().executedPlan().toString()
+    numbers = [f for f in STREAM_SCHEMA.fields if f.dataType.typeName() not in ("string",)]
+    assert plan.lower().count("try_cast(") + plan.lower().count("cast(") <= len(numbers) + 2

@@ -1,5 +1,6 @@
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bidtrail.operators import serving, text
 from bidtrail.operators.history import with_no_features
@@ -7,7 +8,7 @@ from bidtrail.plans import logview as view
 from bidtrail.plans import scoring
 from bidtrail.plans.enrichment import enrich_log
 from bidtrail.plans.queries import lead_rows
-from bidtrail.operators.parsing import accepted, drop_empty, parse_lines
+from bidtrail.operators.parsing import accepted, drop_empty, parse_lines, rejected
 from bidtrail.schemas import FEATURE_COLUMNS, MESSAGE_SCHEMA, PREDICTION_COLUMNS, STREAM_SCHEMA
 from bidtrail.sources.messages import file_stream
 from bidtrail.streaming import jobs
@@ -35,9 +36,29 @@ def source(spark, messages, tmp_path):
 
 def test_enriched_stream_equals_batch(spark, source, messages, known, rows, tmp_path):
     out = str(tmp_path / "out")
-    jobs.enrich_stream(source, known, out, str(tmp_path / "cp"), once=True).awaitTermination()
+    jobs.enrich_stream(source, known, out, str(tmp_path / "rejects"), str(tmp_path / "cp"), once=True).awaitTermination()
     batch = enrich_log(accepted(parse_lines(drop_empty(messages.select("value")), STREAM_SCHEMA)), known, slot_size=True)
-    assert rows(spark.read.parquet(out)) == rows(batch)
+    assert rows(spark.read.parquet(out).drop("batch_id")) == rows(batch)
+    assert spark.read.parquet(str(tmp_path / "rejects")).isEmpty()
+
+
+def test_accepted_and_rejected_are_all_that_was_read(spark, messages, tmp_path):
+    parsed = jobs.parsed_rows(view.damaged_messages(messages))
+    assert accepted(parsed).count() + rejected(parsed).count() == messages.count() == 1000
+    path, out = str(tmp_path / "damaged"), str(tmp_path / "out")
+    view.damaged_messages(messages).write.parquet(path)
+    stream = file_stream(spark, path, MESSAGE_SCHEMA)
+    jobs.parse_stream(stream, STREAM_SCHEMA, lambda log: log.select("bid_id"), out, f"{out}-rejects", str(tmp_path / "cp"), once=True).awaitTermination()
+    good, bad = spark.read.parquet(out), spark.read.parquet(f"{out}-rejects")
+    assert good.count() + bad.count() == 1000
+    assert {r[0] for r in bad.select("reject_reason").distinct().collect()} == {"too few fields", "bad value: ad_slot_width"}
+
+
+def test_keyword_documents_skip_an_empty_batch(spark, messages, known, tmp_path):
+    path, out = str(tmp_path / "bad"), str(tmp_path / "docs")
+    messages.limit(3).withColumn("value", F.lit("no line")).write.parquet(path)
+    jobs.keyword_documents(file_stream(spark, path, MESSAGE_SCHEMA), known, out, str(tmp_path / "rejects"), str(tmp_path / "cp"), once=True).awaitTermination()
+    assert not (tmp_path / "docs").exists() and spark.read.parquet(str(tmp_path / "rejects")).count() == 3
 
 
 def test_restart_adds_only_new_rows(spark, source, tmp_path):
@@ -66,9 +87,9 @@ def model(spark):
 def scored_table(spark, messages, known, model, tmp_path, name, files, repeat=1):
     """Score the messages cut into files by offset; each file is one batch."""
     root = tmp_path / name
-    parsed = jobs.parsed_rows(messages, known)
+    parsed = jobs.served_rows(jobs.parsed_rows(messages), known)
     table = str(root / "table")
-    serving.create_table(scoring.score_leads(model, with_no_features(parsed)), table)
+    serving.create_table(scoring.score_leads(model, with_no_features(parsed)), table, by_user=True)
     edge = [i * 1000 // files for i in range(files + 1)]
     for low, high in zip(edge, edge[1:]):
         part = messages.where((F.col("offset") >= low) & (F.col("offset") < high))
@@ -76,7 +97,7 @@ def scored_table(spark, messages, known, model, tmp_path, name, files, repeat=1)
         for run in range(repeat):
             stream = file_stream(spark, str(root / "source"), MESSAGE_SCHEMA)
             checkpoint = str(root / "cp")
-            jobs.score_stream(spark, stream, known, model, table, str(root / "docs"), checkpoint, once=True).awaitTermination()
+            jobs.score_stream(spark, stream, known, model, table, str(root / "docs"), str(root / "rejects"), checkpoint, once=True).awaitTermination()
     return table
 
 
@@ -93,10 +114,59 @@ def test_batches_see_what_came_before(spark, messages, known, model, rows, tmp_p
     assert spark.read.text(str(tmp_path / "a" / "docs")).count() == stored.count()
 
 
-def test_repeated_batch_changes_nothing(spark, messages, known, model, rows, tmp_path):
+def test_another_checkpoint_does_not_replace_batches(spark, messages, known, model, rows, tmp_path):
     table = scored_table(spark, messages, known, model, tmp_path, "b", files=1)
     kept = ["bid_id", *FEATURE_COLUMNS, *PREDICTION_COLUMNS]
     once = rows(spark.read.parquet(table).select(kept))
-    stream = file_stream(spark, str(tmp_path / "b" / "source"), MESSAGE_SCHEMA)
-    jobs.score_stream(spark, stream, known, model, table, str(tmp_path / "b" / "docs"), str(tmp_path / "cp2"), once=True).awaitTermination()
+
+    def again(**options):
+        stream = file_stream(spark, str(tmp_path / "b" / "source"), MESSAGE_SCHEMA)
+        return jobs.score_stream(spark, stream, known, model, table, str(tmp_path / "docs"), str(tmp_path / "r"), str(tmp_path / "cp2"), once=True, **options)
+
+    with pytest.raises(ValueError, match="first_batch=1"):
+        again()
     assert rows(spark.read.parquet(table).select(kept)) == once
+    again(first_batch=1).awaitTermination()
+    assert rows(spark.read.parquet(table).where("batch_id = 0").select(kept)) == once
+    assert serving.batches(spark, table) == [serving.BASE, 0, 1]
+
+
+def test_repeated_batch_changes_nothing(spark, messages, known, model, rows, tmp_path):
+    """The commit of a batch gets lost; the restarted query runs it again."""
+    table = scored_table(spark, messages, known, model, tmp_path, "c", files=1)
+    kept = ["bid_id", *FEATURE_COLUMNS, *PREDICTION_COLUMNS]
+    once = rows(spark.read.parquet(table).select(kept))
+    lost = [p for p in (tmp_path / "c" / "cp" / "commits").iterdir()]
+    assert lost
+    for p in lost:
+        p.unlink()
+    stream = file_stream(spark, str(tmp_path / "c" / "source"), MESSAGE_SCHEMA)
+    jobs.score_stream(spark, stream, known, model, table, str(tmp_path / "c" / "docs"), str(tmp_path / "c" / "rejects"), str(tmp_path / "c" / "cp"), once=True).awaitTermination()
+    assert rows(spark.read.parquet(table).select(kept)) == once
+
+
+def test_order_of_messages_does_not_matter(spark, messages, known, model, rows, tmp_path):
+    """Both keyword rows of a message stay, whatever the order of the input."""
+    tables = [
+        scored_table(spark, part, known, model, tmp_path, name, files=3)
+        for name, part in (("d", messages), ("e", messages.orderBy(F.xxhash64("offset"))))
+    ]
+    kept = ["bid_id", "keyword_name", *FEATURE_COLUMNS, *PREDICTION_COLUMNS]
+    first, second = (rows(serving.current_rows(spark, t, ["partition", "offset"]).select(kept)) for t in tables)
+    assert first == second and spark.read.parquet(tables[0]).where("batch_id >= 0").select("batch_id").distinct().count() == 3
+
+
+def test_a_batch_of_few_users_reads_few_buckets(spark, messages, known, model, tmp_path):
+    table = scored_table(spark, messages, known, model, tmp_path, "f", files=1)
+    schema = T.StructType([f for f in spark.read.parquet(table).schema.fields if f.name not in (serving.BATCH, serving.BUCKET)])
+    user = spark.read.parquet(table).first()["ipinyou_id"]
+    bucket = spark.createDataFrame([(user,)], "ipinyou_id string").select(serving.user_bucket()).first()[0]
+    few = serving.stored_rows(spark, table, schema=schema, buckets=[bucket])
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "user_bucket" in plan.split("PartitionFilters")[1].split("]")[0]
+    everything = serving.stored_rows(spark, table, schema=schema)
+    assert 0 < few.count() < everything.count()
+    assert few.where(F.col("ipinyou_id") == user).count() == everything.where(F.col("ipinyou_id") == user).count() > 0
+    folded = str(tmp_path / "folded")
+    serving.compact(spark, table, folded, ["partition", "offset"], by_user=True)
+    assert serving.stored_rows(spark, folded, schema=schema, buckets=[bucket]).where(F.col("ipinyou_id") == user).count() > 0
