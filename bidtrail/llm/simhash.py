@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stored
-from .common import slices, texts, tuned
+from .common import buckets_of, slices, texts, tuned
 
 SHINGLE = 3
 RADIUS = 3
@@ -85,10 +85,13 @@ def _half_keys(bits: DataFrame, most: int) -> DataFrame:
 
 def links(bits: DataFrame, pairs_up_to: int = PAIRS_UP_TO) -> DataFrame:
     """a, b: links that connect exactly the fingerprints (distinct, column bits) reachable over RADIUS or fewer bits."""
-    emitted = _half_keys(bits, RADIUS // 2)
+    # A few bytes become many rows here, so rows are dealt out by number, not merged by size.  (By another expression
+    # than the one they may be dealt out by already: Spark would drop the step.)
+    tasks = buckets_of(bits.sparkSession)
+    emitted = _half_keys(bits.repartition(tasks, F.shiftright("bits", 1)), RADIUS // 2)
     sizes = emitted.groupBy("half", "key").agg(F.count("*").alias("n"), F.sum(F.col("own").cast("int")).alias("own_n"))
     shared = stored(sizes.where("own_n >= 1 AND n >= 2"))
-    members = stored(emitted.join(shared, ["half", "key"]))
+    members = stored(emitted.join(shared, ["half", "key"]))  # broadcast only if the stored table is small
 
     few = members.where(F.col("n") <= pairs_up_to)
     a = few.where("own").select("half", "key", F.col("bits").alias("a"))
@@ -96,12 +99,13 @@ def links(bits: DataFrame, pairs_up_to: int = PAIRS_UP_TO) -> DataFrame:
     close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= RADIUS
     pairs = a.join(b, ["half", "key"]).where((F.col("a") != F.col("b")) & close).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
-    crowded = members.where(F.col("n") > pairs_up_to).select("bits").distinct()
+    crowded = members.where(F.col("n") > pairs_up_to).select("bits").repartition(tasks, "bits").distinct()
     outer = F.explode(F.array(*map(F.lit, _flips(RADIUS - RADIUS // 2, 64))).cast("array<bigint>"))
     balls = crowded.withColumn("mask", outer).select("bits", F.col("bits").bitwiseXOR(F.col("mask")).alias("variant"), (F.bit_count("mask") <= RADIUS // 2).alias("inner"))
     centres = balls.groupBy("variant").agg(F.min(F.when(F.col("inner"), F.col("bits"))).alias("centre"), F.count("*").alias("n"))
     centres = centres.where("centre IS NOT NULL AND n >= 2").drop("n")
-    stars = balls.join(centres, "variant").where("bits <> centre").select(F.least("bits", "centre").alias("a"), F.greatest("bits", "centre").alias("b"))
+    # Spark takes an exploded side to be as small as its source; neither of these may be broadcast.
+    stars = balls.join(centres.hint("merge"), "variant").where("bits <> centre").select(F.least("bits", "centre").alias("a"), F.greatest("bits", "centre").alias("b"))
     return pairs.unionByName(stars).distinct()
 
 
@@ -128,12 +132,12 @@ def components(edges: DataFrame) -> DataFrame:
         before = size
 
 
-def near_duplicates(docs: DataFrame, carry: list[str] = (), pairs_up_to: int = PAIRS_UP_TO) -> DataFrame:
+def near_duplicates(docs: DataFrame, pairs_up_to: int = PAIRS_UP_TO) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable over links of RADIUS or fewer bits).
 
     One row per row of docs.  Null or empty texts have fingerprint zero and link like others; a null id never names a
-    component unless all ids of it are null; equal rows stay separate rows; an empty table gives an empty one.  Columns
-    in `carry` come along; others are ignored.
+    component unless all ids of it are null; equal rows stay separate rows; an empty table gives an empty one; other
+    columns are ignored.
     """
     spark = tuned(docs.sparkSession)
     marked = stored(fingerprints(docs))
@@ -142,5 +146,4 @@ def near_duplicates(docs: DataFrame, carry: list[str] = (), pairs_up_to: int = P
     grouped = classes.join(roots, F.col("bits") == F.col("node"), "left").select("bits", "first", F.coalesce("root", "bits").alias("root"))
     names = grouped.groupBy("root").agg(F.min("first").alias("component_id"))
     named = stored(grouped.join(names, "root").select("bits", "component_id"))
-    out = marked.join(named, "bits").select("doc_id", F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint"), "component_id")
-    return out
+    return marked.join(named, "bits").select("doc_id", F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint"), "component_id")
