@@ -11,13 +11,12 @@ from pyspark.sql import functions as F
 
 from ..schemas import UA_COLUMNS
 
-# Browser rules, tried in this order; the first whose marks all occur in the text wins.
+# Browser rules, tried in this order; the first whose marks all occur in the text, in upper or lower
+# case, wins.
 # (name, marks, text before the version, group, name carries the major version, type, manufacturer, rendering engine)
 BROWSERS = [
     ("BOT", ["bot"], "bot/", "BOT", False, "ROBOT", "OTHER", "OTHER"),
-    ("BOT", ["Bot"], "Bot/", "BOT", False, "ROBOT", "OTHER", "OTHER"),
     ("SPIDER", ["spider"], "spider/", "BOT", False, "ROBOT", "OTHER", "OTHER"),
-    ("SPIDER", ["Spider"], "Spider/", "BOT", False, "ROBOT", "OTHER", "OTHER"),
     ("EDGE", ["Edge/"], "Edge/", "EDGE", True, "WEB_BROWSER", "MICROSOFT", "EDGE_HTML"),
     ("EDGE", ["Edg/"], "Edg/", "EDGE", True, "WEB_BROWSER", "MICROSOFT", "BLINK"),
     ("OPERA", ["OPR/"], "OPR/", "OPERA", True, "WEB_BROWSER", "OPERA", "BLINK"),
@@ -64,45 +63,47 @@ VERSION = r"^\d+(?:\.\d+)*"
 # The expressions are SQL texts: built from the tables in one piece, they reach Spark in a few calls.
 
 
-def _first_rule(text: str, rules: list[tuple]) -> str:
-    """Number (from 0) of the first rule whose marks all occur in the text; null if there is none."""
+def _first_rule(rules: list[tuple]) -> str:
+    """Number (from 0) of the first rule whose marks all occur in _text; null if there is none."""
     cases = [
-        "WHEN " + " AND ".join(f"contains({text}, '{mark}')" for mark in rule[1]) + f" THEN {number}"
+        "WHEN " + " AND ".join(f"contains(_text, '{mark.lower()}')" for mark in rule[1]) + f" THEN {number}"
         for number, rule in enumerate(rules)
     ]
     return f"CASE {' '.join(cases)} END"
 
 
-def _field(rules: list[tuple], position: int, number: str) -> str:
-    """One field of the numbered rule, from a constant array."""
-    cells = [str(v).lower() if isinstance(v, bool) else f"'{v}'" for v in (rule[position] for rule in rules)]
-    return f"get(array({', '.join(cells)}), {number})"
+def _rules(rules: list[tuple]) -> str:
+    """The rules without their marks as a constant array of structs with fields f0, f2, ..."""
+    def cell(value) -> str:
+        return str(value).lower() if isinstance(value, bool) else f"'{value}'"
+
+    rows = [", ".join(f"{cell(v)} AS f{i}" for i, v in enumerate(rule) if not isinstance(v, list)) for rule in rules]
+    return f"array({', '.join(f'struct({row})' for row in rows)})"
 
 
 def _with_parts(df: DataFrame, source: str) -> DataFrame:
-    """Append the matching rules and the version text, each worked out once, in projections of their own.
+    """Append the matching rules (_browser, _system, and as structs _b, _s) and the version text (_version).
 
-    Spark keeps the projections apart because each reads the one below more than once; together they would
-    make a method too long for the JVM to compile.
+    Each is worked out once, in projections of their own: Spark keeps them apart because each reads the one below more
+    than once.  The lambda around lower() is there because Spark ends the compiled method of a stage at a lambda:
+    the rules and the joins below them together would make a method too long for the JVM to compile.
     """
-    text = f"`{source}`"
-    matched = df.selectExpr("*", f"{_first_rule(text, BROWSERS)} AS _browser")
-    rest = f"split_part({text}, {_field(BROWSERS, 2, '_browser')}, 2)"
-    version = f"CASE WHEN _browser IS NOT NULL THEN nullif(regexp_extract({rest}, r'{VERSION}', 0), '') END"
-    return matched.selectExpr("*", f"{version} AS _version", f"{_first_rule(text, SYSTEMS)} AS _system")
+    lowered = df.selectExpr("*", f"get(transform(array(`{source}`), t -> lower(t)), 0) AS _text")
+    matched = lowered.selectExpr("*", f"{_first_rule(BROWSERS)} AS _browser", f"{_first_rule(SYSTEMS)} AS _system")
+    found = matched.selectExpr("*", f"get({_rules(BROWSERS)}, _browser) AS _b", f"get({_rules(SYSTEMS)}, _system) AS _s")
+    version = f"CASE WHEN _browser IS NOT NULL THEN nullif(regexp_extract(split_part(_text, lower(_b.f2), 2), r'{VERSION}', 0), '') END"
+    return found.selectExpr("*", f"{version} AS _version")
 
 
 def _ua_columns() -> dict[str, str]:
     """Every user-agent column, from the parts."""
     major, minor, third = (f"split_part(_version, '.', {part})" for part in (1, 2, 3))
-    browser = [_field(BROWSERS, position, "_browser") for position in range(8)]
-    system = [_field(SYSTEMS, position, "_system") for position in range(6) if position != 1]
     return {
-        "ua_browser": f"concat({browser[0]}, CASE WHEN {browser[4]} THEN coalesce({major}, '') ELSE '' END)",
-        "ua_browser_type": browser[5],
-        "ua_browser_group": browser[3],
-        "ua_browser_manufacturer": browser[6],
-        "ua_browser_rendering_engine": browser[7],
+        "ua_browser": f"concat(_b.f0, CASE WHEN _b.f4 THEN coalesce({major}, '') ELSE '' END)",
+        "ua_browser_type": "_b.f5",
+        "ua_browser_group": "_b.f3",
+        "ua_browser_manufacturer": "_b.f6",
+        "ua_browser_rendering_engine": "_b.f7",
         # Only 'N' and 'N.N' are tried: a failing conversion of each row would cost more than all the rest.
         "ua_browser_version": f"CASE WHEN {third} = '' THEN try_cast(_version AS double) END",
         "ua_browser_version_minor": f"try_cast(nullif({minor}, '') AS int)",
@@ -110,11 +111,11 @@ def _ua_columns() -> dict[str, str]:
         # A stable number of the (browser rule, major version, system rule) triple.
         "ua_id": f"""CASE WHEN _browser IS NOT NULL OR _system IS NOT NULL THEN (coalesce(_browser, -1) + 1) * 10000000
             + pmod(coalesce(try_cast({major} AS int), 0), 100000) * 100 + coalesce(_system, -1) + 1 END""",
-        "ua_os": system[0],
-        "ua_os_name": system[1],
-        "ua_os_device": system[2],
-        "ua_os_group": system[3],
-        "ua_os_manufacturer": system[4],
+        "ua_os": "_s.f0",
+        "ua_os_name": "_s.f2",
+        "ua_os_device": "_s.f3",
+        "ua_os_group": "_s.f4",
+        "ua_os_manufacturer": "_s.f5",
     }
 
 

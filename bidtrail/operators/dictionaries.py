@@ -58,8 +58,14 @@ def join_state(log: DataFrame, state: DataFrame) -> DataFrame:
 
 
 def join_keyword(log: DataFrame, keyword: DataFrame) -> DataFrame:
-    """Left join of the tag text to the keyword id; keyword_name falls back to the tag text."""
-    matched = log.join(keyword, tag_key(log["user_tags"]) == keyword["keyword_id"], "left")
+    """Left join of the tag text to the keyword id; keyword_name falls back to the tag text.
+
+    Lists of tags and missing tags have no key.  Where both sides are shuffled, such rows are dealt out by a hash of
+    the row instead of meeting in one task; the second condition keeps that hash from matching anything.
+    """
+    key = tag_key(log["user_tags"])
+    dealt_by = F.coalesce(key, F.xxhash64(*[log[c] for c in log.columns[:3]]))
+    matched = log.join(keyword, (dealt_by == keyword["keyword_id"]) & key.isNotNull(), "left")
     return matched.select(
         *[log[c] for c in log.columns],
         keyword_or_tags(keyword["keyword_name"], log["user_tags"]).alias("keyword_name"),

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import event_time_text
+from ..functions.useragent import BROWSERS, SYSTEMS
 from ..operators.dictionaries import Dictionaries, keyword_dictionary
 from ..schemas import BATCH_LAYOUT, RAW_LAYOUT, STREAM_LAYOUT
 
@@ -219,3 +220,18 @@ def damaged_messages(messages: DataFrame) -> DataFrame:
     wide = F.array_join(F.concat(F.slice(fields, 1, 12), F.array(F.lit("wide")), F.slice(fields, 14, 10)), "\t")
     bad = F.when(F.col("offset") % 17 == 0, cut).when(F.col("offset") % 23 == 0, wide)
     return messages.withColumn("value", F.coalesce(bad, "value"))
+
+
+def rule_agents(events: DataFrame) -> DataFrame:
+    """bid_id and a user-agent text for each event: the marks of one browser rule, a version, the marks of one system rule.
+
+    event_id walks through all pairs of rules, one more of each standing for no rule; every other text is in capitals.
+    """
+    browsers = [" ".join([*[m for m in marks if m != before], before]) for _, marks, before, *_ in BROWSERS] + ["Thing/"]
+    systems = [" ".join(marks) for _, marks, *_ in SYSTEMS] + ["Other"]
+    event, k = F.col("event_id"), F.get_json_object("props", "$.k")
+    browser = F.element_at(F.lit(browsers), (F.pmod(event, F.lit(len(browsers))) + 1).cast("int"))
+    system = F.element_at(F.lit(systems), (F.pmod(F.floor(event / len(browsers)), F.lit(len(systems))) + 1).cast("int"))
+    version = F.when(event % 3 == 0, F.concat(k, F.lit(".1.2"))).when(event % 3 == 1, F.concat(k, F.lit(".7"))).otherwise(k)
+    agent = F.concat(browser, version, F.lit("; "), system)
+    return events.select(event.cast("string").alias("bid_id"), F.when(event % 2 == 0, F.upper(agent)).otherwise(agent).alias("user_agent"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from ..functions.useragent import BROWSERS, SYSTEMS
 from .logview import LOG_TYPES, RECENT_DAYS, USER_AGENTS
 from ..operators.text import ENGLISH_STOP_WORDS
 from ..schemas import FEATURE_OF_LOG_TYPE, RAW_LAYOUT, SERVED_BID_COLUMNS, SERVED_DICTIONARY_COLUMNS, UA_COLUMNS
@@ -123,7 +124,7 @@ _UA = {
     "ua_browser_version": [None, 4.0, 8.0, None],
     "ua_browser_version_minor": [0, 0, 0, 0],
     "ua_browser_version_major": [21, 4, 8, 21],
-    "ua_id": [150002105, 160000413, 110000808, 150002108],
+    "ua_id": [130002105, 140000413, 90000808, 130002108],
     "ua_os": ["WINDOWS_7", "ANDROID4", "WINDOWS_XP", "WINDOWS_XP"],
     "ua_os_name": ["Windows 7", "Android 4.x", "Windows XP", "Windows XP"],
     "ua_os_device": ["COMPUTER", "MOBILE", "COMPUTER", "COMPUTER"],
@@ -360,4 +361,40 @@ ORACLES: dict[str, str] = {
         final AS (SELECT *, rank() OVER (PARTITION BY ipinyou_id, "timestamp" ORDER BY b DESC, event_id DESC) AS r FROM scored)
         SELECT ipinyou_id, "timestamp", {_FEATURE_LIST}, TRUE AS adds_up, TRUE AS larger_wins FROM final WHERE r = 1""",
 }
+
+
+def _rule_query() -> str:
+    """User-agent columns from the rule tables by one CASE a column, over texts put together in SQL."""
+    def quoted(value) -> str:
+        return "NULL" if value is None else f"'{value}'"
+
+    def chain(rules: list[tuple], of) -> str:
+        return "CASE " + " ".join("WHEN " + " AND ".join(f"contains(low, '{m.lower()}')" for m in r[1]) + f" THEN {of(i, r)}" for i, r in enumerate(rules)) + " END"
+
+    starts = [" ".join([*[m for m in r[1] if m != r[2]], r[2]]) for r in BROWSERS] + ["Thing/"]
+    ends = [" ".join(r[1]) for r in SYSTEMS] + ["Other"]
+    start = f"CASE event_id % {len(starts)} " + " ".join(f"WHEN {i} THEN '{t}'" for i, t in enumerate(starts)) + " END"
+    end = f"CASE (event_id // {len(starts)}) % {len(ends)} " + " ".join(f"WHEN {i} THEN '{t}'" for i, t in enumerate(ends)) + " END"
+    version = "CASE event_id % 3 WHEN 0 THEN k || '.1.2' WHEN 1 THEN k || '.7' ELSE k END"
+    named = {"ua_browser_group": 3, "ua_browser_type": 5, "ua_browser_manufacturer": 6, "ua_browser_rendering_engine": 7}
+    systems = {"ua_os": 0, "ua_os_name": 2, "ua_os_device": 3, "ua_os_group": 4, "ua_os_manufacturer": 5}
+    return f"""WITH ev AS (SELECT event_id, regexp_extract(props, '[0-9]+') AS k FROM events),
+        made AS (SELECT event_id, {start} || {version} || '; ' || {end} AS agent FROM ev),
+        texts AS (SELECT CAST(event_id AS VARCHAR) AS bid_id, CASE WHEN event_id % 2 = 0 THEN upper(agent) ELSE agent END AS user_agent FROM made),
+        low AS (SELECT *, lower(user_agent) AS low FROM texts),
+        found AS (SELECT *, {chain(BROWSERS, lambda i, r: i)} AS b, {chain(SYSTEMS, lambda i, r: i)} AS s,
+          {chain(BROWSERS, lambda i, r: quoted(r[2].lower()))} AS mark, {chain(BROWSERS, lambda i, r: str(r[4]).upper())} AS numbered FROM low),
+        versions AS (SELECT *, CASE WHEN strpos(low, mark) > 0 THEN nullif(regexp_extract(substr(low, strpos(low, mark) + length(mark)), '^[0-9]+([.][0-9]+)*'), '') END AS v FROM found),
+        split AS (SELECT *, split_part(v, '.', 1) AS major, split_part(v, '.', 2) AS minor, split_part(v, '.', 3) AS third FROM versions)
+        SELECT bid_id, user_agent,
+          {chain(BROWSERS, lambda i, r: quoted(r[0]))} || CASE WHEN numbered THEN coalesce(major, '') ELSE '' END AS ua_browser,
+          {", ".join(f"{chain(BROWSERS, lambda i, r, p=p: quoted(r[p]))} AS {n}" for n, p in named.items())},
+          {", ".join(f"{chain(SYSTEMS, lambda i, r, p=p: quoted(r[p]))} AS {n}" for n, p in systems.items())},
+          CASE WHEN third = '' THEN CAST(v AS DOUBLE) END AS ua_browser_version,
+          CAST(nullif(minor, '') AS INTEGER) AS ua_browser_version_minor, CAST(major AS INTEGER) AS ua_browser_version_major,
+          CAST(CASE WHEN b IS NOT NULL OR s IS NOT NULL THEN (coalesce(b, -1) + 1) * 10000000 + coalesce(CAST(major AS INTEGER), 0) % 100000 * 100
+            + coalesce(s, -1) + 1 END AS INTEGER) AS ua_id FROM split"""
+
+
+ORACLES["ua_rules"] = _rule_query()
 ORACLES["stream_index_doc"] = ORACLES["enrich_index_doc"]

@@ -336,6 +336,11 @@ def ua_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ua.add_user_agent_columns(_log(spark, sf_dir).select("bid_id", "user_agent"), with_type=True)
 
 
+def ua_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every browser and system rule, on texts that reach them."""
+    return ua.add_user_agent_columns(view.rule_agents(view.table(spark, sf_dir, "events")), with_type=True)
+
+
 def ua_enrich_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, out = scratch_path(spark, "agents"), scratch_path(spark, "agents-parsed")
     serving.write_tsv(_log(spark, sf_dir).select("bid_id", "timestamp", "ipinyou_id", "ip", "user_agent"), source)
@@ -621,7 +626,7 @@ QUERIES: dict[str, Query] = {
         keyword_dictionary, keyword_fallback,
         history_range_join, history_semi_join, user_keyword_pivot, user_keyword_asof, attach_features,
         word_count, row_count, stream_word_count,
-        geo_point, ad_slot_size, user_tags_array, event_time, ua_enrich, ua_enrich_tsv,
+        geo_point, ad_slot_size, user_tags_array, event_time, ua_enrich, ua_rules, ua_enrich_tsv,
         stream_enrich, stream_rejects, stream_index_doc, keyword_stream_docs, log_folder_job, serving_text_row,
         train_from_file, stream_score, train_lead_model, score_leads, mispredictions, train_boosted_trees,
         classify_titles,

@@ -1,7 +1,10 @@
 import pytest
 from pyspark.sql import functions as F
 
+from bidtrail.operators.dictionaries import join_keyword
+from bidtrail.operators.parsing import accepted, parse_lines
 from bidtrail.operators.serving import serving_text_row
+from bidtrail.plans import logview as view
 from bidtrail.plans.enrichment import enrich_index_document, enrich_log, enrich_log_folder
 from bidtrail.schemas import (
     BATCH_LAYOUT, BATCH_SCHEMA, FEATURE_COLUMNS, RAW_LAYOUT, SERVED_BID_COLUMNS, SERVED_DICTIONARY_COLUMNS, STREAM_SCHEMA, UA_COLUMNS,
@@ -78,8 +81,11 @@ def test_log_folder_job(spark, known, tmp_path):
     (logs / "site-click.20130606-aa.txt").write_text(line + "\n")
     (logs / "deep" / "site-open.20130607-aa.txt").write_text(line.replace("b1", "b2") + "\n")
     assert {(r["bid_id"], r["log_date"]) for r in read_log_folder(spark, str(logs), BATCH_SCHEMA).collect()} == {("b1", "20130606"), ("b2", "20130607")}
-    enrich_log_folder(spark, str(logs), known, str(tmp_path / "out"))
-    stored = spark.read.parquet(str(tmp_path / "out"))
+    (logs / "site-open.20130608-aa.txt").write_text(line + "\tignored\nonly\tthree\tfields\n")
+    enrich_log_folder(spark, str(logs), known, str(tmp_path / "out"), str(tmp_path / "rejects"))
+    bad = spark.read.parquet(str(tmp_path / "rejects")).collect()
+    assert [(r["bid_id"], r["log_date"], r["reject_reason"]) for r in bad] == [("only", "20130608", "too few fields")]
+    stored = spark.read.parquet(str(tmp_path / "out")).where("log_date < '20130608'")
     assert stored.count() == 2 and {"predict", "log_date"} <= set(stored.columns)
 
 
@@ -95,3 +101,46 @@ def test_text_row_has_52_columns(spark, known):
 def test_labelled_csv(spark, tmp_path):
     (tmp_path / "train.csv").write_text("price,sitelead\n1.5,TRUE\n2,FALSE\n")
     assert dict(read_labelled_csv(spark, str(tmp_path / "train.csv")).dtypes) == {"price": "double", "sitelead": "boolean"}
+
+
+def method_sizes(spark, df):
+    """Largest compiled method of each stage of a frame."""
+    names = ("spark.sql.adaptive.enabled", "spark.sql.codegen.hugeMethodLimit")
+    before = {name: spark.conf.get(name) for name in names}
+    for name, value in zip(names, ("false", "65535")):
+        spark.conf.set(name, value)
+    try:
+        stages = df.select("*")._jdf.queryExecution().debug().codegenToSeq()
+        return [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def test_no_method_is_too_long_to_compile(spark, tmp_path):
+    """Stages of the enriching jobs: parsing, and enriching what was parsed and held."""
+    folder = "/root/testdata/sf0.001"
+    known = view.dictionaries(spark, folder)
+    lines = view.log_messages(spark, folder, view.table(spark, folder, "events")).select("value")
+    lines.write.parquet(str(tmp_path / "lines"))
+    parsed = parse_lines(spark.read.parquet(str(tmp_path / "lines")), STREAM_SCHEMA)
+    accepted(parsed).write.parquet(str(tmp_path / "parsed"))
+    held = spark.read.parquet(str(tmp_path / "parsed"))
+    log = view.bid_log(spark, folder, BATCH_LAYOUT)
+    for job in (parsed, enrich_log(held, known, slot_size=True), enrich_log(log, known, extra=["predict"], slot_size=True)):
+        assert max(method_sizes(spark, job)) < 8000
+
+
+def test_rows_without_a_keyword_key_are_spread(spark):
+    """Joined by shuffle, rows without a key do not meet in one partition, and match nothing."""
+    log = spark.range(4000).select(F.col("id").cast("string").alias("bid_id"), F.when(F.col("id") % 2 == 0, "1,2").alias("user_tags"))
+    keyword = spark.range(-50, 50).select(F.col("id").alias("keyword_id"), F.lit("k").alias("keyword_name")).hint("merge")
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = join_keyword(log, keyword)
+        assert joined.where("keyword_name = 'k'").isEmpty() and joined.count() == 4000
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(sizes) == 4 and max(sizes) < 1500
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)

@@ -16,6 +16,7 @@ CASES = {
     "Mozilla/5.0 (compatible; Googlebot/2.1; +http://www.google.com/bot.html)": ("BOT", "BOT", "OTHER", 2.1, 2, 1, None, None),
     "Mozilla/5.0 (Macintosh; Intel Mac OS X 10_8_4) AppleWebKit/536.30.1 Version/6.0.5 Safari/536.30.1": ("SAFARI6", "SAFARI", "APPLE", None, 6, 0, "MAC_OS_X", "COMPUTER"),
     "Mozilla/5.0 (Windows NT 10.0) AppleWebKit/537.36 Chrome/120.0 Safari/537.36 Edg/120.0": ("EDGE120", "EDGE", "MICROSOFT", 120.0, 120, 0, "WINDOWS_10", "COMPUTER"),
+    "GOOGLEBOT/3.0": ("BOT", "BOT", "OTHER", 3.0, 3, 0, None, None),
     "something else": (None,) * 8,
     "": (None,) * 8,
 }
