@@ -1,6 +1,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from bidtrail.plans.queries import _scored_leads
 from check import compare, connect, type_differences
 
 SF = "/root/testdata/sf0.001"
@@ -27,4 +28,9 @@ def test_entry(spark):
 
 
 def test_titles_all_classified(spark):
-    assert entry.queries()["classify_titles"](spark, SF).where("predicted IN (0, 1, 2)").count() == 87
+    assert entry.queries()["classify_titles"](spark, SF).where("adds_up AND larger_wins").count() == 87
+
+
+def test_lead_scores_differ_between_rows(spark):
+    scored = _scored_leads(spark, SF)
+    assert scored.count() > 900 and scored.select("true_prob").distinct().count() > 100
