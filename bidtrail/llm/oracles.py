@@ -31,5 +31,33 @@ SELECT page_id, url, host, path, rule, CASE
     ELSE 'allow'
 END AS verdict
 FROM ruled
+""",
+    # Every 50-byte string of every document, as numbers of eight bytes each, with the first document that has it.
+    "op1_suffix_dedup": """
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(hex(encode(coalesce(text, ''))), '..') AS digits FROM documents
+), bytes AS (
+    SELECT doc_id, len(digits) AS n, unnest(digits) AS x, unnest(range(len(digits))) AS i FROM d
+), blocks AS (
+    SELECT *, CAST(('0x' || string_agg(x, '') OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING)) AS UBIGINT) AS b FROM bytes
+), strings AS (
+    SELECT doc_id, i AS p, n, row(b, lead(b, 8) OVER w, lead(b, 16) OVER w, lead(b, 24) OVER w, lead(b, 32) OVER w, lead(b, 40) OVER w, lead(b, 42) OVER w) AS s
+    FROM blocks WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+), firsts AS (
+    SELECT s, min(doc_id) AS first FROM strings WHERE p <= n - 50 GROUP BY s
+), hits AS (
+    SELECT doc_id, p FROM strings JOIN firsts USING (s) WHERE p <= n - 50 AND first < doc_id
+), marked AS (
+    SELECT b.doc_id, i, x, coalesce(max(p) OVER (PARTITION BY b.doc_id ORDER BY i) > i - 50, FALSE) AS gone
+    FROM bytes b LEFT JOIN hits t ON t.doc_id = b.doc_id AND t.p = b.i
+), runs AS (
+    SELECT *, gone AND NOT lag(gone, 1, FALSE) OVER (PARTITION BY doc_id ORDER BY i) AS begins FROM marked
+), kept AS (
+    SELECT doc_id, count(*) FILTER (gone) AS n_removed, count(*) FILTER (begins) AS n_spans, string_agg(x, '' ORDER BY i) FILTER (NOT gone) AS hex_kept
+    FROM runs GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(digits) AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+    sha256(unhex(coalesce(hex_kept, ''))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
 """,
 }
