@@ -32,7 +32,7 @@ from ..session import stored
 from .common import buckets_of, tuned, utf8
 
 WINDOW = 50
-GRAM = 16
+GRAM = 20
 SPAN = WINDOW - GRAM + 1
 BLOCK_BYTES = 1 << 20
 LONGEST_RUN = 256
@@ -66,10 +66,22 @@ def grams8(data: np.ndarray) -> np.ndarray:
     return (a[:-4] << U(32)) | a[4:]
 
 
-def gram_hashes(data: np.ndarray) -> np.ndarray:
-    """Hash of the GRAM bytes from each position on."""
+def gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
+    """Hash of the `size` bytes (16 to 24) from each position on."""
     eight = grams8(data)
-    return mixed((eight[:-8] * MIX[0]) ^ ((eight[8:] + MIX[2]) * MIX[1]))
+    n = len(data) - size + 1
+    pair = (eight[:n] * MIX[0]) ^ ((eight[8 : 8 + n] + MIX[2]) * MIX[1])
+    return mixed(pair if size == 16 else pair + eight[size - 8 : size - 8 + n] * MIX[2])
+
+
+def sliding_minimum(values: np.ndarray, span: int) -> np.ndarray:
+    """Smallest of the `span` values from each position on."""
+    width, least = 1, values
+    while 2 * width <= span:
+        least = np.minimum(least[:-width], least[width:])
+        width *= 2
+    n = len(values) - span + 1
+    return np.minimum(least[:n], least[span - width : span - width + n])
 
 
 class Segments:
@@ -82,11 +94,8 @@ class Segments:
             self.hashes, self.keys = np.zeros(0, U), np.zeros(0, U)
             self.first = self.last = self.doc = np.zeros(0, np.int64)
             return
-        self.hashes = gram_hashes(data)
-        least = self.hashes
-        for step in (1, 2, 4, 8, 16):
-            least = np.minimum(least[:-step], least[step:])
-        least = np.minimum(least[: n], least[SPAN - 32 : SPAN - 32 + n])
+        self.hashes = gram_hashes(data, GRAM)
+        least = sliding_minimum(self.hashes, SPAN)
         crossing = np.zeros(len(data) + 1, np.int32)
         np.add.at(crossing, np.maximum(0, self.ends - WINDOW + 1), 1)
         np.add.at(crossing, self.ends, -1)

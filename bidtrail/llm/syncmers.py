@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import buckets_of, tuned
-from .repeats import MIX, gram_hashes, mixed
+from .repeats import MIX, gram_hashes, mixed, sliding_minimum
 
 GRAM = 48
 INNER = 16
@@ -40,11 +40,8 @@ def anchors(texts: list[bytes]) -> list[np.ndarray]:
     places = hashes = np.zeros(0, np.int64)
     n = len(data) - GRAM + 1
     if n > 0:
-        inner = gram_hashes(data)
-        least = inner
-        for step in (1, 2, 4, 8, 16):
-            least = np.minimum(least[:-step], least[step:])
-        least = np.minimum(least[:n], least[SPAN - 32 : SPAN - 32 + n])
+        inner = gram_hashes(data, INNER)
+        least = sliding_minimum(inner, SPAN)
         places = np.flatnonzero((inner[:n] == least) | (inner[SPAN - 1 : SPAN - 1 + n] == least))
         places = places[places + GRAM <= ends[np.searchsorted(ends, places, "right")]]
         hashes = mixed(inner[places] * MIX[0] + inner[places + INNER] * MIX[1] + inner[places + 2 * INNER]) >> np.uint64(32)

@@ -13,7 +13,7 @@ def test_anchors_are_closed_syncmers():
     rng = random.Random(2)
     for text in ["", "short", "ab" * 300, "".join(rng.choice("abc é") for _ in range(2000))]:
         data = text.encode()
-        inner = {p: int(syncmers.gram_hashes(np.frombuffer(data[p : p + 16], np.uint8))[0]) for p in range(len(data) - 15)}
+        inner = {p: int(syncmers.gram_hashes(np.frombuffer(data[p : p + 16], np.uint8), 16)[0]) for p in range(len(data) - 15)}
         want = []
         for p in range(len(data) - 47):
             hashes = [inner[q] for q in range(p, p + 33)]
