@@ -29,6 +29,7 @@ SHINGLE = 3
 RADIUS = 3
 SEED = 42
 PAIRS_UP_TO = 16
+ROWS_PER_FILE = 200_000
 CHUNK_BYTES = 1 << 20
 HALF = 0xFFFFFFFF
 
@@ -114,18 +115,19 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternates two steps until nothing changes: every node's larger neighbours are linked to its smallest neighbour,
     then its smaller ones.  Each round is a minimum per node and a join; rounds grow with the logarithm of the longest
-    path.  Rounds are written to the shared folder.
+    path.  Rounds are written to the shared folder, in as many files as their rows call for.
     """
     pairs = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    files = 1 + pairs.count() // ROWS_PER_FILE
     before = None
     while True:
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = stored(large.unionByName(low.where("m < u").select("u", F.col("m").alias("v"))).distinct())
+        large = stored(large.unionByName(low.where("m < u").select("u", F.col("m").alias("v"))).coalesce(files))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v")
-        pairs = stored(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        pairs = stored(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct().coalesce(files))
         size = pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if size == before:
             return pairs.groupBy("u").agg(F.min("v").alias("root")).withColumnRenamed("u", "node")
