@@ -1,9 +1,13 @@
 """Main text of web pages with the site's template removed.
 
-Every element subtree of a page is hashed; Spark counts in how many pages of a host each hash occurs.  Subtrees that
-recur over many pages of their host are its template and go, as do elements that say themselves what they are (menus,
-footers, adverts, forms, ...).  What an <article> (or else <main>) holds is the page's own: inside it only containers
-can be template, never paragraphs or headings, since authors do repeat themselves.
+Element subtrees of a page are hashed; Spark counts beside how many other contents of a host each hash occurs.  Subtrees
+that recur over many pages of their host are its template and go, as do elements that say themselves what they are
+(menus, footers, adverts, forms, ...).  What an <article> (or else <main>) holds is the page's own: what stands around
+it is never template, and inside it only containers can be, never paragraphs or headings, since authors do repeat
+themselves, nor what holds all of its text.
+
+Copies of a page tell nothing about the site: a subtree counts once for all pages whose remaining text is the same.
+Inside an article it counts once for all of those that also have one path, so variants of a URL count once.
 """
 
 from __future__ import annotations
@@ -48,10 +52,14 @@ WORD = re.compile(r"[a-z0-9]+")
 
 
 class Element:
-    __slots__ = ("tag", "start", "end", "parent", "dropped", "own")
+    __slots__ = ("tag", "start", "end", "parent", "dropped", "own", "holds")
 
     def __init__(self, tag: str, start: int, parent: "Element | None", dropped: bool, own: bool):
         self.tag, self.start, self.end, self.parent, self.dropped, self.own = tag, start, -1, parent, dropped, own
+        self.holds = False  # an <article> or <main>
+        if tag in ("article", "main"):
+            while parent is not None and not parent.holds:
+                parent.holds, parent = True, parent.parent
 
 
 def says_so(tag: str, attributes: str, inside: bool) -> bool:
@@ -137,14 +145,44 @@ class Page:
         """Hash (signed) of every subtree that can be template, with the elements that have it."""
         out: dict[int, list[Element]] = {}
         for e in self.elements:
-            if e.tag in ("html", "body", "article", "main", "head") or e.own and e.tag not in CONTAINERS:
+            if e.tag in ("html", "body", "article", "main", "head") or e.holds or e.own and e.tag not in CONTAINERS:
                 continue
             raw = xxhash.xxh64_intdigest(" ".join(self.source[e.start : e.end].split()).encode())
             out.setdefault(raw - (1 << 64) if raw >> 63 else raw, []).append(e)
         return out
 
+    def sums(self) -> tuple[int, dict[int, int]]:
+        """Sum of the hashes of the page's pieces of text, and of those in each element (by id()); dropped ones are 0."""
+        each = {id(e): 0 for e in self.elements}
+        total = 0
+        for t, e in self.pieces:
+            words = t.split()
+            if words and (e is None or not e.dropped):
+                value = xxhash.xxh64_intdigest(" ".join(words).encode())
+                total += value
+                if e is not None:
+                    each[id(e)] += value
+        for e in reversed(self.elements):  # children come last
+            if e.parent is not None:
+                each[id(e.parent)] += each[id(e)]
+        return total, each
+
+    def counted(self) -> tuple[int, list[tuple[int, int, bool]]]:
+        """Hash (signed) of the page's text; of every subtree the hash, that of the text around it and whether an article holds it."""
+        total, each = self.sums()
+        signed = lambda n: (n + (1 << 63)) % (1 << 64) - (1 << 63)
+        return signed(total), [(h, signed(total - sum(each[id(e)] for e in found)), any(e.own for e in found)) for h, found in self.subtrees().items()]
+
     def text(self, template: set[int]) -> str:
         gone = {id(e) for h, found in self.subtrees().items() if h in template for e in found} if template else set()
+        if gone:
+            each = self.sums()[1]
+            whole: dict[int, int] = {}  # text of the outermost article around each element
+            for e in self.elements:
+                if e.own:
+                    whole[id(e)] = whole[id(e.parent)] if e.parent is not None and e.parent.own else each[id(e)]
+                    if each[id(e)] and each[id(e)] == whole[id(e)]:
+                        gone.discard(id(e))
         state: dict[int, bool] = {}
         for e in self.elements:  # parents come first
             state[id(e)] = not (e.dropped or id(e) in gone or e.parent is not None and not state[id(e.parent)])
@@ -160,8 +198,11 @@ class Page:
 
 def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "html", CHUNK_BYTES):
-        found = [list(Page(t).subtrees()) if t else [] for t in batch.column("html").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("host"), pa.array(found, pa.list_(pa.int64()))], names=["page_id", "host", "hashes"])
+        found = [Page(t).counted() if t else (0, []) for t in batch.column("html").to_pylist()]
+        kind = pa.list_(pa.struct([("hash", pa.int64()), ("rest", pa.int64()), ("own", pa.bool_())]))
+        subtrees = pa.array([[dict(zip(("hash", "rest", "own"), x)) for x in page] for _, page in found], kind)
+        columns = [batch.column("page_id"), batch.column("host"), batch.column("path"), pa.array([total for total, _ in found], pa.int64()), subtrees]
+        yield pa.RecordBatch.from_arrays(columns, names=["page_id", "host", "path", "content", "subtrees"])
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,26 +213,30 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def template_subtrees(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> tuple[DataFrame, DataFrame]:
-    """(subtrees of each page, template subtrees of each host) of (page_id, host, html)."""
-    found = pages.select("page_id", "host", "html").mapInArrow(_hashes, "page_id bigint, host string, hashes array<bigint>")
-    each = found.select("page_id", "host", F.explode("hashes").alias("hash"))
-    sizes = pages.groupBy("host").agg(F.count("*").alias("pages"))
-    counts = each.groupBy("host", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
+    """(subtrees of each page, template subtrees of each host) of (page_id, host, path, html)."""
+    schema = "page_id bigint, host string, path string, content bigint, subtrees array<struct<hash: bigint, rest: bigint, own: boolean>>"
+    found = pages.select("page_id", "host", "path", "html").mapInArrow(_hashes, schema)
+    each = found.select("page_id", "host", "path", F.explode("subtrees").alias("s")).select("page_id", "host", "path", "s.*")
+    # Distinct first, then counted: both sum up in every task before their shuffle.
+    sizes = found.select("host", "content", "path").distinct().groupBy("host").agg(F.count_distinct("content").alias("contents"), F.count("*").alias("pages"))
+    where = F.when(F.col("own"), F.col("path")).otherwise("")
+    counts = each.select("host", "hash", "own", "rest", where.alias("path")).distinct().groupBy("host", "hash", "own").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
     # A host has few template subtrees, so the hot host is not hot here.
-    template = counts.join(sizes, "host").where(F.col("n") >= min_share * F.col("pages")).select("host", "hash")
-    return each, template
+    most = F.when(F.col("own"), F.col("pages")).otherwise(F.col("contents"))
+    template = counts.join(sizes, "host").where(F.col("n") >= min_share * most).select("host", "hash").distinct()
+    return each.select("page_id", "host", "hash"), template
 
 
 def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """page_id, url, text, n_chars: the main text of each row of pages.
 
     Null or empty html gives an empty text; a page cut off in the middle keeps what it has; a null URL belongs to the
-    host ''.  Rows that repeat a page_id are extracted one by one; recurring means in min_pages rows and in min_share
-    of the host's rows.  An empty table gives an empty one; other columns are ignored.
+    host ''.  Rows that repeat a page_id are extracted one by one; recurring means beside min_pages distinct contents and
+    min_share of the host's distinct contents (inside an article: of contents and paths).  An empty table gives an empty one; other columns are ignored.
     """
     tuned(pages.sparkSession)
-    host, _ = host_and_path(F.col("url").cast("string"))
-    rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"), host.alias("host"))
+    host, path = host_and_path(F.col("url").cast("string"))
+    rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"), host.alias("host"), path.alias("path"))
     each, template = template_subtrees(rows, min_pages, min_share)
     hits = each.join(template, ["host", "hash"]).groupBy("page_id", "host").agg(F.collect_set("hash").alias("template"))
     hits = hits.select(F.col("page_id").alias("_page"), F.col("host").alias("_host"), "template")

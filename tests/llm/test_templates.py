@@ -57,3 +57,23 @@ def test_template_of_a_host_goes_and_repeated_paragraphs_stay(spark):
 
 def test_empty_table(spark):
     assert templates.extract(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_copies_of_a_page_keep_their_text(spark):
+    def wrapped(url, own):
+        return f"https://{url}", f"<body><div class='menu-box'><b>Top</b></div><div><b>Site box</b></div><div id=wrap><article><p>{own}</p></article></div></body>"
+
+    def whole(url, own):
+        return url, f"<article><div><p>{own}</p></div></article>"
+
+    def bare(url, own):
+        return url, f"<body><div><b>Site box</b></div><div id=wrap><p>{own}</p><p>more {own}</p></div></body>"
+
+    rows = [wrapped(f"w.example/{i}", "copied words") for i in range(4)]
+    rows += [whole(u, "one page") for u in ("http://v.example/a", "https://v.example/a", "https://v.example/a?page=2", "https://v.example/a#top")]
+    rows += [whole(f"https://u.example/{i}", "other paths") for i in range(4)]
+    rows += [bare(f"https://b.example/c{i}", "copied") for i in range(5)] + [bare(f"https://b.example/{i}", f"own {i}") for i in range(4)]
+    pages = spark.createDataFrame([(i, u, h, 1) for i, (u, h) in enumerate(rows)], SCHEMA).repartition(3)
+    got = {r["page_id"]: r["text"] for r in templates.extract(pages).collect()}
+    assert [got[i] for i in range(12)] == ["copied words"] * 4 + ["one page"] * 4 + ["other paths"] * 4
+    assert [got[i] for i in range(12, 21)] == ["copied more copied"] * 5 + [f"own {i} more own {i}" for i in range(4)]
