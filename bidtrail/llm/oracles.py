@@ -59,5 +59,12 @@ WITH d AS (
 SELECT doc_id, CAST(len(digits) AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
     sha256(unhex(coalesce(hex_kept, ''))) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)
+""",
+    "op11_exact_dedup": r"""
+WITH d AS (
+    SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents
+)
+SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = min(doc_id) OVER g AS kept, text_sha256
+FROM d WINDOW g AS (PARTITION BY text_sha256)
 """,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing, quality, repeats, repetition, shards, simhash, syncmers, templates, url_rules
+from . import exact, mixing, packing, quality, repeats, repetition, shards, simhash, syncmers, templates, url_rules
 from .common import table
 
 
@@ -61,9 +61,15 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard(table(spark, sf_dir, "documents"))
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of equal documents and the one of each that stays."""
+    return exact.mark_copies(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     q.__name__: q
     for q in (
         op1_suffix_dedup, op2_quality, op3_repetition, op4_templates, op5_packing, op6_mixing, op7_syncmers, op8_simhash, op9_url_rules, op10_shards,
+        op11_exact_dedup,
     )
 }
