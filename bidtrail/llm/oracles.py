@@ -6,6 +6,26 @@ from .url_rules import BLOCKED_WORDS
 
 _WORDS = "|".join(BLOCKED_WORDS)
 
+
+def _crc_entry(n: int) -> int:
+    for _ in range(8):
+        n = n >> 1 ^ (0xEDB88320 if n & 1 else 0)
+    return n
+
+
+# CRC-32 of a list of bytes, one table look-up a byte; the table follows from the polynomial.
+_CRC_TABLE = f"(SELECT {[_crc_entry(n) for n in range(256)]}::UBIGINT[])"
+
+
+def _crc32(octets: str) -> str:
+    step = f"xor(acc >> 8, {_CRC_TABLE}[CAST(xor(acc, b) & 255 AS INTEGER) + 1])"
+    return f"xor(list_reduce(list_prepend(4294967295::UBIGINT, {octets}), lambda acc, b: {step}), 4294967295::UBIGINT)"
+
+
+def _octets(text: str) -> str:
+    return f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda x: CAST('0x' || x AS UBIGINT))"
+
+
 ORACLES = {
     "op9_url_rules": f"""
 WITH split AS (
@@ -66,5 +86,47 @@ WITH d AS (
 )
 SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = min(doc_id) OVER g AS kept, text_sha256
 FROM d WINDOW g AS (PARTITION BY text_sha256)
+""",
+    # Every conversation's turns chained into one text per depth; a node is such a text, and a node's subtree are the nodes
+    # whose own conversation passes through it.
+    "op13_conversation_trie": rf"""
+WITH t AS (
+    SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos,
+        coalesce(role, '') AS role, coalesce(text, '') AS text
+    FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+    SELECT conv_id, conv_id - conv_id % 20 AS base, CAST({_crc32(_octets("CAST(conv_id AS VARCHAR)"))} % 4 AS BIGINT) AS h
+    FROM (SELECT DISTINCT conv_id FROM t)
+), turns AS (
+    SELECT c.conv_id, 0 AS part, t.pos, role, text FROM convs c JOIN t ON t.conv_id = c.base AND t.pos <= h
+    UNION ALL
+    SELECT c.conv_id, 1, t.pos, role, text FROM convs c JOIN t ON t.conv_id = c.conv_id AND t.pos > h
+), placed AS (
+    SELECT conv_id, row_number() OVER w AS d,
+        sha256(string_agg(len(role) || ':' || len(text) || ':' || role || text, ';') OVER w) AS node,
+        len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words
+    FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY part, pos)
+), path AS (
+    SELECT conv_id, d, node, words FROM placed UNION ALL SELECT conv_id, 0, 'root', 0 FROM convs
+), ends AS (
+    SELECT conv_id, max(d) AS d FROM path GROUP BY conv_id
+), nodes AS (
+    SELECT d, node, min(p.conv_id) AS conv_id, count(*) AS n, any_value(words) AS words,
+        coalesce(string_agg(CAST(p.conv_id AS VARCHAR), ',' ORDER BY p.conv_id) FILTER (e.d IS NOT NULL), '') AS ids
+    FROM path p LEFT JOIN ends e USING (conv_id, d) GROUP BY d, node
+), parents AS (
+    SELECT c.d, c.node, v.node AS parent_node, v.conv_id AS parent_conv_id
+    FROM nodes c JOIN path p ON p.conv_id = c.conv_id AND p.d = c.d - 1 JOIN nodes v ON v.d = p.d AND v.node = p.node
+), children AS (
+    SELECT d - 1 AS d, parent_node AS node, count(*) AS n_children FROM parents GROUP BY ALL
+), below AS (
+    SELECT p.d, p.node, count(*) FILTER (c.n_children IS NULL) AS n_leaves, sum((u.n - 1) * u.words) AS saved
+    FROM nodes u JOIN path p ON p.conv_id = u.conv_id AND p.d <= u.d LEFT JOIN children c ON c.d = u.d AND c.node = u.node
+    GROUP BY p.d, p.node
+)
+SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, p.parent_conv_id, n.n AS n_convs, coalesce(n_children, 0) AS n_children, n_leaves,
+    CAST(saved AS BIGINT) AS saved_tokens, sha256(ids) AS ends_sha256
+FROM nodes n JOIN below b ON b.d = n.d AND b.node = n.node LEFT JOIN parents p ON p.d = n.d AND p.node = n.node
+    LEFT JOIN children c ON c.d = n.d AND c.node = n.node
 """,
 }
