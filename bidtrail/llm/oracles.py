@@ -14,7 +14,7 @@ def _crc_entry(n: int) -> int:
 
 
 # CRC-32 of a list of bytes, one table look-up a byte; the table follows from the polynomial.
-_CRC_TABLE = f"(SELECT {[_crc_entry(n) for n in range(256)]}::UBIGINT[])"
+_CRC_TABLE = f"CAST({[_crc_entry(n) for n in range(256)]} AS UBIGINT[])"
 
 
 def _crc32(octets: str) -> str:
