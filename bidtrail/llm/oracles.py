@@ -128,5 +128,33 @@ SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, p.parent_conv_id, n.n AS n_convs
     CAST(saved AS BIGINT) AS saved_tokens, sha256(ids) AS ends_sha256
 FROM nodes n JOIN below b ON b.d = n.d AND b.node = n.node LEFT JOIN parents p ON p.d = n.d AND p.node = n.node
     LEFT JOIN children c ON c.d = n.d AND c.node = n.node
+""",
+    # Words one error apart: one is the other without a letter, or both are the same without the letter at one place.
+    "op12_spelling": rf"""
+WITH RECURSIVE runs AS (
+    SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+    FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')) AS run FROM documents)
+    WHERE length(run) >= 6 GROUP BY ALL
+), hashed AS (
+    SELECT *, CAST({_crc32(_octets("coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run"))} AS BIGINT) AS h FROM runs
+), words AS (
+    SELECT CASE WHEN h % 199 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, CAST(sum(n) AS BIGINT) AS n
+    FROM hashed GROUP BY 1 HAVING length(word) >= 6 AND sum(n) >= 5
+), cut AS (
+    SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+), near AS (
+    SELECT a.word, b.word AS other, b.n AS other_n FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+    UNION SELECT w.word, c.word, c.n FROM words w JOIN cut c ON c.rest = w.word
+    UNION SELECT c.word, w.word, w.n FROM words w JOIN cut c ON c.rest = w.word
+), best AS (
+    SELECT word, count(*) AS n_near, first(other ORDER BY other_n DESC, other) AS other, max(other_n) AS other_n FROM near GROUP BY word
+), formed AS (
+    SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 5 * n THEN other END AS form, CASE WHEN other_n >= 5 * n THEN other_n END AS form_n
+    FROM words LEFT JOIN best USING (word)
+), steps AS (
+    SELECT word, word AS at, form AS next FROM formed
+    UNION ALL SELECT s.word, f.word, f.form FROM steps s JOIN formed f ON f.word = s.next
+)
+SELECT f.word, f.form, s.at AS root, n, n_near, form_n FROM formed f JOIN steps s ON s.word = f.word AND s.next IS NULL
 """,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, mixing, packing, quality, repeats, repetition, shards, simhash, syncmers, templates, tries, url_rules
+from . import exact, mixing, packing, quality, repeats, repetition, shards, simhash, spelling, syncmers, templates, tries, url_rules
 from .common import table
 
 
@@ -66,6 +66,11 @@ def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.mark_copies(table(spark, sf_dir, "documents"))
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with the form that they are likely a variant of."""
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nodes of the prefix trie of all conversations."""
     return tries.conversation_trie(table(spark, sf_dir, "conversations"))
@@ -75,6 +80,6 @@ QUERIES = {
     q.__name__: q
     for q in (
         op1_suffix_dedup, op2_quality, op3_repetition, op4_templates, op5_packing, op6_mixing, op7_syncmers, op8_simhash, op9_url_rules, op10_shards,
-        op11_exact_dedup, op13_conversation_trie,
+        op11_exact_dedup, op12_spelling, op13_conversation_trie,
     )
 }
