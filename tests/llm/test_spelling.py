@@ -53,7 +53,7 @@ def found(spark, rows, **settings):
 
 def corpus(seed=3):
     rng = random.Random(seed)
-    stems = ["".join(rng.choice("abé") for _ in range(rng.randint(6, 9))) for _ in range(60)] + ["aaaaaa", "aaaaaaa", "aaaaaaaa", "bbbbbb", "×÷éééé"]
+    stems = ["".join(rng.choice("abé") for _ in range(rng.randint(6, 9))) for _ in range(60)] + ["aaaaaa", "aaaaaaa", "aaaaaaaa", "bbbbbb", "×÷éééé", "aaaaab", "aaaaac", "aaabaa"]
     weights = [5 ** rng.randint(0, 4) for _ in stems]
     rows = []
     for i in range(300):
