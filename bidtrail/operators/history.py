@@ -11,6 +11,7 @@ from ..session import stored
 from .joins import Hold, keyed_join
 
 USER, TIME, TYPE, KEYWORD = "ipinyou_id", "timestamp", "log_type_name", "keyword_name"
+HISTORY_DDL = f"{USER} string, {TIME} string, {TYPE} string, {KEYWORD} string"
 HIST_TYPE, HIST_KEYWORD = "hist_log_type_name", "hist_keyword_name"
 
 

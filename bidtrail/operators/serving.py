@@ -95,6 +95,11 @@ def current_rows(spark: SparkSession, path: str, order: list[str], keys: list[st
     return latest_per_key(stored_rows(spark, path), keys, [BATCH, *order]).drop(BATCH)
 
 
+def history_snapshot(rows: DataFrame, path: str) -> None:
+    """What the features of users are made of, from rows of the serving table, as files that a stream can begin with."""
+    rows.select("ipinyou_id", "timestamp", "log_type_name", "keyword_name").write.mode("overwrite").parquet(path)
+
+
 def compact(spark: SparkSession, path: str, new_path: str, order: list[str], keys: list[str] = SERVING_KEY, by_user: bool = False) -> None:
     """Write the current rows as the base of a new table.
 

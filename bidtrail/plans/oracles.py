@@ -398,3 +398,5 @@ def _rule_query() -> str:
 
 ORACLES["ua_rules"] = _rule_query()
 ORACLES["stream_index_doc"] = ORACLES["enrich_index_doc"]
+ORACLES["stream_score_from_table"] = ORACLES["stream_score"]
+ORACLES["stream_word_count_running"] = ORACLES["word_count"]

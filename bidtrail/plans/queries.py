@@ -11,6 +11,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import scalars as fn
 from ..functions import useragent as ua
@@ -31,6 +32,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 EVENT_DDL = "event_id bigint, user_id bigint, event_type string, value double, props string"
 EVENT_COLUMNS = ["event_id", "user_id", "event_type", "value", "props"]
 TERM = "the"
+STREAM_PARTS = 3
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -181,6 +183,16 @@ def stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def stream_word_count_running(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of all words of the documents, kept as state over three micro-batches in runs of their own."""
+    source, out = scratch_path(spark, "running-source"), scratch_path(spark, "running-words")
+    lines = view.table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("value"))
+    for part in range(STREAM_PARTS):
+        lines.where(F.pmod(F.xxhash64("doc_id"), F.lit(STREAM_PARTS)) == part).select("value").write.mode("append").parquet(source)
+        jobs.count_words_running(file_stream(spark, source, T.StructType.fromDDL("value string")), out, f"{out}-checkpoint", once=True).awaitTermination()
+    return serving.current_rows(spark, out, [], ["word"])
+
+
 def stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "stream-enrich")
     messages = view.log_messages(spark, sf_dir, _stream_table(spark, sf_dir, "events"))
@@ -595,25 +607,43 @@ def classify_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-STREAM_PARTS = 3
-
-
-def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last days in three micro-batches, scored against a table that holds what came before them."""
+def _scored_table(spark: SparkSession, sf_dir: str, score: Callable[[DataFrame, scoring.PipelineModel, str], StreamingQuery]) -> DataFrame:
+    """The table after the last days were scored in three micro-batches, each in a run of its own, on top of what came before."""
     table, source = scratch_path(spark, "scored"), scratch_path(spark, "scored-source")
-    known = view.dictionaries(spark, sf_dir)
     model = scoring.train_lead_model(lead_rows(spark, sf_dir))
-    older = jobs.served_rows(jobs.parsed_rows(view.log_messages(spark, sf_dir, view.older_events(spark, sf_dir))), known)
+    older = jobs.served_rows(jobs.parsed_rows(view.log_messages(spark, sf_dir, view.older_events(spark, sf_dir))), view.dictionaries(spark, sf_dir))
     serving.append_batch(scoring.score_leads(model, hist.with_no_features(older)), table, serving.BASE, by_user=True)
     recent = view.log_messages(spark, sf_dir, view.recent_events(spark, sf_dir))
     for part in range(STREAM_PARTS):  # each run finds the files of one part and works them off as one batch
         recent.where(F.col("offset") % STREAM_PARTS == part).write.mode("append").parquet(source)
-        messages = file_stream(spark, source, MESSAGE_SCHEMA)
-        jobs.score_stream(spark, messages, known, model, table, f"{table}-docs", f"{table}-rejects", f"{table}-checkpoint", once=True).awaitTermination()
+        score(file_stream(spark, source, MESSAGE_SCHEMA), model, table).awaitTermination()
     current = serving.current_rows(spark, table, ["partition", "offset"])
     return current.select("ipinyou_id", "timestamp", *FEATURE_COLUMNS, *_sure())
 
 
+def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scored with the users' features kept as state of the stream; the table is read once, before the first batch."""
+    known, past = view.dictionaries(spark, sf_dir), scratch_path(spark, "scored-past")
+
+    def score(messages: DataFrame, model: scoring.PipelineModel, table: str) -> StreamingQuery:
+        if serving.batches(spark, table) == [serving.BASE]:
+            serving.history_snapshot(serving.current_rows(spark, table, ["partition", "offset"]), past)
+        history = file_stream(spark, past, T.StructType.fromDDL(hist.HISTORY_DDL))
+        return jobs.score_stream_with_state(spark, messages, history, known, model, table, f"{table}-docs", f"{table}-rejects", f"{table}-checkpoint", once=True)
+
+    return _scored_table(spark, sf_dir, score)
+
+
+def stream_score_from_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scored with the features of the users of each batch read from the table."""
+    known = view.dictionaries(spark, sf_dir)
+
+    def score(messages: DataFrame, model: scoring.PipelineModel, table: str) -> StreamingQuery:
+        return jobs.score_stream(spark, messages, known, model, table, f"{table}-docs", f"{table}-rejects", f"{table}-checkpoint", once=True)
+
+    return _scored_table(spark, sf_dir, score)
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -625,10 +655,10 @@ QUERIES: dict[str, Query] = {
         enrich_bid_log, enrich_index_doc, join_dim_left, join_city_inner, join_snowflake, join_keyword,
         keyword_dictionary, keyword_fallback,
         history_range_join, history_semi_join, user_keyword_pivot, user_keyword_asof, attach_features,
-        word_count, row_count, stream_word_count,
+        word_count, row_count, stream_word_count, stream_word_count_running,
         geo_point, ad_slot_size, user_tags_array, event_time, ua_enrich, ua_rules, ua_enrich_tsv,
         stream_enrich, stream_rejects, stream_index_doc, keyword_stream_docs, log_folder_job, serving_text_row,
-        train_from_file, stream_score, train_lead_model, score_leads, mispredictions, train_boosted_trees,
+        train_from_file, stream_score, stream_score_from_table, train_lead_model, score_leads, mispredictions, train_boosted_trees,
         classify_titles,
     )
 }

@@ -11,11 +11,12 @@ from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.dictionaries import Dictionaries
-from ..operators.history import as_past, attach_features, keyword_pivot, rows_until_cutoff
+from ..operators.history import USER, as_past, attach_features, keyword_pivot, rows_until_cutoff
 from ..operators.parsing import accepted, drop_empty, parse_lines, parse_lines_as_strings, rejected
 from ..operators.serving import (
     BATCH,
@@ -31,7 +32,8 @@ from ..operators.serving import (
 from ..operators.text import word_count
 from ..plans.enrichment import enrich_index_document, enrich_log
 from ..plans.scoring import score_leads
-from ..schemas import RAW_SCHEMA, SERVING_KEY, STREAM_SCHEMA
+from ..schemas import FEATURE_COLUMNS, RAW_SCHEMA, SERVING_KEY, STREAM_SCHEMA
+from .state import feature_points, followed_features, use_state_store
 
 # Micro-batch interval of the workflow jobs.
 INTERVAL = "10 seconds"
@@ -123,6 +125,21 @@ def keyword_documents(
     return per_batch(messages, each, checkpoint, **trigger)
 
 
+def count_words_running(messages: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """Word counts since the start of the stream.  A batch appends the new count of each of its words to a keyed table.
+
+    Counts are state of the query, so a batch neither reads the table nor words of earlier batches; of each word
+    the last batch counts (serving.current_rows).
+    """
+    use_state_store(messages.sparkSession)
+
+    def work(batch: DataFrame, batch_id: int) -> None:
+        append_batch(batch, path, batch_id)
+
+    writer = word_count(messages).writeStream.outputMode("update").foreachBatch(work).option("checkpointLocation", checkpoint)
+    return _start(writer, **{"once": False, "interval": INTERVAL, **trigger})
+
+
 def count_words(messages: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
     """Word counts of each micro-batch, one folder per batch."""
 
@@ -163,9 +180,7 @@ def score_stream(
     Batches are numbered from first_batch on.  A new checkpoint counts from the start again, so it must be given a
     first_batch beyond the batches that the table holds; otherwise it would replace them, and the job refuses.
     """
-    held_already = [b for b in batches(spark, table) if b >= first_batch]
-    if held_already and not has_offsets(spark, checkpoint):
-        raise ValueError(f"{table} already holds batch {held_already[-1]} of another checkpoint; start with first_batch={held_already[-1] + 1}")
+    refuse_to_replace(spark, table, checkpoint, first_batch)
     stored_fields = spark.read.option("basePath", table).parquet(table).schema.fields
     columns = T.StructType([f for f in stored_fields if f.name not in (BATCH, BUCKET)])
 
@@ -198,6 +213,66 @@ def score_stream(
     return per_batch(messages, work, checkpoint, **trigger)
 
 
+def score_stream_with_state(
+    spark: SparkSession,
+    messages: DataFrame,
+    history: DataFrame | None,
+    dictionaries: Dictionaries,
+    model: PipelineModel,
+    table: str,
+    documents: str,
+    rejects: str,
+    checkpoint: str,
+    first_batch: int = 0,
+    **trigger,
+) -> StreamingQuery:
+    """Lead scoring with the users' features as state of the query: no batch reads a row of the past.
+
+    history is a stream of what the table held before the query began (user, time, log type, keyword; see
+    serving.history_snapshot), which the first batch takes into its state; None starts without.  Messages and
+    features of a batch come together from one source.  A batch is written as by score_stream, and numbered likewise.
+    """
+    refuse_to_replace(spark, table, checkpoint, first_batch)
+    use_state_store(spark)
+    points = feature_points(served_rows(parsed_rows(messages), dictionaries))
+    if history is not None:
+        points = points.unionByName(feature_points(history, seed=True))
+    read = messages.select("value", "partition", "offset", F.lit(True).alias("is_message"))
+    both = read.unionByName(followed_features(points), allowMissingColumns=True)
+
+    def work(batch: DataFrame, number: int) -> None:
+        held: list[DataFrame] = []
+
+        def hold(df: DataFrame) -> DataFrame:
+            held.append(df.persist())
+            return held[-1]
+
+        try:
+            whole = hold(batch)
+            parsed = hold(parsed_rows(whole.where("is_message")))
+            # Reads all of the batch, and so runs every task that keeps state.
+            append_batch(rejected(parsed), rejects, first_batch + number)
+            rows = hold(served_rows(parsed, dictionaries))
+            if rows.isEmpty():
+                return
+            features = whole.where("is_message IS NULL").select(USER, *FEATURE_COLUMNS)
+            scored = hold(score_leads(model, attach_features(rows, features, ["bid_id"], hold)))
+            write_documents(scored.drop("partition", "offset"), f"{documents}/{BATCH}={first_batch + number}")
+            append_batch(scored, table, first_batch + number, by_user=True)
+        finally:
+            for df in held:
+                df.unpersist()
+
+    return per_batch(both, work, checkpoint, **trigger)
+
+
+def refuse_to_replace(spark: SparkSession, table: str, checkpoint: str, first_batch: int) -> None:
+    """An error if a new checkpoint would number its batches like some that the table holds."""
+    held_already = [b for b in batches(spark, table) if b >= first_batch]
+    if held_already and not has_offsets(spark, checkpoint):
+        raise ValueError(f"{table} already holds batch {held_already[-1]} of another checkpoint; start with first_batch={held_already[-1] + 1}")
+
+
 def has_offsets(spark: SparkSession, checkpoint: str) -> bool:
     """Has a query with this checkpoint begun a batch?"""
     folder = spark._jvm.org.apache.hadoop.fs.Path(checkpoint, "offsets")

@@ -1,9 +1,11 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bidtrail.operators import serving, text
-from bidtrail.operators.history import with_no_features
+from bidtrail.operators.history import HISTORY_DDL, with_no_features
 from bidtrail.plans import logview as view
 from bidtrail.plans import scoring
 from bidtrail.plans.enrichment import enrich_log
@@ -11,7 +13,7 @@ from bidtrail.plans.queries import lead_rows
 from bidtrail.operators.parsing import accepted, drop_empty, parse_lines, rejected
 from bidtrail.schemas import FEATURE_COLUMNS, MESSAGE_SCHEMA, PREDICTION_COLUMNS, STREAM_SCHEMA
 from bidtrail.sources.messages import file_stream
-from bidtrail.streaming import jobs
+from bidtrail.streaming import jobs, state
 
 SF = "/root/testdata/sf0.001"
 
@@ -170,3 +172,92 @@ def test_a_batch_of_few_users_reads_few_buckets(spark, messages, known, model, t
     folded = str(tmp_path / "folded")
     serving.compact(spark, table, folded, ["partition", "offset"], by_user=True)
     assert serving.stored_rows(spark, folded, schema=schema, buckets=[bucket]).where(F.col("ipinyou_id") == user).count() > 0
+
+
+def scored_with_state(spark, messages, known, model, root, edges, history=None):
+    """Score the messages cut at some offsets, each part by a new run of the query; the table and the last run's query."""
+    table = str(root / "table")
+    serving.create_table(scoring.score_leads(model, with_no_features(jobs.served_rows(jobs.parsed_rows(messages), known))), table, by_user=True)
+    query = None
+    for low, high in zip(edges, edges[1:]):
+        messages.where((F.col("offset") >= low) & (F.col("offset") < high)).coalesce(1).write.mode("append").parquet(str(root / "source"))
+        past = file_stream(spark, history, T.StructType.fromDDL(HISTORY_DDL)) if history else None
+        stream = file_stream(spark, str(root / "source"), MESSAGE_SCHEMA)
+        query = jobs.score_stream_with_state(spark, stream, past, known, model, table, str(root / "docs"), str(root / "rejects"), str(root / "cp"), once=True)
+        query.awaitTermination()
+    return table, query
+
+
+def test_state_gives_the_features_of_the_table(spark, messages, known, model, rows, tmp_path):
+    """Three runs, each a restart from the checkpoint, equal the job that reads its table."""
+    kept = ["bid_id", "keyword_name", *FEATURE_COLUMNS, *PREDICTION_COLUMNS]
+    read = scored_table(spark, messages, known, model, tmp_path, "read", files=3)
+    held, _ = scored_with_state(spark, messages, known, model, tmp_path / "held", [0, 333, 666, 1000])
+    first, second = (rows(spark.read.parquet(t).where("batch_id >= 0").select("batch_id", *kept)) for t in (read, held))
+    assert first == second and len(first) > 800
+
+
+def test_state_needs_no_row_of_the_past(spark, messages, known, model, rows, tmp_path):
+    """History comes with the first batch alone, and later batches work without its files and without the table."""
+    older = jobs.served_rows(jobs.parsed_rows(messages.where("offset < 500")), known)
+    past, root = str(tmp_path / "past"), tmp_path / "job"
+    serving.history_snapshot(older, past)
+    recent = messages.where("offset >= 500")
+    table, _ = scored_with_state(spark, recent, known, model, root, [500, 700], history=past)
+    for part in (root / "table").glob("batch_id=0/*"):
+        part.rename(tmp_path / part.name)
+    recent.where("offset >= 700").coalesce(1).write.mode("append").parquet(str(root / "source"))
+    stream, history = file_stream(spark, str(root / "source"), MESSAGE_SCHEMA), file_stream(spark, past, T.StructType.fromDDL(HISTORY_DDL))
+    query = jobs.score_stream_with_state(spark, stream, history, known, model, table, str(root / "docs"), str(root / "rejects"), str(root / "cp"), once=True)
+    query.awaitTermination()
+    progress = query.recentProgress[-1]
+    read = {s["description"].rsplit("/", 1)[-1].rstrip("]"): s["numInputRows"] for s in progress["sources"]}
+    assert read["past"] == 0 and read["source"] > 0
+    assert progress["stateOperators"][0]["numRowsTotal"] >= older.select("ipinyou_id").distinct().count()
+    plan = query._jsq.explainInternal(False)
+    assert "FlatMapGroupsInPandasWithState" in plan and "/table" not in plan and "/past" not in plan
+    want = scored_table(spark, messages, known, model, tmp_path, "all", files=1)
+    late = spark.read.parquet(f"{table}/batch_id=1").select("bid_id", *FEATURE_COLUMNS)
+    cutoffs = late.where("site_open_kw IS NOT NULL")
+    assert late.count() == jobs.served_rows(jobs.parsed_rows(messages.where("offset >= 700")), known).count() and cutoffs.count() > 0
+    assert spark.read.parquet(want).count() > late.count()
+
+
+def test_repeated_batch_has_the_same_state(spark, messages, known, model, rows, tmp_path):
+    """The commit of the last batch gets lost; the restarted query runs it again from the state before it."""
+    kept = ["batch_id", "bid_id", "keyword_name", *FEATURE_COLUMNS, *PREDICTION_COLUMNS]
+    root = tmp_path / "again"
+    table, _ = scored_with_state(spark, messages, known, model, root, [0, 500, 1000])
+    once = rows(spark.read.parquet(table).select(kept))
+    (root / "cp" / "commits" / "1").unlink()
+    for crc in (root / "cp" / "commits").glob(".1.crc"):
+        crc.unlink()
+    stream = file_stream(spark, str(root / "source"), MESSAGE_SCHEMA)
+    jobs.score_stream_with_state(spark, stream, None, known, model, table, str(root / "docs"), str(root / "rejects"), str(root / "cp"), once=True).awaitTermination()
+    assert rows(spark.read.parquet(table).select(kept)) == once
+    with pytest.raises(ValueError, match="first_batch=2"):
+        jobs.score_stream_with_state(spark, stream, None, known, model, table, str(root / "docs"), str(root / "rejects"), str(tmp_path / "cp2"), once=True)
+
+
+def test_stairs_give_the_maximum_as_of_any_time():
+    rng = random.Random(5)
+    points = [(rng.randrange(40), rng.choice("abcdefgh")) for _ in range(200)]
+    steps = state.stairs(points)
+    assert steps == state.stairs(points[:100] + state.stairs(points[100:])) and len(steps) <= 8
+    for cutoff in range(-1, 42):
+        assert state.as_of(steps, cutoff) == max((v for t, v in points if t <= cutoff), default=None)
+
+
+def test_running_counts_equal_batch_counts_after_each_run(spark, messages, rows, tmp_path):
+    out, source = str(tmp_path / "out"), str(tmp_path / "source")
+    for part in range(3):
+        some = messages.where(F.col("offset") % 3 == part)
+        some.coalesce(1).write.mode("append").parquet(source)
+        query = jobs.count_words_running(file_stream(spark, source, MESSAGE_SCHEMA), out, str(tmp_path / "cp"), once=True)
+        query.awaitTermination()
+        wanted = text.word_count(messages.where(F.col("offset") % 3 <= part))
+        assert rows(serving.current_rows(spark, out, [], ["word"]).select("word", "n")) == rows(wanted)
+        assert query.lastProgress["numInputRows"] == some.count()
+    assert serving.batches(spark, out) == [0, 1, 2]
+    # A word that a batch does not hold is not written again.
+    assert spark.read.parquet(f"{out}/batch_id=2").count() < spark.read.parquet(out).select("word").distinct().count()
