@@ -400,3 +400,28 @@ ORACLES["ua_rules"] = _rule_query()
 ORACLES["stream_index_doc"] = ORACLES["enrich_index_doc"]
 ORACLES["stream_score_from_table"] = ORACLES["stream_score"]
 ORACLES["stream_word_count_running"] = ORACLES["word_count"]
+
+ORACLES["word_vectors"] = f"""
+WITH texts AS (SELECT row_number() OVER () AS id, regexp_extract_all(lower(text), '([\\p{{L}}\\p{{N}}]+)') AS all_words FROM conversations),
+cleaned AS (SELECT id, list_filter(all_words, lambda w: NOT list_contains({ENGLISH_STOP_WORDS}, w)) AS words FROM texts),
+placed AS (SELECT id, unnest(words) AS word, unnest(range(len(words))) AS pos FROM cleaned),
+hashed AS (SELECT *, CAST(('0x' || substr(md5(word), 1, 8)) AS BIGINT) % 4096 AS slot FROM placed),
+counts AS (SELECT a.word, b.slot, count(*) AS n FROM hashed a JOIN hashed b ON a.id = b.id AND a.pos <> b.pos AND abs(a.pos - b.pos) <= 5 GROUP BY ALL),
+sums AS (SELECT word, slot, n, sum(n) OVER (PARTITION BY word) AS n_word, sum(n) OVER (PARTITION BY slot) AS n_slot, sum(n) OVER () AS n_all FROM counts),
+weights AS (SELECT word, slot, n_word, greatest(0, CAST(round(ln(greatest(CAST(n AS DOUBLE) * n_all / (CAST(n_word AS DOUBLE) * n_slot), 1)) * 1000) AS BIGINT)) AS weight FROM sums),
+signs AS (SELECT slot, d, CASE WHEN substr(md5(slot || ':' || d), 1, 1) < '8' THEN -1 ELSE 1 END AS sign FROM range(4096) s(slot), range(64) t(d)),
+projected AS (SELECT word, d, CAST(max(n_word) AS BIGINT) AS n, CAST(sum(weight * sign) AS BIGINT) AS v FROM weights JOIN signs USING (slot) GROUP BY word, d)
+SELECT word, max(n) AS n, string_agg(CAST(v AS VARCHAR), '|' ORDER BY d) AS vector FROM projected GROUP BY word"""
+ORACLES["title_vector_classes"] = """SELECT lang, count(*) AS n, TRUE AS mostly_right FROM documents
+    WHERE doc_id % 4 = 0 AND lang IN ('en', 'fr', 'de', 'es') AND text <> '' GROUP BY lang"""
+_CURVE = """counts AS (SELECT round(value, 1) AS threshold, count(*) FILTER (event_type = 'purchase') AS positives,
+    count(*) FILTER (event_type <> 'purchase') AS negatives FROM events WHERE value IS NOT NULL AND event_type IS NOT NULL GROUP BY 1),
+curve AS (SELECT threshold, positives, negatives, CAST(sum(positives) OVER w AS BIGINT) AS tp, CAST(sum(negatives) OVER w AS BIGINT) AS fp
+    FROM counts WINDOW w AS (ORDER BY threshold DESC))"""
+ORACLES["threshold_curve"] = f"WITH {_CURVE} SELECT * FROM curve"
+ORACLES["ranking_report"] = f"""WITH {_CURVE},
+totals AS (SELECT CAST(sum(positives) AS BIGINT) AS p, CAST(sum(negatives) AS BIGINT) AS n, sum(negatives * (2 * tp - positives)) AS twice FROM curve),
+best AS (SELECT threshold, tp, fp, 2.0::DOUBLE * tp / (tp + fp + p) AS f1 FROM curve, totals ORDER BY f1 DESC, threshold DESC LIMIT 1)
+SELECT p AS positives, n AS negatives, CAST(twice AS DOUBLE) / (2 * (CAST(p AS DOUBLE) * n)) AS auc, threshold, f1, tp, fp FROM totals, best"""
+ORACLES["lead_threshold"] = f"""{_WITH} SELECT count(*) FILTER (p.log_type_name = 'site-lead') AS positives,
+    count(*) FILTER (p.log_type_name IS DISTINCT FROM 'site-lead') AS negatives, TRUE AS no_worse {_DICTIONARY_JOIN}"""

@@ -18,7 +18,7 @@ from ..functions import useragent as ua
 from ..operators import dictionaries as dim
 from ..operators import history as hist
 from ..operators import messages as msg
-from ..operators import parsing, serving, text
+from ..operators import parsing, ranking, serving, text, vectors
 from ..schemas import BATCH_LAYOUT, BATCH_SCHEMA, FEATURE_COLUMNS, MESSAGE_SCHEMA, RAW_LAYOUT, RAW_SCHEMA
 from ..session import scratch_path, stored
 from ..sources import files
@@ -607,6 +607,54 @@ def classify_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vector of every word of the conversations, as joined text."""
+    return comparable(vectors.word_vectors(view.table(spark, sf_dir, "conversations"), "text"))
+
+
+LANGUAGES = ["en", "fr", "de", "es"]
+HELD_OUT = 4
+
+
+def title_vector_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of a stream classified by language from word vectors; per language the rows that the model had not seen,
+    and whether nine in ten of them got their own one."""
+    out = scratch_path(spark, "title-vectors")
+    docs = view.table(spark, sf_dir, "documents")
+    known = stored(vectors.word_vectors(docs, "text"))
+    label = F.array_position(F.lit(LANGUAGES), F.col("lang")) - 1
+    seen = docs.where(F.col("doc_id") % HELD_OUT != 0).withColumn("label", label).where("label >= 0")
+    model = vectors.train_title_classifier(vectors.title_vectors(seen, known, "text"))
+    query = jobs.classify_title_stream(_stream_table(spark, sf_dir, "documents"), known, model, out, f"{out}-checkpoint", column="text", once=True)
+    classed = _finished(query, spark, out).where(F.col("doc_id") % HELD_OUT == 0).where(F.col("lang").isin(LANGUAGES))
+    right = F.count_if(F.element_at(F.lit(LANGUAGES), F.col("predicted") + 1) == F.col("lang"))
+    return classed.groupBy("lang").agg(F.count("*").alias("n"), (10 * right >= 9 * F.count("*")).alias("mostly_right"))
+
+
+def _sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events ranked by their value, with whether they are purchases."""
+    events = view.table(spark, sf_dir, "events")
+    return events.select((F.col("event_type") == "purchase").cast("int").alias("label"), F.round("value", 1).alias("score"))
+
+
+def threshold_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.threshold_curve(_sales(spark, sf_dir))
+
+
+def ranking_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.ranking_report(ranking.threshold_curve(_sales(spark, sf_dir)))
+
+
+def lead_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leads ranked by the model: rows of both kinds, and whether the best threshold gives an F1 as good as that of the
+    model's own decision, counted row by row."""
+    scored = stored(_scored_leads(spark, sf_dir).select(F.col("label").cast("int").alias("label"), F.col("true_prob").alias("score"), "predict"))
+    report = ranking.ranking_report(ranking.threshold_curve(scored))
+    own = scored.agg(F.count_if((F.col("label") == 1) & (F.col("predict") == "TRUE")).alias("own_tp"), F.count_if(F.col("predict") == "TRUE").alias("own_all"))
+    own_f1 = 2.0 * F.col("own_tp") / (F.col("own_all") + F.col("positives"))
+    return report.join(F.broadcast(own)).select("positives", "negatives", (F.col("f1") >= own_f1).alias("no_worse"))  # one row each
+
+
 def _scored_table(spark: SparkSession, sf_dir: str, score: Callable[[DataFrame, scoring.PipelineModel, str], StreamingQuery]) -> DataFrame:
     """The table after the last days were scored in three micro-batches, each in a run of its own, on top of what came before."""
     table, source = scratch_path(spark, "scored"), scratch_path(spark, "scored-source")
@@ -659,6 +707,6 @@ QUERIES: dict[str, Query] = {
         geo_point, ad_slot_size, user_tags_array, event_time, ua_enrich, ua_rules, ua_enrich_tsv,
         stream_enrich, stream_rejects, stream_index_doc, keyword_stream_docs, log_folder_job, serving_text_row,
         train_from_file, stream_score, stream_score_from_table, train_lead_model, score_leads, mispredictions, train_boosted_trees,
-        classify_titles,
+        classify_titles, word_vectors, title_vector_classes, threshold_curve, ranking_report, lead_threshold,
     )
 }

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,6 +31,7 @@ from ..operators.serving import (
     write_documents,
 )
 from ..operators.text import word_count
+from ..operators.vectors import classify_title_vectors, title_vectors
 from ..plans.enrichment import enrich_index_document, enrich_log
 from ..plans.scoring import score_leads
 from ..schemas import FEATURE_COLUMNS, RAW_SCHEMA, SERVING_KEY, STREAM_SCHEMA
@@ -149,6 +151,18 @@ def count_words(messages: DataFrame, path: str, checkpoint: str, **trigger) -> S
     return per_batch(messages, work, checkpoint, **trigger)
 
 
+def classify_title_stream(
+    titles: DataFrame, vectors: DataFrame, model: LogisticRegressionModel, path: str, checkpoint: str, column: str = "title", **trigger
+) -> StreamingQuery:
+    """Titles classified by the vectors of their words; the vectors are joined as a static table."""
+
+    def work(batch: DataFrame, batch_id: int) -> None:
+        featured = title_vectors(batch.where(F.coalesce(column, F.lit("")) != ""), vectors, column)
+        append_batch(classify_title_vectors(model, featured), path, batch_id)
+
+    return per_batch(titles, work, checkpoint, **trigger)
+
+
 def parsed_rows(messages: DataFrame) -> DataFrame:
     """Log lines of a batch with the message position that orders them, bad ones with their reason."""
     return parse_lines(drop_empty(messages.select("value", "partition", "offset")), STREAM_SCHEMA)
