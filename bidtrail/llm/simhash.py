@@ -6,9 +6,10 @@ keys.  Two linked fingerprints meet where one emits its own half and the other a
 duplicates dropped and the colliding pairs verified on all 64 bits.
 
 A key that many different fingerprints share (a family of near copies) would give pairs with the square of its size.
-The fingerprints of such keys emit full-width balls instead: all variants within one bit (inner) and within two bits
-(outer).  Whatever lies on a variant is within three bits of every inner member of it, so linking all of it to the
-smallest inner member is exact, loses no connection and is linear.  Classes are the connected components of the links.
+Such keys are linked through pivots first (crowds.py).  Where that leaves several classes in a key, two linked
+fingerprints of different classes are not both in its largest one.  So members outside it emit a full-width ball of two bits, all
+others one of one bit.  Whatever lies on a variant is within three bits of every member that is within one bit of it, so linking all
+of it to the smallest such member is exact, loses no connection and is linear.  Classes are the connected components.
 """
 
 from __future__ import annotations
@@ -24,12 +25,13 @@ from pyspark.sql import functions as F
 
 from ..session import stored
 from .common import buckets_of, slices, texts, tuned
+from .components import components
+from .crowds import link_crowds
 
 SHINGLE = 3
 RADIUS = 3
 SEED = 42
 PAIRS_UP_TO = 16
-ROWS_PER_FILE = 200_000
 CHUNK_BYTES = 1 << 20
 HALF = 0xFFFFFFFF
 
@@ -100,38 +102,18 @@ def links(bits: DataFrame, pairs_up_to: int = PAIRS_UP_TO) -> DataFrame:
     close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= RADIUS
     pairs = a.join(b, ["half", "key"]).where((F.col("a") != F.col("b")) & close).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
-    crowded = members.where(F.col("n") > pairs_up_to).select("bits").repartition(tasks, "bits").distinct()
-    outer = F.explode(F.array(*map(F.lit, _flips(RADIUS - RADIUS // 2, 64))).cast("array<bigint>"))
-    balls = crowded.withColumn("mask", outer).select("bits", F.col("bits").bitwiseXOR(F.col("mask")).alias("variant"), (F.bit_count("mask") <= RADIUS // 2).alias("inner"))
+    crowded = members.where(F.col("n") > pairs_up_to).select(F.struct("half", "key").alias("key"), F.col("bits").alias("node"), "n")
+    near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= RADIUS
+    edges, apart = link_crowds(crowded, stored(pairs.distinct()), lambda some: some.where(near))
+    apart = stored(apart.groupBy(F.col("node").alias("bits")).agg(F.max(F.col("root") != F.col("largest")).alias("outside")))
+    reach = F.when(F.col("outside"), F.lit(_flips(RADIUS - RADIUS // 2, 64)).cast("array<bigint>")).otherwise(F.lit(_flips(RADIUS // 2, 64)).cast("array<bigint>"))
+    balls = apart.repartition(tasks, F.shiftright("bits", 1)).withColumn("mask", F.explode(reach))
+    balls = balls.select("bits", F.col("bits").bitwiseXOR(F.col("mask")).alias("variant"), (F.bit_count("mask") <= RADIUS // 2).alias("inner"))
     centres = balls.groupBy("variant").agg(F.min(F.when(F.col("inner"), F.col("bits"))).alias("centre"), F.count("*").alias("n"))
     centres = centres.where("centre IS NOT NULL AND n >= 2").drop("n")
     # Spark takes an exploded side to be as small as its source; neither of these may be broadcast.
     stars = balls.join(centres.hint("merge"), "variant").where("bits <> centre").select(F.least("bits", "centre").alias("a"), F.greatest("bits", "centre").alias("b"))
-    return pairs.unionByName(stars).distinct()
-
-
-def components(edges: DataFrame) -> DataFrame:
-    """node, root: the smallest node reachable over edges (a, b), for every node that has an edge.
-
-    Alternates two steps until nothing changes: every node's larger neighbours are linked to its smallest neighbour,
-    then its smaller ones.  Each round is a minimum per node and a join; rounds grow with the logarithm of the longest
-    path.  Rounds are written to the shared folder, in as many files as their rows call for.
-    """
-    pairs = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    files = 1 + pairs.count() // ROWS_PER_FILE
-    before = None
-    while True:
-        both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = stored(large.unionByName(low.where("m < u").select("u", F.col("m").alias("v"))).coalesce(files))
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v")
-        pairs = stored(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct().coalesce(files))
-        size = pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if size == before:
-            return pairs.groupBy("u").agg(F.min("v").alias("root")).withColumnRenamed("u", "node")
-        before = size
+    return edges.unionByName(stars).distinct()
 
 
 def near_duplicates(docs: DataFrame, pairs_up_to: int = PAIRS_UP_TO) -> DataFrame:

@@ -11,6 +11,7 @@ import __spark_entry__ as entry
 import corpus_pipeline as pipeline
 from bidtrail.llm import mixing, quality, repeats, simhash
 from bidtrail.session import stored
+from tests.llm.test_copies import plain_kept
 
 SF = "/root/testdata/sf0.001"
 
@@ -32,8 +33,10 @@ def test_decisions_take_effect(spark, steps):
     docs, good, single, cut, mixed, packed = steps
     scored = quality.score(docs, quality.fit(docs, spark.read.parquet(f"{SF}/labels.parquet")))
     assert sorted(r[0] for r in good.select("doc_id").collect()) == sorted(r[0] for r in scored.where("predicted = 1").select("doc_id").collect())
+    kept = plain_kept([(r["doc_id"], r["text"]) for r in good.collect()])
+    assert sorted(r[0] for r in single.select("doc_id").collect()) == kept
     classes = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(good).collect()}
-    assert sorted(r[0] for r in single.select("doc_id").collect()) == sorted(set(classes.values()))
+    assert set(kept) <= set(classes.values())  # what 3 bits link is alike; the stage finds more
     left = {r["doc_id"]: r["kept_sha256"] for r in repeats.remove_repeats(single).where("n_removed < n_bytes OR n_bytes = 0").collect()}
     assert {r["doc_id"]: hashlib.sha256(r["text"].encode()).hexdigest() for r in cut.collect()}.keys() <= left.keys()
     taken = {r["doc_id"]: r["taken"] for r in mixing.mix(cut).collect() if r["taken"]}
@@ -52,7 +55,7 @@ def test_clean_documents_stay(spark, steps):
 
 def test_run_and_registration(spark, steps):
     assert pipeline.run(spark, SF).agg(F.sum("length")).first() == steps[-1].agg(F.sum("length")).first()
-    assert "pipeline" in entry.queries() and sum(q.startswith("op") for q in entry.queries()) == 10
+    assert "pipeline" in entry.queries() and sum(q.startswith("op") for q in entry.queries()) == 13
 
 
 def test_empty_documents(spark):
