@@ -7,9 +7,11 @@ duplicates dropped and the colliding pairs verified on all 64 bits.
 
 A key that many different fingerprints share (a family of near copies) would give pairs with the square of its size.
 Such keys are linked through pivots first (crowds.py).  Where that leaves several classes in a key, two linked
-fingerprints of different classes are not both in its largest one.  So members outside it emit a full-width ball of two bits, all
-others one of one bit.  Whatever lies on a variant is within three bits of every member that is within one bit of it, so linking all
-of it to the smallest such member is exact, loses no connection and is linear.  Classes are the connected components.
+fingerprints of different classes are not both in its largest one.  They agree in the key's half but for one bit at
+most, so flipping one bit of one and up to two bits of the other half of the other one makes them equal: members outside
+the largest class emit the variants of one bit and of two bits of the other half, all others those of one bit.  Whatever lies on a
+variant is within three bits of every member that is within one bit of it, so linking all of it to the smallest
+such member is exact, loses no connection and is linear.  Classes are the connected components of the links.
 """
 
 from __future__ import annotations
@@ -78,6 +80,21 @@ def _flips(most: int, width: int) -> list[int]:
     return [m - (1 << 64) if m >> 63 else m for m in masks]
 
 
+def _sliced(masks: list[int], most: int = 33) -> list[list[int]]:
+    return [masks[i : i + most] for i in range(0, len(masks), most)]
+
+
+# Masks in slices of about equal length: up to one bit, then two bits of the upper and two of the lower half.
+_PAIRS = [m for m in _flips(2, 32) if m.bit_count() == 2]
+MASKS = [_sliced(_flips(1, 64)), _sliced([(m << 32) - ((m >> 31) << 64) for m in _PAIRS]), _sliced(_PAIRS)]
+
+
+def range_of(kind: int) -> list[int]:
+    """Numbers of a kind's slices, counted over all kinds."""
+    start = sum(map(len, MASKS[:kind]))
+    return list(range(start, start + len(MASKS[kind])))
+
+
 def _half_keys(bits: DataFrame, most: int) -> DataFrame:
     """bits, half (0 low, 1 high), key: the variants of both halves within `most` bits; own marks the half itself."""
     halves = F.explode(F.array(*[F.struct(F.lit(h).alias("half"), F.shiftrightunsigned("bits", 32 * h).bitwiseAND(HALF).alias("value")) for h in (0, 1)]))
@@ -105,10 +122,14 @@ def links(bits: DataFrame, pairs_up_to: int = PAIRS_UP_TO) -> DataFrame:
     crowded = members.where(F.col("n") > pairs_up_to).select(F.struct("half", "key").alias("key"), F.col("bits").alias("node"), "n")
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= RADIUS
     edges, apart = link_crowds(crowded, stored(pairs.distinct()), lambda some: some.where(near))
-    apart = stored(apart.groupBy(F.col("node").alias("bits")).agg(F.max(F.col("root") != F.col("largest")).alias("outside")))
-    reach = F.when(F.col("outside"), F.lit(_flips(RADIUS - RADIUS // 2, 64)).cast("array<bigint>")).otherwise(F.lit(_flips(RADIUS // 2, 64)).cast("array<bigint>"))
-    balls = apart.repartition(tasks, F.shiftright("bits", 1)).withColumn("mask", F.explode(reach))
-    balls = balls.select("bits", F.col("bits").bitwiseXOR(F.col("mask")).alias("variant"), (F.bit_count("mask") <= RADIUS // 2).alias("inner"))
+    inside = apart.select(F.col("node").alias("bits")).distinct()
+    outside = apart.where("root <> largest").select(F.col("node").alias("bits"), F.col("key.half").alias("half")).distinct()
+    own = inside.select("bits", F.explode(F.lit(range_of(0))).alias("slice"))
+    others = outside.select("bits", F.explode(F.when(F.col("half") == 0, F.lit(range_of(1))).otherwise(F.lit(range_of(2)))).alias("slice"))
+    dealt = own.unionByName(others).repartition(tasks, "bits", "slice")
+    masks = F.array(*[F.lit(m).cast("array<bigint>") for kind in MASKS for m in kind])
+    balls = dealt.withColumn("mask", F.explode(F.get(masks, F.col("slice"))))
+    balls = balls.select("bits", F.col("bits").bitwiseXOR(F.col("mask")).alias("variant"), (F.col("slice") < len(MASKS[0])).alias("inner"))
     centres = balls.groupBy("variant").agg(F.min(F.when(F.col("inner"), F.col("bits"))).alias("centre"), F.count("*").alias("n"))
     centres = centres.where("centre IS NOT NULL AND n >= 2").drop("n")
     # Spark takes an exploded side to be as small as its source; neither of these may be broadcast.
