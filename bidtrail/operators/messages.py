@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -31,3 +31,22 @@ def cell_layout(messages: DataFrame, millis: str, family: str, qualifier: str, p
     return messages.select(
         key.alias("row_key"), F.lit(family).alias("col_family"), F.lit(qualifier).alias("col_qual"), "value"
     )
+
+
+def ledger_report(ranges: DataFrame) -> DataFrame:
+    """topic, partition, kind, from_offset, until_offset: offsets that no range holds, between the first and the last
+    one of their partition ('gap'), and offsets that an earlier range holds already ('repeat').
+
+    ranges: topic, partition, from_offset, until_offset (first one beyond), a row per batch and partition, in any order;
+    empty ones count for nothing.  Ranges are merged along their start: what lies below the largest end so far is a
+    repeat, what lies between that end and the next start a gap.
+    """
+    kept = ranges.where("from_offset < until_offset")
+    before = Window.partitionBy("topic", "partition").orderBy("from_offset", "until_offset").rowsBetween(Window.unboundedPreceding, -1)
+    merged = kept.withColumn("reached", F.max("until_offset").over(before)).where("reached IS NOT NULL AND reached <> from_offset")
+    gap = F.col("reached") < F.col("from_offset")
+    return merged.select(
+        "topic", "partition", F.when(gap, "gap").otherwise("repeat").alias("kind"),
+        F.least("reached", "from_offset").alias("from_offset"),
+        F.when(gap, F.col("from_offset")).otherwise(F.least("reached", "until_offset")).alias("until_offset"),
+    )

@@ -27,6 +27,8 @@ from ..schemas import (
 BATCH = "batch_id"
 BUCKET = "user_bucket"
 USER = "ipinyou_id"
+# Hidden from readers of the table by its first letter.
+DELETES = "_deletes"
 USER_BUCKETS = 64
 # Batch of an empty or compacted table; streaming batches start at 0.
 BASE = -1
@@ -110,6 +112,30 @@ def compact(spark: SparkSession, path: str, new_path: str, order: list[str], key
     append_batch(rows if by_user else rows.repartitionByRange(*keys), new_path, BASE, by_user)
 
 
+def append_deletes(ids: DataFrame, path: str, batch_id: int, key: str) -> None:
+    """Mark ids as deleted by a batch: rows of them that came with it or before are gone for readers of live_rows.
+
+    Only the ids are written, into a folder that other readers of the table skip; the same batch again replaces itself.
+    """
+    ids.select(key).where(F.col(key).isNotNull()).distinct().write.mode("overwrite").parquet(f"{path}/{DELETES}/{BATCH}={batch_id}")
+
+
+def live_rows(spark: SparkSession, path: str, order: list[str], key: str, keys: list[str] = SERVING_KEY) -> DataFrame:
+    """The last row of each key without those that a delete of their batch or a later one names; a row written after
+    the delete counts again."""
+    rows = latest_per_key(stored_rows(spark, path), keys, [BATCH, *order])
+    marks = f"{path}/{DELETES}"
+    if not batches(spark, marks):
+        return rows.drop(BATCH)
+    deleted = spark.read.option("basePath", marks).parquet(marks).groupBy(key).agg(F.max(BATCH).alias("_deleted"))
+    return rows.join(deleted, key, "left").where(F.col("_deleted").isNull() | (F.col(BATCH) > F.col("_deleted"))).select(*[c for c in rows.columns if c != BATCH])
+
+
+def compact_live(spark: SparkSession, path: str, new_path: str, order: list[str], key: str, keys: list[str] = SERVING_KEY) -> None:
+    """Write the live rows as the base of a new table, which needs the deletes no more."""
+    append_batch(live_rows(spark, path, order, key, keys).repartitionByRange(*keys), new_path, BASE)
+
+
 def delete_ids(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """Rows whose id is not listed; write them to a new path with overwrite_table."""
     return df.join(ids.select(key).distinct(), key, "left_anti")

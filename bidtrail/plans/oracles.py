@@ -425,3 +425,20 @@ best AS (SELECT threshold, tp, fp, 2.0::DOUBLE * tp / (tp + fp + p) AS f1 FROM c
 SELECT p AS positives, n AS negatives, CAST(twice AS DOUBLE) / (2 * (CAST(p AS DOUBLE) * n)) AS auc, threshold, f1, tp, fp FROM totals, best"""
 ORACLES["lead_threshold"] = f"""{_WITH} SELECT count(*) FILTER (p.log_type_name = 'site-lead') AS positives,
     count(*) FILTER (p.log_type_name IS DISTINCT FROM 'site-lead') AS negatives, TRUE AS no_worse {_DICTIONARY_JOIN}"""
+ORACLES["serving_delete_marks"] = ORACLES["serving_delete"]
+ORACLES["keyword_positions"] = f"""WITH {_LOG},{_PLACES}, split AS (
+    SELECT keyword_id, list_filter(string_split_regex(lower(keyword_name), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> '') AS words FROM keyword),
+    tokens AS (SELECT keyword_id, unnest(words) AS term, CAST(unnest(range(1, len(words) + 1)) AS INTEGER) AS position FROM split)
+    SELECT * FROM tokens WHERE NOT list_contains({ENGLISH_STOP_WORDS}, term)"""
+ORACLES["cities_near_customers"] = f"""WITH {_LOG},{_PLACES}, pairs AS (
+    SELECT c_custkey, city_id, c_custkey * 7919 % 18001 / 100 - 90 AS lat, c_custkey * 104729 % 36001 / 100 - 180 AS lon,
+      CAST(latitude AS DOUBLE) AS city_lat, CAST(longitude AS DOUBLE) AS city_lon FROM customer, city WHERE latitude IS NOT NULL),
+    measured AS (SELECT *, 2 * 6371.0088::DOUBLE * asin(sqrt(least(1.0, pow(sin(radians(city_lat - lat) / 2), 2)
+      + cos(radians(lat)) * cos(radians(city_lat)) * pow(sin(radians(city_lon - lon) / 2), 2)))) AS km FROM pairs)
+    SELECT c_custkey, city_id, round(km, 3) AS km FROM measured WHERE km <= 800"""
+ORACLES["offset_ledger"] = """WITH m AS (SELECT CAST(user_id % 4 AS INTEGER) AS "partition", event_id AS o FROM events),
+    ranges AS (SELECT "partition", min(o) AS f, max(o) + 1 AS u FROM m WHERE o % 10000 < 6000 GROUP BY "partition", o // 1000
+      UNION ALL SELECT "partition", min(o), max(o) + 1 FROM m WHERE o % 10000 < 9000 GROUP BY "partition", o // 1700),
+    reached AS (SELECT *, max(u) OVER (PARTITION BY "partition" ORDER BY f, u ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS r FROM ranges)
+    SELECT 'events' AS topic, "partition", CASE WHEN r < f THEN 'gap' ELSE 'repeat' END AS kind, least(r, f) AS from_offset,
+      CASE WHEN r < f THEN f ELSE least(r, u) END AS until_offset FROM reached WHERE r <> f"""

@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions import scalars as fn
 from ..functions import useragent as ua
 from ..operators import dictionaries as dim
+from ..operators import geo
 from ..operators import history as hist
 from ..operators import messages as msg
 from ..operators import parsing, ranking, serving, text, vectors
@@ -406,6 +407,41 @@ def keyword_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.index_terms(view.keywords(spark, sf_dir), "keyword_name").select("keyword_id", "term")
 
 
+def keyword_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return text.token_positions(view.keywords(spark, sf_dir), "keyword_name").select("keyword_id", "term", "position")
+
+
+def keyword_stems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stem and position of every word of the keywords."""
+    return text.analysed_terms(view.keywords(spark, sf_dir), "keyword_name").select("keyword_id", "term", "stem", "position")
+
+
+RADIUS_KM = 800.0
+
+
+def cities_near_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cities of the dictionary around a made-up point of every customer."""
+    key = F.col("c_custkey")
+    points = view.table(spark, sf_dir, "customer").select(
+        "c_custkey", (key * 7919 % 18001 / 100 - 90).alias("lat"), (key * 104729 % 36001 / 100 - 180).alias("lon")
+    )
+    cities = view.dictionaries(spark, sf_dir).city
+    cities = cities.select("city_id", F.col("latitude").cast("double").alias("city_lat"), F.col("longitude").cast("double").alias("city_lon"))
+    found = geo.within_radius(points, cities, RADIUS_KM, ("lat", "lon"), ("city_lat", "city_lon"))
+    return found.select("c_custkey", "city_id", F.round("distance_km", 3).alias("km"))
+
+
+def offset_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gaps and repeats in the offsets of two readers' batches, of 1,000 and of 1,700 offsets."""
+    messages = view.messages(spark, sf_dir)
+    read = [
+        messages.where(F.col("offset") % 10_000 < until).withColumn("topic", F.concat("topic", F.lit("-"), F.floor(F.col("offset") / size).cast("string")))
+        for size, until in ((1000, 6000), (1700, 9000))
+    ]
+    ranges = msg.offset_ranges(read[0].unionByName(read[1].withColumn("topic", F.concat("topic", F.lit("-b")))))
+    return msg.ledger_report(ranges.withColumn("topic", F.substring_index("topic", "-", 1)))
+
+
 # Serving
 
 
@@ -482,6 +518,17 @@ def serving_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(kept)
 
 
+def serving_delete_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows, read through marks of the deleted users; the table folded without them, read again."""
+    path, folded = scratch_path(spark, "marked"), scratch_path(spark, "marked-folded")
+    serving.append_batch(_daily_rows(view.table(spark, sf_dir, "events")), path, 0)
+    ids = view.table(spark, sf_dir, "customer").where("c_acctbal < 0").select(F.col("c_custkey").cast("string").alias("ipinyou_id"))
+    serving.append_deletes(ids, path, 1, "ipinyou_id")
+    every = ["ipinyou_id", "arrival"]
+    serving.compact_live(spark, path, folded, [], "ipinyou_id", every)
+    return serving.live_rows(spark, folded, [], "ipinyou_id", every)
+
+
 def daily_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "daily")
     name = F.concat(F.lit("site-click."), F.substring("timestamp", 1, 8), F.lit("-aa.txt"))
@@ -574,10 +621,11 @@ def train_boosted_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def train_from_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trees trained from a labelled file with a header line; the same checks."""
+    """Trees trained from a labelled file with a header line and a column per dimension; the same checks."""
     path = scratch_path(spark, "labelled")
     table = view.table(spark, sf_dir, "embeddings")
-    table.select("label", *[F.col("embedding")[i].cast("double").alias(f"x{i}") for i in range(8)]).write.option("header", "true").csv(path)
+    dimensions = table.agg(F.max(F.size("embedding"))).first()[0] or 0
+    table.select("label", *[F.get("embedding", F.lit(i)).cast("double").alias(f"x{i}") for i in range(dimensions)]).write.option("header", "true").csv(path)
     rows = files.read_labelled_csv(spark, path)
     vector = array_to_vector(F.array(*[F.col(c) for c in rows.columns if c != "label"]))
     rows = rows.select(F.col("label").cast("double").alias("label"), vector.alias("features"))
@@ -699,7 +747,7 @@ QUERIES: dict[str, Query] = {
         parse_log_line, parse_log_line_strings, typed_casts, filter_nonempty,
         stream_log_source, stream_term_filter, raw_landing, bounded_offset_read, offset_ranges, cell_layout,
         serving_read, serving_overwrite, serving_upsert, serving_delete, daily_routing, json_documents,
-        serving_schema, keyword_terms,
+        serving_schema, keyword_terms, keyword_positions, keyword_stems, cities_near_customers, offset_ledger, serving_delete_marks,
         enrich_bid_log, enrich_index_doc, join_dim_left, join_city_inner, join_snowflake, join_keyword,
         keyword_dictionary, keyword_fallback,
         history_range_join, history_semi_join, user_keyword_pivot, user_keyword_asof, attach_features,

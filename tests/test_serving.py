@@ -102,3 +102,30 @@ def test_word_count(spark, rows):
 def test_index_terms(spark):
     df = spark.createDataFrame([(1, "The Red-Shoes of 2013, and more")], "id int, name string")
     assert [r["term"] for r in text.index_terms(df, "name").collect()] == ["red", "shoes", "2013", "more"]
+
+
+def test_deletes_are_marks_until_compacted(spark, rows, tmp_path):
+    path, folded = str(tmp_path / "t"), str(tmp_path / "folded")
+    serving.append_batch(frame(spark, ("u", "1", 1, "a"), ("v", "1", 2, "b"), ("w", "1", 3, "c")), path, 0)
+    before = sorted(p.name for p in (tmp_path / "t").rglob("*.parquet"))
+    live = lambda where: [r[:2] + r[3:] for r in rows(serving.live_rows(spark, where, ["arrival"], "ipinyou_id").select("ipinyou_id", "timestamp", "arrival", "v"))]
+    assert len(live(path)) == 3
+    ids = spark.createDataFrame([("u",), ("u",), ("w",), (None,), ("nobody",)], "ipinyou_id string")
+    for _ in range(2):
+        serving.append_deletes(ids, path, 1, "ipinyou_id")
+    assert live(path) == [("v", "1", "b")]
+    # Only ids were written, and other readers see the table as it was.
+    assert [n for n in before if n not in {p.name for p in (tmp_path / "t").rglob("*.parquet")}] == []
+    assert serving.stored_rows(spark, path).count() == 3 and serving.batches(spark, path) == [0]
+    serving.append_batch(frame(spark, ("u", "1", 9, "again")), path, 2)
+    assert live(path) == [("u", "1", "again"), ("v", "1", "b")]
+    serving.compact_live(spark, path, folded, ["arrival"], "ipinyou_id")
+    assert live(folded) == live(path) and spark.read.parquet(folded).count() == 2
+
+
+def test_ledger_finds_gaps_and_repeats(spark, rows):
+    ranges = [("t", 0, 0, 10), ("t", 0, 2, 4), ("t", 0, 6, 12), ("t", 0, 12, 15), ("t", 0, 20, 21), ("t", 0, 30, 30), ("t", 1, 5, 6), ("u", 0, 1, 3), ("u", 0, 1, 3)]
+    df = spark.createDataFrame(ranges, "topic string, partition int, from_offset long, until_offset long")
+    want = [("t", 0, "gap", 15, 20), ("t", 0, "repeat", 2, 4), ("t", 0, "repeat", 6, 10), ("u", 0, "repeat", 1, 3)]
+    assert rows(msg.ledger_report(df.repartition(3))) == want
+    assert msg.ledger_report(df.where("false")).collect() == []
