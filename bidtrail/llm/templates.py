@@ -21,6 +21,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import fits_broadcast, salted_join
+from ..session import stored
 from .common import slices, tuned
 from .url_rules import host_and_path
 
@@ -55,9 +57,10 @@ class Element:
     __slots__ = ("tag", "start", "end", "parent", "dropped", "own", "holds")
 
     def __init__(self, tag: str, start: int, parent: "Element | None", dropped: bool, own: bool):
+        """dropped: as the element itself says; Page adds what the elements around it say."""
         self.tag, self.start, self.end, self.parent, self.dropped, self.own = tag, start, -1, parent, dropped, own
-        self.holds = False  # an <article> or <main>
-        if tag in ("article", "main"):
+        self.holds = False  # an <article> or <main> that is not dropped itself
+        if tag in ("article", "main") and not dropped:
             while parent is not None and not parent.holds:
                 parent.holds, parent = True, parent.parent
 
@@ -102,15 +105,17 @@ class Page:
                 if tag in CLOSES_P or tag in CLOSED_BY_SAME:
                     top = self._implied(tag, top, m.start())
                 own = tag in ("article", "main") or top is not None and top.own
-                dropped = top is not None and top.dropped or says_so(tag, m[3], own and tag not in ("article", "main"))
+                dropped = says_so(tag, m[3], own and tag not in ("article", "main"))
                 if tag not in VOID and not m[3].endswith("/"):
                     top = Element(tag, m.start(), top, dropped, own)
                     self.elements.append(top)
         if at < len(source):
             self.pieces.append((source[at:], top))
-        for e in self.elements:
+        for e in self.elements:  # parents come first
             if e.end < 0:
                 e.end = len(source)
+            # Whatever it is called, what holds an article goes on as a frame around it.
+            e.dropped = e.dropped and not e.holds or e.parent is not None and e.parent.dropped
 
     def _close(self, tag: str, top: Element | None, m: re.Match) -> Element | None:
         e = top
@@ -212,8 +217,8 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, names=["page_id", "url", "text", "n_chars"])
 
 
-def template_subtrees(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> tuple[DataFrame, DataFrame]:
-    """(subtrees of each page, template subtrees of each host) of (page_id, host, path, html)."""
+def template_subtrees(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+    """host, hash: the template subtrees of each host of (page_id, host, path, html)."""
     schema = "page_id bigint, host string, path string, content bigint, subtrees array<struct<hash: bigint, rest: bigint, own: boolean>>"
     found = pages.select("page_id", "host", "path", "html").mapInArrow(_hashes, schema)
     each = found.select("page_id", "host", "path", F.explode("subtrees").alias("s")).select("page_id", "host", "path", "s.*")
@@ -224,7 +229,7 @@ def template_subtrees(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: f
     # A host has few template subtrees, so the hot host is not hot here.
     most = F.when(F.col("own"), F.col("pages")).otherwise(F.col("contents"))
     template = counts.join(sizes, "host").where(F.col("n") >= min_share * most).select("host", "hash").distinct()
-    return each.select("page_id", "host", "hash"), template
+    return template
 
 
 def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
@@ -237,8 +242,8 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN
     tuned(pages.sparkSession)
     host, path = host_and_path(F.col("url").cast("string"))
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"), host.alias("host"), path.alias("path"))
-    each, template = template_subtrees(rows, min_pages, min_share)
-    hits = each.join(template, ["host", "hash"]).groupBy("page_id", "host").agg(F.collect_set("hash").alias("template"))
-    hits = hits.select(F.col("page_id").alias("_page"), F.col("host").alias("_host"), "template")
-    joined = rows.join(hits, F.col("page_id").eqNullSafe(F.col("_page")) & F.col("host").eqNullSafe(F.col("_host")), "left")
+    template = stored(template_subtrees(rows, min_pages, min_share))
+    hosts = template.groupBy("host").agg(F.collect_list("hash").alias("template"))
+    # The pages stay where they are read as long as all hosts' template subtrees measure small.
+    joined = rows.join(F.broadcast(hosts), "host", "left") if fits_broadcast(template) else salted_join(rows, hosts, "host", ["page_id", "url"], "left")
     return joined.select("page_id", "url", "html", "template").mapInArrow(_texts, "page_id bigint, url string, text string, n_chars bigint")

@@ -1,5 +1,7 @@
 """Page text on hand-made pages."""
 
+import pytest
+
 from bidtrail.llm import templates
 from bidtrail.llm.templates import Page
 
@@ -77,3 +79,16 @@ def test_copies_of_a_page_keep_their_text(spark):
     got = {r["page_id"]: r["text"] for r in templates.extract(pages).collect()}
     assert [got[i] for i in range(12)] == ["copied words"] * 4 + ["one page"] * 4 + ["other paths"] * 4
     assert [got[i] for i in range(12, 21)] == ["copied more copied"] * 5 + [f"own {i} more own {i}" for i in range(4)]
+
+
+@pytest.mark.parametrize(
+    ("html", "want"),
+    [
+        ('<div class="layout with-sidebar"><div class="sidebar">side</div><article><p>main text</p></article></div>', "main text"),
+        ('<div class="has-banner"><div class="banner">buy</div><main><p>main text</p></main></div>', "main text"),
+        ('<form id="page"><article><p>main text</p><form>mail me</form></article></form>', "main text"),
+        ('<article><p>main text</p></article><section id="comments"><article class="comment"><p>first!</p></article></section>', "main text"),
+    ],
+)
+def test_what_holds_an_article_is_not_dropped(html, want):
+    assert text(html) == want
