@@ -5,10 +5,14 @@ to arrive counts.  Writing a batch never touches older data, writing it again re
 and a reader keeps the last of each key.  A table may also be laid out by user: inside a batch, one folder per
 bucket of users, so that what a batch needs of its users' past is read from their buckets alone.  `compact` folds
 the batches into one.
+
+Files carry Bloom filters of the user, so that a lookup of a few users opens only the row groups that may hold them.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,9 +31,15 @@ from ..schemas import (
 BATCH = "batch_id"
 BUCKET = "user_bucket"
 USER = "ipinyou_id"
-# Hidden from readers of the table by its first letter.
+# Hidden from readers of the table by their first letter.
 DELETES = "_deletes"
+LAYOUT = "_layout"
 USER_BUCKETS = 64
+# A bucket of a batch should be about this large; the number of buckets is set once, when a table is made.
+BUCKET_BYTES = 256 << 20
+MOST_BUCKETS = 16_384
+# The longest list of users that Spark hands to the files' Bloom filters as it is.
+USERS_A_LOOKUP = 10
 # Batch of an empty or compacted table; streaming batches start at 0.
 BASE = -1
 
@@ -48,16 +58,47 @@ def overwrite_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def user_bucket(user: str = USER) -> Column:
+def user_bucket(user: str = USER, buckets: int = USER_BUCKETS) -> Column:
     """Bucket of a user, for a table laid out by user."""
-    return F.pmod(F.xxhash64(user), F.lit(USER_BUCKETS)).cast("int")
+    return F.pmod(F.xxhash64(user), F.lit(buckets)).cast("int")
+
+
+def bucket_count(table_bytes: int) -> int:
+    """Buckets for a table that is to grow to so many bytes: the power of two from 64 on that keeps them near BUCKET_BYTES."""
+    wanted = -(-table_bytes // BUCKET_BYTES)
+    return min(MOST_BUCKETS, max(USER_BUCKETS, 1 << max(0, wanted - 1).bit_length()))
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder; 0 if there is none."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.getContentSummary(folder).getLength() if files.exists(folder) else 0
+
+
+def table_buckets(spark: SparkSession, path: str) -> int:
+    """Buckets of a table; USER_BUCKETS where none were set."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path, LAYOUT)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return spark.read.schema("buckets int").json(f"{path}/{LAYOUT}").first()["buckets"] if files.exists(folder) else USER_BUCKETS
+
+
+def set_buckets(spark: SparkSession, path: str, buckets: int) -> None:
+    """Fix the number of buckets of a table; one that holds batches keeps its number."""
+    if batches(spark, path) and table_buckets(spark, path) != buckets:
+        raise ValueError(f"{path} holds batches; compact it into a new table to change its buckets")
+    spark.range(1).select(F.lit(buckets).alias("buckets")).write.mode("overwrite").json(f"{path}/{LAYOUT}")
 
 
 def append_batch(df: DataFrame, path: str, batch_id: int, by_user: bool = False) -> None:
     """Add a batch; the same batch written again replaces itself."""
     if by_user:
-        df = df.withColumn(BUCKET, user_bucket()).hint("rebalance", BUCKET)
+        buckets = table_buckets(df.sparkSession, path)
+        df = df.withColumn(BUCKET, user_bucket(buckets=buckets)).hint("rebalance", BUCKET)
     writer = df.write.mode("overwrite")
+    if USER in df.columns:
+        # The filter of a row group is sized by its own keys, up to a megabyte.
+        writer = writer.option(f"parquet.bloom.filter.enabled#{USER}", "true").option("parquet.bloom.filter.adaptive.enabled", "true")
     (writer.partitionBy(BUCKET) if by_user else writer).parquet(f"{path}/{BATCH}={batch_id}")
 
 
@@ -97,6 +138,28 @@ def current_rows(spark: SparkSession, path: str, order: list[str], keys: list[st
     return latest_per_key(stored_rows(spark, path), keys, [BATCH, *order]).drop(BATCH)
 
 
+def rows_of_users(spark: SparkSession, path: str, users: list[str], schema: T.StructType | None = None) -> DataFrame:
+    """All stored rows of some users with their batch, of a table of either layout.
+
+    Only the users' buckets are listed, and of their files only the row groups whose Bloom filter may hold one of the
+    users.  Longer lists are looked up in parts of USERS_A_LOOKUP, beyond which Spark would hand over the range alone; for very
+    many users join the table with a frame of them.  Null users are never found, a user named twice is found once.
+    """
+    known = sorted({u for u in users if u is not None})
+    if not known:
+        return stored_rows(spark, path, schema=schema).where(F.lit(False))
+    parts = [known[i : i + USERS_A_LOOKUP] for i in range(0, len(known), USERS_A_LOOKUP)]
+    hashed = spark.createDataFrame([(u,) for u in known], f"{USER} string").select(USER, user_bucket(buckets=table_buckets(spark, path)).alias("b"))
+    bucket = {r[USER]: r["b"] for r in hashed.collect()}
+    found = [stored_rows(spark, path, schema=schema, buckets=sorted({bucket[u] for u in part})).where(F.col(USER).isin(part)) for part in parts]
+    return reduce(DataFrame.unionByName, found)
+
+
+def current_rows_of_users(spark: SparkSession, path: str, users: list[str], order: list[str], keys: list[str] = SERVING_KEY) -> DataFrame:
+    """The last row of each key of some users."""
+    return latest_per_key(rows_of_users(spark, path, users), keys, [BATCH, *order]).drop(BATCH)
+
+
 def history_snapshot(rows: DataFrame, path: str) -> None:
     """What the features of users are made of, from rows of the serving table, as files that a stream can begin with."""
     rows.select("ipinyou_id", "timestamp", "log_type_name", "keyword_name").write.mode("overwrite").parquet(path)
@@ -105,10 +168,13 @@ def history_snapshot(rows: DataFrame, path: str) -> None:
 def compact(spark: SparkSession, path: str, new_path: str, order: list[str], keys: list[str] = SERVING_KEY, by_user: bool = False) -> None:
     """Write the current rows as the base of a new table.
 
-    Laid out by user, each bucket is rewritten into few files of its own; otherwise the rows are split by ranges of the
-    whole key, so that key lookups skip row groups and one busy user spans several files.
+    Laid out by user, each bucket is rewritten into few files of its own, and the number of buckets follows from the bytes of
+    the old table; otherwise the rows are split by ranges of the whole key, so that key lookups skip row groups and
+    one busy user spans several files.
     """
     rows = current_rows(spark, path, order, keys)
+    if by_user:
+        set_buckets(spark, new_path, max(table_buckets(spark, path), bucket_count(stored_bytes(spark, path))))
     append_batch(rows if by_user else rows.repartitionByRange(*keys), new_path, BASE, by_user)
 
 

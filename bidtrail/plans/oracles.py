@@ -338,10 +338,12 @@ ORACLES: dict[str, str] = {
     "score_leads": f"""{_WITH} SELECT p.bid_id, p.ipinyou_id, p."timestamp",
         CASE WHEN p.log_type_name = 'site-lead' THEN 1 ELSE 0 END AS label, TRUE AS adds_up, TRUE AS larger_wins {_DICTIONARY_JOIN}""",
     "mispredictions": f"""{_WITH}, rows AS (SELECT CASE WHEN p.log_type_name = 'site-lead' THEN 'TRUE' ELSE 'FALSE' END AS actual
-        {_DICTIONARY_JOIN}) SELECT actual, count(*) AS n, TRUE AS errors_add_up FROM rows GROUP BY actual""",
+        {_DICTIONARY_JOIN}) SELECT actual, count(*) AS n, TRUE AS errors_add_up,
+        TRUE AS no_worse_than_one_class FROM rows GROUP BY actual""",
     "train_boosted_trees": """SELECT CAST(label AS INTEGER) AS actual, count(*) AS n, TRUE AS errors_add_up,
         TRUE AS beats_one_class FROM embeddings GROUP BY label""",
-    "train_from_file": "SELECT CAST(label AS INTEGER) AS actual, count(*) AS n, TRUE AS errors_add_up FROM embeddings GROUP BY label",
+    "train_from_file": """SELECT CAST(label AS INTEGER) AS actual, count(*) AS n, TRUE AS errors_add_up,
+        TRUE AS beats_one_class FROM embeddings GROUP BY label""",
     "classify_titles": """SELECT conv_id, turn, '"' || text AS quoted, TRUE AS adds_up, TRUE AS larger_wins
         FROM conversations WHERE text <> ''""",
     "stream_score": f"""{_WITH}, since AS (SELECT max(ts) - INTERVAL {RECENT_DAYS} DAYS AS ts FROM events),
@@ -423,8 +425,17 @@ ORACLES["ranking_report"] = f"""WITH {_CURVE},
 totals AS (SELECT CAST(sum(positives) AS BIGINT) AS p, CAST(sum(negatives) AS BIGINT) AS n, sum(negatives * (2 * tp - positives)) AS twice FROM curve),
 best AS (SELECT threshold, tp, fp, 2.0::DOUBLE * tp / (tp + fp + p) AS f1 FROM curve, totals ORDER BY f1 DESC, threshold DESC LIMIT 1)
 SELECT p AS positives, n AS negatives, CAST(twice AS DOUBLE) / (2 * (CAST(p AS DOUBLE) * n)) AS auc, threshold, f1, tp, fp FROM totals, best"""
+ORACLES["wrong_predictions"] = f"""WITH {_CURVE}, totals AS (SELECT CAST(sum(positives) AS BIGINT) AS p FROM curve),
+best AS (SELECT threshold AS t FROM curve, totals ORDER BY 2.0::DOUBLE * tp / (tp + fp + p) DESC, threshold DESC LIMIT 1),
+told AS (SELECT event_id, CASE WHEN event_type = 'purchase' THEN 'TRUE' ELSE 'FALSE' END AS actual,
+    CASE WHEN round(value, 1) >= t THEN 'TRUE' ELSE 'FALSE' END AS predicted FROM events, best WHERE value IS NOT NULL AND event_type IS NOT NULL)
+SELECT event_id, actual || ' X ' || predicted AS wrong FROM told WHERE actual <> predicted"""
+ORACLES["boost_softmax"] = """SELECT CAST(label AS INTEGER) AS actual, count(*) AS n, TRUE AS loss_fell, TRUE AS beats_one_class
+    FROM embeddings GROUP BY label"""
 ORACLES["lead_threshold"] = f"""{_WITH} SELECT count(*) FILTER (p.log_type_name = 'site-lead') AS positives,
     count(*) FILTER (p.log_type_name IS DISTINCT FROM 'site-lead') AS negatives, TRUE AS no_worse {_DICTIONARY_JOIN}"""
+ORACLES["serving_lookup"] = f"""WITH {_LOG},{_UPSERT_ROWS} SELECT * FROM daily WHERE ipinyou_id IN (
+    SELECT CAST(min(c_custkey) AS VARCHAR) FROM customer GROUP BY c_nationkey)"""
 ORACLES["serving_delete_marks"] = ORACLES["serving_delete"]
 ORACLES["keyword_positions"] = f"""WITH {_LOG},{_PLACES}, split AS (
     SELECT keyword_id, list_filter(string_split_regex(lower(keyword_name), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> '') AS words FROM keyword),

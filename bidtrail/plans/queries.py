@@ -15,8 +15,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import scalars as fn
 from ..functions import useragent as ua
+from ..operators import boosting, geo
 from ..operators import dictionaries as dim
-from ..operators import geo
 from ..operators import history as hist
 from ..operators import messages as msg
 from ..operators import parsing, ranking, serving, text, vectors
@@ -529,6 +529,17 @@ def serving_delete_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.live_rows(spark, folded, [], "ipinyou_id", every)
 
 
+def serving_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the first customer of each nation, looked up in a table laid out by user in two batches."""
+    path = scratch_path(spark, "lookup")
+    rows = _daily_rows(view.table(spark, sf_dir, "events"))
+    for batch in (0, 1):
+        serving.append_batch(rows.where(F.col("arrival") % 2 == batch), path, batch, by_user=True)
+    first = view.table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(F.min("c_custkey").alias("user"))
+    users = [str(r["user"]) for r in first.collect()]  # one per nation
+    return serving.current_rows_of_users(spark, path, users, [], ["ipinyou_id", "arrival"])
+
+
 def daily_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "daily")
     name = F.concat(F.lit("site-click."), F.substring("timestamp", 1, 8), F.lit("-aa.txt"))
@@ -596,9 +607,12 @@ def score_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mispredictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of each class, and whether its wrong predictions are what its right ones leave."""
+    """Rows of each class, whether its wrong predictions are what its right ones leave, and whether the model is wrong no
+    more often than the most frequent class for all rows would be."""
     scored = stored(_scored_leads(spark, sf_dir).select(F.when(F.col("label") == 1, "TRUE").otherwise("FALSE").alias("actual"), "predict"))
-    return _errors_add_up(scored, "actual", "predict").select("actual", "n", "errors_add_up")
+    counted = stored(_errors_add_up(scored, "actual", "predict"))
+    no_worse = counted.agg((F.sum("right") >= F.max("n")).alias("no_worse")).scalar()
+    return counted.select("actual", "n", "errors_add_up", no_worse.alias("no_worse_than_one_class"))
 
 
 def _errors_add_up(scored: DataFrame, actual: str, predicted: str) -> DataFrame:
@@ -614,6 +628,10 @@ def train_boosted_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
         "vec_id", F.col("label").cast("double").alias("label"), array_to_vector(F.col("embedding").cast("array<double>")).alias("features")
     )
     scored = stored(scoring.train_boosted_trees(rows).transform(rows).select("label", "prediction"))
+    return _beats_one_class(scored)
+
+
+def _beats_one_class(scored: DataFrame) -> DataFrame:
     counted = _errors_add_up(scored, "label", "prediction")
     everything = Window.partitionBy(F.lit(0))  # a row per class
     better = F.sum("right").over(everything) > F.max("n").over(everything)
@@ -630,7 +648,29 @@ def train_from_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     vector = array_to_vector(F.array(*[F.col(c) for c in rows.columns if c != "label"]))
     rows = rows.select(F.col("label").cast("double").alias("label"), vector.alias("features"))
     scored = stored(scoring.train_boosted_trees(rows).transform(rows).select("label", "prediction"))
-    return _errors_add_up(scored, "label", "prediction").select(F.col("actual").cast("int").alias("actual"), "n", "errors_add_up")
+    return _beats_one_class(scored)
+
+
+def boost_softmax(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trees of all classes at once on the training table: rows of each class, whether the loss fell in every round, and whether
+    more rows are right than with one class for all."""
+    rows = view.table(spark, sf_dir, "embeddings").select("label", F.col("embedding").cast("array<double>").alias("features"))
+    model = boosting.train(rows)
+    fell = all(b < a for a, b in zip(model.losses, model.losses[1:]))
+    counted = stored(_errors_add_up(boosting.predict(model, rows), "label", "prediction"))
+    better = counted.agg((F.sum("right") > F.max("n")).alias("better")).scalar()
+    return counted.select(F.col("actual").cast("int").alias("actual"), "n", F.lit(fell).alias("loss_fell"), better.alias("beats_one_class"))
+
+
+def wrong_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events whose value, cut at the threshold of the best F1, tells wrongly whether they are purchases."""
+    value = F.round("value", 1)
+    report = ranking.ranking_report(ranking.threshold_curve(_sales(spark, sf_dir)))
+    rows = view.table(spark, sf_dir, "events").where(value.isNotNull() & F.col("event_type").isNotNull())
+    cut = report.select("threshold").scalar()
+    actual = F.when(F.col("event_type") == "purchase", "TRUE").otherwise("FALSE")
+    told = rows.select("event_id", actual.alias("actual"), ranking.predicted_by(value, cut).alias("predicted"))
+    return ranking.wrong_rows(told, "actual", "predicted", ["event_id"])
 
 
 def _titles(conversations: DataFrame) -> DataFrame:
@@ -746,7 +786,7 @@ QUERIES: dict[str, Query] = {
         scan_typed_tsv, scan_untyped_tsv, scan_log_dir, tsv_roundtrip, publish_lines,
         parse_log_line, parse_log_line_strings, typed_casts, filter_nonempty,
         stream_log_source, stream_term_filter, raw_landing, bounded_offset_read, offset_ranges, cell_layout,
-        serving_read, serving_overwrite, serving_upsert, serving_delete, daily_routing, json_documents,
+        serving_read, serving_overwrite, serving_upsert, serving_delete, serving_lookup, daily_routing, json_documents,
         serving_schema, keyword_terms, keyword_positions, keyword_stems, cities_near_customers, offset_ledger, serving_delete_marks,
         enrich_bid_log, enrich_index_doc, join_dim_left, join_city_inner, join_snowflake, join_keyword,
         keyword_dictionary, keyword_fallback,
@@ -756,5 +796,6 @@ QUERIES: dict[str, Query] = {
         stream_enrich, stream_rejects, stream_index_doc, keyword_stream_docs, log_folder_job, serving_text_row,
         train_from_file, stream_score, stream_score_from_table, train_lead_model, score_leads, mispredictions, train_boosted_trees,
         classify_titles, word_vectors, title_vector_classes, threshold_curve, ranking_report, lead_threshold,
+        boost_softmax, wrong_predictions,
     )
 }

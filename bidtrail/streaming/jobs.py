@@ -27,6 +27,7 @@ from ..operators.serving import (
     landing_rows,
     latest_per_key,
     stored_rows,
+    table_buckets,
     user_bucket,
     write_documents,
 )
@@ -197,6 +198,7 @@ def score_stream(
     refuse_to_replace(spark, table, checkpoint, first_batch)
     stored_fields = spark.read.option("basePath", table).parquet(table).schema.fields
     columns = T.StructType([f for f in stored_fields if f.name not in (BATCH, BUCKET)])
+    all_buckets = table_buckets(spark, table)
 
     def work(batch: DataFrame, number: int) -> None:
         held: list[DataFrame] = []
@@ -210,7 +212,7 @@ def score_stream(
             parsed = hold(parsed_rows(batch))
             append_batch(rejected(parsed), rejects, batch_id)
             rows = hold(served_rows(parsed, dictionaries))
-            buckets = [r[0] for r in rows.select(user_bucket()).distinct().collect()]  # at most USER_BUCKETS
+            buckets = [r[0] for r in rows.select(user_bucket(buckets=all_buckets)).distinct().collect()]  # no more than the table has
             if not buckets:
                 return
             # Rows replaced by a later one are not history.

@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from bidtrail.operators import messages as msg
@@ -129,3 +130,52 @@ def test_ledger_finds_gaps_and_repeats(spark, rows):
     want = [("t", 0, "gap", 15, 20), ("t", 0, "repeat", 2, 4), ("t", 0, "repeat", 6, 10), ("u", 0, "repeat", 1, 3)]
     assert rows(msg.ledger_report(df.repartition(3))) == want
     assert msg.ledger_report(df.where("false")).collect() == []
+
+
+def rows_read(df):
+    """Rows that the scans of a frame hand on; row groups that they skip do not count."""
+    plan = df._jdf.queryExecution().executedPlan()
+    df._jdf.queryExecution().toRdd().count()
+    leaves = plan.collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+
+def test_a_lookup_skips_row_groups(spark, tmp_path):
+    path = str(tmp_path / "t")
+    conf = spark._jsc.hadoopConfiguration()
+    users = spark.range(4000).select(F.md5(F.col("id").cast("string")).alias("ipinyou_id"), F.lit("1").alias("timestamp"), F.col("id").alias("arrival"))
+    conf.set("parquet.enable.dictionary", "false")  # as in files with too many users for a dictionary
+    try:
+        serving.append_batch(users.repartition(16, "ipinyou_id"), path, 0)
+    finally:
+        conf.unset("parquet.enable.dictionary")
+    ten = [r[0] for r in users.select(F.md5(F.concat(F.lit("no"), F.col("arrival").cast("string")))).limit(10).collect()]
+    absent = serving.rows_of_users(spark, path, ten)
+    assert rows_read(absent) < 1000 and absent.count() == 0
+    one = users.first()["ipinyou_id"]
+    assert 0 < rows_read(serving.rows_of_users(spark, path, [one, None, one])) < 1000
+    assert [r["arrival"] for r in serving.rows_of_users(spark, path, [one, None, one]).collect()] == [0]
+    conf.set("parquet.filter.bloom.enabled", "false")
+    try:
+        assert rows_read(serving.rows_of_users(spark, path, ten)) == 4000
+    finally:
+        conf.unset("parquet.filter.bloom.enabled")
+
+
+def test_long_lookups_and_bucket_counts(spark, rows, tmp_path):
+    path, folded = str(tmp_path / "t"), str(tmp_path / "folded")
+    df = spark.range(100).select(F.concat(F.lit("u"), F.col("id") % 40).alias("ipinyou_id"), F.col("id").cast("string").alias("timestamp"), F.col("id").alias("arrival"))
+    serving.set_buckets(spark, path, 128)
+    serving.append_batch(df, path, 0, by_user=True)
+    wanted = [f"u{i}" for i in range(25)] + ["u3", "nobody"]
+    expected = rows(df.where(F.col("ipinyou_id").isin(wanted)))
+    assert rows(serving.current_rows_of_users(spark, path, wanted, ["arrival"]).select(df.columns)) == expected
+    assert serving.rows_of_users(spark, path, [None]).collect() == []
+    assert serving.table_buckets(spark, path) == 128
+    with pytest.raises(ValueError):
+        serving.set_buckets(spark, path, 64)
+    for _ in range(2):  # a compaction may be repeated
+        serving.compact(spark, path, folded, ["arrival"], by_user=True)
+        assert rows(serving.current_rows_of_users(spark, folded, wanted, ["arrival"]).select(df.columns)) == expected
+    assert serving.table_buckets(spark, folded) == 128 and serving.stored_bytes(spark, str(tmp_path / "none")) == 0
+    assert [serving.bucket_count(n) for n in (0, 64 * serving.BUCKET_BYTES, 64 * serving.BUCKET_BYTES + 1, 1 << 60)] == [64, 64, 128, serving.MOST_BUCKETS]
