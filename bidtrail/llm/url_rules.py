@@ -2,14 +2,18 @@
 
 A rule is a regular expression over "host/path" with the literal tokens that every URL it matches must hold.  It is
 filed under the one of them that is rarest in the URLs at hand.  The tokens of a URL fetch the rules filed under them,
-and only those run their expression.  Rules are configuration, held by the caller; they travel inside the plan.
+and only those run their expression.  Rules are configuration, held by the caller; they travel inside the plan as one
+constant, spread over slots by a hash of the token, so that what a URL costs does not follow the number of rules.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from collections import defaultdict
 from dataclasses import dataclass
+from typing import Any
+from zlib import crc32
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -67,12 +71,31 @@ def url_tokens(host: Column, path: Column) -> Column:
     return F.array_distinct(F.split(lowered, "[^a-z0-9]+"))
 
 
+def constant(value: Any, kind: str) -> Column:
+    """A nested value as one constant of the plan; a literal would be an expression per element."""
+    return F.from_json(F.lit(json.dumps({"v": value})), f"v {kind}")["v"]
+
+
+def in_slots(entries: list[tuple[str, Any]]) -> list[list[Any]]:
+    """Values of tokens, spread over at least twice as many slots by the CRC of their token."""
+    slots: list[list[Any]] = [[] for _ in range(max(2, 1 << (2 * len(entries)).bit_length()))]
+    for token, value in entries:
+        slots[crc32(token.encode()) % len(slots)].append(value)
+    return slots
+
+
+def slot_of(slots: Column, size: int, token: Column) -> Column:
+    return F.element_at(slots, (F.crc32(token.cast("binary")) % size + 1).cast("int"))
+
+
 def token_counts(urls: DataFrame, rules: list[Rule]) -> dict[str, int]:
     """In how many URLs each literal token of the rules stands; the result is no longer than the rules."""
     wanted = sorted({t for r in rules for t in r.tokens})
+    slots = in_slots([(t, t) for t in wanted])
+    known = constant(slots, "array<array<string>>")
     host, path = host_and_path(F.col("url").cast("string"))
-    found = F.explode(F.array_intersect(url_tokens(host, path), F.lit(wanted)))
-    return {r[0]: r[1] for r in urls.select(found.alias("token")).groupBy("token").count().collect()}
+    found = F.filter(url_tokens(host, path), lambda t: F.array_contains(slot_of(known, len(slots), t), t))
+    return {r[0]: r[1] for r in urls.select(F.explode(found).alias("token")).groupBy("token").count().collect()}
 
 
 def judge(pages: DataFrame, rules: list[Rule] = RULES, default: str = "allow") -> DataFrame:
@@ -89,27 +112,29 @@ def judge(pages: DataFrame, rules: list[Rule] = RULES, default: str = "allow") -
     for i, rule in enumerate(rules):
         if rule.tokens:
             index[min(rule.tokens, key=lambda t: (counts.get(t, 0), t))].append(i)
-    filed = F.create_map(*[x for t, numbers in index.items() for x in (F.lit(t), F.lit(numbers).cast("array<int>"))]) if index else None
-    patterns = F.lit([r.pattern for r in rules] or [""])
+    slots = in_slots([(t, {"t": t, "r": numbers}) for t, numbers in index.items()])
+    filed = constant(slots, "array<array<struct<t: string, r: array<int>>>>")
+    # Of the named rules the longest name wins; failing those, any default rule.
+    listed = constant([{"p": r.pattern, "w": len(r.name) if r.name is not None else -1, "n": r.name, "a": r.action} for r in rules], "array<struct<p: string, w: int, n: string, a: string>>")
 
     host, path = host_and_path(F.col("url"))
     split = rows.withColumn("host", host).withColumn("path", path)
-    none = F.lit([]).cast("array<int>")
-    fetched = F.flatten(F.transform(url_tokens(F.col("host"), F.col("path")), lambda t: F.coalesce(F.try_element_at(filed, t), none))) if index else none
-    candidates = F.array_union(fetched, F.lit(always).cast("array<int>"))
+    fetched = F.transform(
+        url_tokens(F.col("host"), F.col("path")),
+        lambda t: F.flatten(F.transform(F.filter(slot_of(filed, len(slots), t), lambda e: e["t"] == t), lambda e: e["r"])),
+    )
+    candidates = F.array_union(F.flatten(fetched), F.lit(always).cast("array<int>"))
     subject = F.concat("host", "path")
-    matched = F.filter(candidates, lambda i: F.regexp(subject, F.element_at(patterns, i + 1)))
-    # Of the named rules the longest name; failing those, any default rule.  Ties go to the first in the list.
-    weight = F.lit([len(r.name) if r.name is not None else -1 for r in rules] or [0])
-    best = F.array_max(F.transform(matched, lambda i: F.struct(F.element_at(weight, i + 1).alias("w"), (-i).alias("n"))))
-    names, actions = F.lit([r.name or "" for r in rules] or [""]), F.lit([r.action for r in rules] or [""])
+    matched = F.filter(candidates, lambda i: F.regexp(subject, F.element_at(listed, i + 1)["p"]))
+    # Ties go to the first in the list.
+    best = F.array_max(F.transform(matched, lambda i: F.struct(F.element_at(listed, i + 1)["w"].alias("w"), (-i).alias("n"))))
     judged = split.withColumn("best", best)
-    number = 1 - F.col("best.n")
+    winner = F.element_at(listed, 1 - F.col("best.n"))
     return judged.select(
         "page_id",
         "url",
         "host",
         "path",
-        F.when(F.col("best.w") >= 0, F.element_at(names, number)).alias("rule"),
-        F.when(F.col("best").isNotNull(), F.element_at(actions, number)).otherwise(default).alias("verdict"),
+        F.when(F.col("best.w") >= 0, winner["n"]).alias("rule"),
+        F.when(F.col("best").isNotNull(), winner["a"]).otherwise(default).alias("verdict"),
     )

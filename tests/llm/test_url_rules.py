@@ -55,3 +55,22 @@ def test_few_rules(spark, rules):
 
 def test_query(spark):
     assert op9_url_rules(spark, "/root/testdata/sf0.001").count() == 50
+
+
+def test_many_rules(spark):
+    """20,000 rules give what the few that fit give alone, without a shuffle."""
+    rules = [url_rules.site_rule("block" if i % 3 else "allow", f"h{i}.example/p{i % 7}/") for i in range(20_000)] + url_rules.RULES
+    urls = [f"https://www.h{i * 37}.example/p{i * 37 % 7 if i % 2 else 9}/x" for i in range(300)] + ["https://poker.h5.example/p5/", "https://my-casino.org/"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    judged = url_rules.judge(pages, rules)
+    assert "Exchange" not in judged._jdf.queryExecution().executedPlan().toString()
+    got = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in judged.collect()}
+    for i, u in enumerate(urls):
+        near = [r for r in rules if r.name is None or any(t in u for t in r.tokens[:1])]
+        assert got[i] == plain(u, near), u
+
+
+def test_cost_of_a_url_does_not_follow_the_rules(spark):
+    """The slot that a token reads stays short."""
+    sizes = [max(map(len, url_rules.in_slots([(f"t{i}", i) for i in range(n)]))) for n in (30, 20_000)]
+    assert sizes[0] <= 4 and sizes[1] <= 10
