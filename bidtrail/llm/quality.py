@@ -22,9 +22,8 @@ from .repeats import MIX, mixed
 from .repetition import range_hashes
 
 PASSAGE_WORDS = 64
-# Bounds of the fit, and of the fit only: labelled documents per label, passages of one of them.
+# Bound of the fit, and of the fit only: labelled documents per label.  Each is read whole.
 FIT_DOCUMENTS = 2_000
-FIT_PASSAGES = 64
 ENCODING, GATE = 24, 12
 STEPS, RATE, DECAY = 300, 0.02, 1e-4
 SEED = 20
@@ -184,11 +183,8 @@ def held_out(doc_id: Column) -> Column:
 def _passage_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "text", CHUNK_BYTES):
         x, bags = passages(*utf8(batch.column("text")))
-        starts = np.cumsum(bags) - bags
-        kept = []
-        for start, n in zip(starts, bags):
-            rows = x[start : start + n]
-            kept.append((rows if n <= FIT_PASSAGES else rows[np.arange(FIT_PASSAGES) * n // FIT_PASSAGES]).tobytes())
+        stops = np.cumsum(bags)
+        kept = [x[stop - n : stop].tobytes() for stop, n in zip(stops, bags)]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality"), pa.array(kept, pa.binary())], names=["doc_id", "quality", "x"])
 
 

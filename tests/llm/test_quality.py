@@ -1,6 +1,7 @@
 """Classifier: held-out accuracy, labels never read where they may not be, features, gradient."""
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from bidtrail.llm import quality
@@ -61,3 +62,31 @@ def test_training_lowers_the_loss_on_bags():
     label = (np.maximum.reduceat(x[:, 0], starts) > 0.5).astype(float)
     model = quality.train(x, bags, label, np.ones(len(bags)))
     assert np.mean((model.score(x, bags) >= 0.5) == label) > 0.95
+
+
+def test_the_fit_reads_whole_texts():
+    texts = ["good words here " * 3_000, "", None]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array([1, 2, 3], pa.int64()), "quality": pa.array([1, 0, 0], pa.int32()), "text": pa.array(texts, pa.string())})
+    found = {r["doc_id"]: np.frombuffer(r["x"], np.float32).reshape(-1, quality.FEATURES) for b in quality._passage_batches(iter([batch])) for r in b.to_pylist()}
+    whole, bags = quality.passages(np.frombuffer(texts[0].encode(), np.uint8), np.array([len(texts[0])]))
+    assert [len(found[i]) for i in (1, 2, 3)] == [bags[0], 1, 1] and bags[0] > 100
+    assert np.array_equal(found[1], whole)
+
+
+def test_scores_equal_plain_loops():
+    rng = np.random.default_rng(4)
+    bags = np.array([1, 4, 2])
+    x = rng.normal(size=(bags.sum(), quality.FEATURES))
+    model = quality.train(x, bags, np.array([1.0, 0.0, 1.0]), np.ones(3))
+    w = model.weights
+    at = 0
+    for n, score in zip(bags, model.score(x, bags)):
+        encoded, pulls = [], []
+        for row in x[at : at + n]:
+            e = np.tanh(((row - model.mean) / model.scale) @ w["encode"] + w["bias"])
+            encoded.append(e)
+            pulls.append(float(np.sum(np.tanh(e @ w["tanh"]) / (1 + np.exp(-(e @ w["gate"]))) * w["attend"])))
+        weights = [np.exp(p) / sum(np.exp(q) for q in pulls) for p in pulls]
+        z = sum(a * e for a, e in zip(weights, encoded))
+        assert abs(score - 1 / (1 + np.exp(-(z @ w["out"] + w["level"][0])))) < 1e-6
+        at += n
