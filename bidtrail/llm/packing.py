@@ -2,9 +2,11 @@
 
 Every task packs the rows it reads.  What of a document fills whole windows is cut off; the rest goes, in order of
 arrival, to the fill level that makes the sum of squared counts of partly filled windows smallest (N(h) windows are
-filled to level h; the counts are one array).  At most OPEN_WINDOWS are open: beyond that a document is cut to close
-the fullest one.  At the end of a task the open windows are laid end to end and cut again into whole windows, and what
-is left below one window into pieces whose lengths are powers of two, which need no padding.
+filled to level h; the counts are one array).  At most OPEN_WINDOWS are open.  Where the rule would open one more, a
+piece may also be cut so that it closes a window; the level is again the one that leaves the smallest sum, and what is
+cut off is placed by the rule in its turn.  At the end of a task the bound falls to one, window by window: the pieces of
+the emptiest are placed again by the same rule.  The ids of the very last window are cut into pieces whose lengths are
+powers of two, so nothing is padded.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ WINDOW = 2048
 END_ID = 1
 OPEN_WINDOWS = 512
 CHUNK_BYTES = 1 << 20
+NEVER = np.iinfo(np.int64).max
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 NAMES = [c.split()[0] for c in PIECES.split(", ")]
 
@@ -78,18 +81,34 @@ class Packer:
 
     def level_for(self, size: int) -> int:
         """The level (0: a new window) at which a piece raises the sum of squared counts least; ties to the fullest."""
+        change = self._changes(size)
+        return int(len(change) - 1 - np.argmin(change[::-1]))
+
+    def _changes(self, size: int) -> np.ndarray:
+        """By how much the sum of squared counts rises if a whole piece goes to each level from 0 to window - size."""
         n, w = self.counts, self.window
         change = 2 * n[size : w + 1] + 1 - 2 * n[: w + 1 - size] + 1
         change[-1] -= 2 * n[w] + 1  # a full window is not counted
         change[0] += 2 * n[0] - 1  # nor is an empty one
-        change[1:][n[1 : w + 1 - size] == 0] = np.iinfo(np.int64).max
-        return int(len(change) - 1 - np.argmin(change[::-1]))
+        change[1:][n[1 : w + 1 - size] == 0] = NEVER
+        return change
+
+    def level_at_bound(self, size: int) -> int:
+        """As level_for, without a new window; above window - size the piece is cut and closes a window.
+
+        Ties go to a level that takes the piece whole, then to the fullest.
+        """
+        whole = self._changes(size)
+        whole[0] = NEVER
+        held = self.counts[self.window + 1 - size : self.window]
+        cut = np.where(held > 0, 1 - 2 * held, NEVER)
+        best = int(len(whole) - 1 - np.argmin(whole[::-1]))
+        if len(cut) and cut.min() < whole[best]:
+            return int(self.window - 1 - np.argmin(cut[::-1]))
+        return best
 
     def _put(self, level: int, piece: tuple) -> None:
-        window = self.held[level].pop() if level else []
-        if level:
-            self.counts[level] -= 1
-            self.open -= 1
+        window = self._take(level) if level else []
         window.append(piece)
         level += len(piece[2])
         if level == self.window:
@@ -104,20 +123,39 @@ class Packer:
         while total - at >= self.window:
             self._close([(doc_id, at, ids[at : at + self.window], total)])
             at += self.window
-        while at < total:
-            piece = (doc_id, at, ids[at:], total)
-            level = self.level_for(total - at)
-            if level == 0 and self.open >= self.open_windows:
-                level = int(np.flatnonzero(self.counts)[-1])
-                piece = (doc_id, at, ids[at : at + self.window - level], total)
-            self._put(level, piece)
-            at += len(piece[2])
+        self._place((doc_id, at, ids[at:], total), self.open_windows)
+
+    def _place(self, piece: tuple, most: int) -> None:
+        """Put a piece by the rule, cut where it must be, with at most `most` windows open."""
+        doc_id, start, ids, total = piece
+        while len(ids):
+            level = self.level_for(len(ids))
+            if level == 0 and self.open >= most:
+                level = self.level_at_bound(len(ids))
+            part, ids = ids[: self.window - level], ids[self.window - level :]
+            self._put(level, (doc_id, start, part, total))
+            start += len(part)
 
     def finish(self) -> None:
-        """Cut what the open windows hold into whole windows and powers of two."""
-        pieces = [p for level in range(self.window, -1, -1) for window in self.held[level] for p in window]
-        left = sum(len(p[2]) for p in pieces)
-        window, room = [], self._next_room(left)
+        """Place the pieces of the emptiest window again until one is open, and cut that into powers of two."""
+        while self.open > 1:
+            level = int(np.flatnonzero(self.counts)[0])
+            window = self._take(level)
+            most = self.open
+            for piece in sorted(window, key=lambda p: -len(p[2])):
+                self._place(piece, most)
+        for level in np.flatnonzero(self.counts):
+            self._cut(self._take(int(level)), int(level))
+
+    def _take(self, level: int) -> list:
+        """An open window of a level, which is open no more."""
+        self.counts[level] -= 1
+        self.open -= 1
+        return self.held[level].pop()
+
+    def _cut(self, pieces: list, left: int) -> None:
+        """Close windows that hold these pieces in order, of lengths that are powers of two, the largest first."""
+        window, room = [], 1 << left.bit_length() - 1
         for doc_id, start, ids, total in pieces:
             while len(ids):
                 part, ids = ids[:room], ids[room:]
@@ -127,13 +165,7 @@ class Packer:
                 left -= len(part)
                 if room == 0:
                     self._close(window)
-                    window, room = [], self._next_room(left)
-        self.held = [[] for _ in range(self.window + 1)]
-        self.counts[:] = 0
-        self.open = 0
-
-    def _next_room(self, left: int) -> int:
-        return self.window if left >= self.window else 1 << max(0, left.bit_length() - 1)
+                    window, room = [], 1 << max(0, left.bit_length() - 1)
 
     def batch(self) -> pa.RecordBatch:
         columns = list(zip(*self.rows)) if self.rows else [[]] * len(NAMES)
@@ -148,8 +180,8 @@ def pack(docs: DataFrame, json_path: str, ranks_path: str | None = None, window:
     null doc_id stays null.  Repeated rows are packed one by one.  Sequence numbers hold the task's number, so they are
     unique, and the same when a lost task runs again.  An empty table gives an empty one; other columns are ignored.
     """
-    if window & (window - 1):
-        raise ValueError("window must be a power of two")
+    if window & (window - 1) or open_windows < 1:
+        raise ValueError("window must be a power of two, and one window at least open")
     tuned(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

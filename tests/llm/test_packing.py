@@ -67,6 +67,64 @@ def test_level_minimises_the_sum_of_squares():
         assert packer.counts[16] == 0 and packer.counts[1:16].sum() == packer.open
 
 
+def test_level_at_the_bound_minimises_the_sum_of_squares():
+    rng = random.Random(2)
+    packer = packing.Packer(0, window=16, open_windows=20)
+    for n in range(400):
+        size = rng.randint(1, 15)
+        counts = packer.counts.copy()
+        if counts.sum():
+
+            def after(level):
+                c = counts.copy()
+                c[level] -= 1
+                if level + size < 16:
+                    c[level + size] += 1
+                return int((c[1:16] ** 2).sum())
+
+            held = [h for h in range(1, 16) if counts[h]]
+            level = packer.level_at_bound(size)
+            assert counts[level] and after(level) == min(map(after, held))
+            assert level + size <= 16 or all(after(h) > after(level) for h in held if h + size <= 16)
+        packer.add(n, np.zeros(size, np.uint32))
+
+
+def test_tail_is_placed_by_the_rule():
+    """What is open at the end is placed again: all ids once and in order, all windows but the last few are full."""
+    rng = random.Random(4)
+    for sizes in ([], [1], [15], [16], [9] * 40, [rng.randint(1, 60) for _ in range(500)]):
+        packer = packing.Packer(0, window=16, open_windows=30)
+        for n, size in enumerate(sizes):
+            packer.add(n, np.arange(size, dtype=np.uint32))
+        packer.finish()
+        assert not packer.open and not packer.counts.any()
+        pieces, filled = defaultdict(list), defaultdict(int)
+        for doc, start, length, crc, total, sequence, offset in packer.rows:
+            assert crc == zlib.crc32(np.arange(start, start + length, dtype="<u4").tobytes()) and total == sizes[doc]
+            assert offset == filled[sequence]
+            pieces[doc].append((start, length))
+            filled[sequence] += length
+        for doc, size in enumerate(sizes):
+            at = 0
+            for start, length in sorted(pieces[doc]):
+                assert start == at
+                at += length
+            assert at == size
+        rest = sum(sizes) % 16
+        assert sorted(n for n in filled.values() if n < 16) == [1 << b for b in range(4) if rest >> b & 1]
+
+
+def test_tail_cuts_no_more_than_laying_end_to_end():
+    rng = random.Random(5)
+    packer = packing.Packer(0)
+    for n in range(300):
+        packer.add(n, np.zeros(rng.randint(1, 1500), np.uint32))
+    windows = packer.open
+    before = len(packer.rows) + sum(len(w) for level in packer.held for w in level)
+    packer.finish()
+    assert windows > 50 and len(packer.rows) - before <= windows
+
+
 def test_open_windows_are_bounded():
     packer = packing.Packer(0, window=16, open_windows=5)
     for n in range(200):
