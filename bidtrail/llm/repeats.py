@@ -10,7 +10,8 @@ mostly share that smallest hash and travel together as one segment.
    smallest document id.  A bucket answers which blocks hold a segment that an earlier document has whole, and which
    segments share their smallest gram with another segment of another document.  All else never moves again.
 3. The first holder of such a segment sends its bytes.  A bucket sorts the suffixes of its segments by prefix doubling
-   and takes from the longest-previous-factor array which windows occur in an earlier document.
+   and finds each one's longest previous factor: the longer of its common prefixes with the previous and the next suffix
+   of a smaller document in that order.  Windows with a factor of WINDOW bytes go.
 4. Each block marks its bytes with the answers.
 
 A hash with very many different segments would make a large bucket in step 3: their windows are dealt out one by one
@@ -38,6 +39,7 @@ BLOCK_BYTES = 1 << 20
 LONGEST_RUN = 256
 HOT_CONTENTS = 2_000
 BUCKETS_PER_PARTITION = 4  # so that a group is a fraction of what a shuffle partition is sized for
+BUCKET_BYTES = 64 << 20  # most text, on average, that a bucket answers for, whatever the number of partitions
 LAST_ID = np.iinfo(np.int64).max
 U = np.uint64
 MIX = (U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F), U(0xD6E8FEB86659FD93))
@@ -141,13 +143,14 @@ def flags_of(packed: bytes, n: int) -> np.ndarray:
 
 
 def pack_blocks(docs: DataFrame, carry: list[str]) -> DataFrame:
-    """Documents packed into blocks of about BLOCK_BYTES and stored: block, ids, lengths, data, rest."""
+    """Documents packed into blocks of about BLOCK_BYTES and stored: block, size in bytes, ids, lengths, data, rest."""
     rows = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), F.struct(F.lit(0).alias("_"), *carry).alias("rest")
     )
     rest = rows.schema["rest"].dataType
     schema = T.StructType(
         [
+            T.StructField("size", T.LongType()),
             T.StructField("ids", T.ArrayType(T.LongType())),
             T.StructField("lengths", T.BinaryType()),
             T.StructField("data", T.BinaryType()),
@@ -163,8 +166,8 @@ def pack_blocks(docs: DataFrame, carry: list[str]) -> DataFrame:
             data, lengths = utf8(rows.column("text"))
             lists = [pa.ListArray.from_arrays(pa.array([0, rows.num_rows], pa.int32()), rows.column(c).combine_chunks()) for c in ("doc_id", "rest")]
             blob = pa.compress(data.tobytes(), "zstd", asbytes=True) if len(data) else b""
-            arrays = [lists[0], pa.array([lengths.astype(np.int64).tobytes()], pa.binary()), pa.array([blob], pa.binary()), lists[1]]
-            return pa.RecordBatch.from_arrays(arrays, names=["ids", "lengths", "data", "rest"])
+            arrays = [pa.array([len(data)], pa.int64()), lists[0], pa.array([lengths.astype(np.int64).tobytes()], pa.binary()), pa.array([blob], pa.binary()), lists[1]]
+            return pa.RecordBatch.from_arrays(arrays, names=["size", "ids", "lengths", "data", "rest"])
 
         for batch in batches:
             ends = np.cumsum(utf8(batch.column("text"))[1])
@@ -357,31 +360,79 @@ def send_looks(buckets: int):
 
 
 def suffix_order(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Suffixes starting at `at` in order of their first WINDOW bytes, and the rank of each, by prefix doubling."""
-    rank = np.unique(grams8(data), return_inverse=True)[1].astype(U)
-    for step in (8, 16):
-        rank = np.unique((rank[:-step] << U(32)) | rank[step:], return_inverse=True)[1].astype(U)
-    rank = np.unique((rank[at] << U(32)) | rank[at + WINDOW - 32], return_inverse=True)[1]
-    return np.argsort(rank, kind="stable"), rank
-
+    """Suffixes starting at `at` in order of their first WINDOW bytes, by prefix doubling, and common prefixes.
 
-def previous_factors(order: np.ndarray, rank: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """For each suffix: does a suffix of a smaller document match at least WINDOW bytes?
-
-    In suffix order the longest match with an earlier document is with the previous or next suffix of a smaller one,
-    and is as long as the smallest common prefix between.  Cut at WINDOW, that is WINDOW where such a neighbour lies
-    in the same run of equal ranks; running minima of the document inside the runs, from both ends, tell.
+    The second array holds, for each place in that order, how many bytes (WINDOW at most) the suffix shares with the one
+    before it; 0 at the first place.  The ranks of the doubling tell, and inside the last eight bytes the bytes do.
+    """
+    data = np.append(data, np.zeros(WINDOW, np.uint8))
+    eight = grams8(data)
+    ranks = {8: np.unique(eight, return_inverse=True)[1].astype(np.uint32)}
+    for step in (8, 16):
+        ranks[2 * step] = np.unique(paired(ranks[step][:-step], ranks[step][step:]), return_inverse=True)[1].astype(np.uint32)
+    order = np.argsort(paired(ranks[32][at], ranks[32][at + WINDOW - 32]), kind="stable")
+    left, right = at[order[:-1]], at[order[1:]]
+    shared = np.zeros(len(left), np.int64)
+    for step in (32, 16, 8):
+        shared += step * (ranks[step][left + shared] == ranks[step][right + shared])
+    inside = np.flatnonzero(shared < WINDOW - 1)
+    differing = eight[left[inside] + shared[inside]] ^ eight[right[inside] + shared[inside]]
+    for bits_left in range(8, 64, 8):
+        shared[inside] += (differing >> U(64 - bits_left)) == 0
+    common = np.zeros(len(order), np.uint8)
+    common[1:] = np.minimum(shared, WINDOW)
+    return order, common
+
+
+def paired(high: np.ndarray, low: np.ndarray) -> np.ndarray:
+    return (high.astype(U) << U(32)) | low
+
+
+def previous_smaller(values: np.ndarray, common: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each place the last place before it with a smaller value, and the common prefix of the two.
+
+    common[i]: common prefix of places i-1 and i.  Where the common prefix with such a place would be below `least`, the
+    place is -1 and the prefix 0.  All places search at once: minima over 1, 2, 4, ... places are built up to the longest
+    stretch that shares `least` bytes, and each place steps back over the largest of them that hold nothing smaller.
+    """
+    n = len(values)
+    if not n:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint8)
+    apart = np.flatnonzero(np.append(True, common[1:] < least))
+    longest = int(np.diff(np.append(apart, n)).max())
+    low, shared = [values], [common]  # low[k][i]: least of values[i-2^k+1 : i+1], as far as they reach
+    while 1 << len(low) <= longest:
+        width = 1 << len(low) - 1
+        for levels in (low, shared):
+            longer = levels[-1].copy()
+            np.minimum(longer[width:], levels[-1][:-width], out=longer[width:])
+            levels.append(longer)
+    here = np.arange(n)
+    length = np.full(n, WINDOW, np.uint8)
+    for k in range(len(low) - 1, -1, -1):
+        before = here - 1
+        steps = np.flatnonzero((before >= (1 << k) - 1) & (low[k][before] >= values))
+        length[steps] = np.minimum(length[steps], shared[k][here[steps]])
+        here[steps] -= 1 << k
+    length = np.minimum(length, common[here])
+    place = here - 1
+    place[length < least] = -1
+    length[length < least] = 0
+    return place, length
+
+
+def previous_factors(order: np.ndarray, common: np.ndarray, doc: np.ndarray, least: int = GRAM) -> np.ndarray:
+    """The longest previous factor of each suffix: how many of its first bytes also start in a smaller document.
+
+    In suffix order the longest match with a smaller document is with the previous or the next suffix of a smaller
+    one.  Lengths are cut at WINDOW, and below `least` count as 0.
     """
-    run = rank[order].astype(np.int64)
-    place = np.unique(doc[order], return_inverse=True)[1].astype(np.int64)
-    n = int(place.max(initial=0)) + 2
-    found = np.zeros(len(order), bool)
-    before = np.minimum.accumulate(place - run * n)
-    found[1:] = (run[1:] == run[:-1]) & (before[:-1] + run[1:] * n < place[1:])
-    after = np.minimum.accumulate((place + run * n)[::-1])[::-1]
-    found[:-1] |= (run[1:] == run[:-1]) & (after[1:] - run[:-1] * n < place[:-1])
-    out = np.zeros(len(order), bool)
-    out[order] = found
+    place = np.unique(doc[order], return_inverse=True)[1].astype(np.int32)
+    factor = previous_smaller(place, common, least)[1]
+    after = np.append(np.uint8(0), common[:0:-1])  # the same seen from the other end
+    factor = np.maximum(factor, previous_smaller(place[::-1], after, least)[1][::-1])
+    out = np.zeros(len(order), np.uint8)
+    out[order] = factor
     return out
 
 
@@ -396,7 +447,7 @@ def find_earlier(table: pa.Table) -> pa.Table:
     owner = np.repeat(np.arange(len(length)), windows)
     offset = ranges(np.zeros(len(length), np.int64), windows)
     place = (np.cumsum(length) - length)[owner] + offset
-    covered = previous_factors(*suffix_order(text, place), doc[owner])
+    covered = previous_factors(*suffix_order(text, place), doc[owner]) >= WINDOW
     edge = changes(owner)
     begins = np.flatnonzero(covered & (edge | ~np.append(False, covered[:-1])))
     stops = np.flatnonzero(covered & (np.append(edge[1:], True) | ~np.append(covered[1:], False)))
@@ -472,8 +523,10 @@ def remove_repeats(docs: DataFrame, carry: list[str] = (), with_text: bool = Tru
     under WINDOW bytes stay whole; an empty table gives an empty one.  Other columns are ignored.
     """
     spark = tuned(docs.sparkSession)
-    buckets = BUCKETS_PER_PARTITION * buckets_of(spark)
     blocks = pack_blocks(docs, list(carry))
+    total = blocks.agg(F.sum("size")).first()[0] or 0
+    buckets = max(BUCKETS_PER_PARTITION * buckets_of(spark), -(-total // BUCKET_BYTES))
+    blocks = blocks.drop("size")
     bare = blocks.select("block", "ids", "lengths", "data")
     sent = bare.mapInArrow(send_keys(buckets), KEYS)
     first = stored(sent.groupBy("bucket").applyInArrow(find_repeated(hot_contents), ANSWERS))

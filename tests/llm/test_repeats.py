@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -55,6 +56,62 @@ def test_against_every_window(spark, monkeypatch, hot, block):
     assert sorted(map(tuple, got), key=str) == brute(rows)
 
 
+def plain_factors(text, at, doc, least):
+    out = []
+    for p, d in zip(at, doc):
+        best = 0
+        for q, e in zip(at, doc):
+            if e < d:
+                n = 0
+                while n < 50 and text[p + n] == text[q + n]:
+                    n += 1
+                best = max(best, n)
+        out.append(best if best >= least else 0)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_suffix_order_and_factors_against_plain_loops(seed):
+    rng = random.Random(seed)
+    segments = []
+    for _ in range(rng.randint(1, 8)):
+        data = bytearray(rng.choice(b"ab") for _ in range(rng.randint(50, 80)))
+        segments.append((rng.randint(0, 5), bytes(data)))
+        if rng.random() < 0.7:
+            data[rng.randrange(len(data))] ^= rng.randint(0, 1)
+            segments.append((rng.randint(0, 5), bytes(data)))
+    text, at, doc = b"", [], []
+    for d, data in segments:
+        at += range(len(text), len(text) + len(data) - 49)
+        doc += [d] * (len(data) - 49)
+        text += data
+    order, common = repeats.suffix_order(np.frombuffer(text, np.uint8), np.array(at))
+    suffixes = [text[at[i] : at[i] + 50] for i in order]
+    assert suffixes == sorted(suffixes) and sorted(order) == list(range(len(at)))
+    for before, after, n in zip(suffixes, suffixes[1:], common[1:].tolist()):
+        assert before[:n] == after[:n] and (n == 50 or before[n] != after[n])
+    for least in (1, 20, 50):
+        assert repeats.previous_factors(order, common, np.array(doc), least).tolist() == plain_factors(text, at, doc, least)
+
+
+def test_previous_smaller_positions():
+    rng = random.Random(7)
+    for n in (0, 1, 2, 17, 200):
+        values, common = [rng.randint(0, 9) for _ in range(n)], [rng.choice([0, 10, 30, 50, 50, 50]) for _ in range(n)]
+        place, length = repeats.previous_smaller(np.array(values, np.int32), np.array(common, np.uint8), 20)
+        for i in range(n):
+            want = next((j for j in range(i - 1, -1, -1) if values[j] < values[i]), -1)
+            shared = min(common[want + 1 : i + 1]) if want >= 0 else 0
+            assert (place[i], length[i]) == ((want, shared) if shared >= 20 else (-1, 0))
+
+
+def test_buckets_follow_the_bytes(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "BUCKET_BYTES", 50)
+    rows = some_rows(11)
+    got = repeats.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).drop("kept_text").collect()
+    assert sorted(map(tuple, got), key=str) == brute(rows)
+
+
 def test_carries_columns_and_text(spark):
     docs = spark.createDataFrame([(1, "é" * 60, "x"), (2, "é" * 60 + "rest", None)], "doc_id bigint, text string, n_bytes string")
     got = {r[0]: r for r in repeats.remove_repeats(docs.withColumn("block", F.lit(9)), carry=["block"]).collect()}
