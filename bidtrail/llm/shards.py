@@ -3,6 +3,9 @@
 Records are hashed into SLOTS virtual slots.  The bytes of every slot are summed (a few thousand numbers, whatever the
 data size), and a small versioned map says which shard holds which slot.  Rebalancing edits that map: slots move from
 the fullest shard to the emptiest, or are swapped between them, until the sizes are as near as slots allow.
+
+A slot can be over-full only where many rows have one id, or none and one text.  The rows of such slots get a number
+each, stored with them, and are dealt out again over all slots by that number; the map says which slots were split.
 """
 
 from __future__ import annotations
@@ -13,22 +16,25 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import scratch_path, stored
 from .common import tuned
 
 SLOTS = 4096
 SHARDS = 16
+SPLIT_ROWS = 1_000  # a slot is split where it holds more rows than this
+SPLIT_TIMES = 8  # and more than this many times the mean of all slots
 
 
 @dataclass(frozen=True)
 class SlotMap:
-    """Shard of every virtual slot, in a version; sizes of the slots it was made for."""
+    """Shard of every virtual slot, in a version; sizes of the slots it was made for, and slots whose rows went elsewhere."""
 
     version: int
     shards: int
     shard: tuple[int, ...]
     size: tuple[int, ...]
     rows: tuple[int, ...]
+    split: tuple[int, ...] = ()
 
     def loads(self) -> list[int]:
         out = [0] * self.shards
@@ -37,9 +43,9 @@ class SlotMap:
         return out
 
 
-def even_map(size: list[int], rows: list[int], shards: int) -> SlotMap:
+def even_map(size: list[int], rows: list[int], shards: int, split: tuple[int, ...] = ()) -> SlotMap:
     """Version 1: slots dealt out in turn."""
-    return SlotMap(1, shards, tuple(s % shards for s in range(len(size))), tuple(size), tuple(rows))
+    return SlotMap(1, shards, tuple(s % shards for s in range(len(size))), tuple(size), tuple(rows), split)
 
 
 def rebalanced(old: SlotMap, shards: int | None = None) -> SlotMap:
@@ -96,7 +102,7 @@ def _nearest(slots: list[tuple[int, int]], size: float) -> list:
 
 
 def store_map(spark: SparkSession, versions: list[SlotMap], path: str | None = None) -> str:
-    """Append versions to the stored map: version, virtual_slot, shard, bytes, rows.  Returns the folder."""
+    """Append versions to the stored map: version, virtual_slot, shard, bytes, rows, split.  Returns the folder."""
     path = path or scratch_path(spark, "slot-map")
     for v in versions:
         slot = F.col("id").cast("int")
@@ -106,6 +112,7 @@ def store_map(spark: SparkSession, versions: list[SlotMap], path: str | None = N
             _of(v.shard, slot + 1, "int").alias("shard"),
             _of(v.size, slot + 1, "bigint").alias("bytes"),
             _of(v.rows, slot + 1, "bigint").alias("rows"),
+            slot.isin(*v.split).alias("split"),
         ).write.mode("append").parquet(path)
     return path
 
@@ -116,7 +123,7 @@ def read_map(spark: SparkSession, path: str, version: int | None = None) -> Slot
     version = version or rows.agg(F.max("version")).first()[0]
     found = rows.where(F.col("version") == version).orderBy("virtual_slot").collect()
     shard = tuple(r["shard"] for r in found)
-    return SlotMap(version, max(shard) + 1, shard, tuple(r["bytes"] for r in found), tuple(r["rows"] for r in found))
+    return SlotMap(version, max(shard) + 1, shard, tuple(r["bytes"] for r in found), tuple(r["rows"] for r in found), tuple(r["virtual_slot"] for r in found if r["split"]))
 
 
 def sized(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
@@ -139,16 +146,34 @@ def slot_sizes(rows: DataFrame, slots: int = SLOTS) -> tuple[list[int], list[int
     return size, count
 
 
+def overfull(rows: list[int]) -> tuple[int, ...]:
+    """Slots with so many rows that they are to be split, from the rows of every slot."""
+    return tuple(s for s, n in enumerate(rows) if n > SPLIT_ROWS and n * len(rows) > SPLIT_TIMES * sum(rows))
+
+
+def dealt_again(rows: DataFrame, split: tuple[int, ...], slots: int = SLOTS) -> DataFrame:
+    """The rows stored, those of split slots under the slot of a number of their own."""
+    salt = F.xxhash64(F.lit("split"), F.monotonically_increasing_id())
+    slot = F.when(F.col("virtual_slot").isin(*split), F.pmod(salt, F.lit(slots)).cast("int")).otherwise(F.col("virtual_slot"))
+    return stored(rows.withColumn("virtual_slot", slot))
+
+
 def shard(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS, map_path: str | None = None) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard, virtual_slot, map_version under the law `bytes`.
 
     slot numbers the rows of a shard without gaps from 0: by virtual slot, inside it by doc_id.  Null and empty texts
     have size 1.  Rows without a doc_id are dealt out by their text.  Repeated rows are numbered one by one, in any
-    order between equals.  An empty table gives an empty one; other columns are ignored.
+    order between equals; where they make a slot over-full, they are dealt out one by one.  An empty table gives an
+    empty one; other columns are ignored.
     """
     spark = tuned(docs.sparkSession)
     rows = sized(docs, slots)
-    first = even_map(*slot_sizes(rows, slots), shards)
+    size, count = slot_sizes(rows, slots)
+    split = overfull(count)
+    if split:
+        rows = dealt_again(rows, split, slots)
+        size, count = slot_sizes(rows, slots)
+    first = even_map(size, count, shards, split)
     chosen = rebalanced(first)
     store_map(spark, [first, chosen], map_path)
     before, starts = [0] * shards, []

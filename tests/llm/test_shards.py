@@ -50,6 +50,24 @@ def test_one_huge_and_no_documents(spark):
     assert shards.shard(spark.createDataFrame([], schema)).collect() == []
 
 
+def test_repeated_ids_and_rows_without_id_are_split(spark, tmp_path):
+    rows = [(i, "some words") for i in range(4000)] + [(7, "equal rows")] * 3000 + [(None, "no id")] * 3000 + [(9, f"one id {i}") for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    path = str(tmp_path / "map")
+    got = shards.shard(docs, map_path=path).collect()
+    assert sorted(str((r["doc_id"], r["size"], r["text_crc32"])) for r in got) == sorted(str((i, len(t) + 1, zlib.crc32(t.encode()))) for i, t in rows)
+    loads, slots, per_slot = defaultdict(int), defaultdict(list), defaultdict(int)
+    for r in got:
+        loads[r["shard"]] += r["size"]
+        slots[r["shard"]].append(r["slot"])
+        per_slot[r["virtual_slot"]] += 1
+    assert max(loads.values()) - min(loads.values()) <= 12 and len(loads) == 16
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert max(per_slot.values()) < 40
+    last = shards.read_map(spark, path)
+    assert len(last.split) == 3 and last.loads() == [loads[s] for s in range(16)]
+
+
 def test_no_python_in_the_plan(spark):
     plan = shards.shard(some_docs(spark, 10)[1].select("doc_id", "text"))._jdf.queryExecution().optimizedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
