@@ -6,7 +6,8 @@ The r-th slot of a source takes its block r, counted round and round: a block is
 source's documents in shuffled order (the last one may be shorter).  A block is never taken more than `most` times.
 
 No step gathers a source: slots are ranked in two levels (counts per stretch of the schedule, then inside a stretch),
-and documents are laid end to end the same way (sums per range of the shuffling hash, then inside a range).
+and documents are laid end to end the same way (sums per range of the shuffling hash, then inside a range).  Sources may
+be as many as documents: they, too, are ranked and summed in two levels, and met with points in as many cells.
 """
 
 from __future__ import annotations
@@ -15,17 +16,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import stored
-from .common import slices, tuned, utf8, word_starts
+from .common import buckets_of, slices, tuned, utf8, word_starts
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
 BLOCK_WORDS = 64
-CELLS = 4096
+CELLS = 4096  # at least; as many as sources where these are more
+UNITS = 1 << 20  # of a slot, so that shares are added as whole numbers
 STRETCH = 1 << 16
 PHI = 0.6180339887498949
 PHI_STRETCH = 0.47548671310871195  # frac(STRETCH * phi), to more digits than the product would keep
@@ -43,26 +45,39 @@ def with_sizes(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(count, schema)
 
 
+def running_sums(rows: DataFrame, order: list[Column], columns: list[str]) -> DataFrame:
+    """rows, and for each of `columns` upto_<column>: its sum over all rows up to this one in the given order.
+
+    Ranges of the order are summed first; a running sum inside each range starts from the sum of those before it.
+    """
+    # The range of a row is stored with it, so that it stays the same in both passes.
+    dealt = stored(rows.repartitionByRange(buckets_of(rows.sparkSession), *order).withColumn("range", F.spark_partition_id()))
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # over one row per range
+    totals = dealt.groupBy("range").agg(*[F.sum(c).alias(c) for c in columns])
+    offsets = totals.select("range", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"before_{c}") for c in columns])
+    inside = Window.partitionBy("range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    summed = dealt.withColumns({f"upto_{c}": F.sum(c).over(inside) for c in columns}).join(F.broadcast(offsets), "range")
+    return summed.select(*rows.columns, *[(F.col(f"upto_{c}") + F.col(f"before_{c}")).alias(f"upto_{c}") for c in columns])
+
+
 def targets(sizes: DataFrame, weights: tuple = WEIGHTS, most: int = MOST) -> DataFrame:
-    """source, source_size, target of each source of (source, source_size), one row per source.
+    """source, source_size, place, target of each source of (source, source_size), one row per source.
 
     Sources by code point, null last, weigh `weights` in turn and share the sum of all sizes.  A target stops at `most`
     times its source's size and the excess goes to the others by weight: target = min(cap, level * weight), where
     the level follows from the sources in order of cap over weight.
     """
-    ordered = Window.orderBy(F.col("source").asc_nulls_last())
-    rows = sizes.withColumn("place", F.row_number().over(ordered) - 1)
+    rows = running_sums(sizes.withColumn("one", F.lit(1)), [F.col("source").asc_nulls_last()], ["one"])
+    rows = rows.select("source", "source_size", "one", (F.col("upto_one") - 1).alias("place"))
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), F.pmod("place", F.lit(len(weights))).cast("int") + 1)
     rows = rows.withColumn("weight", weight).withColumn("cap", F.lit(float(most)) * F.col("source_size"))
-    by_ratio = Window.orderBy(F.col("cap") / F.col("weight"), "place")
-    everything = Window.partitionBy(F.lit(0))
-    capped = F.coalesce(F.sum("cap").over(by_ratio.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    left = F.sum("weight").over(by_ratio.rowsBetween(Window.currentRow, Window.unboundedFollowing))
-    total = F.sum("source_size").over(everything)
-    rows = rows.withColumn("level", (total - capped) / left).withColumn("rank", F.row_number().over(by_ratio))
-    fits = F.when(F.col("level") * F.col("weight") <= F.col("cap"), F.struct("rank", "level"))
-    rows = rows.withColumn("final", F.min(fits).over(everything)["level"])
-    target = F.when(F.col("final").isNull(), F.col("cap")).otherwise(F.least("cap", F.col("final") * F.col("weight")))
+    rows = rows.withColumn("ratio", F.col("cap") / F.col("weight"))
+    rows = stored(running_sums(rows, [F.col("ratio"), F.col("place")], ["cap", "weight", "one"]))
+    total, weighed = rows.agg(F.coalesce(F.sum("source_size"), F.lit(0)), F.sum("weight")).first()
+    capped, left = F.col("upto_cap") - F.col("cap"), F.lit(weighed) - F.col("upto_weight") + F.col("weight")
+    level = (F.lit(total) - capped) / left
+    final = rows.where(level * F.col("weight") <= F.col("cap")).agg(F.min(F.struct("upto_one", level.alias("level")))).first()[0]
+    target = F.least("cap", F.lit(final["level"]) * F.col("weight")) if final else F.col("cap")
     return rows.select("source", "source_size", "place", target.alias("target"))
 
 
@@ -74,20 +89,24 @@ def schedule(sources: DataFrame, block_words: int = BLOCK_WORDS, most: int = MOS
     spark = sources.sparkSession
     blocks = F.ceil(F.col("source_size") / block_words).cast("bigint")
     shares = sources.where("source_size > 0 AND target > 0").withColumn("blocks", blocks)
-    shares = shares.withColumn("share", F.col("target") / F.col("source_size") * F.col("blocks"))
-    whole = Window.orderBy("place")
-    total = F.sum("share").over(Window.partitionBy(F.lit(0)))
-    shares = shares.withColumn("high", F.sum("share").over(whole) / total)
-    shares = shares.withColumn("low", F.coalesce(F.lag("high").over(whole), F.lit(0.0)))
-    shares = stored(shares.withColumn("high", F.when(F.lead("high").over(whole).isNull(), 2.0).otherwise(F.col("high"))))
-    n = int(round(shares.agg(F.sum("share")).first()[0] or 0))
-    cells = F.sequence(F.floor(F.col("low") * CELLS), F.least(F.floor(F.col("high") * CELLS), F.lit(CELLS - 1)))
-    pieces = shares.withColumn("cell", F.explode(cells)).select("place", "blocks", "low", "high", "cell")
+    share = F.col("target") / F.col("source_size") * F.col("blocks")
+    shares = stored(running_sums(shares.withColumn("units", F.round(share * UNITS).cast("bigint")), [F.col("place")], ["units"]))
+    total, n_sources = shares.agg(F.coalesce(F.sum("units"), F.lit(0)), F.count("*")).first()
+    n, cells = (total + UNITS // 2) // UNITS, max(CELLS, n_sources)
+    last = F.col("upto_units") == total
+    shares = shares.select(
+        "place",
+        "blocks",
+        ((F.col("upto_units") - F.col("units")) / F.lit(float(total))).alias("low"),
+        F.when(last, 2.0).otherwise(F.col("upto_units") / F.lit(float(total))).alias("high"),
+    )
+    within = F.sequence(F.floor(F.col("low") * cells), F.least(F.floor(F.col("high") * cells), F.lit(cells - 1)))
+    pieces = shares.where("low < high").withColumn("cell", F.explode(within))
 
     stretch = F.expr(f"id div {STRETCH}")
     point = stretch * PHI_STRETCH + (F.pmod("id", F.lit(STRETCH)) + 0.5) * PHI
     slots = spark.range(n).select(F.col("id").alias("slot"), stretch.alias("stretch"), (point - F.floor(point)).alias("point"))
-    slots = slots.withColumn("cell", F.floor(F.col("point") * CELLS))
+    slots = slots.withColumn("cell", F.floor(F.col("point") * cells))
     mapped = slots.join(pieces, "cell").where("point >= low AND point < high").select("slot", "stretch", "place", "blocks")
     mapped = stored(mapped)
     counts = mapped.groupBy("place", "stretch").agg(F.count("*").alias("n"))

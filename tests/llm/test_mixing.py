@@ -42,7 +42,7 @@ def some_docs(seed, n=400):
 def test_targets_and_taken(spark, seed):
     rows = some_docs(seed)
     docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id bigint, text string, source string, size int").repartition(3)
-    got = mixing.mix(docs.drop("size")).collect()
+    got = mixing.mix(docs).collect()
     sizes = defaultdict(int)
     for _, text, source in rows:
         sizes[source] += len((text or "").split())
@@ -54,7 +54,7 @@ def test_targets_and_taken(spark, seed):
         taken[r["source"]] += r["taken"]
     for source, target in want.items():
         assert abs(taken[source] - target) <= max(0.03 * target, 4 * mixing.BLOCK_WORDS)
-    again = mixing.mix(docs.drop("size").repartition(5))
+    again = mixing.mix(docs.repartition(5))
     assert sorted(map(str, again.collect())) == sorted(map(str, got))
 
 
@@ -74,6 +74,31 @@ def test_schedule_keeps_shares_in_every_stretch(spark):
     assert all(t == list(range(len(t))) for t in turns.values())
 
 
+def test_as_many_sources_as_documents(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "CELLS", 4)
+    rng = random.Random(8)
+    sizes = {f"s{i:04}": rng.choice([0, 1, 70, 200, 3000]) for i in range(300)}
+    rows = [(i, "w " * n, s) for i, (s, n) in enumerate(sizes.items())]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(4)
+    got = {r["source"]: r for r in mixing.mix(docs).collect()}
+    want = plain_targets(sizes)
+    assert {s: r["target"] for s, r in got.items()} == pytest.approx(want)
+    assert sum(r["taken"] for r in got.values()) == pytest.approx(sum(sizes.values()), rel=0.02)
+    for s, r in got.items():
+        assert r["taken"] <= 3 * sizes[s] and abs(r["taken"] - want[s]) <= 0.03 * want[s] + 4 * mixing.BLOCK_WORDS
+
+
+def test_running_sums(spark):
+    rng = random.Random(9)
+    rows = [(rng.choice([None, "é", "z", "a", "A", ""]), i, rng.randint(0, 9)) for i in range(300)]
+    got = mixing.running_sums(spark.createDataFrame(rows, "s string, i int, n int"), [mixing.F.col("s").asc_nulls_last(), mixing.F.col("i")], ["n"]).collect()
+    total, want = 0, {}
+    for s, i, n in sorted(rows, key=lambda r: (r[0] is None, (r[0] or "").encode(), r[1])):
+        total += n
+        want[i] = total
+    assert {r["i"]: r["upto_n"] for r in got} == want
+
+
 def test_take_repeats_and_cuts(spark):
     text = " one  two\nthree "
     rows = [(1, text, 17, 3, 7), (2, text, 17, 3, 2), (3, text, 17, 3, 0), (4, text, 17, 3, 3)]
