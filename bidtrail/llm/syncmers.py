@@ -5,8 +5,9 @@ the string alone, so an edit changes only the choices that overlap it, and the a
 fingerprint is the anchors' hashes in order of position; two fingerprints are compared by the longest run of common
 anchors in the same order.
 
-The edited text of a document needs the next document's.  Documents are dealt out by ranges of doc_id, each range also
-gets the first document of the next one, and every task walks its sorted rows once.
+The edited text of a document needs the next document's.  Documents are dealt out by ranges of doc_id of about equal
+bytes, each range also gets the first document of the next one, and every task walks its sorted rows once.  Rows of one
+id that fill several ranges (those without an id, say) are spread over them by a hash of their text.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ INNER = 16
 SPAN = GRAM - INNER + 1
 CHUNK_BYTES = 1 << 20
 NO_ID = np.iinfo(np.int64).min
+UNIT_BYTES = 4096  # ranges are even in units of so many bytes, one at least a document
 
 
 def anchors(texts: list[bytes]) -> list[np.ndarray]:
@@ -130,26 +132,42 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
     The next document is the one with the next smaller doc_id, after the smallest the largest; a document alone is its
     own next.  Null text counts as empty and has an empty fingerprint.  Null ids come after all others; rows of one id
-    are ordered by text.  An empty table gives an empty one; other columns are ignored.
+    are ordered by a hash of the text, the largest first.  An empty table gives an empty one; other columns are ignored.
     """
     spark = tuned(docs.sparkSession)
     ranges = buckets_of(spark)
     key = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), key.alias("key"))
+    rows = rows.withColumn("hash", F.xxhash64("text"))
     shares = [i / ranges for i in range(1, ranges)]
-    found = rows.agg(F.percentile_approx("key", shares, max(10_000, 20 * ranges)).alias("s")).first()["s"] if shares else []
-    splits = np.unique(np.array(found or [], np.int64))
-
-    part_of = F.pandas_udf(lambda keys: pd.Series(np.searchsorted(splits, keys.to_numpy(), "left").astype(np.int32)), "int")
-    tops = {r[0]: r[1] for r in rows.groupBy(part_of("key").alias("part")).agg(F.max("key")).collect()}  # a row per range
+    found = []
+    if shares:
+        units = F.sequence(F.lit(0), F.expr(f"octet_length(text) div {UNIT_BYTES}"))
+        weighed = rows.select("key", F.explode(units))
+        found = weighed.agg(F.percentile_approx("key", shares, max(10_000, 20 * ranges)).alias("s")).first()["s"] or []
+    splits = np.array(found, np.int64)
+
+    def parts_of(keys: pd.Series, hashes: pd.Series) -> np.ndarray:
+        """The range of each row; a key that is several splits has as many ranges, equal parts of the hash's values."""
+        keys = keys.to_numpy()
+        first = np.searchsorted(splits, keys, "left")
+        times = np.searchsorted(splits, keys, "right") - first
+        upper = (hashes.to_numpy().view(np.uint64) ^ np.uint64(1 << 63)) >> np.uint64(32)
+        return (first + (upper * times.astype(np.uint64) >> np.uint64(32)).astype(np.int64)).astype(np.int32)
+
+    part_of = F.pandas_udf(lambda keys, hashes: pd.Series(parts_of(keys, hashes)), "int")
+    top = F.max(F.struct("key", "hash")).alias("top")
+    tops = {r["part"]: tuple(r["top"]) for r in rows.groupBy(part_of("key", "hash").alias("part")).agg(top).collect()}  # a row per range
     order = sorted(tops, reverse=True)
-    wanted = {tops[after]: part for part, after in zip(order, order[1:] + order[:1])}
+    wanted: dict[tuple[int, int], list[int]] = {}
+    for part, after in zip(order, order[1:] + order[:1]):
+        wanted.setdefault(tops[after], []).append(part)
 
-    def places(keys: pd.Series) -> pd.Series:
-        parts = np.searchsorted(splits, keys.to_numpy(), "left")
-        return pd.Series([[p, wanted[k]] if k in wanted else [p] for p, k in zip(parts.tolist(), keys.tolist())])
+    def places(keys: pd.Series, hashes: pd.Series) -> pd.Series:
+        parts = parts_of(keys, hashes)
+        return pd.Series([[p, *wanted.get(row, ())] for p, row in zip(parts.tolist(), zip(keys.tolist(), hashes.tolist()))])
 
-    dealt = rows.select("doc_id", "text", "key", F.posexplode(F.pandas_udf(places, "array<int>")("key")).alias("copied", "part"))
+    dealt = rows.select("doc_id", "text", "key", "hash", F.posexplode(F.pandas_udf(places, "array<int>")("key", "hash")).alias("copied", "part"))
     dealt = dealt.withColumn("copied", F.col("copied") > 0)
-    walked = dealt.repartition(ranges, "part").sortWithinPartitions("part", "copied", F.desc("key"), "text")
+    walked = dealt.repartitionById(ranges, "part").sortWithinPartitions("part", "copied", F.desc("key"), F.desc("hash"), "text")
     return walked.select("part", "doc_id", "text", "copied").mapInArrow(_walk, ROWS)

@@ -5,6 +5,8 @@ import random
 from functools import lru_cache
 
 import numpy as np
+import pytest
+import xxhash
 
 from bidtrail.llm import syncmers
 
@@ -48,6 +50,22 @@ def test_likeness():
     assert syncmers.likeness(empty, empty) == 1.0 and syncmers.likeness(empty, np.array([1], np.uint32)) == 0.0
 
 
+def in_order(rows):
+    """Descending id, none last; of one id the largest signed hash of the text first."""
+    signed = lambda t: (h := xxhash.xxh64(t.encode(), seed=42).intdigest()) - (h >> 63 << 64)
+    return sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is None, -(r[0] or 0), -signed(r[1]), r[1].encode()))
+
+
+def expected(rows):
+    order, want = in_order(rows), []
+    for k, (i, text) in enumerate(order):
+        after = order[(k + 1) % len(order)][1]
+        changed = text[: len(text) - len(text) // 2] + after[: len(text) // 2]
+        own, other, follow = syncmers.anchors([x.encode() for x in (text, changed, after)])
+        want.append((i, len(text), hashlib.sha256(changed.encode()).hexdigest(), syncmers.as_text(own), syncmers.as_text(other), syncmers.likeness(own, other), syncmers.likeness(own, follow)))
+    return want
+
+
 def test_documents(spark):
     rng = random.Random(6)
     word = lambda: "".join(rng.choice("abcdefgé漢") for _ in range(rng.randint(1, 8)))
@@ -55,14 +73,18 @@ def test_documents(spark):
     rows += [(1000, None), (1001, ""), (1002, rows[0][1]), (1003, "z" * 30_000), (1004, "tie b"), (1004, "tie a"), (None, "no id at all")]
     docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id bigint, text string, part int").repartition(5)
     got = syncmers.fingerprints(docs).collect()
-    order = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is None, -(r[0] or 0), r[1].encode()))
-    want = []
-    for k, (i, text) in enumerate(order):
-        after = order[(k + 1) % len(order)][1]
-        changed = text[: len(text) - len(text) // 2] + after[: len(text) // 2]
-        own, other, follow = syncmers.anchors([x.encode() for x in (text, changed, after)])
-        want.append((i, len(text), hashlib.sha256(changed.encode()).hexdigest(), syncmers.as_text(own), syncmers.as_text(other), syncmers.likeness(own, other), syncmers.likeness(own, follow)))
-    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, expected(rows)))
+
+
+@pytest.mark.parametrize("hot", [None, 50, 10_000])
+def test_one_id_fills_several_ranges(spark, hot):
+    rng = random.Random(9)
+    rows = [(hot, "".join(rng.choice("abc ") for _ in range(rng.randint(0, 200)))) for _ in range(300)]
+    rows += [(i, "x" * rng.randint(0, 90)) for i in range(200)] + [(300, "long " * 9000), (hot, "equal"), (hot, "equal")]
+    got = syncmers.fingerprints(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3))
+    largest = max(len(part) for part in got.select("doc_id").rdd.glom().collect())
+    assert largest < 300
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, expected(rows)))
 
 
 def test_small_tables(spark):
