@@ -44,3 +44,15 @@ def test_titles(spark):
     odd = spark.createDataFrame([("the of and",), ("cook",)], "title string")
     scored = scoring.classify_titles(model, odd).collect()
     assert len(scored) == 2 and all(abs(sum(r["probabilities"]) - 1) < 1e-9 for r in scored)
+
+
+def test_training_rows_are_dealt_out_by_number(spark, monkeypatch):
+    """Rows of one small file were all kept by one task while the model was fitted."""
+    table = spark.range(10).withColumn("n", F.lit(1))
+    assert [scoring.training_parts(table, n) for n in (10, 9, 3, 1)] == [1, 2, 4, 10]
+    given = []
+    pipeline = scoring.lead_pipeline()
+    monkeypatch.setattr(type(pipeline), "fit", lambda self, rows: given.append(rows.rdd.getNumPartitions()) or pipeline)
+    monkeypatch.setattr(scoring, "training_parts", lambda rows: -(-rows.count() // 50))
+    scoring.train_lead_model(lead_table(spark))
+    assert given == [4]
