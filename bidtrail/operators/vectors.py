@@ -4,10 +4,18 @@ For every word the words around it are counted in SLOTS hashed slots.  A count b
 information (in thousandths, as a whole number), and the slots are projected to DIMENSIONS by signs that follow from
 the numbers of slot and dimension.  All sums are of whole numbers, so a vector does not depend on the order of the rows.
 Counting is one shuffle of (word, slot) after a combine in each task; tables with a row per slot are bounded.
+Neighbours are counted, and vectors added up, with Arrow and numpy inside the tasks, a bounded number of words at a time.
 """
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
@@ -20,6 +28,12 @@ WINDOW = 5
 SLOTS = 4096
 DIMENSIONS = 64
 SCALE = 1000
+# Words that a task holds at once: while it counts neighbours, and in a block of texts that meets its words' vectors.
+COUNTED_WORDS = 500_000
+BLOCK_WORDS = 250_000
+# Slots in one row of counts, so that a batch of such rows stays small.
+LONGEST = 256
+Batches = Iterator[pa.RecordBatch]
 
 
 def title_words(title: Column) -> Column:
@@ -28,9 +42,9 @@ def title_words(title: Column) -> Column:
     return F.filter(words, lambda w: ~w.isin(ENGLISH_STOP_WORDS))
 
 
-def hashed_slot(word: Column, slots: int = SLOTS) -> Column:
-    """Slot of a word: the first eight hexadecimal digits of its MD5."""
-    return (F.conv(F.substring(F.md5(word), 1, 8), 16, 10).cast("bigint") % slots).cast("int")
+def hashed_slots(words: pa.Array, slots: int = SLOTS) -> np.ndarray:
+    """Slot of each word: the first eight hexadecimal digits of its MD5."""
+    return np.array([int(hashlib.md5(w).hexdigest()[:8], 16) % slots for w in words.cast(pa.binary()).to_pylist()], np.int64)
 
 
 def projection(df: DataFrame, dimensions: int = DIMENSIONS, slots: int = SLOTS) -> DataFrame:
@@ -40,17 +54,116 @@ def projection(df: DataFrame, dimensions: int = DIMENSIONS, slots: int = SLOTS)
     return numbered.select("slot", F.transform(F.sequence(F.lit(0), F.lit(dimensions - 1)), sign).alias("signs"))
 
 
+def _in_turn(batches: Batches, most: int) -> Iterator[tuple[list[pa.Array], np.ndarray, pa.Array]]:
+    """Rows whose last column is a list of words, some batches at a time, cut where they reach `most` words (a row counts as
+    one more); a longer row stands alone.  The other columns, the number of words of each row, and all words end to end."""
+    held: list[pa.RecordBatch] = []
+
+    def joined() -> tuple[list[pa.Array], np.ndarray, pa.Array]:
+        *others, words = (pa.concat_arrays([b.column(i) for b in held]) for i in range(held[0].num_columns))
+        return others, words.value_lengths().to_numpy(), words.flatten()
+
+    n = 0
+    for batch in batches:
+        ends = np.cumsum(batch.column(batch.num_columns - 1).value_lengths().to_numpy().astype(np.int64) + 1)
+        start = base = 0
+        while start < batch.num_rows:
+            stop = int(np.searchsorted(ends, base + most - n, "right"))
+            if stop > start or not held:
+                stop = max(start + 1, stop)
+                held.append(batch.slice(start, stop - start))
+                n += int(ends[stop - 1]) - base
+                start, base = stop, int(ends[stop - 1])
+            if start < batch.num_rows:
+                yield joined()
+                held, n = [], 0
+    if held:
+        yield joined()
+
+
+def _neighbours(window: int, slots: int) -> Callable[[Batches], Batches]:
+    def run(batches: Batches) -> Batches:
+        for _, lengths, flat in _in_turn(batches, COUNTED_WORDS):
+            text = np.repeat(np.arange(len(lengths)), lengths)
+            coded = flat.dictionary_encode()
+            code = coded.indices.to_numpy().astype(np.int64)
+            slot = hashed_slots(coded.dictionary, slots)[code]
+            cells = [np.zeros(0, np.int64)]
+            for away in range(1, min(window, len(code) - 1) + 1):
+                same = np.flatnonzero(text[away:] == text[:-away])
+                cells += [code[same] * slots + slot[same + away], code[same + away] * slots + slot[same]]
+            cell, n = np.unique(np.concatenate(cells), return_counts=True)
+            # A row per word and at most LONGEST of its slots: far fewer rows than pairs.
+            word = cell // slots
+            starts = np.flatnonzero(np.append(True, word[1:] != word[:-1]))[: len(word)]
+            run_of = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(word))))
+            starts = np.flatnonzero((np.arange(len(word)) - starts[run_of]) % LONGEST == 0) if len(word) else starts
+            ends = pa.array(np.append(starts, len(word)), pa.int32())
+            lists = [pa.ListArray.from_arrays(ends, pa.array(a)) for a in ((cell % slots).astype(np.int32), n.astype(np.int64))]
+            yield pa.RecordBatch.from_arrays([coded.dictionary.take(pa.array(word[starts])).cast(pa.string()), *lists], names=["word", "slots", "ns"])
+
+    return run
+
+
+def _added_up(slots: int) -> Callable[[Batches], Batches]:
+    """word, slot, n from rows (word, slots, ns) in order of words; the last word of a batch waits for the next one."""
+
+    def sums(rows: pa.Table) -> pa.RecordBatch:
+        word, listed, ns = (rows.column(c).combine_chunks() for c in ("word", "slots", "ns"))
+        coded = word.dictionary_encode()
+        code = np.repeat(coded.indices.to_numpy().astype(np.int64), listed.value_lengths().to_numpy())
+        cell, place = np.unique(code * slots + listed.flatten().to_numpy(), return_inverse=True)
+        n = np.zeros(len(cell), np.int64)
+        np.add.at(n, place, ns.flatten().to_numpy())
+        columns = [coded.dictionary.take(pa.array(cell // slots)).cast(pa.string()), pa.array((cell % slots).astype(np.int32)), pa.array(n)]
+        return pa.RecordBatch.from_arrays(columns, names=["word", "slot", "n"])
+
+    def run(batches: Batches) -> Batches:
+        waiting: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            word = batch.column("word")
+            others = np.flatnonzero(~pc.equal(word, word[-1]).to_numpy(zero_copy_only=False))
+            last = int(others[-1]) + 1 if len(others) else 0
+            if waiting and (last or waiting[0].column("word")[0] != word[-1]):
+                yield sums(pa.Table.from_batches([*waiting, batch.slice(0, last)]))
+                waiting = []
+            elif last:
+                yield sums(pa.Table.from_batches([batch.slice(0, last)]))
+            waiting.append(batch.slice(last))
+        if waiting:
+            yield sums(pa.Table.from_batches(waiting))
+
+    return run
+
+
 def context_counts(titles: DataFrame, column: str = "title", window: int = WINDOW, slots: int = SLOTS) -> DataFrame:
     """word, slot, n: how often a word of a slot stands up to `window` words away from the word, in the same text."""
-    texts = titles.select(title_words(F.col(column)).alias("words")).withColumn("slots", F.transform("words", lambda w: hashed_slot(w, slots)))
+    # A few bytes become many pairs here, so texts are dealt out by number, not by the size of their files.
+    tasks = int(titles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    texts = titles.select(F.col(column).alias("text")).repartition(tasks).select(title_words(F.col("text")).alias("words"))
+    parts = texts.mapInArrow(_neighbours(window, slots), "word string, slots array<int>, ns array<bigint>")
+    return parts.repartition(tasks, "word").sortWithinPartitions("word").mapInArrow(_added_up(slots), "word string, slot int, n bigint")
+
 
-    def around(word: Column, i: Column) -> Column:
-        start = F.greatest(i - window, F.lit(0))
-        near = F.concat(F.slice("slots", start + 1, i - start), F.slice("slots", i + 2, F.lit(window)))
-        return F.transform(near, lambda s: F.struct(word.alias("word"), s.alias("slot")))
+def _projected(signs: np.ndarray) -> Callable[[Batches], Batches]:
+    """Sums of weight times signs over runs of rows with one word."""
 
-    pairs = texts.select(F.explode(F.flatten(F.transform("words", around))).alias("pair"))
-    return pairs.groupBy("pair.word", "pair.slot").agg(F.count("*").alias("n"))
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            code = batch.column("word").dictionary_encode().indices.to_numpy()
+            starts = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
+            weight, slot = (batch.column(c).to_numpy() for c in ("weight", "slot"))
+            sums = np.add.reduceat(signs[slot] * weight[:, None], starts, axis=0)
+            some = batch.select(["word", "n_word"]).take(pa.array(starts))
+            ends = pa.array(np.arange(len(starts) + 1, dtype=np.int32) * signs.shape[1])
+            vector = pa.ListArray.from_arrays(ends, pa.array(sums.ravel()))
+            yield pa.RecordBatch.from_arrays([*some.columns, vector], names=["word", "n", "vector"])
+
+    return run
 
 
 def word_vectors(
@@ -61,31 +174,71 @@ def word_vectors(
     # A row per slot, and one for all; neither grows with the data.
     by_slot = counts.groupBy("slot").agg(F.sum("n").alias("n_slot"))
     everything = counts.agg(F.sum("n").alias("n_all"))
-    signs = stored(by_slot.join(projection(titles, dimensions, slots), "slot"))
+    signs = np.array([r["signs"] for r in projection(titles, dimensions, slots).orderBy("slot").collect()], np.int64)
     of_word = Window.partitionBy("word")  # at most a row per slot
-    weighed = counts.withColumn("n_word", F.sum("n").over(of_word)).join(F.broadcast(signs), "slot")
+    weighed = counts.withColumn("n_word", F.sum("n").over(of_word)).join(F.broadcast(by_slot), "slot")
     likely = F.col("n") * F.lit(1.0) * everything.scalar() / (F.col("n_word") * F.lit(1.0) * F.col("n_slot"))
     weight = F.when(likely > 1, F.round(F.log(likely) * SCALE)).otherwise(0).cast("bigint")
-    sums = [F.sum(F.col("weight") * F.get("signs", F.lit(d))).alias(f"v{d}") for d in range(dimensions)]
-    summed = weighed.withColumn("weight", weight).groupBy("word").agg(F.max("n_word").alias("n"), *sums)
+    # The window leaves a word's rows together, so that nearly all of its sum is done before the last step.
+    parts = weighed.select("word", "n_word", "slot", weight.alias("weight")).mapInArrow(_projected(signs), "word string, n bigint, vector array<bigint>")
+    sums = [F.sum(F.get("vector", F.lit(d))).alias(f"v{d}") for d in range(dimensions)]
+    summed = parts.groupBy("word").agg(F.max("n").alias("n"), *sums)
     return summed.select("word", "n", F.array(*[f"v{d}" for d in range(dimensions)]).alias("vector"))
 
 
-def title_vectors(titles: DataFrame, vectors: DataFrame, column: str = "title", dimensions: int = DIMENSIONS) -> DataFrame:
+def _blocks(most: int) -> Callable[[Batches], Batches]:
+    """Texts (number, words) with the number of their block."""
+
+    def run(batches: Batches) -> Batches:
+        task = TaskContext.get().partitionId() << 33
+        for number, ((rows,), lengths, flat) in enumerate(_in_turn(batches, most)):
+            words = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(lengths)), pa.int32()), flat.cast(pa.string()))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), task + number)), rows, words], names=["block", "_row", "words"])
+
+    return run
+
+
+def _means(dimensions: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """Means of the vectors (word, unit) of the words of each text of a block."""
+
+    def run(texts: pa.Table, known: pa.Table) -> pa.Table:
+        units = known.column("unit").combine_chunks().flatten().to_numpy().reshape(-1, dimensions)
+        lists = texts.column("words").combine_chunks()
+        found = pc.index_in(lists.flatten(), value_set=known.column("word").combine_chunks())
+        code = found.fill_null(-1).to_numpy()
+        ends = np.cumsum(lists.value_lengths().to_numpy())
+        rows, means = [], []
+        for row, start, end in zip(texts.column("_row").to_numpy(), np.append(0, ends[:-1]), ends):
+            here = code[start:end]
+            here = here[here >= 0]
+            if len(here):
+                rows.append(row)
+                means.append(units[here].mean(0))
+        flat = np.concatenate([np.zeros(0), *means])
+        listed = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1) * dimensions, pa.int32()), pa.array(flat))
+        return pa.table({"_row": pa.array(rows, pa.int64()), "features": listed})
+
+    return run
+
+
+def title_vectors(titles: DataFrame, vectors: DataFrame, column: str = "title", dimensions: int = DIMENSIONS, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The rows of titles with `features`: the mean of the vectors of their words, each of length one.
 
-    Words without a vector count for nothing; a text without any other has zeros.
+    Words without a vector count for nothing; a text without any other has zeros.  Vectors are sent once to each block
+    of texts that has the word, and added up there.
     """
+    tasks = int(titles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     numbered = stored(titles.withColumn("_row", F.monotonically_increasing_id()))
     length = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))
     unit = vectors.where(length > 0).select("word", F.transform("vector", lambda x: x / length).alias("unit"))
-    words = numbered.select("_row", F.explode(title_words(F.col(column))).alias("word")).groupBy("_row", "word").agg(F.count("*").alias("times"))
-    found = words.join(unit, "word")
-    means = [F.sum(F.col("times") * F.get("unit", F.lit(d))).alias(f"v{d}") for d in range(dimensions)]
-    summed = found.groupBy("_row").agg(F.sum("times").alias("times"), *means)
-    summed = summed.select("_row", F.array(*[F.col(f"v{d}") / F.col("times") for d in range(dimensions)]).alias("features"))
+    texts = numbered.select("_row", F.col(column).alias("text")).repartition(tasks).select("_row", title_words(F.col("text")).alias("words"))
+    placed = stored(texts.mapInArrow(_blocks(block_words), "block bigint, _row bigint, words array<string>"))
+    needed = placed.select("block", F.explode("words").alias("word")).distinct()
+    # Spark takes an exploded side to be as small as its source, so it must not be broadcast.
+    known = needed.hint("merge").join(unit, "word").select(F.col("block").alias("in_block"), "word", "unit")
+    means = placed.groupBy("block").cogroup(known.groupBy("in_block")).applyInArrow(_means(dimensions), "_row bigint, features array<double>")
     zeros = F.array_repeat(F.lit(0.0), dimensions)
-    return numbered.join(summed, "_row", "left").withColumn("features", F.coalesce("features", zeros)).drop("_row")
+    return numbered.join(means, "_row", "left").withColumn("features", F.coalesce("features", zeros)).drop("_row")
 
 
 def train_title_classifier(featured: DataFrame, label: str = "label") -> LogisticRegressionModel:

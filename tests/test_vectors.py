@@ -3,6 +3,7 @@ import math
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -71,3 +72,49 @@ def test_similar_words_classify_unseen_titles(spark):
     counts = scoring.title_pipeline().fit(df.where(~half))
     by_counts = scoring.classify_titles(counts, unseen).where("label = predicted").count()
     assert by_counts < 4
+
+
+def test_words_held_in_turn_lose_no_text():
+    """Texts cut into turns anywhere: as many rows and words, none longer than asked unless one text is."""
+    texts = [["a"] * (i % 7) for i in range(50)] + [["b"] * 40, [], ["c"]]
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(i, min(i + 9, len(texts)))), pa.array(texts[i : i + 9], pa.list_(pa.string()))], names=["id", "words"]) for i in range(0, len(texts), 9)]
+    for most in (1, 10, 25, 1000):
+        turns = list(vectors._in_turn(iter([b.slice(0, 0) for b in batches[:1]] + batches), most))
+        assert [i for (ids,), _, _ in turns for i in ids.to_pylist()] == list(range(len(texts)))
+        assert [n for _, lengths, _ in turns for n in lengths.tolist()] == [len(t) for t in texts]
+        assert [w for _, _, flat in turns for w in flat.to_pylist()] == [w for t in texts for w in t]
+        assert all(len(lengths) == 1 or len(lengths) + len(flat) <= most for _, lengths, flat in turns)
+
+
+def test_few_file_parts_do_not_bound_the_tasks(spark):
+    """A file of one part was counted by one task, whatever its number of words."""
+    df = spark.createDataFrame([(t,) for t in TITLES], "title string").coalesce(1)
+    plan = vectors.context_counts(df)._jdf.queryExecution().executedPlan().toString()
+    tasks = spark.conf.get("spark.sql.shuffle.partitions")
+    assert f"RoundRobinPartitioning({tasks})" in plan and plan.rindex("MapInArrow") < plan.index("RoundRobinPartitioning")
+
+
+def test_title_vectors_are_means_in_any_blocks(spark):
+    """No row per word and text, each of the width of a vector: words meet their vectors once per block."""
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(TITLES)], "id int, title string")
+    vecs = vectors.word_vectors(df).cache()
+    unit = {}
+    for r in vecs.collect():
+        length = math.sqrt(sum(x * x for x in r["vector"]))
+        if length:
+            unit[r["word"]] = [x / length for x in r["vector"]]
+    words = {r["id"]: r["words"] for r in df.select("id", vectors.title_words(F.col("title")).alias("words")).collect()}
+    for most in (3, vectors.BLOCK_WORDS):
+        featured = vectors.title_vectors(df, vecs, block_words=most)
+        assert "CoGroup" in featured._jdf.queryExecution().executedPlan().toString()
+        for r in featured.collect():
+            known = [unit[w] for w in words[r["id"]] if w in unit]
+            assert r["features"] == pytest.approx([sum(x) / len(known) for x in zip(*known)] if known else [0.0] * vectors.DIMENSIONS)
+
+
+def test_counts_of_a_word_in_several_batches_are_one_row_a_slot():
+    rows = [("a", [1, 2], [1, 1]), ("a", [2], [3]), ("a", [5], [1]), ("b", [1], [1]), ("c", [1], [2]), ("c", [1], [2])]
+    for size in (1, 2, 4, 6):
+        batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[i : i + size])], names=["word", "slots", "ns"]) for i in range(0, 6, size)]
+        got = [tuple(r.values()) for b in vectors._added_up(7)(iter(batches)) for r in b.to_pylist()]
+        assert sorted(got) == [("a", 1, 1), ("a", 2, 4), ("a", 5, 1), ("b", 1, 1), ("c", 1, 4)]
