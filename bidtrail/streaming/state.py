@@ -13,6 +13,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,15 +54,23 @@ def as_of(steps: Stairs, cutoff: int) -> str | None:
 
 
 def _reduced(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The stairs of each user and feature, and the users' latest times, for all users of a frame at once."""
     for frame in frames:
-        out = []
-        for (user, seed), rows in frame.groupby([USER, "seed"], sort=False, dropna=False):
-            if not seed:
-                out.append((user, seed, CUTOFF, int(rows["millis"].max()), None))
-            for slot, feature in enumerate(FEATURE_COLUMNS):
-                some = rows[rows[feature].notna()]
-                out += [(user, seed, slot, *step) for step in stairs(zip(some["millis"].tolist(), some[feature]))]
-        yield pd.DataFrame(out, columns=[USER, "seed", "slot", "millis", "value"])
+        if frame.empty:
+            continue
+        latest = frame[~frame["seed"]].groupby([USER, "seed"], sort=False, as_index=False)["millis"].max()
+        parts = [latest.assign(slot=CUTOFF, value=None)]
+        for slot, feature in enumerate(FEATURE_COLUMNS):
+            some = frame.loc[frame[feature].notna(), [USER, "seed", "millis"]].assign(slot=slot, value=frame[feature])
+            if some.empty:
+                continue
+            # The place of each value among all in order of code points, as in stairs.
+            some["order"] = np.unique(some["value"].to_numpy(object), return_inverse=True)[1]
+            some = some.sort_values([USER, "seed", "millis", "order"]).drop_duplicates([USER, "seed", "millis"], keep="last")
+            highest = some.groupby([USER, "seed"], sort=False)["order"].cummax()
+            before = highest.groupby([some[USER], some["seed"]], sort=False).shift(fill_value=-1)
+            parts.append(some[some["order"] > before].drop(columns="order"))
+        yield pd.concat([p for p in parts if len(p)] or parts)[[USER, "seed", "slot", "millis", "value"]]
 
 
 def feature_points(rows: DataFrame, seed: bool = False) -> DataFrame:

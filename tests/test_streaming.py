@@ -1,5 +1,7 @@
 import random
+import time
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -261,3 +263,25 @@ def test_running_counts_equal_batch_counts_after_each_run(spark, messages, rows,
     assert serving.batches(spark, out) == [0, 1, 2]
     # A word that a batch does not hold is not written again.
     assert spark.read.parquet(f"{out}/batch_id=2").count() < spark.read.parquet(out).select("word").distinct().count()
+
+
+def test_points_of_many_users_are_reduced_at_once():
+    """The same stairs as user by user, for users who come with a row each, and without a loop over them."""
+    rng = random.Random(5)
+    rows = [
+        (f"u{rng.randrange(40)}", rng.random() < 0.3, rng.randrange(30), *(rng.choice([None, "0", "10", "9", "ä", "\U0001f600", "\uffff"]) for _ in FEATURE_COLUMNS))
+        for _ in range(400)
+    ]
+    frame = pd.DataFrame(rows, columns=["ipinyou_id", "seed", "millis", *FEATURE_COLUMNS])
+    wanted = []
+    for user, seed in {(r[0], r[1]) for r in rows}:
+        mine = [r for r in rows if r[:2] == (user, seed)]
+        wanted += [] if seed else [(user, seed, state.CUTOFF, max(r[2] for r in mine), None)]
+        for slot in range(len(FEATURE_COLUMNS)):
+            wanted += [(user, seed, slot, *step) for step in state.stairs([(r[2], r[3 + slot]) for r in mine if r[3 + slot] is not None])]
+    (got,) = state._reduced(iter([frame.iloc[:0], frame]))
+    assert sorted(map(str, got.itertuples(index=False, name=None))) == sorted(map(str, wanted))
+    users = pd.DataFrame({"ipinyou_id": [f"u{i}" for i in range(20_000)], "seed": False, "millis": range(20_000)} | {f: "0" for f in FEATURE_COLUMNS})
+    began = time.process_time()
+    (got,) = state._reduced(iter([users]))
+    assert len(got) == 20_000 * (1 + len(FEATURE_COLUMNS)) and time.process_time() - began < 5  # 20 s and more, user by user
