@@ -5,7 +5,7 @@ import random
 import pytest
 
 import corpus_pipeline as pipeline
-from bidtrail.llm import copies
+from bidtrail.llm import components, copies
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -76,3 +76,35 @@ def test_null_ids_and_empty_table(spark):
     got = copies.first_of_classes(spark.createDataFrame(rows, "doc_id bigint, text string"))
     assert sorted(str(r[0]) for r in got.collect()) == ["7", "None"]
     assert copies.first_of_classes(spark.createDataFrame([], "doc_id bigint, text string")).collect() == []
+
+
+def test_texts_around_one_passage_are_not_paired(spark, monkeypatch):
+    """A likeness of 0.6 throughout: many share keys, none are alike, so pairs must not grow with the square."""
+    rng = random.Random(6)
+    shared = " ".join("s%d" % i for i in range(104))
+    rows = [(i, shared + " " + " ".join("w%d" % rng.randrange(10**9) for _ in range(30))) for i in range(120)]
+    rows += [(200, rows[7][1] + " one more"), (201, "up front " + rows[7][1])]
+    counts = []
+
+    def counted(df, stored=copies.stored):
+        df = stored(df)
+        counts.extend([df.count()] if df.columns == ["a", "b"] else [])
+        return df
+
+    monkeypatch.setattr(copies, "stored", counted)
+    got = copies.first_of_classes(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert sorted(r[0] for r in got.collect()) == plain_kept(rows) == list(range(120))
+    assert 0 < sum(counts) < 12 * len(rows)
+
+
+@pytest.mark.parametrize("rows_per_file", [7, 200_000])
+def test_components(spark, monkeypatch, rows_per_file):
+    monkeypatch.setattr(components, "ROWS_PER_FILE", rows_per_file)
+    rng = random.Random(7)
+    links = [(n, n + 3) for n in range(-40, 20)] + [(50, n) for n in range(51, 80)] + [tuple(rng.sample(range(100, 190), 2)) for _ in range(45)] + [(5, 5)]
+    plain = {n: n for link in links for n in link}
+    for _ in plain:
+        for a, b in links:
+            plain[a] = plain[b] = min(plain[a], plain[b])
+    got = components.components(spark.createDataFrame(links, "a bigint, b bigint").repartition(3)).collect()
+    assert sorted((r["node"], r["root"]) for r in got) == sorted((n, r) for n, r in plain.items() if n != r)
