@@ -36,14 +36,18 @@ def link_crowds(members: DataFrame, edges: DataFrame, check: Callable[[DataFrame
     for turn in range(rounds + 1):
         placed = stored(rooted(members, edges))
         parts = placed.groupBy("key", "root").agg(F.count("*").alias("size"), F.max(F.struct("weight", "node")).alias("first"))
-        several = parts.groupBy("key").agg(F.max(F.struct("size", "root")).alias("most"), F.count("*").alias("classes")).where("classes > 1")
+        # What is joined to members is stored first: only then can Spark split a hot key of that join.
+        several = parts.groupBy("key").agg(F.max(F.struct("size", "root")).alias("most"), F.count("*").alias("classes"), F.max(F.struct("first", "root")).alias("p")).where("classes > 1")
+        several = stored(several.select("key", F.col("most.root").alias("largest"), F.col("p.first.node").alias("pivot"), F.col("p.root").alias("pivot_root")))
         if turn == rounds or several.isEmpty():
             break
-        # The largest class names the pivot in the first round, the others do later.
-        named = parts.join(several.select("key", F.col("most.root").alias("largest")), "key")
-        named = named if turn == 0 else named.where("root <> largest")
-        pivots = named.groupBy("key").agg(F.max(F.struct("first", "root")).alias("p")).select("key", F.col("p.first.node").alias("pivot"), F.col("p.root").alias("pivot_root"))
+        # All classes may name the pivot in the first round, those outside the largest one later.
+        pivots = several.drop("largest")
+        if turn:
+            named = parts.join(several.select("key", "largest"), "key").where("root <> largest")
+            pivots = named.groupBy("key").agg(F.max(F.struct("first", "root")).alias("p"))
+            pivots = stored(pivots.select("key", F.col("p.first.node").alias("pivot"), F.col("p.root").alias("pivot_root")))
         # Pivots are a row per key, but may be as many as the keys.
         pairs = placed.join(pivots.hint("merge"), "key").where("root <> pivot_root").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
         edges = stored(edges.unionByName(check(pairs)))
-    return edges, placed.join(several.select("key", F.col("most.root").alias("largest")).hint("merge"), "key")
+    return edges, placed.join(several.select("key", "largest").hint("merge"), "key")

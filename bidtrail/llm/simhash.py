@@ -111,7 +111,8 @@ def links(bits: DataFrame, pairs_up_to: int = PAIRS_UP_TO) -> DataFrame:
     emitted = _half_keys(bits.repartition(tasks, F.shiftright("bits", 1)), RADIUS // 2)
     sizes = emitted.groupBy("half", "key").agg(F.count("*").alias("n"), F.sum(F.col("own").cast("int")).alias("own_n"))
     shared = stored(sizes.where("own_n >= 1 AND n >= 2"))
-    members = stored(emitted.join(shared, ["half", "key"]))  # broadcast only if the stored table is small
+    # Spark takes an exploded side to be as small as its source; the variants may not be broadcast.
+    members = stored(emitted.join(shared.hint("merge"), ["half", "key"]))
 
     few = members.where(F.col("n") <= pairs_up_to)
     a = few.where("own").select("half", "key", F.col("bits").alias("a"))
@@ -132,7 +133,7 @@ def links(bits: DataFrame, pairs_up_to: int = PAIRS_UP_TO) -> DataFrame:
     balls = balls.select("bits", F.col("bits").bitwiseXOR(F.col("mask")).alias("variant"), (F.col("slice") < len(MASKS[0])).alias("inner"))
     centres = balls.groupBy("variant").agg(F.min(F.when(F.col("inner"), F.col("bits"))).alias("centre"), F.count("*").alias("n"))
     centres = centres.where("centre IS NOT NULL AND n >= 2").drop("n")
-    # Spark takes an exploded side to be as small as its source; neither of these may be broadcast.
+    # Again, neither of these may be broadcast.
     stars = balls.join(centres.hint("merge"), "variant").where("bits <> centre").select(F.least("bits", "centre").alias("a"), F.greatest("bits", "centre").alias("b"))
     return edges.unionByName(stars).distinct()
 
