@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -112,6 +113,37 @@ def test_buckets_follow_the_bytes(spark, monkeypatch):
     assert sorted(map(tuple, got), key=str) == brute(rows)
 
 
+def packed(texts, number, chunk):
+    data = [t.encode() for t in texts]
+    lengths = np.array([len(d) for d in data], np.int64)
+    return {"chunk": chunk, "block": number, "ids": list(range(10 * number, 10 * number + len(data))), "lengths": lengths.tobytes(), "data": repeats.squeezed(b"".join(data))}
+
+
+def test_blocks_of_a_chunk_send_a_row_per_bucket():
+    """A row for each block and bucket grew with both, to a few bytes a row, so that the shuffle outgrew the input."""
+    rng = random.Random(3)
+    blocks = [packed(["".join(rng.choice("abcdef ") for _ in range(400)) for _ in range(4)], 16 * (i // 12) + i % 12, i // 12) for i in range(24)]
+    rows = pa.Table.from_batches(repeats.send_keys(8)(iter(pa.Table.from_pylist(blocks).to_batches(max_chunksize=5)))).to_pylist()
+    assert len(rows) <= 2 * 8
+    sent = {(r["chunk"], int(p)): 0 for r in rows for p in r["places"]}
+    assert sent.keys() == {(i // 12, i % 12) for i in range(24)}
+    for r in rows:
+        counts = np.frombuffer(r["counts"], np.uint32)
+        assert len(counts) == len(r["places"]) and counts.sum() == r["n"] == len(r["keys"]) // 4 == len(r["contents"]) // 8
+        ids = np.cumsum(repeats.from_planes(r["docs"], r["n_docs"], np.uint64)).view(np.int64)
+        owner = np.repeat(16 * r["chunk"] + np.frombuffer(r["places"], np.uint8).astype(int), counts)
+        assert (ids[repeats.from_planes(r["which"], r["n"], np.uint32)] // 10 == owner).all()
+
+
+def test_chunks_that_send_their_segments_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "BLOCK_BYTES", 300)
+    monkeypatch.setattr(repeats, "LOOK_BYTES", 500)
+    rows = some_rows(12)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(2)
+    got = repeats.remove_repeats(docs, hot_contents=5).drop("kept_text").collect()
+    assert sorted(map(tuple, got), key=str) == brute(rows)
+
+
 def test_carries_columns_and_text(spark):
     docs = spark.createDataFrame([(1, "é" * 60, "x"), (2, "é" * 60 + "rest", None)], "doc_id bigint, text string, n_bytes string")
     got = {r[0]: r for r in repeats.remove_repeats(docs.withColumn("block", F.lit(9)), carry=["block"]).collect()}
