@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import stored
+from ..session import passing, stored
 
 ROWS_PER_FILE = 200_000
 
@@ -45,6 +45,12 @@ def components(edges: DataFrame) -> DataFrame:
     smaller ones.  Each round is a minimum per node and a join; rounds grow with the logarithm of the longest path.
     Rounds are written to the shared folder, in as many files as their rows call for.
     """
+    with passing(edges.sparkSession):
+        return _rooted(edges)
+
+
+def _rooted(edges: DataFrame) -> DataFrame:
+    """What components() returns, of the last table that is stored here."""
     pairs = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
     files = 1 + pairs.count() // ROWS_PER_FILE
     pairs = stored(pairs.coalesce(files).mapInArrow(_contracted, pairs.schema))

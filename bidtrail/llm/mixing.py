@@ -130,10 +130,7 @@ def mix(docs: DataFrame, carry: list[str] = (), seed: int = 0, weights: tuple =
     spark = tuned(docs.sparkSession)
     rest = F.struct(F.lit(0).alias("_"), *carry).alias("rest")
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("source").cast("string").alias("source"), F.col("text").cast("string").alias("text"), rest)
-    sized = with_sizes(rows)
-    sized = stored((sized if "text" in carry else sized.drop("text")).withColumn("row", F.monotonically_increasing_id()))
-    if "text" in carry:
-        sized = sized.drop("text")
+    sized = stored(with_sizes(rows).drop("text").withColumn("row", F.monotonically_increasing_id()))
     thin = sized.drop("rest")
     sources = stored(targets(thin.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most))
     times = schedule(sources, block_words, most).groupBy("place", "block").agg(F.count("*").alias("times"))

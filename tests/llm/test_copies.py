@@ -5,6 +5,7 @@ import random
 import pytest
 
 import corpus_pipeline as pipeline
+from bidtrail import session
 from bidtrail.llm import components, copies
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -108,3 +109,13 @@ def test_components(spark, monkeypatch, rows_per_file):
             plain[a] = plain[b] = min(plain[a], plain[b])
     got = components.components(spark.createDataFrame(links, "a bigint, b bigint").repartition(3)).collect()
     assert sorted((r["node"], r["root"]) for r in got) == sorted((n, r) for n, r in plain.items() if n != r)
+
+
+def test_only_the_result_stays_stored(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_root", lambda spark: str(tmp_path))
+    texts = [" ".join(f"w{(i // 3) * 50 + k}" for k in range(40)) + (" end" if i % 3 else "") for i in range(12)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    kept = copies.first_of_classes(docs, pairs_up_to=1)
+    (left,) = (tmp_path / "bidtrail").iterdir()
+    assert spark.read.parquet(str(left)).columns == ["kept_id"]
+    assert sorted(r[0] for r in kept.collect()) == plain_kept(list(enumerate(texts))) == [0, 3, 6, 9]

@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import pytest
 
+from bidtrail import session
 from bidtrail.llm import mixing
 
 
@@ -110,3 +111,12 @@ def test_take_repeats_and_cuts(spark):
 
 def test_empty_table(spark):
     assert mixing.mix(spark.createDataFrame([], "doc_id bigint, text string, source string")).collect() == []
+
+
+def test_a_carried_text_is_stored_once(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_root", lambda spark: str(tmp_path))
+    docs = spark.createDataFrame([(1, "a b c", "x"), (2, None, None), (3, "d", "y")], "doc_id bigint, text string, source string")
+    got = {r["doc_id"]: r["text"] for r in mixing.mix(docs, carry=["text"]).collect()}
+    assert got == {1: "a b c", 2: None, 3: "d"}
+    schemas = [spark.read.parquet(str(p)).schema.simpleString() for p in (tmp_path / "bidtrail").iterdir()]
+    assert max(s.count("text:") for s in schemas) == 1

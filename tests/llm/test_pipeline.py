@@ -9,6 +9,7 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 import corpus_pipeline as pipeline
+from bidtrail import session
 from bidtrail.llm import mixing, quality, repeats, simhash
 from bidtrail.session import stored
 from tests.llm.test_copies import plain_kept
@@ -58,6 +59,17 @@ def test_run_and_registration(spark, steps):
     assert "pipeline" in entry.queries() and sum(q.startswith("op") for q in entry.queries()) == 13
 
 
+def test_run_leaves_its_last_table(spark, tmp_path, monkeypatch):
+    """All tables of all stages stayed, more than twice the input."""
+    monkeypatch.setattr(session, "shared_root", lambda spark: str(tmp_path / "shared"))
+    rows = [(i, " ".join(f"word{(i // 2) * 7 + k * k % 41} and" for k in range(60)), "en", "web" if i % 3 else None, 0) for i in range(40)]
+    spark.createDataFrame(rows, spark.read.parquet(f"{SF}/documents.parquet").schema).withColumn("n_chars", F.length("text").cast("bigint")).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, i % 2, 0) for i in range(10)], "doc_id bigint, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    packed = pipeline.run(spark, str(tmp_path))
+    (left,) = (tmp_path / "shared" / "bidtrail").iterdir()
+    assert spark.read.parquet(str(left)).columns == pipeline.COLUMNS and packed.count() >= 0
+
+
 def test_empty_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").where("false")
     for _, stage in pipeline.STAGES:
