@@ -3,10 +3,12 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from bidtrail.functions import packed
 from bidtrail.operators import vectors
 from bidtrail.operators.text import ENGLISH_STOP_WORDS
 from bidtrail.plans import scoring
@@ -118,3 +120,37 @@ def test_counts_of_a_word_in_several_batches_are_one_row_a_slot():
         batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[i : i + size])], names=["word", "slots", "ns"]) for i in range(0, 6, size)]
         got = [tuple(r.values()) for b in vectors._added_up(7)(iter(batches)) for r in b.to_pylist()]
         assert sorted(got) == [("a", 1, 1), ("a", 2, 4), ("a", 5, 1), ("b", 1, 1), ("c", 1, 4)]
+
+
+def test_rows_of_numbers_in_few_bits_come_back():
+    rng = random.Random(5)
+    for columns in (1, 3, 64):
+        rows = [[rng.randint(-(2**bits), 2**bits - 1) for _ in range(columns)] for bits in (0, 1, 2, 7, 8, 16, 17, 31) for _ in range(4)]
+        rows += [[0] * columns, [-1] * columns, [-(2**20)] * columns, [2**20] * columns]
+        for some in (rows, [*rows, [2**50] * columns, [-(2**50)] * columns]):
+            some_packed = packed.narrow_rows(np.array(some, np.int64))
+            assert packed.from_narrow(some_packed, columns).tolist() == some
+    assert max(map(len, packed.narrow_rows(np.full((1, 64), 30_000)))) == 1 + 64 * 16 // 8
+    assert packed.from_narrow([], 64).shape == (0, 64)
+
+
+def test_words_come_back():
+    words = pa.array(["a", "", "Ärztin", "a"])
+    for some in (words, words.slice(1, 2), words.slice(0, 0)):
+        assert packed.words_of(*packed.packed_words(some), len(some)).to_pylist() == some.to_pylist()
+
+
+def test_counts_and_vectors_travel_in_few_bytes(spark):
+    """A list per word and task, and a vector of doubles per block and word, were more than twenty times the texts."""
+    rng = random.Random(8)
+    texts = [" ".join("".join(rng.choice("abcdefgh") for _ in range(3)) for _ in range(400)) for _ in range(60)]
+    batch = pa.RecordBatch.from_arrays([pa.array([t.split() for t in texts])], names=["words"])
+    parts = [r for b in vectors._neighbours(5, 4096, 8)(iter([batch])) for r in b.to_pylist()]
+    assert len(parts) == 8 and sum(r["cells"] for r in parts) > 100_000
+    assert sum(len(v) for r in parts for v in r.values() if isinstance(v, bytes)) < 3 * sum(r["cells"] for r in parts)
+    df = spark.createDataFrame([(t,) for t in texts], "title string")
+    known = vectors.word_vectors(df)
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan
+    rows = known.collect()
+    assert sum(map(len, packed.narrow_rows(np.array([r["vector"] for r in rows])))) < 64 * 3 * len(rows)
